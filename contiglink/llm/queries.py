@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, quality_rules, sharding, token_files, url_filter, warc
+from . import bpe, fm_index, minhash, nb_svm, quality_rules, sharding, token_files, url_filter, warc
 from .common import table
 
 
@@ -31,10 +31,18 @@ def op6_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nb_svm.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
