@@ -235,6 +235,47 @@ def find_phrases(hashes: np.ndarray, at: np.ndarray, part: dict[str, np.ndarray]
     return (np.concatenate(starts), np.concatenate(ends), pairs) if starts else (none, none, [])
 
 
+class Slices:
+    """The phrase slices, one at a time in memory."""
+
+    def __init__(self, files: list[str]):
+        self.files, self.held = files, {}
+
+    def read(self, file: str) -> dict[str, np.ndarray]:
+        if file not in self.held:
+            self.held.clear()
+            with np.load(io.BytesIO(read_file(file))) as got:
+                self.held[file] = dict(got)
+        return self.held[file]
+
+    def hits(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+        """Where each text's words start, whether each word is hit, and each text's items: a shard's search."""
+        hashes, at = word_hashes(texts)
+        items: list[set[str]] = [set() for _ in range(len(texts))]
+        edge = np.zeros(len(hashes) + 1, np.int64)
+        for file in self.files:
+            starts, ends, pairs = find_phrases(hashes, at, self.read(file))
+            np.add.at(edge, starts, 1)
+            np.add.at(edge, ends, -1)
+            for d, found in pairs:
+                items[d].update(found)
+        return at, np.cumsum(edge)[:-1] > 0, items
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no benchmark phrase."""
+    files = write_phrases(benchmark, fresh_path(docs.sparkSession, "phrases"), window, slice_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = Slices(files)
+        for batch in batches:
+            at, hit, _ = slices.hits(batch.column(batch.schema.get_field_index(text_col)))
+            total = np.concatenate([np.zeros(1, np.int64), np.cumsum(hit)])
+            yield batch.filter(pa.array(total[at[1:]] == total[at[:-1]]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Each document's id, n_words, n_hit, n_items, items_sha256, contaminated, and spans: removal spans of word numbers."""
     files = write_phrases(benchmark, fresh_path(docs.sparkSession, "phrases"), window, slice_bytes)
@@ -242,27 +283,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict] = {}
-
-        def slice_of(file: str) -> dict[str, np.ndarray]:
-            if file not in held:
-                held.clear()
-                with np.load(io.BytesIO(read_file(file))) as got:
-                    held[file] = dict(got)
-            return held[file]
-
+        slices = Slices(files)
         for batch in batches:
-            hashes, at = word_hashes(batch.column(1))
             n = batch.num_rows
-            items: list[set[str]] = [set() for _ in range(n)]
-            edge = np.zeros(len(hashes) + 1, np.int64)
-            for file in files:
-                starts, ends, pairs = find_phrases(hashes, at, slice_of(file))
-                np.add.at(edge, starts, 1)
-                np.add.at(edge, ends, -1)
-                for d, found in pairs:
-                    items[d].update(found)
-            hit = np.cumsum(edge)[:-1] > 0
+            at, hit, items = slices.hits(batch.column(1))
             total = np.concatenate([np.zeros(1, np.int64), np.cumsum(hit)])
             n_hit = total[at[1:]] - total[at[:-1]]
             spans: list[list] = [[] for _ in range(n)]

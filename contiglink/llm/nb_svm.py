@@ -28,6 +28,7 @@ from .hashing import LOWER, SPACE, U, blocks, mix, runs_of, stretch_hashes, word
 BITS = 18
 MOST = 6000
 EPOCHS, COST, SMOOTH = 12, 1.0, 1.0
+THRESHOLD = 0.3
 CLASS = np.arange(256, dtype=np.uint8)
 CLASS[48:58], CLASS[65:91], CLASS[97:123], CLASS[128:] = ord("0"), ord("A"), ord("a"), ord("a")
 CLASS[SPACE] = 32
@@ -141,10 +142,14 @@ def logistic(margin: np.ndarray, labels: np.ndarray, share: float) -> tuple[floa
     return float(t[0]), float(t[1])
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", learn_from: DataFrame | None = None) -> DataFrame:
-    """id, held_out, score and predicted of each row. learn_from: the documents that the labels are of, docs by default."""
-    held = lambda c: F.crc32(F.col(c).cast("string")) % 5 == 0
-    known = labels.where(~held(id_col)).groupBy(id_col).agg(F.min(label_col).alias("q")).where("q in (0, 1)")
+def held_out(id_col: str):
+    """Rows whose labels are never learnt from."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[Model, np.ndarray]:
+    """The model and the log-count ratios, from at most `most` labelled rows that are not held out."""
+    known = labels.where(F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).alias("q")).where("q in (0, 1)")
     ones, total = known.agg(F.sum("q"), F.count("*")).first()
     share = ones / total if total else 0.5
     pick = [known.where(F.col("q") == q).orderBy(F.xxhash64(id_col), id_col).limit(most // 2) for q in (0, 1)]
@@ -155,19 +160,37 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col:
             out = [x.astype(np.int32).tobytes() for bounds, buckets in features(batch.column(1)) for x in np.split(buckets, bounds[1:-1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], ["id", "q", "buckets"])
 
-    source = (docs if learn_from is None else learn_from).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = source.join(F.broadcast(chosen), F.col("id") == F.col("pick_id")).select("id", "text", F.col("q").cast("int").alias("q"))  # at most `most` rows
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = source.join(F.broadcast(chosen), F.col("id") == F.col("pick_id")).select("id", "text", F.col("q").cast("int").alias("q"))  # at most `most` ids
     rows = sorted(sample.mapInArrow(grams, "id long, q int, buckets binary").collect(), key=lambda r: (r.id, bytes(r.buckets)))
     order = np.random.default_rng(3).permutation(len(rows))
-    model, ratio = fit([(np.frombuffer(rows[i].buckets, np.int32), rows[i].q) for i in order], share)
-    sent = docs.sparkSession.sparkContext.broadcast((model, ratio))  # of fixed size
+    return fit([(np.frombuffer(rows[i].buckets, np.int32), rows[i].q) for i in order], share)
+
+
+def scores_of(texts: pa.Array, model: Model, ratio: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(0), *(model.score(bounds, buckets, ratio) for bounds, buckets in features(texts))])
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """id, held_out, score and predicted of each row."""
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, most, id_col, text_col))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, ratio = sent.value
         for batch in batches:
-            scores = [model.score(bounds, buckets, ratio) for bounds, buckets in features(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores) if scores else np.zeros(0))], [id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores_of(batch.column(1), *sent.value))], [id_col, "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, score double")
-    return scored.select(id_col, F.coalesce(held(id_col), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, that score at least the threshold."""
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, most, id_col, text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            yield batch.filter(pa.array(scores_of(texts, *sent.value) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fm_index, minhash, nb_svm, quality_rules, sharding, token_files, url_filter, warc
+from . import bpe, fm_index, minhash, nb_svm, pii, quality_rules, sharding, token_files, url_filter, warc
 from .common import table
 
 
@@ -23,6 +23,11 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards_of(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op4_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.train(docs))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
