@@ -38,3 +38,39 @@ def connected_components(edges: DataFrame, src: str, dst: str, cut: Callable[[Da
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return nodes.join(e.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def order_graph_edges(events: DataFrame) -> DataFrame:
+    """donor_order, recipient_order and mean region length of order-level criterion-1 events with level flags."""
+    rows = events.where("oHGT").select(F.col("o_region").alias("donor_order"), F.col("o_contig").alias("recipient_order"), "region_len").distinct()
+    return rows.groupBy("donor_order", "recipient_order").agg(F.avg("region_len").alias("mean_region_len"))
+
+
+def graph_degrees(edges: DataFrame) -> DataFrame:
+    ends = edges.select(F.explode(F.array(F.struct(F.col("donor_order").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o")), F.struct(F.col("recipient_order").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o")))).alias("e"))
+    return ends.groupBy("e.node").agg(F.sum("e.i").alias("indegree"), F.sum("e.o").alias("outdegree"))
+
+
+def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """node, page_rank over distinct directed edges; nodes without edges out spread their rank evenly.
+
+    Rounds end when the ranks' total change is below the tolerance times the number of nodes; after the last
+    round without that it raises.
+    """
+    cut = cut or (lambda df: df.checkpoint())
+    e = cut(edges.select(F.col("donor_order").alias("src"), F.col("recipient_order").alias("dst")).distinct())
+    degree = e.groupBy("src").agg(F.count("*").alias("degree"))
+    nodes = e.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(degree.withColumnRenamed("src", "node"), "node", "left")
+    nodes = cut(nodes)
+    n = nodes.count()
+    ranks = nodes.withColumn("page_rank", F.lit(1.0) / max(n, 1))
+    for _ in range(rounds):
+        loose = ranks.where("degree is null").agg(F.sum("page_rank")).first()[0] or 0.0
+        given = ranks.where("degree is not null").join(e, F.col("node") == F.col("src")).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("page_rank") / F.col("degree")).alias("got"))
+        new = ranks.withColumnRenamed("page_rank", "was").join(given, "node", "left")
+        new = cut(new.withColumn("page_rank", damping * (F.coalesce("got", F.lit(0.0)) + F.lit(loose) / n) + (1 - damping) / n).drop("got"))
+        change = new.agg(F.sum(F.abs(F.col("page_rank") - F.col("was")))).first()[0] or 0.0
+        ranks = new.drop("was")
+        if change < n * tolerance:
+            return ranks.select("node", "page_rank")
+    raise RuntimeError(f"page ranks did not settle in {rounds} rounds")

@@ -1,9 +1,152 @@
-"""Registered queries."""
+"""Registered queries: every operator of the analysis on the relations derived from the test tables."""
 
+from __future__ import annotations
 
-def queries() -> dict:
-    return {}
+from collections.abc import Callable
+from functools import cached_property
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def oracle_sql() -> dict:
-    return {}
+from ..config import LEVELS, RANKS, Config
+from ..functions.names import clean_region_name, orf_id, ranks_of
+from ..operators import annotate, clustering, events, graph, overlaps, regions, reports
+from ..sources import tables
+from .fixtures import with_fixtures
+from .oracle import oracle_sql  # noqa: F401  (part of this module's interface)
+
+#: 0.3 puts rows on both sides of the duplicate threshold in the test tables.
+CONFIG = Config(max_overlap=0.3)
+
+
+class Relations:
+    """The analysis step by step; a step that several queries share is persisted (memory, then disk)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, config: Config = CONFIG):
+        self.spark, self.config, self.sf_dir = spark, config, sf_dir
+        self.fixtures = with_fixtures(lambda n: f"parquet.`{sf_dir}/{n}.parquet`")
+
+    def fixture(self, name: str) -> DataFrame:
+        return self.spark.sql(f"with {self.fixtures} select * from {name}")
+
+    clusters = cached_property(lambda self: self.fixture("fx_clusters").persist())
+    coords = cached_property(lambda self: self.fixture("fx_coords").select("orf", F.col("start_bp").alias("start"), F.col("end_bp").alias("end"), "strand", "metadata").persist())
+    fai = cached_property(lambda self: self.fixture("fx_fai").persist())
+    contig_taxonomy = cached_property(lambda self: tables.with_ranks(self.fixture("fx_contig_taxonomy")).persist())
+    hits = cached_property(lambda self: self.fixture("fx_hits"))
+    orfs = cached_property(lambda self: overlaps.parse_orfs(self.clusters))
+    passing = cached_property(lambda self: overlaps.passing_orfs(self.orfs, self.config.minimum_orfs))
+    pairs = cached_property(lambda self: overlaps.pair_overlaps(self.passing).persist())
+    dedup = cached_property(lambda self: overlaps.dedup_overlaps(self.pairs, self.config.max_overlap))
+    redundant = cached_property(lambda self: overlaps.redundant_overlaps(self.pairs, self.config.max_overlap))
+    status = cached_property(lambda self: overlaps.overlap_status(self.pairs, self.config.max_overlap))
+    contig_clusters = cached_property(lambda self: clustering.contig_clusters(self.redundant).persist())
+    orf_coords = cached_property(lambda self: overlaps.overlap_orf_coords(self.dedup, self.coords, self.fai))
+    bed = cached_property(lambda self: overlaps.potential_hgts_bed(self.orf_coords))
+    merged = cached_property(lambda self: regions.merge_intervals(self.bed, self.config.merge_distance))
+    metadata = cached_property(lambda self: regions.region_metadata(self.merged, self.fai, self.config.edge_padding).persist())
+    region_overlaps = cached_property(lambda self: regions.region_overlaps(self.metadata, self.dedup).persist())
+
+    @cached_property
+    def region_taxonomy(self) -> DataFrame:
+        """A region's lineage is that of the smallest contig among its partners."""
+        partner = self.region_overlaps.groupBy(F.col("region_idx_contig1").alias("region_idx")).agg(F.min("contig2").alias("contig"))
+        named = self.metadata.select("region_idx", F.concat("region_title", F.lit("::"), "contig", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("stop").cast("string")).alias("region"))
+        return partner.join(self.contig_taxonomy, "contig").join(named, "region_idx").select(clean_region_name(F.col("region")).alias("region"), *events.TAXON_COLUMNS)
+
+    criteria1 = cached_property(lambda self: events.criteria1_input(self.metadata, self.region_taxonomy, self.contig_taxonomy, self.config).persist())
+    criteria2 = cached_property(lambda self: events.criteria2_input(self.region_overlaps, self.contig_taxonomy, self.config).persist())
+    levels1 = cached_property(lambda self: events.with_levels(self.criteria1, "region", "contig"))
+    levels2 = cached_property(lambda self: events.with_levels(self.criteria2, "contig1", "contig2"))
+    donors = cached_property(lambda self: events.donor_recipient(self.levels1, self.criteria2).persist())
+    all_hgt2 = cached_property(lambda self: events.all_levels(self.levels2))
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """A checkpoint in the cluster's folder; persisting cuts no lineage but is enough for one machine without such a folder."""
+        if self.spark.sparkContext.getCheckpointDir() is None:
+            if not self.spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            import tempfile
+
+            self.spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        return df.checkpoint()
+
+    components = cached_property(lambda self: self.cut(reports.hgt_components(self.all_hgt2, self.cut)))
+    groups = cached_property(lambda self: reports.hgt_groups(self.components, self.metadata, self.contig_taxonomy))
+    order_edges = cached_property(lambda self: graph.order_graph_edges(self.levels1))
+
+
+_relations: dict[tuple[str, str], Relations] = {}
+
+
+def relations(spark: SparkSession, sf_dir: str) -> Relations:
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _relations:
+        _relations[key] = Relations(spark, sf_dir)
+    return _relations[key]
+
+
+def _level_view(df: DataFrame, a: str, b: str, names: list[str]) -> DataFrame:
+    return events.level_rows(df).select(*names, *(f"{r}_{s}" for s in (a, b) for r in RANKS), "hgt_level")
+
+
+def _hits(r: Relations, which: str) -> DataFrame:
+    return annotate.best_hits(r.hits, *getattr(r.config, which))
+
+
+#: name -> relation of the analysis
+VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
+    "scan_clusters": lambda r: r.clusters,
+    "scan_coords": lambda r: r.coords,
+    "scan_fai": lambda r: r.fai,
+    "orf_parse": lambda r: r.orfs,
+    "orf_id_build": lambda r: r.orfs.select(orf_id(F.col("contig"), F.col("orf_n")).alias("orf")),
+    "cluster_rep_members": lambda r: clustering.cluster_rep_members(r.clusters),
+    "contig_orf_counts": lambda r: overlaps.contig_orf_counts(r.orfs, r.config.minimum_orfs),
+    "allvall": lambda r: overlaps.all_pairs(r.passing).select("cluster_rep", "contig1", "contig2", "orf_n1", "orf_n2"),
+    "pair_overlaps": lambda r: r.pairs,
+    "dedup_overlaps": lambda r: r.dedup,
+    "redundant_overlaps": lambda r: r.redundant,
+    "overlap_status": lambda r: r.status,
+    "overlap_accounting": lambda r: overlaps.overlap_accounting(r.orfs, r.passing, r.status),
+    "contig_clusters": lambda r: r.contig_clusters,
+    "cluster_accounting": lambda r: clustering.cluster_accounting(r.redundant, r.contig_clusters),
+    "overlap_orf_coords": lambda r: r.orf_coords,
+    "potential_hgts_bed": lambda r: r.bed,
+    "merge_intervals": lambda r: r.merged,
+    "region_metadata": lambda r: r.metadata,
+    "region_orfs": lambda r: regions.region_orfs(r.metadata),
+    "region_overlaps": lambda r: r.region_overlaps,
+    "filter_reciprocals": lambda r: regions.filter_reciprocals(r.region_overlaps),
+    "region_slop": lambda r: regions.region_slop(r.metadata, r.config.slop),
+    "extract_regions": lambda r: regions.extract_regions(r.fixture("fx_cuts"), r.fixture("fx_fasta")),
+    "fasta_index": lambda r: tables.fasta_index(r.fixture("fx_fasta")),
+    "orf_header_parse": lambda r: tables.parse_orf_headers(r.fixture("fx_headers")),
+    "parse_lineage": lambda r: r.fixture("fx_contig_taxonomy").select("contig", *(c.alias(n) for n, c in ranks_of(F.col("lineage")).items())),
+    "region_name_clean": lambda r: r.metadata.select("region_idx", clean_region_name(F.concat("region_title", F.lit("::"), "contig", F.lit(":"), F.col("start").cast("string"))).alias("region")),
+    "criteria1_input": lambda r: r.criteria1,
+    "criteria2_input": lambda r: r.criteria2,
+    "hgt1_levels": lambda r: _level_view(r.levels1, "region", "contig", ["region_idx", "contig"]),
+    "hgt2_levels": lambda r: _level_view(r.levels2, "contig1", "contig2", ["orf_region1", "orf_region2"]),
+    "hgt1_level_counts": lambda r: events.level_counts(r.levels1),
+    "hgt2_level_counts": lambda r: events.level_counts(r.levels2),
+    "all_hgt1": lambda r: events.all_levels(r.levels1),
+    "all_hgt2": lambda r: r.all_hgt2,
+    "donor_recipient": lambda r: r.donors,
+    "donor_level_counts": lambda r: events.donor_level_counts(r.donors),
+    "all_donor_recipient": lambda r: events.all_donor_recipient(r.donors),
+    "hgt_components": lambda r: r.components,
+    "hgt_groups": lambda r: r.groups,
+    "group_report": lambda r: reports.group_report(r.groups),
+    "order_graph_edges": lambda r: r.order_edges,
+    "graph_degrees": lambda r: graph.graph_degrees(r.order_edges),
+    "order_graph_pagerank": lambda r: graph.pagerank(r.order_edges, cut=r.cut),
+    "annot_ripdb": lambda r: _hits(r, "rip"),
+    "annot_card": lambda r: _hits(r, "arg"),
+    "annot_mobileog": lambda r: _hits(r, "mge"),
+}
+assert len(LEVELS) == len(RANKS)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: (lambda spark, sf_dir, view=view: view(relations(spark, sf_dir))) for name, view in VIEWS.items()}
