@@ -13,9 +13,11 @@ gives no file and an empty result.
 
 from __future__ import annotations
 
+import functools
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,11 +133,13 @@ class TokenFile:
         return self.flat[a:b]
 
 
+@functools.lru_cache(1)
 def library_encoder(vocabulary: str):
-    """text -> ids as little-endian 32-bit integers, by the tokenizers library.
+    """text -> ids as little-endian 32-bit integers, by the tokenizers library, and the number of ids.
 
     The vocabulary's split pattern never crosses white space, so the library encodes each stretch without white
-    space once per task and a text's ids are those of its stretches in a row.
+    space once, a bounded table keeps the results for all tasks of the worker, and a text's ids are those of its
+    stretches in a row.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -143,22 +147,14 @@ def library_encoder(vocabulary: str):
     t = Tokenizer.from_file(vocabulary)
     t.no_truncation()
     t.no_padding()
-    size = t.get_vocab_size(with_added_tokens=True)
-    known = Known(None)
+    known = Known(lambda s: array("I", t.encode(s, add_special_tokens=False).ids).tobytes())
 
     def encode(text: str | None) -> bytes:
         if not text:
             return b""
-        stretches = WHITE.split(text) if ODD.search(text) else text.split()
-        missing = [s for s in dict.fromkeys(stretches) if s not in known]
-        if len(known) + len(missing) > 300_000:
-            known.clear()
-            missing = list(dict.fromkeys(stretches))
-        for s, e in zip(missing, t.encode_batch_fast(missing, add_special_tokens=False)):
-            known[s] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, stretches))
+        return b"".join(map(known.__getitem__, WHITE.split(text) if ODD.search(text) else text.split()))
 
-    return encode, size
+    return encode, t.get_vocab_size(with_added_tokens=True)
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
@@ -210,7 +206,7 @@ def read_token_files(manifest: DataFrame, ids: bool = False, id_col: str = "doc_
                 cols = [[None] * got.nulls + (got.names.all() + got.least).tolist(), base + ends[:-1], np.diff(ends), [zlib.crc32(x) for x in flat]] + [[x.astype(np.int32) for x in flat]] * ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], [n for n, _ in fields])
 
-    return based.select("file", "base").repartition(F.col("file")).mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids)
+    return based.select("file", "base").repartition(max(1, manifest.count()), "file").mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids)
 
 
 def token_files(docs: DataFrame, vocabulary: str, end_id: int = 1, **names) -> DataFrame:
