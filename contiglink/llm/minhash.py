@@ -7,15 +7,17 @@ least value, and rounds end when all bins are full, which they are after 2t roun
 `rows` neighbouring bins are hashed to keys.
 
 1. Documents with equal sets (128-bit fingerprint) collapse to the smallest id.
-2. In every band bucket each member is paired with one pivot, the member with the least hash; pairs are verified on
-   full sets read from the texts, and links are closed into components. Pairs grow with the members, not their square.
+2. In every band bucket each member is paired with one pivot, the smallest id; pairs are verified on full sets read
+   from the texts, and links are closed into components. Pairs grow with the members, not their square.
 3. Members of a bucket that still lie in different components may be linked without either being linked to the
-   pivot. For all documents of such buckets an exact prefix join follows: shingles are ordered rarest first, and two
-   sets of similarity 0.8 share one of their rarest fifth. Only shingles that meet in two components are joined,
-   each against the documents outside its most frequent component. These pairs are verified likewise.
+   pivot. For all documents of such buckets an exact prefix join follows: shingles are ordered by the number of
+   documents that hold them, those of one component alone first, as they can't be shared with another. Two sets of
+   similarity 0.8 share one of their first fifth, and what follows it must still suffice for their sizes. Only
+   shingles that meet in two components are joined, and none of the pairs within a shingle's most frequent component
+   is made. The pairs are verified likewise.
 
-So no link between documents that meet in a bucket is lost, and no group's pairs are all emitted. With 8 rows and
-64 bands a pair at similarity 0.8 meets in no bucket with probability 8e-6; links also close transitively.
+So no link between documents that meet in a bucket is lost, and no group's pairs are all emitted. With 6 rows and
+40 bands a pair at similarity 0.8 meets in no bucket with probability 5e-6; links also close transitively.
 
 Null and empty texts (or white space alone) have an empty set and are linked with nothing. Rows with the same id
 are one document, with all links of its rows. A null id stays alone: component null, kept. An empty table gives an
@@ -36,9 +38,9 @@ from .components import components
 from .hashing import LOWER, U, blocks, mix, runs_of, stretch_hashes, words
 
 SHINGLE = 4
-ROWS, BANDS = 8, 64
+ROWS, BANDS = 6, 40
 PERCENT = 80
-SEEDS = mix(np.arange(1, 2 * ROWS * BANDS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
+SEEDS = mix(np.arange(1, 4097, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -68,7 +70,7 @@ def sketches(bounds: np.ndarray, hashes: np.ndarray, t: int) -> np.ndarray:
     out = np.full(n * t, top, U)
     live_sets = size > 0
     for i in range(2 * t):
-        rehashed = mix(hashes ^ SEEDS[i % len(SEEDS)] if i < len(SEEDS) else hashes + U(i))
+        rehashed = mix(hashes ^ SEEDS[i])
         bins = (rehashed & U(0xFFFFFF)) % U(t) if i < t else np.full(len(hashes), i - t, U)
         # (round, hash): 12 bits of round suffice for t up to 2048
         np.minimum.at(out, owner * t + bins.astype(np.int64), U(i) << U(52) | rehashed >> U(12))
@@ -108,9 +110,8 @@ def fingerprints(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataF
     return docs.mapInArrow(run, "id long, n_shingles long, f1 long, f2 long, bands array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity. docs has id and text, one row an id."""
-    texts = docs.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) whose full sets have the similarity."""
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,21 +156,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     filled = prints.where("id is not null and n_shingles > 0")
     # one representative of equal sets; a repeated id may stand in several
     reps = filled.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("rep"))
-    member = filled.select("id", "f1", "f2", "n_shingles").join(reps, ["f1", "f2", "n_shingles"]).select("id", "rep").distinct()
-    member = staged(member, "members")
-    heads = staged(filled.join(member.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "n_shingles", F.posexplode("bands").alias("band", "key")).distinct(), "bands")
-
-    hashed = F.struct(F.xxhash64("id", "key").alias("h"), F.col("id").alias("pivot"), F.col("n_shingles").alias("nb"))
-    pivots = heads.groupBy("band", "key").agg(F.min(hashed).alias("p"), F.count("*").alias("n")).where("n > 1").select("band", "key", "p.pivot", "p.nb")
-    stars = heads.join(pivots, ["band", "key"]).withColumn("na", F.col("n_shingles")).where((F.col("id") != F.col("pivot")) & _near_sizes(percent))
-    stars = stars.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    sources = _one_row_an_id(named)
-    links = staged(verified(staged(stars, "stars"), sources, percent), "links")
+    member = staged(filled.select("id", "f1", "f2", "n_shingles").join(reps, ["f1", "f2", "n_shingles"]).select("id", "rep").distinct(), "members")
+    heads = filled.join(member.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "n_shingles", F.explode("bands").alias("key"))
+    pivots = heads.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").drop("last")
+    # members of buckets that hold more than one document
+    met = staged(heads.join(pivots, "key"), "buckets")
+    sizes = met.select("id", "n_shingles").distinct()
+    texts = staged(named.where("id is not null").join(sizes.select("id").distinct(), "id", "left_semi"), "near-texts")
+
+    stars = met.where("id != pivot").groupBy("pivot", "id").agg(F.min("n_shingles").alias("nb"))
+    stars = stars.join(sizes.select(F.col("id").alias("pivot"), F.col("n_shingles").alias("na")), "pivot").where(_near_sizes(percent))
+    links = staged(verified(stars.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), texts, percent), "links")
     # rows of one id in several classes tie these together
     same_id = member.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     first = components(links.unionByName(same_id))
 
-    rest = _across(heads, first, sources, percent)
+    rest = _across(met, first, texts, percent)
     second = components(rest.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
     final = first.join(second.select(F.col("node").alias("component"), F.col("component").alias("c2")), "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
@@ -179,27 +181,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), "n_shingles", whole.alias("component_id"), F.coalesce(F.col("id") == whole, F.lit(True)).alias("kept"))
 
 
-def _one_row_an_id(named: DataFrame) -> DataFrame:
-    return named.where("id is not null")
-
-
-def _across(heads: DataFrame, labels: DataFrame, sources: DataFrame, percent: int) -> DataFrame:
+def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links between documents of different components that meet in a bucket: a, b, ca, cb."""
-    lab = heads.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-    split = lab.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band", "key")
-    open_ids = staged(lab.join(split, ["band", "key"], "left_semi").select("id", "n_shingles", "c").distinct(), "open")
-    texts = sources.join(open_ids.select("id").distinct(), "id", "left_semi")
-    sets = staged(shingles_of(texts).distinct().join(open_ids, "id"), "open-shingles")
+    lab = met.select("key", "id", "n_shingles").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
+    split = lab.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    open_ids = staged(lab.join(split, "key", "left_semi").select("id", "n_shingles", "c").distinct(), "open")
+    sets = staged(shingles_of(texts.join(open_ids.select("id").distinct(), "id", "left_semi")).distinct().join(open_ids, "id"), "open-shingles")
+    # a shingle of one component only can't be shared with another: such come first in the order
     freq = sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    order = Window.partitionBy("id").orderBy("df", "s")
-    ranked = sets.join(freq, "s").withColumn("r", F.row_number().over(order))
+    freq = freq.select("s", F.when(F.col("lo") < F.col("hi"), F.col("df")).otherwise(0).alias("df"))
+    ranked = sets.join(freq, "s").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("df", "s")))
     # an overlap of `percent` of the own set leaves so many places before it must show
-    prefix = ranked.where((100 * (F.col("r") - 1) <= (100 - percent) * F.col("n_shingles")) & (F.col("lo") < F.col("hi"))).select("s", "id", "c", F.col("n_shingles").alias("n"))
-    prefix = staged(prefix, "prefixes")
+    prefix = ranked.where((100 * (F.col("r") - 1) <= (100 - percent) * F.col("n_shingles")) & (F.col("df") > 0))
+    prefix = staged(prefix.select("s", "id", "c", "r", F.col("n_shingles").alias("n")), "prefixes")
     big = prefix.groupBy("s", "c").count().groupBy("s").agg(F.max(F.struct(F.col("count"), F.col("c"))).alias("m"), F.count("*").alias("cs")).where("cs > 1").select("s", F.col("m.c").alias("major"))
     marked = prefix.join(big, "s")
-    few = marked.where("c != major").select("s", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    many = marked.select("s", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-    pairs = few.join(many, "s").where((F.col("ca") != F.col("cb")) & _near_sizes(percent)).select("a", "b", "ca", "cb").distinct()
+    side = lambda k: ["s", *(F.col(x).alias(f"{y}{k}") for x, y in (("id", ""), ("c", "c"), ("r", "r"), ("n", "n")))]
+    few, many = marked.where("c != major").select(side("a")), marked.select(side("b"))
+    # what the sets can still share from their first common shingle on
+    enough = (100 + percent) * (1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))) >= percent * (F.col("na") + F.col("nb"))
+    pairs = few.join(many, "s").where((F.col("ca") != F.col("cb")) & enough & _near_sizes(percent)).select("a", "b", "ca", "cb").distinct()
     pairs = staged(pairs, "open-pairs")
-    return staged(pairs.join(verified(pairs.select("a", "b").distinct(), sources, percent), ["a", "b"]), "open-links")
+    return staged(pairs.join(verified(pairs.select("a", "b").distinct(), texts, percent), ["a", "b"]), "open-links")
