@@ -34,10 +34,11 @@ WINDOW, STEP, MARGIN = 64, 32, 20
 MOST = 1500
 SURE = 0.98
 EMBED, HIDDEN, EPOCHS, BATCH, RATE = 12, 16, 10, 50, 0.01
+STEPS = 300  # at least so many, however few windows there are
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # matches at every digit, so long digit runs take linear time
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -329,7 +330,7 @@ def train(docs: DataFrame, most: int = MOST, text_col: str = "text") -> Tagger |
         return None
     x, y = (np.stack([np.frombuffer(bytes(r[k]), np.uint8) for r in rows]).astype(np.int64) for k in (0, 1))
     tagger = Tagger()
-    tagger.fit(x, y)
+    tagger.fit(x, y, max(EPOCHS, -(-STEPS // -(-len(x) // BATCH))))
     return tagger
 
 
