@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     yield s
     s.stop()
 
