@@ -42,7 +42,7 @@ class Relations:
     status = cached_property(lambda self: overlaps.overlap_status(self.pairs, self.config.max_overlap))
     contig_clusters = cached_property(lambda self: clustering.contig_clusters(self.redundant).persist())
     orf_coords = cached_property(lambda self: overlaps.overlap_orf_coords(self.dedup, self.coords, self.fai))
-    bed = cached_property(lambda self: overlaps.potential_hgts_bed(self.orf_coords))
+    bed = cached_property(lambda self: overlaps.potential_hgts_bed(self.orf_coords).persist())
     merged = cached_property(lambda self: regions.merge_intervals(self.bed, self.config.merge_distance))
     metadata = cached_property(lambda self: regions.region_metadata(self.merged, self.fai, self.config.edge_padding).persist())
     region_overlaps = cached_property(lambda self: regions.region_overlaps(self.metadata, self.dedup).persist())
@@ -62,7 +62,7 @@ class Relations:
     all_hgt2 = cached_property(lambda self: events.all_levels(self.levels2))
 
     def cut(self, df: DataFrame) -> DataFrame:
-        """A checkpoint in the cluster's folder; persisting cuts no lineage but is enough for one machine without such a folder."""
+        """A checkpoint in the cluster's folder; a local run without one gets a temporary folder."""
         if self.spark.sparkContext.getCheckpointDir() is None:
             if not self.spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
