@@ -3,8 +3,8 @@
 A word is held as part boundaries and the ranks of adjacent parts. The least rank is found by a scan, its
 boundary is deleted and the two neighbouring ranks are looked up anew, until no pair has a rank. Words of more
 than SHORT parts keep the same rule with a heap instead of the scan, so that a text without white space does not
-take quadratic time. A text is cut at white space, which no token crosses, and each worker keeps the encodings
-of the pieces it has met in a bounded table, so that most words cost one lookup.
+take quadratic time. A text is cut at white space, which no token crosses, and each task keeps the encodings of
+the pieces it has met in a bounded table, so that most words cost one lookup.
 
 Null texts count as empty: no ids, and the decoded text is empty. Columns other than the id and the text are not
 read, so clashing names do no harm; repeated rows give repeated results.
@@ -12,7 +12,6 @@ read, so clashing names do no harm; repeated rows give repeated results.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import heapq
 import json
@@ -25,8 +24,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import slices
+
 SHORT = 48
-KEEP = 400_000  # entries of a table, twice
+KEEP = 200_000  # entries of a table, twice
 WHITE = regex.compile(r"\p{White_Space}+")
 END = "</w>"
 
@@ -39,17 +40,17 @@ def byte_alphabet() -> list[str]:
 
 
 class Known(dict):
-    """A table that works out missing entries. When it holds KEEP it becomes the old one, whose entries come back on use."""
+    """A table that works out missing entries. When it holds `keep` it becomes the old one, whose entries come back on use."""
 
-    def __init__(self, make):
+    def __init__(self, make, keep: int = KEEP):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.keep, self.old = make, keep, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= KEEP:
+        if len(self) >= self.keep:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -159,20 +160,14 @@ UNSURE = regex.compile(r"[^\u0000-\u024F\u0370-\u0377\u0384-\u0527\u3040-\u3096\
 ODD = regex.compile("[\x1c-\x1f]")
 
 
-@functools.lru_cache(1)
-def encoder(path: str) -> WordBpe:
-    """The worker's encoder; its tables serve all tasks that the worker runs."""
-    return WordBpe(path)
-
-
 def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, decoded: bool = False, digests: bool = False) -> DataFrame:
     """Each row's text encoded: id_col, n_tokens and as asked ids (array<int>), decoded text, and digests of both."""
     fields = [("n_tokens", pa.int64())] + [("ids", pa.list_(pa.int32()))] * ids + [("decoded", pa.string())] * decoded + [("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] * digests
     names = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(vocabulary)
-        for batch in batches:
+        bpe = WordBpe(vocabulary)  # its tables go with the task
+        for batch in (s for b in batches for s in slices(b, 1)):
             out: dict[str, list] = {n: [] for n, _ in fields}
             for text in batch.column(1):
                 got = bpe.encode(text.as_py())

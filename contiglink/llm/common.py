@@ -9,7 +9,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows in an Arrow batch: texts are long, and a batch is held several times over on its way to Python and back.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; the session's Arrow batches are made small."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,7 +2,7 @@
 
 Words (ASCII letters lowered; maximal stretches of ASCII letters and digits and of all characters from U+0080) are
 hashed to 64 bits. A benchmark item's phrases are its windows of 10 consecutive words, or the item itself if it is
-shorter. A shard is one Arrow batch of documents. Since a phrase holds benchmark words only, a shard is indexed
+shorter. A shard is a few megabytes of documents. Since a phrase holds benchmark words only, a shard is indexed
 over its stretches of benchmark words that are as long as the shortest phrase; all else is a separator. Its suffix
 array gives the Burrows-Wheeler transform, kept as a wavelet matrix. All phrases search backward together, one
 word a step; occurrences are located by walking to a sampled suffix position, and overlapping ones merge into
@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh_path, read_file, write_file
-from .hashing import LOWER, U, blocks, stretch_hashes, words
+from .hashing import LOWER, U, blocks, slices as shards, stretch_hashes, words
 
 WINDOW = 10
 SAMPLE = 16
+SHARD_BYTES = 8 << 20
 SLICE_BYTES = 8 << 20  # of benchmark text
 LETTERS = np.zeros(256, bool)
 LETTERS[48:58] = LETTERS[97:123] = LETTERS[128:] = True
@@ -268,7 +269,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices = Slices(files)
-        for batch in batches:
+        for batch in (s for b in batches for s in shards(b, b.schema.get_field_index(text_col), SHARD_BYTES)):
             at, hit, _ = slices.hits(batch.column(batch.schema.get_field_index(text_col)))
             total = np.concatenate([np.zeros(1, np.int64), np.cumsum(hit)])
             yield batch.filter(pa.array(total[at[1:]] == total[at[:-1]]))
@@ -284,7 +285,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices = Slices(files)
-        for batch in batches:
+        for batch in (s for b in batches for s in shards(b, 1, SHARD_BYTES)):
             n = batch.num_rows
             at, hit, items = slices.hits(batch.column(1))
             total = np.concatenate([np.zeros(1, np.int64), np.cumsum(hit)])

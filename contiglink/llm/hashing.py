@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 BACK = U(pow(int(BASE), -1, 1 << 64))
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 #: ASCII white space: space and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
@@ -63,6 +63,16 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, np.n
         first = last
 
 
+def slices(batch: pa.RecordBatch, text_col: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about `most` bytes of text; a longer text is a piece of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + most, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def words(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the maximal stretches of bytes for which `inside` holds, cut at texts; first word of each text."""
     m = np.zeros(len(buf) + 2, bool)

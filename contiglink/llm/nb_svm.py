@@ -37,7 +37,7 @@ CLASS[SPACE] = 32
 def features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(bounds, buckets) for blocks of texts in order: text i has the distinct buckets bounds[i] to bounds[i + 1]."""
     mask = U((1 << BITS) - 1)
-    for _, buf, offsets in blocks(texts):
+    for _, buf, offsets in blocks(texts, 1 << 18):
         n = len(offsets) - 1
         low = LOWER[buf]
         s, e, at = words(low, offsets)

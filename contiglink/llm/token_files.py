@@ -147,7 +147,7 @@ def library_encoder(vocabulary: str):
     t = Tokenizer.from_file(vocabulary)
     t.no_truncation()
     t.no_padding()
-    known = Known(lambda s: array("I", t.encode(s, add_special_tokens=False).ids).tobytes())
+    known = Known(lambda s: array("I", t.encode(s, add_special_tokens=False).ids).tobytes(), 400_000)
 
     def encode(text: str | None) -> bytes:
         if not text:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contiglink.llm import bpe, fm_index, minhash, nb_svm, pii
-from contiglink.llm.common import staged, table
+from contiglink.llm.common import small_batches, staged, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     copies = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
@@ -31,10 +32,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pii.redact_column(docs, pii.train(docs)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
