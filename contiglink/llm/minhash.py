@@ -1,7 +1,7 @@
 """Near-duplicate documents by fast similarity sketching, banding and exact verification.
 
-A document's set holds its distinct 4-word shingles (ASCII letters lowered, words cut at ASCII white space; with
-fewer words, the whole sequence). The sketch of Dahlgaard, Knudsen and Thorup (2017) has t bins: in round i < t
+A document's set holds its distinct shingles of `shingle` words (ASCII letters lowered, words cut at ASCII white
+space; with fewer words, the whole sequence): 4 in op8_minhash, 5 in the pipeline's stage. The sketch of Dahlgaard, Knudsen and Thorup (2017) has t bins: in round i < t
 every element is placed into one hashed bin with the value (i, hash), in round t + j into bin j; a bin keeps its
 least value, and rounds end when all bins are full, which they are after 2t rounds whatever the set. Bands of
 `rows` neighbouring bins are hashed to keys.
@@ -43,7 +43,7 @@ PERCENT = 80
 SEEDS = mix(np.arange(1, 4097, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
-def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bounds, hashes): row first + i has the sorted distinct shingle hashes bounds[i] to bounds[i + 1]."""
     for first, buf, offsets in blocks(texts):
         buf = LOWER[buf]
@@ -91,12 +91,12 @@ def band_keys(sketch: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return mix(out + np.arange(bands, dtype=U))
 
 
-def fingerprints(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+def fingerprints(docs: DataFrame, rows: int = ROWS, bands: int = BANDS, shingle: int = SHINGLE) -> DataFrame:
     """id, n_shingles, f1 and f2 (equal for equal sets), and the band keys, of each row; docs has id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, bounds, hashes in shingle_sets(batch.column(1)):
+            for first, bounds, hashes in shingle_sets(batch.column(1), shingle):
                 n = len(bounds) - 1
                 size = np.diff(bounds)
                 sums = np.zeros((2, n), U)
@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataF
     return docs.mapInArrow(run, "id long, n_shingles long, f1 long, f2 long, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose full sets have the similarity."""
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -119,7 +119,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
             sets: list[list[np.ndarray]] = []
             for col in (2, 3):
                 own: list[np.ndarray] = []
-                for _, bounds, hashes in shingle_sets(batch.column(col)):
+                for _, bounds, hashes in shingle_sets(batch.column(col), shingle):
                     own += np.split(hashes, bounds[1:-1])
                 sets.append(own)
             keep = []
@@ -132,13 +132,13 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def shingles_of(docs: DataFrame) -> DataFrame:
+def shingles_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """id, s: the shingles of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, bounds, hashes in shingle_sets(batch.column(1)):
+            for first, bounds, hashes in shingle_sets(batch.column(1), shingle):
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[first : first + len(bounds) - 1], np.diff(bounds))), pa.array(hashes.view(np.int64))], ["id", "s"])
 
     return docs.mapInArrow(run, "id long, s long")
@@ -149,10 +149,10 @@ def _near_sizes(percent: int):
     return (100 * F.least("na", "nb")) >= (percent * F.greatest("na", "nb"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, bands: int = BANDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, bands: int = BANDS, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """id, n_shingles, component_id (the smallest id reachable) and kept of each row."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    prints = staged(fingerprints(named, rows, bands), "sketches")
+    prints = staged(fingerprints(named, rows, bands, shingle), "sketches")
     filled = prints.where("id is not null and n_shingles > 0")
     # one representative of equal sets; a repeated id may stand in several
     reps = filled.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("rep"))
@@ -166,12 +166,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     stars = met.where("id != pivot").groupBy("pivot", "id").agg(F.min("n_shingles").alias("nb"))
     stars = stars.join(sizes.select(F.col("id").alias("pivot"), F.col("n_shingles").alias("na")), "pivot").where(_near_sizes(percent))
-    links = staged(verified(stars.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), texts, percent), "links")
+    links = staged(verified(stars.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), texts, percent, shingle), "links")
     # rows of one id in several classes tie these together
     same_id = member.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     first = components(links.unionByName(same_id))
 
-    rest = _across(met, first, texts, percent)
+    rest = _across(met, first, texts, percent, shingle)
     second = components(rest.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
     final = first.join(second.select(F.col("node").alias("component"), F.col("component").alias("c2")), "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
@@ -181,12 +181,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), "n_shingles", whole.alias("component_id"), F.coalesce(F.col("id") == whole, F.lit(True)).alias("kept"))
 
 
-def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
     """Links between documents of different components that meet in a bucket: a, b, ca, cb."""
     lab = met.select("key", "id", "n_shingles").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
     split = lab.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     open_ids = staged(lab.join(split, "key", "left_semi").select("id", "n_shingles", "c").distinct(), "open")
-    sets = staged(shingles_of(texts.join(open_ids.select("id").distinct(), "id", "left_semi")).distinct().join(open_ids, "id"), "open-shingles")
+    sets = staged(shingles_of(texts.join(open_ids.select("id").distinct(), "id", "left_semi"), shingle).distinct().join(open_ids, "id"), "open-shingles")
     # a shingle of one component only can't be shared with another: such come first in the order
     freq = sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     freq = freq.select("s", F.when(F.col("lo") < F.col("hi"), F.col("df")).otherwise(0).alias("df"))
@@ -202,4 +202,4 @@ def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -
     enough = (100 + percent) * (1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))) >= percent * (F.col("na") + F.col("nb"))
     pairs = few.join(many, "s").where((F.col("ca") != F.col("cb")) & enough & _near_sizes(percent)).select("a", "b", "ca", "cb").distinct()
     pairs = staged(pairs, "open-pairs")
-    return staged(pairs.join(verified(pairs.select("a", "b").distinct(), texts, percent), ["a", "b"]), "open-links")
+    return staged(pairs.join(verified(pairs.select("a", "b").distinct(), texts, percent, shingle), ["a", "b"]), "open-links")

@@ -41,7 +41,7 @@ def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
 def op9_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:

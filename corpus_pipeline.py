@@ -1,6 +1,6 @@
 """A training-data pipeline over `documents`: five stages, each written as Parquet and read again.
 
-quality (NB-SVM; rejected documents go) -> near_dedup (one document of each group stays) -> decontamination
+quality (NB-SVM; rejected documents go) -> near_dedup (one document of each group by 5-word shingles stays) -> decontamination
 (documents with a benchmark passage go) -> pii (spans are replaced by their kind's name, n_chars follows) ->
 tokens (BPE ids of each text, with digests of the ids and of the decoded text).
 
@@ -17,13 +17,17 @@ from contiglink.llm import bpe, fm_index, minhash, nb_svm, pii
 from contiglink.llm.common import small_batches, staged, table
 
 
+#: words a shingle of the near_dedup stage (op8_minhash has 4)
+SHINGLE = 5
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return nb_svm.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    copies = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    copies = minhash.near_duplicates(docs, shingle=SHINGLE).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
 

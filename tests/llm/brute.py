@@ -22,17 +22,17 @@ def rule_counts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit), failed
 
 
-def shingles(text):
+def shingles(text, k=4):
     w = WORD.findall((text or "").translate(LOW))
-    return {tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set()
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
 
 
-def near(rows, percent=80):
+def near(rows, percent=80, k=4):
     """{id: component} by all pairs."""
     sets = collections.defaultdict(list)
     for i, t in rows:
         if i is not None:
-            sets[i].append(shingles(t))
+            sets[i].append(shingles(t, k))
     up = {i: i for i in sets}
 
     def root(i):
