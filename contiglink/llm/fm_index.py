@@ -10,7 +10,8 @@ removal spans.
 
 The benchmark is written to the shared folder in slices of bounded size, and a task takes one slice at a time, so
 nothing that grows is broadcast. Work on documents needs no shuffle at all. Null texts and texts without words have
-no words and no hits. Items without words have no phrases; repeated items or ids count once. Repeated documents
+no words and no hits. Items without words have no phrases; repeated items or ids count once. Items with a null id are
+searched like all others: their hits count, but no item is named for them (n_items). Repeated documents
 give repeated rows; empty tables give empty or hit-free results. Only ids and texts are read.
 """
 
@@ -159,7 +160,7 @@ class FmIndex:
 
 def write_phrases(benchmark: DataFrame, folder: str, window: int = WINDOW, slice_bytes: int = SLICE_BYTES, id_col: str = "item_id", text_col: str = "text") -> list[str]:
     """Write the items' phrases in slices; the files' names, few for any benchmark."""
-    items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col)).where(F.col(id_col).isNotNull())
+    items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col))
     size = items.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,14 +174,14 @@ def write_phrases(benchmark: DataFrame, folder: str, window: int = WINDOW, slice
                 for item, a, b in zip(rows.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                     n = min(window, b - a)
                     for k in range(a, b - n + 1) if n else ():
-                        phrases.setdefault(n, {}).setdefault(tuple(ids[k : k + n].tolist()), set()).add(item)
+                        phrases.setdefault(n, {}).setdefault(tuple(ids[k : k + n].tolist()), set()).update(() if item is None else (item,))
                 if not phrases:
                     continue
                 out = {"vocab": vocab, "sizes": np.array(sorted(phrases))}
                 for n, found in phrases.items():
                     out[f"p{n}"] = np.array(list(found), np.int64) + 1
                     out[f"n{n}"] = np.array([len(x) for x in found.values()])
-                    out[f"i{n}"] = np.array([y for x in found.values() for y in sorted(x)])
+                    out[f"i{n}"] = np.array([y for x in found.values() for y in sorted(x)], str)
                 data = io.BytesIO()
                 np.savez(data, **out)
                 write_file(file := f"{folder}/slice-{part:05d}-{piece:05d}.npz", data.getvalue())
