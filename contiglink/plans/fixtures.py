@@ -48,6 +48,14 @@ select concat('ctg_', cast(doc_id as string)) name, text sequence from {document
     "fx_cuts": """
 select concat('ctg_', cast(doc_id as string)) contig, cast(doc_id % 50 as bigint) start,
   cast(doc_id % 50 + 20 + doc_id % 200 as bigint) stop, concat('cut_', cast(doc_id as string)) region_title from {documents}""",
+    # ten intervals a document, end to end over its whole text
+    "fx_cuts_whole": """
+select contig, start, stop, title region_title
+from (select concat('ctg_', cast(doc_id as string)) contig, concat('cut_', cast(doc_id as string), '_', cast(k as string)) title,
+    cast((n * k - (n * k) % 10) / 10 as bigint) start, cast((n * (k + 1) - (n * (k + 1)) % 10) / 10 as bigint) stop
+  from (select doc_id, cast(length(text) as bigint) n from {documents} where text is not null) d
+    cross join (values (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) as tenth(k)) t
+where stop > start""",
 }
 
 

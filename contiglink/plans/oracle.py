@@ -136,6 +136,7 @@ SELECTS = {
     "filter_reciprocals": "select * from rov where contig1 < contig2",
     "region_slop": 'select contig, greatest("start" - 1000, 0) "start", least(stop + 1000, contig_length) stop, region_title from meta',
     "extract_regions": "select concat(region_title, '::', contig, ':', \"start\", '-', stop) name, substr(sequence, cast(\"start\" + 1 as int), cast(stop - \"start\" as int)) sequence from fx_cuts join fx_fasta on contig = name where stop <= length(sequence)",
+    "extract_regions_whole": "select concat(region_title, '::', contig, ':', \"start\", '-', stop) name, substr(sequence, cast(\"start\" + 1 as int), cast(stop - \"start\" as int)) sequence from fx_cuts_whole join fx_fasta on contig = name where stop <= length(sequence)",
     "fasta_index": "select name contig, length(sequence) length from fx_fasta",
     "orf_header_parse": 'select orf, start_bp "start", end_bp "end", strand, metadata from fx_coords',
     "parse_lineage": f"select contig, {', '.join(RANKS)} from ct",

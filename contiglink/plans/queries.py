@@ -120,6 +120,7 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "filter_reciprocals": lambda r: regions.filter_reciprocals(r.region_overlaps),
     "region_slop": lambda r: regions.region_slop(r.metadata, r.config.slop),
     "extract_regions": lambda r: regions.extract_regions(r.fixture("fx_cuts"), r.fixture("fx_fasta")),
+    "extract_regions_whole": lambda r: regions.extract_regions(r.fixture("fx_cuts_whole"), r.fixture("fx_fasta")),
     "fasta_index": lambda r: tables.fasta_index(r.fixture("fx_fasta")),
     "orf_header_parse": lambda r: tables.parse_orf_headers(r.fixture("fx_headers")),
     "parse_lineage": lambda r: r.fixture("fx_contig_taxonomy").select("contig", *(c.alias(n) for n, c in ranks_of(F.col("lineage")).items())),
