@@ -3,15 +3,17 @@
 Base spans follow four patterns, leftmost and not overlapping per kind; a match that fails its check (address parts
 up to 255, Luhn, digit counts) is dropped. They are found by scanners that take linear time on any text.
 
-The tagger reads characters in windows. By its definition a span holds an `@` or an ASCII digit, so windows of
-WINDOW characters, STEP apart, are laid over every stretch with such characters and MARGIN characters around it;
-text without them has no spans. Each window is tagged by a bidirectional LSTM with a linear-chain CRF; where windows
-overlap, each character takes the tag probabilities of the window in which it lies most central, and the spans are
-read off the whole text's reconciled tags. Spans that a base span overlaps are dropped (base ones stay); others
-are added where all their characters have a probability of at least SURE and they pass the checks of a span.
+The tagger reads every text whole: windows of WINDOW characters, STEP apart, cover it from its first to its last
+character. Each window is tagged by a bidirectional LSTM with a linear-chain CRF; where windows overlap, each
+character takes the tag probabilities of the window in which it lies most central, and the spans are read off the
+whole text's reconciled tags. Spans that a base span overlaps are dropped (base ones stay); others are added where
+all their characters have a probability of at least SURE and they pass the checks of a span, which also take digits
+of other scripts, spelled-out digits and a spelled-out `@`.
 
 The tagger is trained in numpy on at most `most` windows around base spans and around other digits, those with the
-least hash; its weights are of fixed size and travel with the tasks. Without any such window nothing is added.
+least hash; on at most half as many of variants of their labelled spans, in which the `@`, dots and digits are
+spelled out; and on at most half as many of text without digits and `@`. Digits of other scripts read as ASCII's.
+Its weights are of fixed size and travel with the tasks. Without any window of the first sort nothing is added.
 Null texts count as empty. Repeated rows give repeated results; an empty table gives an empty result. Only the id
 and the text are read.
 """
@@ -19,7 +21,10 @@ and the text are read.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +51,16 @@ TRIGGER = np.zeros(256, bool)
 TRIGGER[48:58] = TRIGGER[64] = True
 TRIGGERS = re.compile(r"[0-9@]")
 
+#: spelled-out digits, `@` and dots, in the languages of the texts
+DIGIT_WORDS = (
+    ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"), ("cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"),
+    ("zéro", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf"), ("null", "eins", "zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun"),
+)
+AT_WORDS, DOT_WORDS = ("at", "arroba", "arobase", "AT"), ("dot", "punto", "point", "punkt", "DOT")
+AROUND = ((" ", " "), (" (", ") "), (" [", "] "), ("[", "]"), ("(", ")"))
+DIGITS = re.compile(r"\d|(?<!\w)(?:" + "|".join(sorted({w for ws in DIGIT_WORDS for w in ws})) + r")(?!\w)", re.I)
+AT_SIGN = re.compile(r"[@\uFF20\uFE6B]|(?<!\w)(?:" + "|".join(AT_WORDS) + r")(?!\w)", re.I)
+
 Span = tuple[str, int, int]
 
 
@@ -95,17 +110,32 @@ def base_spans(text: str) -> list[Span]:
     return [(kind, a, b) for kind, find in zip(KINDS, (emails, addresses, cards, phones)) for a, b in find(text)]
 
 
+def _classes() -> np.ndarray:
+    out = np.full(sys.maxunicode + 1, 128, np.uint8)
+    for c in range(128, sys.maxunicode + 1):
+        if (d := unicodedata.decimal(chr(c), None)) is not None:
+            out[c] = 48 + d
+    out[:128] = np.arange(128)
+    out[[0xFF20, 0xFE6B]] = 64
+    return out
+
+
+_class_table: list[np.ndarray] = []
+
+
 def codes(text: str) -> np.ndarray:
-    """Character classes of a text: letters, digits and marks of ASCII each have one; others share one."""
-    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    return np.where(x < 128, x, 128).astype(np.int64)
+    """Character classes of a text: letters, digits and marks of ASCII each have one, digits and `@` of other scripts
+    that of ASCII's; others share one."""
+    if not _class_table:
+        _class_table.append(_classes())
+    return _class_table[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int64)
 
 
 PAD, SYMBOLS = 129, 130
 
 
 def windows_of(text: str) -> list[int]:
-    """Starts of the windows that cover all triggers and the margins."""
+    """Starts of the windows that cover all triggers and the margins, for training."""
     out: list[int] = []
     covered = -1
     for m in TRIGGERS.finditer(text):
@@ -121,6 +151,11 @@ def windows_of(text: str) -> list[int]:
     return out
 
 
+def windows_over(size: int) -> np.ndarray:
+    """Starts of the windows that cover a whole text."""
+    return np.arange(max(1, -(-(size - WINDOW) // STEP) + 1) if size else 0) * STEP
+
+
 def window_codes(x: np.ndarray, starts: list[int]) -> np.ndarray:
     at = np.asarray(starts)[:, None] + np.arange(WINDOW)
     return np.where((at >= 0) & (at < len(x)), x[np.clip(at, 0, len(x) - 1)], PAD)
@@ -156,7 +191,7 @@ class Tagger:
         x = e @ self.p[f"w{d}"] + self.p[f"c{d}"]
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             z = x[:, k] + h @ self.p[f"u{d}"]
-            i, f, o = sig(z[:, :HIDDEN]), sig(z[:, HIDDEN : 2 * HIDDEN]), sig(z[:, 2 * HIDDEN : 3 * HIDDEN])
+            i, f, o = np.split(sig(z[:, : 3 * HIDDEN]), 3, 1)
             g = np.tanh(z[:, 3 * HIDDEN :])
             was, h0 = c, h
             c = f * c + i * g
@@ -209,18 +244,20 @@ class Tagger:
         return np.exp(fwd + bwd - total[:, None, None])
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> list[float]:
-        """Adam on the negative log-likelihood; the mean loss of each epoch."""
+        """Adam on the negative log-likelihood, its rate falling to a tenth; the mean loss of each epoch."""
         rng, first, second, step, losses = np.random.default_rng(11), {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}, 0, []
+        steps = epochs * -(-len(x) // BATCH)
         for _ in range(epochs):
             order, total = rng.permutation(len(x)), 0.0
             for cut in range(0, len(x), BATCH):
                 loss, grad = self._loss(x[order[cut : cut + BATCH]], y[order[cut : cut + BATCH]])
                 total += loss
                 step += 1
+                rate = RATE * (1 - 0.9 * step / steps)
                 for k, g in grad.items():
                     first[k] = 0.9 * first[k] + 0.1 * g
                     second[k] = 0.99 * second[k] + 0.01 * g * g
-                    self.p[k] = self.p[k] - RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+                    self.p[k] = self.p[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
             losses.append(total / len(x))
         return losses
 
@@ -247,33 +284,113 @@ class Tagger:
 
     def spans(self, text: str, sure: float = SURE) -> list[Span]:
         """Spans of a whole text from its windows' reconciled tags."""
-        starts = windows_of(text)
-        if not starts:
-            return []
-        x = codes(text)
-        prob = np.zeros((len(text), TAGS))
-        prob[:, 0] = 1
-        central = np.full(len(text), -1)
-        depth = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
-        for cut in range(0, len(starts), 256):
-            some = starts[cut : cut + 256]
-            for start, m in zip(some, self.marginals(window_codes(x, some))):
-                a, b = max(0, start), min(len(text), start + WINDOW)
-                better = depth[a - start : b - start] > central[a:b]
-                prob[a:b][better] = m[a - start : b - start][better]
-                central[a:b][better] = depth[a - start : b - start][better]
-        best = prob.argmax(1)
-        out: list[Span] = []
+        return Reader(self).spans([text], sure)[0]
+
+
+class Reader:
+    """A tagger's marginals over many windows, with 32-bit numbers and probabilities scaled at each step."""
+
+    MOST = 512  # windows at once
+    CHARS = 1 << 20  # of texts at once; a longer text is read alone
+
+    def __init__(self, tagger: Tagger):
+        p, half = tagger.p, np.concatenate([np.full(3 * HIDDEN, 0.5), np.ones(HIDDEN)])
+        # sig(z) is (1 + tanh(z / 2)) / 2, and states are kept doubled
+        self.embed = np.ascontiguousarray(np.concatenate([p["embed"].T, np.ones((1, SYMBOLS))]), np.float32)
+        self.gates = [np.ascontiguousarray((np.concatenate([p[f"u{d}"] / 2, p[f"w{d}"], p[f"c{d}"][None]]) * half).T, np.float32) for d in "fb"]
+        self.out, self.bias = np.ascontiguousarray(p["out"].T / 2, np.float32), p["bias"].astype(np.float32)[:, None]
+        self.move, self.start = np.exp(p["move"]).astype(np.float32), np.exp(p["start"]).astype(np.float32)[:, None]
+
+    def marginals(self, x: np.ndarray) -> np.ndarray:
+        """(place, tag, window) for the codes (place, window)."""
+        t, n = x.shape
+        states = np.empty((t, 2 * HIDDEN, n), np.float32)
+        z, tc = np.empty((4 * HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32)
+        i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+        for d, gates in enumerate(self.gates):
+            into, c = np.zeros((HIDDEN + EMBED + 1, n), np.float32), np.zeros((HIDDEN, n), np.float32)
+            h, e = into[:HIDDEN], into[HIDDEN:]
+            for k in range(t) if d == 0 else range(t - 1, -1, -1):
+                np.take(self.embed, x[k], axis=1, out=e, mode="clip")
+                np.matmul(gates, into, out=z)
+                np.tanh(z, out=z)
+                z[: 3 * HIDDEN] += 1
+                c *= f
+                i *= g
+                c += i
+                c *= 0.5
+                np.tanh(c, out=tc)
+                np.multiply(o, tc, out=h)
+                states[k, d * HIDDEN : (d + 1) * HIDDEN] = h
+        s = self.out @ states
+        s += self.bias
+        s -= s.max(1, keepdims=True)
+        np.exp(s, out=s)
+        fwd = np.empty_like(s)
+        fwd[0] = s[0] * self.start
+        for k in range(1, t):
+            np.matmul(self.move.T, fwd[k - 1], out=fwd[k])
+            fwd[k] *= s[k]
+            fwd[k] /= fwd[k].sum(0)
+        bwd = np.ones((TAGS, n), np.float32)
+        for k in range(t - 2, -1, -1):
+            bwd = self.move @ (s[k + 1] * bwd)
+            bwd /= bwd.sum(0)
+            fwd[k] *= bwd
+        fwd /= fwd.sum(1, keepdims=True)
+        return fwd
+
+    def tags(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the texts in a row: each character's best tag, the probability of that tag's kind, and the texts' bounds."""
+        x = codes("".join(texts)).astype(np.uint8)
+        bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        own = [windows_over(len(t)) for t in texts]
+        count = np.array([len(w) for w in own])
+        start = np.concatenate(own) + np.repeat(bounds[:-1], count)
+        end = np.repeat(bounds[1:], count)
+        edge, place = (WINDOW - STEP) // 2, np.arange(WINDOW)[:, None]
+        # a window's share of places: those in which no other window's are more central
+        low = np.where(start == np.repeat(bounds[:-1], count), 0, edge)
+        high = np.where(start + WINDOW >= end, WINDOW, WINDOW - edge)
+        best, sure = np.zeros(len(x), np.uint8), np.ones(len(x), np.float32)
+        for cut in range(0, len(start), self.MOST):
+            a, b, lo, hi = (v[cut : cut + self.MOST] for v in (start, end, low, high))
+            at = a + place
+            m = self.marginals(np.where(at < b, x[np.minimum(at, len(x) - 1)], PAD))
+            k, w = np.nonzero((m[:, 1:].max(1) > m[:, 0]) & (place >= lo) & (place < hi) & (at < b))
+            some = m[k, :, w]
+            tag = some.argmax(1)
+            first = 1 + (tag - 1) // 2 * 2
+            rows = np.arange(len(tag))
+            best[at[k, w]], sure[at[k, w]] = tag, some[rows, first] + some[rows, first + 1]
+        return best, sure, bounds
+
+    def spans(self, texts: list[str], sure: float = SURE) -> list[list[Span]]:
+        """Spans of each text from its windows' reconciled tags."""
+        out: list[list[Span]] = []
+        while len(out) < len(texts):
+            first = last = len(out)
+            size = 0
+            while last < len(texts) and (last == first or size + len(texts[last]) <= self.CHARS):
+                size += len(texts[last])
+                last += 1
+            out += self._spans(texts[first:last], sure) if size else [[] for _ in range(last - first)]
+        return out
+
+    def _spans(self, texts: list[str], least: float) -> list[list[Span]]:
+        best, sure, bounds = self.tags(texts)
+        out: list[list[Span]] = [[] for _ in texts]
         marks = np.flatnonzero(best)
         at = 0
         while at < len(marks):
             a = int(marks[at])
-            kind = (best[a] - 1) // 2
+            doc = int(np.searchsorted(bounds, a, side="right")) - 1
+            kind = (int(best[a]) - 1) // 2
             b = a + 1
-            while b < len(text) and best[b] == 2 + 2 * kind:
+            while b < bounds[doc + 1] and best[b] == 2 + 2 * kind:
                 b += 1
-            if prob[a:b, 1 + 2 * kind : 3 + 2 * kind].sum(1).min() >= sure and TRIGGERS.search(text[a:b]):
-                out.append((KINDS[kind], a, b))
+            if sure[a:b].min() >= least:
+                out[doc].append((KINDS[kind], a - int(bounds[doc]), b - int(bounds[doc])))
             at = int(np.searchsorted(marks, b))
         return out
 
@@ -281,14 +398,18 @@ class Tagger:
 def plausible(span: Span, text: str) -> bool:
     """The checks that hold for added spans too: a kind's digit counts, and whole tokens at both ends."""
     kind, a, b = span
-    digits = sum(c in "0123456789" for c in text[a:b])
+    digits = len(DIGITS.findall(text[a:b]))
     whole = (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())
-    need = {"email": "@" in text[a:b], "ip": 4 <= digits <= 12, "card": 16 <= digits <= 19, "phone": 8 <= digits <= 15}[kind]
+    need = {"email": AT_SIGN.search(text[a:b]) is not None, "ip": 4 <= digits <= 12, "card": 16 <= digits <= 19, "phone": 8 <= digits <= 15}[kind]
     return whole and need
 
 
-def added_spans(text: str, base: list[Span], tagger: Tagger) -> list[Span]:
-    return [s for s in tagger.spans(text) if plausible(s, text) and not any(a < s[2] and s[1] < b for _, a, b in base)]
+def all_spans(texts: list[str], has: list[bool], reader: Reader | None) -> Iterator[tuple[list[Span], list[Span]]]:
+    """Base and added spans of each text; those without triggers have no base spans."""
+    found = reader.spans(texts) if reader else [[] for _ in texts]
+    for text, some, tagged in zip(texts, has, found):
+        base = base_spans(text) if some else []
+        yield base, [s for s in tagged if plausible(s, text) and not any(a < s[2] and s[1] < b for _, a, b in base)]
 
 
 def ordered(spans: list[Span]) -> list[Span]:
@@ -307,6 +428,52 @@ def texts_with_triggers(col: pa.Array) -> list[bool]:
     return out
 
 
+def spelled(kind: str, span: str, rng: random.Random) -> str:
+    """A labelled span with its `@`, dots or digits spelled out."""
+    if kind == "email":
+        around = rng.choice(AROUND)
+        at, dot = (rng.choice(ws).join(around) for ws in (AT_WORDS, DOT_WORDS))
+        return span.replace("@", at).replace(".", dot)
+    words, dot = rng.choice(DIGIT_WORDS), f" {rng.choice(DOT_WORDS)} "
+    out = "".join(f" {words[int(c)]} " if c.isdigit() else dot if c == "." and kind == "ip" else "plus " if c == "+" else " " for c in span)
+    return " ".join(out.split())
+
+
+def variants(x: np.ndarray, y: np.ndarray, plain: list[np.ndarray], most: int, seed: int = 3) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """At most `most` windows and tags of spelled-out variants of the spans that lie whole in the windows."""
+    rng, xs, ys = random.Random(seed), [], []
+    for codes_, tags in zip(x, y):
+        for a in np.flatnonzero(tags % 2).tolist():
+            b = a + 1
+            while b < WINDOW and tags[b] == tags[a] + 1:
+                b += 1
+            if b == WINDOW or (codes_[a:b] >= 128).any():
+                continue
+            kind = KINDS[(int(tags[a]) - 1) // 2]
+            new = codes(spelled(kind, "".join(map(chr, codes_[a:b])), rng))
+            # unlabelled text on both sides: spans next to this one would stay without their tags
+            left, right = (rng.choice(plain) if plain else np.full(WINDOW, PAD) for _ in range(2))
+            seq = np.concatenate([left, [32], new, [32], right])
+            tag = np.zeros(len(seq), np.int64)
+            tag[WINDOW + 1 : WINDOW + 1 + len(new)] = tags[a] + 1
+            tag[WINDOW + 1] = tags[a]
+            for start in range(rng.randrange(8, 8 + STEP), WINDOW + 1 + len(new), STEP):
+                if start + WINDOW <= len(seq):
+                    xs.append(seq[start : start + WINDOW])
+                    ys.append(tag[start : start + WINDOW])
+            if len(xs) >= most:
+                return xs[:most], ys[:most]
+    return xs, ys
+
+
+def plain_windows(docs: DataFrame, most: int, text_col: str) -> list[np.ndarray]:
+    """At most `most` windows of text without digits and `@`, at most one a text, at a place drawn from its hash."""
+    text = F.col(text_col)
+    at = F.pmod(F.xxhash64(text), F.length(text) - WINDOW + 1).cast("int") + 1
+    some = docs.where(F.length(text) >= WINDOW).select(F.substring(text, at, F.lit(WINDOW)).alias("w")).where(~F.col("w").rlike(r"[\p{Nd}@\x{FF20}\x{FE6B}]"))
+    return [codes(r.w) for r in some.orderBy(F.xxhash64("w"), "w").limit(most).collect()]
+
+
 def train(docs: DataFrame, most: int = MOST, text_col: str = "text") -> Tagger | None:
     """A tagger for the texts, from a bounded sample of windows whose base spans are the labels."""
 
@@ -329,6 +496,9 @@ def train(docs: DataFrame, most: int = MOST, text_col: str = "text") -> Tagger |
     if not rows:
         return None
     x, y = (np.stack([np.frombuffer(bytes(r[k]), np.uint8) for r in rows]).astype(np.int64) for k in (0, 1))
+    plain = plain_windows(docs, most // 2, text_col)
+    more, tags = variants(x, y, plain, most // 2)
+    x, y = np.stack([*x, *more, *plain]), np.stack([*y, *tags, *(np.zeros(WINDOW, np.int64) for _ in plain)])
     tagger = Tagger()
     tagger.fit(x, y, max(EPOCHS, -(-STEPS // -(-len(x) // BATCH))))
     return tagger
@@ -341,16 +511,14 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, id_col: str = "do
     nothing = hashlib.sha256(b"").hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = sent.value
+        reader = Reader(sent.value) if sent.value else None
         for batch in batches:
             rows: list[tuple] = []
-            for text, has in zip(batch.column(1), texts_with_triggers(batch.column(1))):
-                if not has:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for base, more in all_spans(texts, texts_with_triggers(batch.column(1)), reader):
+                if not base and not more:
                     rows.append((0, 0, 0, 0, nothing, "", 0))
                     continue
-                text = text.as_py()
-                base = base_spans(text)
-                more = added_spans(text, base, tagger) if tagger else []
                 spans = ordered(base + more)
                 rows.append((*(sum(s[0] == k for s in base) for k in KINDS), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(more)))
             cols = list(zip(*rows)) or [()] * 7
@@ -376,16 +544,12 @@ def redact_column(docs: DataFrame, tagger: Tagger | None, text_col: str = "text"
     sent = docs.sparkSession.sparkContext.broadcast(tagger)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = sent.value
+        reader = Reader(sent.value) if sent.value else None
         for batch in batches:
             k = batch.schema.get_field_index(text_col)
-            texts: list[str | None] = []
-            for text, has in zip(batch.column(k), texts_with_triggers(batch.column(k))):
-                text = text.as_py()
-                if has:
-                    base = base_spans(text)
-                    text = redact(text, base + (added_spans(text, base, tagger) if tagger else []))
-                texts.append(text)
+            was = batch.column(k).to_pylist()
+            found = all_spans([t or "" for t in was], texts_with_triggers(batch.column(k)), reader)
+            texts = [None if t is None else redact(t, base + more) for t, (base, more) in zip(was, found)]
             cols = list(batch.columns)
             cols[k] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
