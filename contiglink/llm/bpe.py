@@ -3,20 +3,24 @@
 A word is held as part boundaries and the ranks of adjacent parts. The least rank is found by a scan, its
 boundary is deleted and the two neighbouring ranks are looked up anew, until no pair has a rank. Words of more
 than SHORT parts keep the same rule with a heap instead of the scan, so that a text without white space does not
-take quadratic time. A text is cut at white space, which no token crosses, and each task keeps the encodings of
-the pieces it has met in a bounded table, so that most words cost one lookup.
+take quadratic time.
+
+Texts are cut at ASCII white space, which no token crosses. A block of texts becomes one Arrow column of such
+stretches; each distinct one is encoded (and its ids decoded) once, and the results are gathered for all. A worker
+keeps the results of short stretches in a table that is bounded in bytes.
 
 Null texts count as empty: no ids, and the decoded text is empty. Columns other than the id and the text are not
-read, so clashing names do no harm; repeated rows give repeated results.
+read, so clashing names do no harm; repeated rows give repeated results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +28,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import slices
+from .hashing import blocks, codes_of, word_column
 
 SHORT = 48
-KEEP = 200_000  # entries of a table, twice
+KEEP_BYTES = 64 << 20  # of a table, twice
+KEEP_WORD = 256  # longer entries are not kept
+ENTRY = 150  # bytes that an entry of a table takes besides its content
+BLOCK = 8 << 20
 WHITE = regex.compile(r"\p{White_Space}+")
 END = "</w>"
 
@@ -40,21 +47,64 @@ def byte_alphabet() -> list[str]:
 
 
 class Known(dict):
-    """A table that works out missing entries. When it holds `keep` it becomes the old one, whose entries come back on use."""
+    """A table that works out missing entries, bounded in bytes.
+
+    When it is full it becomes the old one, whose entries come back on use. Long entries are never kept.
+    """
 
-    def __init__(self, make, keep: int = KEEP):
+    def __init__(self, make: Callable, keep_bytes: int = KEEP_BYTES):
         super().__init__()
-        self.make, self.keep, self.old = make, keep, {}
+        self.make, self.keep_bytes, self.old, self.held = make, keep_bytes, {}, 0
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.keep:
-            self.old = dict(self)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(key) > KEEP_WORD:
+            return
+        size = ENTRY + 2 * len(key) + (len(value) if isinstance(value, bytes) else sum(map(len, value)))
+        if self.held + size > self.keep_bytes:
+            self.old, self.held = dict(self), 0
             self.clear()
         self[key] = value
-        return value
+        self.held += size
+
+    def all(self, keys: list, make_all: Callable[[list], list]) -> list:
+        """The entries of many different keys; those missing are worked out together."""
+        out = list(map(self.get, keys))
+        missing = []
+        for i in [i for i, v in enumerate(out) if v is None]:
+            out[i] = self.old.get(keys[i])
+            if out[i] is None:
+                missing.append(i)
+            else:
+                self.put(keys[i], out[i])
+        for i, value in zip(missing, make_all([keys[i] for i in missing]) if missing else ()):
+            out[i] = value
+            self.put(keys[i], value)
+        return out
+
+
+def gather(texts: pa.Array, results: Callable[[list[bytes]], list[list[bytes]]], most: int = BLOCK) -> Iterator[tuple[int, list[tuple[memoryview, np.ndarray]]]]:
+    """Results of each text's stretches without white space, in a row.
+
+    results: distinct stretches -> lists of byte strings, one for each. Yields the first row of a block of texts and,
+    for each list, (bytes, bounds): text first + i has the bytes from bounds[i] to bounds[i + 1].
+    """
+    for first, buf, offsets in blocks(texts, most):
+        column, at = word_column(buf, offsets)
+        code, distinct = codes_of(column)
+        out = []
+        for made in results(distinct.to_pylist()):
+            taken = pa.array(made, pa.large_binary()).take(pa.array(code))
+            _, bounds, data = taken.buffers()
+            ends = np.frombuffer(bounds, np.int64)[: len(taken) + 1] if bounds else np.zeros(1, np.int64)
+            out.append((memoryview(data or b""), ends[at]))
+        yield first, out
 
 
 class WordBpe:
@@ -79,7 +129,7 @@ class WordBpe:
         self.split = regex.compile(splits[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.letters = byte_alphabet()
         self.words = Known(self.encode_word)
-        self.pieces = Known(self.encode_piece)
+        self.pieces = Known(self.encode_and_decode)
 
     def parts(self, word: str) -> list[int]:
         """Boundaries of the parts of word + `</w>` when no pair has a rank any more."""
@@ -132,6 +182,15 @@ class WordBpe:
             return b"".join(self.special.get(x) or self._plain(x) for x in self.at_special.split(piece) if x)
         return self._plain(piece)
 
+    def encode_and_decode(self, piece: bytes) -> tuple[bytes, bytes]:
+        """Ids of a stretch, and the text of these with a space at the end."""
+        ids = self.encode_piece(piece.decode("utf-8"))
+        return ids, (self.decode(ids) + " ").encode("utf-8") if ids else b""
+
+    def results(self, distinct: list[bytes]) -> list[list[bytes]]:
+        both = [self.pieces[x] for x in distinct]
+        return [[x[0] for x in both], [x[1] for x in both]]
+
     def _plain(self, piece: str) -> bytes:
         low = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()  # no final sigma
         if low.isascii() or not UNSURE.search(low):
@@ -147,7 +206,7 @@ class WordBpe:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(map(self.pieces.__getitem__, WHITE.split(text) if ODD.search(text) else text.split()))
+        return b"".join(self.pieces[x.encode("utf-8")][0] for x in WHITE.split(text) if x)
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -156,8 +215,10 @@ class WordBpe:
 #: Outside the scripts whose letters have long been settled. Code points of a late Unicode version are letters to
 #: one library and unassigned to another; the few pieces with such are split by the tokenizers library's own rules.
 UNSURE = regex.compile(r"[^\u0000-\u024F\u0370-\u0377\u0384-\u0527\u3040-\u3096\u30A0-\u30FF\u4E00-\u9FCC\uAC00-\uD7A3]")
-#: Characters at which str.split() cuts although they are not White_Space.
-ODD = regex.compile("[\x1c-\x1f]")
+@functools.lru_cache(1)
+def encoder(vocabulary: str) -> WordBpe:
+    """One for all tasks of a worker."""
+    return WordBpe(vocabulary)
 
 
 def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, decoded: bool = False, digests: bool = False) -> DataFrame:
@@ -166,22 +227,20 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     names = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(vocabulary)  # its tables go with the task
-        for batch in (s for b in batches for s in slices(b, 1)):
-            out: dict[str, list] = {n: [] for n, _ in fields}
-            for text in batch.column(1):
-                got = bpe.encode(text.as_py())
-                out["n_tokens"].append(len(got) // 4)
+        bpe = encoder(vocabulary)
+        for batch in batches:
+            for first, ((flat, at), (text, to)) in gather(batch.column(1), bpe.results):
+                n = len(at) - 1
+                out: dict[str, pa.Array] = {"n_tokens": pa.array(np.diff(at) // 4)}
+                spans = list(zip(at[:-1].tolist(), at[1:].tolist(), to[:-1].tolist(), (np.maximum(to[1:] - 1, to[:-1])).tolist()))
                 if ids:
-                    out["ids"].append(np.frombuffer(got, "<i4"))
-                if decoded or digests:
-                    back = bpe.decode(got)
-                    if decoded:
-                        out["decoded"].append(back)
-                    if digests:
-                        out["ids_sha256"].append(hashlib.sha256(got).hexdigest())
-                        out["decoded_sha256"].append(hashlib.sha256(back.encode("utf-8")).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[n], t) for n, t in fields)], [id_col, *(n for n, _ in fields)])
+                    out["ids"] = pa.ListArray.from_arrays(pa.array(((at - at[0]) // 4).astype(np.int32)), pa.array(np.frombuffer(flat[at[0] : at[-1]], "<i4")))
+                if decoded:
+                    out["decoded"] = pa.array([str(text[c:d], "utf-8") for _, _, c, d in spans], pa.string())
+                if digests:
+                    out["ids_sha256"] = pa.array([hashlib.sha256(flat[a:b]).hexdigest() for a, b, _, _ in spans], pa.string())
+                    out["decoded_sha256"] = pa.array([hashlib.sha256(text[c:d]).hexdigest() for _, _, c, d in spans], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), *(out[n] for n, _ in fields)], [id_col, *(n for n, _ in fields)])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, ", ".join([f"`{id_col}` {kind}", *(f"{n} {names[n]}" for n, _ in fields)]))

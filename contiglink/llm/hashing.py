@@ -1,11 +1,12 @@
-"""Vectorised hashing of the words of many texts at once.
+"""The words of many texts at once, as Arrow columns, and their hashes.
 
-The texts of a batch lie one after the other in one byte buffer. A running polynomial sum over the buffer gives
-every word's 64-bit hash from two entries, whatever its length, so no Python loop runs over words.
+The texts of a block lie one after the other in one byte buffer. Its words become one column whose dictionary holds
+each distinct word once, so that whatever needs Python (hashing, encoding) runs over distinct words only.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,9 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-BASE = U(0x9E3779B97F4A7C15 | 1)
-BACK = U(pow(int(BASE), -1, 1 << 64))
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 
 #: ASCII white space: space and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
@@ -36,20 +35,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE and its inverse to the powers 0 to n - 1, modulo 2 to the 64."""
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES)
-        for k, base in enumerate((BASE, BACK)):
-            steps = np.full(size, base, U)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=U)
-    return _powers[0][:n], _powers[1][:n]
-
-
 def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows of about `most` bytes; a longer text is a run of its own. Null: empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -86,12 +71,31 @@ def words(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD) -> tu
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def stretch_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each stretch of bytes; equal bytes, equal hash, wherever they lie."""
-    up, down = powers(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, U)
-    np.cumsum((buf.astype(U) + U(1)) * up[: len(buf)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+def word_column(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The words of `words` as one column, and the first word of each text."""
+    starts, ends, at = words(buf, offsets, inside)
+    bounds = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=bounds[1:])
+    flat = np.ascontiguousarray(buf[inside[buf]])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(flat)]), at
+
+
+def codes_of(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """For each entry of a column its place among the distinct ones, and these."""
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+
+def string_hashes(distinct: pa.Array) -> np.ndarray:
+    """64 bits of BLAKE2 of each entry."""
+    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in distinct.to_pylist()), "<u8").astype(U)
+
+
+def word_hashes(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a block, and the first word of each text."""
+    column, at = word_column(buf, offsets, inside)
+    code, distinct = codes_of(column)
+    return string_hashes(distinct)[code], at
 
 
 def runs_of(hashes: np.ndarray, k: int) -> np.ndarray:

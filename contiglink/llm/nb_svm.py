@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import LOWER, SPACE, U, blocks, mix, runs_of, stretch_hashes, words
+from .hashing import LOWER, SPACE, U, blocks, mix, runs_of, word_hashes
 
 BITS = 18
 MOST = 6000
@@ -40,8 +40,7 @@ def features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for _, buf, offsets in blocks(texts, 1 << 18):
         n = len(offsets) - 1
         low = LOWER[buf]
-        s, e, at = words(low, offsets)
-        h = stretch_hashes(low, s, e)
+        h, at = word_hashes(low, offsets)
         owner = np.repeat(np.arange(n), np.diff(at)).astype(np.int64)
         groups = [(owner, h & mask)]
         if len(h) > 1:

@@ -17,8 +17,7 @@ import functools
 import os
 import struct
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Known, ODD, WHITE
+from .bpe import KEEP_WORD, Known, gather
 from .common import fresh_path, read_file, staged, write_file
 
 MAGIC = b"IDS1"
@@ -134,12 +133,11 @@ class TokenFile:
 
 
 @functools.lru_cache(1)
-def library_encoder(vocabulary: str):
-    """text -> ids as little-endian 32-bit integers, by the tokenizers library, and the number of ids.
+def library_encoder(vocabulary: str) -> tuple[Callable[[list[bytes]], list[list[bytes]]], int]:
+    """Stretches without white space -> their ids as little-endian 32-bit integers, by the tokenizers library; the number of ids.
 
-    The vocabulary's split pattern never crosses white space, so the library encodes each stretch without white
-    space once, a bounded table keeps the results for all tasks of the worker, and a text's ids are those of its
-    stretches in a row.
+    The vocabulary's split pattern never crosses white space, so a text's ids are those of its stretches in a row.
+    A table bounded in bytes keeps the results for all tasks of the worker.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -147,14 +145,27 @@ def library_encoder(vocabulary: str):
     t = Tokenizer.from_file(vocabulary)
     t.no_truncation()
     t.no_padding()
-    known = Known(lambda s: array("I", t.encode(s, add_special_tokens=False).ids).tobytes(), 400_000)
+    special = next(((x.content, i) for i, x in sorted(t.get_added_tokens_decoder().items())), None)
 
-    def encode(text: str | None) -> bytes:
-        if not text:
-            return b""
-        return b"".join(map(known.__getitem__, WHITE.split(text) if ODD.search(text) else text.split()))
+    def one(s: bytes) -> bytes:
+        return np.array(t.encode(s.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    return encode, t.get_vocab_size(with_added_tokens=True)
+    def many(rows: list[bytes]) -> list[bytes]:
+        """All in one call, with an added token between them, at whose id the ids are cut."""
+        if special is None:
+            return list(map(one, rows))
+        mark = special[0].encode("utf-8")
+        plain = [x for x in rows if mark not in x and len(x) <= KEEP_WORD]
+        ids = np.array(t.encode_batch_fast([mark.join(plain).decode("utf-8")], add_special_tokens=False)[0].ids if plain else [], "<u4")
+        cuts = np.flatnonzero(ids == special[1])
+        if len(cuts) != max(0, len(plain) - 1):
+            return list(map(one, rows))
+        flat, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+        done = dict(zip(plain, (flat[a:b] for a, b in zip(starts, ends))))
+        return [done[x] if x in done else one(x) for x in rows]
+
+    known = Known(one)
+    return lambda distinct: [known.all(distinct, many)], t.get_vocab_size(with_added_tokens=True)
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
@@ -177,13 +188,14 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
             return row
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = encode(text.as_py()) + last
-                if held and held + len(got) // 4 > file_ids:
-                    yield flush()
-                names.append(name)
-                ids.append(got)
-                held += len(got) // 4
+            rows = iter(batch.column(0).to_pylist())
+            for _, ((flat, at),) in gather(batch.column(1), encode):
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                    if held and held + (b - a) // 4 + 1 > file_ids:
+                        yield flush()
+                    names.append(next(rows))
+                    ids.append(bytes(flat[a:b]) + last)
+                    held += (b - a) // 4 + 1
         if names:
             yield flush()
 
