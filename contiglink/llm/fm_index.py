@@ -1,18 +1,19 @@
 """Benchmark decontamination with an FM-index per training shard.
 
-Words (ASCII letters lowered; maximal stretches of ASCII letters and digits and of all characters from U+0080) are
-hashed to 64 bits. A benchmark item's phrases are its windows of 10 consecutive words, or the item itself if it is
-shorter. A shard is a few megabytes of documents. Since a phrase holds benchmark words only, a shard is indexed
-over its stretches of benchmark words that are as long as the shortest phrase; all else is a separator. Its suffix
-array gives the Burrows-Wheeler transform, kept as a wavelet matrix. All phrases search backward together, one
-word a step; occurrences are located by walking to a sampled suffix position, and overlapping ones merge into
-removal spans.
-
-The benchmark is written to the shared folder in slices of bounded size, and a task takes one slice at a time, so
-nothing that grows is broadcast. Work on documents needs no shuffle at all. Null texts and texts without words have
-no words and no hits. Items without words have no phrases; repeated items or ids count once. Items with a null id are
-searched like all others: their hits count, but no item is named for them (n_items). Repeated documents
-give repeated rows; empty tables give empty or hit-free results. Only ids and texts are read.
+Words are maximal stretches of ASCII letters (lowered) and digits and of all characters from U+0080. A benchmark
+item's phrases are its windows of 10 consecutive words, or the item itself if it is shorter. A shard is a few
+megabytes of documents, at most SHARD_WORDS words; a longer text goes on in the next shard, which starts some words
+earlier, so that no phrase is cut. All its words are indexed: the suffix array gives the Burrows-Wheeler transform,
+kept as a wavelet matrix over bit vectors with block counts. The phrases search backward together, one word a step;
+occurrences are located by walking to a sampled suffix position, and overlapping ones merge into removal spans.
+Words are compared by their bytes throughout, never by hashes.
+
+The benchmark is written to the shared folder in slices of bounded size; a shard is indexed once and takes one slice
+after the other, of which a task holds HOLD_BYTES at most, so nothing that grows is broadcast. Work on documents
+needs no shuffle at all. Null texts and texts without words have no words and no hits. Items without words have no
+phrases; repeated items or ids count once. Items with a null id are searched like all others: their hits count, but
+no item is named for them (n_items). Repeated documents give repeated rows; empty tables give empty or hit-free
+results. Only ids and texts are read.
 """
 
 from __future__ import annotations
@@ -23,31 +24,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh_path, read_file, write_file
-from .hashing import LOWER, U, blocks, slices as shards, stretch_hashes, words
+from .hashing import LOWER, blocks, codes_of, slices as shards, word_column
 
 WINDOW = 10
 SAMPLE = 16
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
+SHARD_WORDS = 1_000_000
+HOLD_BYTES = 64 << 20  # of phrase slices
 SLICE_BYTES = 8 << 20  # of benchmark text
 LETTERS = np.zeros(256, bool)
 LETTERS[48:58] = LETTERS[97:123] = LETTERS[128:] = True
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in a row, and where each text's words start."""
-    hashes, starts, total = [], [np.zeros(1, np.int64)], 0
-    for _, buf, offsets in blocks(texts):
-        buf = LOWER[buf]
-        s, e, at = words(buf, offsets, LETTERS)
-        hashes.append(stretch_hashes(buf, s, e))
-        starts.append(at[1:] + total)
-        total += len(s)
-    return np.concatenate(hashes) if hashes else np.zeros(0, U), np.concatenate(starts)
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The texts' words in a row, each by its place among the distinct ones; where each text's words start; the distinct ones."""
+    for _, buf, offsets in blocks(texts, 1 << 62):
+        column, at = word_column(LOWER[buf], offsets, LETTERS)
+        code, distinct = codes_of(column)
+        return code, at, distinct
+    return np.zeros(0, np.int32), np.zeros(1, np.int64), pa.array([], pa.large_binary())
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -71,7 +72,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         at = order[todo]
         key = keys(at, h)
         # members of a group lie together and share the rank, which leads the key: sorting keeps groups in place
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         at, key = at[by], key[by]
         order[todo] = at
         new = np.ones(len(todo), bool)
@@ -85,36 +86,57 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return order
 
 
+class Bits:
+    """A bit vector with the number of set bits before each block of 64."""
+
+    def __init__(self, bit: np.ndarray):
+        padded = np.zeros(len(bit) // 64 * 8 + 8, np.uint8)
+        packed = np.packbits(bit, bitorder="little")
+        padded[: len(packed)] = packed
+        self.words = padded.view("<u8")
+        self.before = np.zeros(len(self.words) + 1, np.int32)
+        np.cumsum(np.bitwise_count(self.words), out=self.before[1:])
+        self.total = int(self.before[-1])
+
+    def rank(self, i: np.ndarray) -> np.ndarray:
+        """Set bits before each place."""
+        k = i >> 6
+        return self.before[k] + np.bitwise_count(self.words[k] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)))
+
+    def at(self, i: np.ndarray) -> np.ndarray:
+        return (self.words[i >> 6] >> (i & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 class WaveletMatrix:
     """Ranks of symbols in a sequence, a level for each bit from the top."""
 
     def __init__(self, values: np.ndarray, size: int):
         self.levels = max(1, int(size - 1).bit_length())
-        self.ones, self.bits, self.zeros = [], [], []
+        self.bits, self.zeros = [], []
+        values = values.astype(np.int32)
         for b in range(self.levels - 1, -1, -1):
-            bit = (values >> b & 1).astype(np.uint8)
-            self.bits.append(bit)
-            self.ones.append(np.concatenate([np.zeros(1, np.int32), np.cumsum(bit, dtype=np.int32)]))
-            self.zeros.append(len(values) - int(self.ones[-1][-1]))
-            values = np.concatenate([values[bit == 0], values[bit == 1]])
+            bit = (values >> b & 1).astype(bool)
+            self.bits.append(Bits(bit))
+            self.zeros.append(len(values) - self.bits[-1].total)
+            values = np.concatenate([values[~bit], values[bit]])
 
     def rank(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
         """How often c[k] stands before place i[k]."""
         low, i = np.zeros_like(i), i.copy()
-        for level in range(self.levels):
+        for level, bits in enumerate(self.bits):
             one = (c >> (self.levels - 1 - level) & 1).astype(bool)
-            count = self.ones[level]
-            low = np.where(one, self.zeros[level] + count[low], low - count[low])
-            i = np.where(one, self.zeros[level] + count[i], i - count[i])
+            under, upto = bits.rank(low), bits.rank(i)
+            low = np.where(one, self.zeros[level] + under, low - under)
+            i = np.where(one, self.zeros[level] + upto, i - upto)
         return i - low
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """The symbols at the places."""
         c, i = np.zeros(len(i), np.int64), i.copy()
-        for level in range(self.levels):
-            one = self.bits[level][i].astype(bool)
+        for level, bits in enumerate(self.bits):
+            one, upto = bits.at(i), bits.rank(i)
             c = c << 1 | one
-            i = np.where(one, self.zeros[level] + self.ones[level][i], i - self.ones[level][i])
+            i = np.where(one, self.zeros[level] + upto, i - upto)
         return c
 
 
@@ -168,8 +190,7 @@ def write_phrases(benchmark: DataFrame, folder: str, window: int = WINDOW, slice
         for batch in batches:
             for cut in range(0, batch.num_rows, 4096):
                 rows = batch.slice(cut, 4096)
-                hashes, at = word_hashes(rows.column(1))
-                vocab, ids = np.unique(hashes, return_inverse=True)
+                ids, at, distinct = coded_words(rows.column(1))
                 phrases: dict[int, dict[tuple, set]] = {}
                 for item, a, b in zip(rows.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                     n = min(window, b - a)
@@ -177,9 +198,10 @@ def write_phrases(benchmark: DataFrame, folder: str, window: int = WINDOW, slice
                         phrases.setdefault(n, {}).setdefault(tuple(ids[k : k + n].tolist()), set()).update(() if item is None else (item,))
                 if not phrases:
                     continue
-                out = {"vocab": vocab, "sizes": np.array(sorted(phrases))}
+                vocab = distinct.to_pylist()
+                out = {"vocab": np.frombuffer(b"".join(vocab), np.uint8), "bounds": np.cumsum([0, *map(len, vocab)]), "sizes": np.array(sorted(phrases))}
                 for n, found in phrases.items():
-                    out[f"p{n}"] = np.array(list(found), np.int64) + 1
+                    out[f"p{n}"] = np.array(list(found), np.int64)
                     out[f"n{n}"] = np.array([len(x) for x in found.values()])
                     out[f"i{n}"] = np.array([y for x in found.values() for y in sorted(x)], str)
                 data = io.BytesIO()
@@ -191,76 +213,70 @@ def write_phrases(benchmark: DataFrame, folder: str, window: int = WINDOW, slice
     return [r.file for r in items.repartition(max(1, -(-size // slice_bytes))).mapInArrow(run, "file string").collect()]
 
 
-def find_phrases(hashes: np.ndarray, at: np.ndarray, part: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, set[str]]]]:
-    """Starts and ends (word numbers) of all occurrences of a slice's phrases, and (document, items) pairs."""
-    vocab, none = part["vocab"], np.zeros(0, np.int64)
-    place = np.minimum(np.searchsorted(vocab, hashes), len(vocab) - 1)
-    symbol = np.where(vocab[place] == hashes, place + 1, 0) if len(hashes) else none
-    # stretches of benchmark words within a document
-    on = symbol > 0
-    start, end = on.copy(), on.copy()
-    start[1:] &= ~on[:-1]
-    end[:-1] &= ~on[1:]
-    cut = at[1:-1][(at[1:-1] > 0) & (at[1:-1] < len(on))]
-    start[cut] |= on[cut]
-    end[cut - 1] |= on[cut - 1]
-    s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
-    long = e - s >= part["sizes"][0]
-    s, e = s[long], e[long]
-    if not len(s):
-        return none, none, []
-    size = e - s
-    begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(size + 1)])[:-1] + 1  # in the indexed text, after a separator each
-    text = np.zeros(int(size.sum()) + len(s) + 1, np.int64)
-    source = np.zeros(len(text), np.int64)
-    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    to, frm = np.repeat(begin, size) + inside, np.repeat(s, size) + inside
-    text[to], source[to] = symbol[frm], frm
-    index = FmIndex(text, len(vocab) + 1)
-    starts, ends, pairs = [], [], []
-    for n in part["sizes"].tolist():
-        phrases, counts, items = part[f"p{n}"], part[f"n{n}"], part[f"i{n}"]
-        low, high = index.search(phrases)
-        many = high - low
-        which = np.repeat(np.arange(len(phrases)), many)
-        if not len(which):
-            continue
-        rows = np.repeat(low, many) + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-        found = source[index.locate(rows)]
-        starts.append(found)
-        ends.append(found + n)
-        doc = np.searchsorted(at, found, side="right") - 1
-        to_items = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
-        for key in np.unique(doc * len(phrases) + which).tolist():
-            d, p = divmod(key, len(phrases))
-            pairs.append((d, items[to_items[p] : to_items[p + 1]].tolist()))
-    return (np.concatenate(starts), np.concatenate(ends), pairs) if starts else (none, none, [])
+class Shard:
+    """The index of consecutive words of some texts, with a separator between texts."""
+
+    def __init__(self, codes: np.ndarray, text_of: np.ndarray, distinct: pa.Array):
+        turn = np.zeros(len(codes), np.int64)
+        turn[1:] = text_of[1:] != text_of[:-1]
+        place = np.arange(len(codes)) + 1 + np.cumsum(turn)
+        text, self.word = (np.zeros(int(place[-1]) + 2, np.int64) for _ in range(2))
+        text[place], self.word[place] = codes + 1, np.arange(len(codes))
+        self.index, self.distinct = FmIndex(text, len(distinct) + 1), distinct
+
+    def find(self, part: dict[str, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of a slice's phrases, by size: the size, and the phrase and the first word of each occurrence."""
+        bounds, data = part["bounds"].astype(np.int64), part["vocab"]
+        vocab = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        symbol = pc.fill_null(pc.index_in(vocab, value_set=self.distinct), -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        for n in part["sizes"].tolist():
+            phrases = symbol[part[f"p{n}"]]
+            whole = np.flatnonzero((phrases > 0).all(1))  # all words stand in the shard
+            low, high = self.index.search(phrases[whole])
+            many = high - low
+            which = np.repeat(np.arange(len(whole)), many)
+            if len(which):
+                rows = np.repeat(low, many) + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+                yield n, whole[which], self.word[self.index.locate(rows)]
 
 
 class Slices:
-    """The phrase slices, one at a time in memory."""
+    """The phrase slices, of which some are held in memory."""
 
-    def __init__(self, files: list[str]):
-        self.files, self.held = files, {}
+    def __init__(self, files: list[str], hold_bytes: int = HOLD_BYTES):
+        self.files, self.held, self.room = files, {}, hold_bytes
 
     def read(self, file: str) -> dict[str, np.ndarray]:
-        if file not in self.held:
-            self.held.clear()
-            with np.load(io.BytesIO(read_file(file))) as got:
-                self.held[file] = dict(got)
-        return self.held[file]
-
-    def hits(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
-        """Where each text's words start, whether each word is hit, and each text's items: a shard's search."""
-        hashes, at = word_hashes(texts)
+        if file in self.held:
+            return self.held[file]
+        with np.load(io.BytesIO(read_file(file))) as got:
+            part = dict(got)
+        size = sum(x.nbytes for x in part.values())
+        if size <= self.room:
+            self.room -= size
+            self.held[file] = part
+        return part
+
+    def hits(self, texts: pa.Array, shard_words: int = SHARD_WORDS) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+        """Where each text's words start, whether each word is hit, and each text's items."""
+        codes, at, distinct = coded_words(texts)
         items: list[set[str]] = [set() for _ in range(len(texts))]
-        edge = np.zeros(len(hashes) + 1, np.int64)
-        for file in self.files:
-            starts, ends, pairs = find_phrases(hashes, at, self.read(file))
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, ends, -1)
-            for d, found in pairs:
-                items[d].update(found)
+        edge = np.zeros(len(codes) + 1, np.int64)
+        text_of = np.repeat(np.arange(len(texts)), np.diff(at))
+        longest = max((int(self.read(f)["sizes"][-1]) for f in self.files), default=1)
+        for first in range(0, len(codes) if self.files else 0, shard_words):
+            last = first + shard_words + longest - 1
+            shard = Shard(codes[first:last], text_of[first:last], distinct)
+            for file in self.files:
+                part = self.read(file)
+                for n, which, word in shard.find(part):
+                    np.add.at(edge, first + word, 1)
+                    np.add.at(edge, first + word + n, -1)
+                    names, ends = part[f"i{n}"], np.cumsum(part[f"n{n}"])
+                    starts = ends - part[f"n{n}"]
+                    for key in np.unique(text_of[first + word] * len(starts) + which).tolist():
+                        d, p = divmod(key, len(starts))
+                        items[d].update(names[starts[p] : ends[p]].tolist())
         return at, np.cumsum(edge)[:-1] > 0, items
 
 
