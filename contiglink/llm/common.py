@@ -45,7 +45,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -75,6 +75,13 @@ def write_file(uri: str, *parts: bytes) -> None:
     store.move(temp, path)
 
 
+def file_size(uri: str) -> int:
+    if uri.startswith("file://") or "://" not in uri:
+        return os.path.getsize(uri.removeprefix("file://"))
+    store, path = _filesystem(uri)
+    return store.get_file_info(path).size
+
+
 def read_file(uri: str, start: int = 0, size: int | None = None) -> bytes:
     """Bytes of a file, or size of them from start."""
     if uri.startswith("file://") or "://" not in uri:

@@ -6,18 +6,21 @@ every element is placed into one hashed bin with the value (i, hash), in round t
 least value, and rounds end when all bins are full, which they are after 2t rounds whatever the set. Bands of
 `rows` neighbouring bins are hashed to keys.
 
-1. Documents with equal sets (128-bit fingerprint) collapse to the smallest id.
-2. In every band bucket each member is paired with one pivot, the smallest id; pairs are verified on full sets read
-   from the texts, and links are closed into components. Pairs grow with the members, not their square.
+1. Rows with the same words (128 bits of BLAKE2 over the sequence) form a class, and classes are compared from here on.
+2. In every band bucket each class is paired with one pivot; pairs are verified on full sets, made of the words of
+   both texts and not of hashes, and links are closed into components. Pairs grow with the members, not their square.
 3. Members of a bucket that still lie in different components may be linked without either being linked to the
-   pivot. For all documents of such buckets an exact prefix join follows: shingles are ordered by the number of
-   documents that hold them, those of one component alone first, as they can't be shared with another. Two sets of
-   similarity 0.8 share one of their first fifth, and what follows it must still suffice for their sizes. Only
-   shingles that meet in two components are joined, and none of the pairs within a shingle's most frequent component
-   is made. The pairs are verified likewise.
+   pivot. For all classes of such buckets an exact prefix join follows: shingles are ordered by the number of
+   classes that hold them, those of one component alone first, as they can't be shared with another. In a pair of
+   similarity 0.8 the first common shingle lies in the first ninth of the smaller set and the first fifth of the
+   larger, and what follows it must still suffice for their sizes. Shingles meet by classes of set size; none of the
+   pairs within a shingle's most frequent component is made; a shingle of many is dealt out in cells of at most
+   CELL x CELL pairs. The pairs are verified likewise.
 
 So no link between documents that meet in a bucket is lost, and no group's pairs are all emitted. With 6 rows and
-40 bands a pair at similarity 0.8 meets in no bucket with probability 5e-6; links also close transitively.
+40 bands a pair at similarity 0.8 meets in no bucket with probability 5e-6; links also close transitively. Keys with
+a large share of the rows (a class, a bucket, a pivot, a shingle) are looked up in broadcasts of at most a thousand
+rows, or their partner is dealt out in copies, so no task gets a whole group.
 
 Null and empty texts (or white space alone) have an empty set and are linked with nothing. Rows with the same id
 are one document, with all links of its rows. A null id stays alone: component null, kept. An empty table gives an
@@ -26,6 +29,8 @@ empty result. Only the id and the text are read.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,32 +38,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.hot import LEAST, SHARE, hot_lookup
 from .common import staged
 from .components import components
-from .hashing import LOWER, U, blocks, mix, runs_of, stretch_hashes, words
+from .hashing import LOWER, SPACE, U, blocks, codes_of, mix, runs_of, slices, string_hashes, word_column
 
 SHINGLE = 4
 ROWS, BANDS = 6, 40
 PERCENT = 80
+CELL = 2000
 SEEDS = mix(np.arange(1, 4097, dtype=U) * U(0x9E3779B97F4A7C15))
-
-
-def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bounds, hashes): row first + i has the sorted distinct shingle hashes bounds[i] to bounds[i + 1]."""
-    for first, buf, offsets in blocks(texts):
-        buf = LOWER[buf]
-        starts, ends, at = words(buf, offsets)
-        h = stretch_hashes(buf, starts, ends)
-        runs = runs_of(h, k)
-        sets = []
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-            if b - a >= k:
-                sets.append(np.unique(runs[a : b - k + 1]))
-            elif b > a:
-                sets.append(runs_of(h[a:b], b - a))
-            else:
-                sets.append(np.zeros(0, U))
-        yield first, np.cumsum([0, *map(len, sets)]), np.concatenate(sets)
+TO_SPACE = LOWER.copy()
+TO_SPACE[SPACE] = 32
+
+
+def digests(buf: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """128 bits for each text's words: equal words in the same order, equal digest."""
+    word = ~SPACE[buf]
+    keep = word.copy()
+    keep[1:] |= word[:-1]  # one mark of white space after each word
+    flat = TO_SPACE[buf[keep]].tobytes()
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(keep)])[offsets].tolist()
+    return [hashlib.blake2b(flat[a:b].strip(b" "), digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:])]
+
+
+def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, hashes): text i has the sorted distinct shingle hashes bounds[i] to bounds[i + 1]."""
+    column, at = word_column(LOWER[buf], offsets)
+    code, distinct = codes_of(column)
+    h = string_hashes(distinct)[code]
+    runs = runs_of(h, k)
+    sets = [np.zeros(0, U)]
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if b - a >= k:
+            sets.append(np.unique(runs[a : b - k + 1]))
+        else:
+            sets.append(runs_of(h[a:b], b - a) if b > a else sets[0])
+    return np.cumsum([0, *map(len, sets[1:])]), np.concatenate(sets)
 
 
 def sketches(bounds: np.ndarray, hashes: np.ndarray, t: int) -> np.ndarray:
@@ -91,115 +107,163 @@ def band_keys(sketch: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return mix(out + np.arange(bands, dtype=U))
 
 
-def fingerprints(docs: DataFrame, rows: int = ROWS, bands: int = BANDS, shingle: int = SHINGLE) -> DataFrame:
-    """id, n_shingles, f1 and f2 (equal for equal sets), and the band keys, of each row; docs has id and text."""
+def fingerprints(texts: DataFrame, rows: int = ROWS, bands: int = BANDS, shingle: int = SHINGLE) -> DataFrame:
+    """k, n_shingles, f1 and f2 (equal for equal words), and the band keys, of each row of (k, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, bounds, hashes in shingle_sets(batch.column(1), shingle):
-                n = len(bounds) - 1
-                size = np.diff(bounds)
-                sums = np.zeros((2, n), U)
-                for k, x in enumerate((hashes, mix(hashes + U(77)))):
-                    total = np.concatenate([np.zeros(1, U), np.cumsum(x, dtype=U)])
-                    sums[k] = total[bounds[1:]] - total[bounds[:-1]]
+            for first, buf, offsets in blocks(batch.column(1)):
+                n = len(offsets) - 1
+                bounds, hashes = shingle_sets(buf, offsets, shingle)
+                prints = np.frombuffer(b"".join(digests(buf, offsets)), "<i8").reshape(n, 2)
                 keys = band_keys(sketches(bounds, hashes, rows * bands), rows, bands).view(np.int64)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(size.astype(np.int64)), *(pa.array(s.view(np.int64)) for s in sums), flat], ["id", "n_shingles", "f1", "f2", "bands"])
-
-    return docs.mapInArrow(run, "id long, n_shingles long, f1 long, f2 long, bands array<long>")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(np.diff(bounds)), *(pa.array(np.ascontiguousarray(prints[:, j])) for j in (0, 1)), flat], ["k", "n_shingles", "f1", "f2", "bands"])
+
+    return texts.select("k", "text").mapInArrow(run, "k long, n_shingles long, f1 long, f2 long, bands array<long>")
+
+
+def exact_pairs(texts: pa.Array, percent: int, k: int) -> np.ndarray:
+    """Whether texts i and n + i of 2n texts have the similarity, by their words. Texts of fewer than k words have it with none."""
+    n = len(texts) // 2
+    for _, buf, offsets in blocks(texts, 1 << 62):
+        column, at = word_column(LOWER[buf], offsets)
+        word = codes_of(column)[0].astype(np.int64)
+        text = np.repeat(np.arange(2 * n), np.diff(at))
+        run = word
+        for i in range(1, k):  # a number for each run of i + 1 words, one more word a step
+            run = codes_of(pa.array(run[:-1] * (len(word) + 1) + word[i:]))[0].astype(np.int64) if len(run) > 1 else run[:0]
+        inside = text[: len(run)] == text[k - 1 :][: len(run)]
+        run, text = run[inside], text[: len(run)][inside]
+        pair = np.unique((text % n * 2 + text // n) * (len(word) + 1) + run)  # distinct (pair, side, shingle)
+        side, run = np.divmod(pair, len(word) + 1)
+        sizes = np.bincount(side, minlength=2 * n).reshape(n, 2).sum(1)
+        both = np.sort(side // 2 * (len(word) + 1) + run)
+        same = np.bincount(both[1:][both[1:] == both[:-1]] // (len(word) + 1), minlength=n)
+        return (same > 0) & (100 * same >= percent * (sizes - same))
+    return np.zeros(0, bool)
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame, end: str, other: str, name: str, total: int) -> DataFrame:
+    """Pairs with the text of one end. The text of an end that many pairs share is dealt out in copies."""
+    side = texts.select(F.col("k").alias(end), F.col("text").alias(name))
+    if total < LEAST:
+        return pairs.join(side, end)
+    hot = F.broadcast(pairs.groupBy(end).agg(F.count("*").alias("n")).where(F.col("n") * SHARE > total))  # at most SHARE rows
+    parts = F.coalesce(F.ceil(F.col("n") / CELL), F.lit(1)).cast("int")
+    left = pairs.join(hot, end, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("n")
+    right = side.join(hot, end, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n")
+    return left.join(right, [end, "part"]).drop("part")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose full sets have the similarity."""
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    total = pairs.count()
+    both = with_texts(with_texts(pairs, texts, "a", "b", "ta", total), texts, "b", "a", "tb", total).select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets: list[list[np.ndarray]] = []
-            for col in (2, 3):
-                own: list[np.ndarray] = []
-                for _, bounds, hashes in shingle_sets(batch.column(col), shingle):
-                    own += np.split(hashes, bounds[1:-1])
-                sets.append(own)
-            keep = []
-            for x, y in zip(*sets):
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(same > 0 and 100 * same >= percent * (len(x) + len(y) - same))
-            kept = batch.filter(pa.array(keep, pa.bool_()))
+        for batch in (s for b in batches for s in slices(b, 2, 2 << 20)):
+            keep = exact_pairs(pa.concat_arrays([batch.column(2), batch.column(3)]), percent, shingle)
+            kept = batch.filter(pa.array(keep))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long")
 
 
-def shingles_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """id, s: the shingles of each document."""
+def shingles_of(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """k, s: the shingles of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, bounds, hashes in shingle_sets(batch.column(1), shingle):
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[first : first + len(bounds) - 1], np.diff(bounds))), pa.array(hashes.view(np.int64))], ["id", "s"])
-
-    return docs.mapInArrow(run, "id long, s long")
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            for first, buf, offsets in blocks(batch.column(1)):
+                bounds, hashes = shingle_sets(buf, offsets, shingle)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys[first : first + len(bounds) - 1], np.diff(bounds))), pa.array(hashes.view(np.int64))], ["k", "s"])
+
+    return texts.select("k", "text").mapInArrow(run, "k long, s long")
+
+
+def near_groups(rows: DataFrame, linked: str = "true", ties: DataFrame | None = None, bands_of: tuple[int, int] = (ROWS, BANDS), percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """k, n_shingles and component (a k) of each row; component is null for empty sets and where `linked` is false.
+
+    rows: a written table with k (unique), text and what `linked` names. ties: rows (a, b) that belong together anyhow.
+    """
+    prints = staged(fingerprints(rows, *bands_of, shingle), "sketches")
+    filled = prints.where("n_shingles > 0")
+    if linked != "true":
+        filled = filled.join(rows.where(linked).select("k"), "k", "left_semi")
+    classes = staged(filled.groupBy("f1", "f2").agg(F.min("k").alias("key"), F.count("*").alias("copies")), "classes")
+    member = staged(hot_lookup(filled.select("k", "f1", "f2"), classes, ["f1", "f2"], "copies").select("k", "key"), "members")
+    heads = staged(prints.join(classes.select(F.col("key").alias("k")), "k", "left_semi").select("k", "n_shingles", "bands"), "heads")
+    at = heads.select("k", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
+    pivots = at.groupBy("band").agg(F.min("k").alias("pivot"), F.max("k").alias("last"), F.count("*").alias("size")).where("pivot < last").drop("last")
+    met = staged(hot_lookup(at, staged(pivots, "pivots"), ["band"], "size"), "buckets")  # buckets of more than one class
+    texts = staged(rows.select("k", "text").join(met.select("k").distinct(), "k", "left_semi"), "near-texts")
+
+    stars = staged(met.where("k != pivot").select(F.col("pivot").alias("a"), F.col("k").alias("b")).distinct(), "stars")
+    links = verified(stars, texts, percent, shingle)
+    if ties is not None:
+        end = lambda x: member.select(F.col("k").alias(x), F.col("key").alias(f"{x}_key"))
+        links = links.unionByName(ties.join(end("a"), "a").join(end("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
+    first = components(links)
+    rest = _across(met, first, texts, percent, shingle)
+    second = components(rest).select(F.col("node").alias("component"), F.col("component").alias("c2"))
+    final = first.join(second, "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
+    alone = second.select(F.col("component").alias("node"), F.col("c2").alias("component")).join(first.select("node"), "node", "left_anti")
+    label = staged(final.unionByName(alone), "labels")
+    # a class that nothing is linked with is its own component
+    whole = classes.select(F.col("key").alias("node"), "copies").join(label, "node", "left").select(F.col("node").alias("key"), F.coalesce("component", "node").alias("component"), "copies")
+    out = hot_lookup(member, staged(whole, "wholes"), ["key"], "copies").select("k", "component")
+    return prints.select("k", "n_shingles").join(out, "k", "left")
 
 
-def _near_sizes(percent: int):
-    """Sets of such sizes can have the similarity."""
-    return (100 * F.least("na", "nb")) >= (percent * F.greatest("na", "nb"))
+def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Links between the components (a, b) of classes that meet in a bucket."""
+    lab = staged(met.select("band", "k", "n").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
+    split = lab.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("band", "size")
+    opened = staged(hot_lookup(lab, split, ["band"], "size").select("k", "n", "c").distinct(), "open")
+    sets = staged(shingles_of(texts.join(opened.select("k"), "k", "left_semi"), shingle).join(opened, "k"), "open-shingles")
+    # a shingle of one component only can't be shared with another: such come first in the order and are not looked up
+    freq = staged(sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("s", "df", F.col("df").alias("rows")), "shared-shingles")
+    own = Window.partitionBy("k")
+    ranked = hot_lookup(sets, freq, ["s"], "rows").withColumn("r", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "s")))
+    rest = F.col("n") - F.col("r") + 1
+    prefix = staged(ranked.where(100 * rest >= percent * F.col("n")).select("s", "k", "c", "n", "r"), "prefixes")
+    # a partner of size n to n * 100 / percent lies in the same class of sizes or the next
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(101 / percent)).cast("int")
+    probe = prefix.withColumn("g", size).withColumn("small", F.lit(False))
+    small = prefix.where((100 + percent) * rest >= 2 * percent * F.col("n")).withColumn("g", F.explode(F.array(size, size + 1))).withColumn("small", F.lit(True))
+    sides = staged(probe.unionByName(small), "sides")
+    count = lambda which: F.sum(F.when(which, 1).otherwise(0))
+    by = sides.groupBy("s", "g", "c").agg(F.count("*").alias("all"), count(F.col("small")).alias("smalls"))
+    major = by.groupBy("s", "g").agg(F.max(F.struct("all", "c", "smalls")).alias("m"), F.count("*").alias("cs"), F.sum("all").alias("rows"), F.sum("smalls").alias("i"))
+    major = major.where("cs > 1").select("s", "g", F.col("m.c").alias("major"), (F.col("i") - F.col("m.smalls")).alias("i_few"), F.col("m.smalls").alias("i_major"), (F.col("rows") - F.col("i")).alias("p"), (F.col("rows") - F.col("i") - (F.col("m.all") - F.col("m.smalls"))).alias("p_few"), "rows")
+    marked = staged(hot_lookup(sides, staged(major, "majors"), ["s", "g"], "rows"), "marked")
+    cells = lambda n: F.greatest(F.ceil(F.col(n) / CELL), F.lit(1)).cast("int")
+    spread = lambda df, mine, n_mine, theirs, n_theirs: df.withColumn(mine, F.pmod(F.xxhash64("k"), cells(n_mine)).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), cells(n_theirs) - 1)))
+    made = []
+    # small sets outside the major component with all, those inside with what lies outside
+    for mine, theirs, n_mine, n_theirs in (("c != major", "true", "i_few", "p"), ("c = major", "c != major", "i_major", "p_few")):
+        open_cells = marked.where(f"{n_mine} > 0 and {n_theirs} > 0")
+        a = spread(open_cells.where("small").where(mine), "x", n_mine, "y", n_theirs)
+        b = spread(open_cells.where("not small").where(theirs), "y", n_theirs, "x", n_mine)
+        side = lambda df, k: df.select("s", "g", "x", "y", *(F.col(v).alias(f"{v}{k}") for v in ("k", "c", "n", "r")))
+        enough = (100 + percent) * (1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))) >= percent * (F.col("na") + F.col("nb"))
+        pairs = side(a, "a").join(side(b, "b"), ["s", "g", "x", "y"]).where((F.col("ca") != F.col("cb")) & (F.col("na") <= F.col("nb")) & (100 * F.col("na") >= percent * F.col("nb")) & enough)
+        made.append(pairs.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")))
+    pairs = staged(made[0].unionByName(made[1]).distinct(), "open-pairs")
+    of = lambda x: opened.select(F.col("k").alias(x), F.col("c").alias(f"c{x}"))
+    return staged(verified(pairs, texts, percent, shingle).join(of("a"), "a").join(of("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "open-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, bands: int = BANDS, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """id, n_shingles, component_id (the smallest id reachable) and kept of each row."""
-    named = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    prints = staged(fingerprints(named, rows, bands, shingle), "sketches")
-    filled = prints.where("id is not null and n_shingles > 0")
-    # one representative of equal sets; a repeated id may stand in several
-    reps = filled.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("rep"))
-    member = staged(filled.select("id", "f1", "f2", "n_shingles").join(reps, ["f1", "f2", "n_shingles"]).select("id", "rep").distinct(), "members")
-    heads = filled.join(member.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "n_shingles", F.explode("bands").alias("key"))
-    pivots = heads.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").drop("last")
-    # members of buckets that hold more than one document
-    met = staged(heads.join(pivots, "key"), "buckets")
-    sizes = met.select("id", "n_shingles").distinct()
-    texts = staged(named.where("id is not null").join(sizes.select("id").distinct(), "id", "left_semi"), "near-texts")
-
-    stars = met.where("id != pivot").groupBy("pivot", "id").agg(F.min("n_shingles").alias("nb"))
-    stars = stars.join(sizes.select(F.col("id").alias("pivot"), F.col("n_shingles").alias("na")), "pivot").where(_near_sizes(percent))
-    links = staged(verified(stars.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), texts, percent, shingle), "links")
-    # rows of one id in several classes tie these together
-    same_id = member.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    first = components(links.unionByName(same_id))
-
-    rest = _across(met, first, texts, percent, shingle)
-    second = components(rest.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
-    final = first.join(second.select(F.col("node").alias("component"), F.col("component").alias("c2")), "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
-    alone = second.join(first.select("node"), "node", "left_anti")
-    label = final.unionByName(alone).withColumnRenamed("node", "id")
-    out = prints.select("id", "n_shingles").join(label, "id", "left")
-    whole = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), "n_shingles", whole.alias("component_id"), F.coalesce(F.col("id") == whole, F.lit(True)).alias("kept"))
-
-
-def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Links between documents of different components that meet in a bucket: a, b, ca, cb."""
-    lab = met.select("key", "id", "n_shingles").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-    split = lab.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_ids = staged(lab.join(split, "key", "left_semi").select("id", "n_shingles", "c").distinct(), "open")
-    sets = staged(shingles_of(texts.join(open_ids.select("id").distinct(), "id", "left_semi"), shingle).distinct().join(open_ids, "id"), "open-shingles")
-    # a shingle of one component only can't be shared with another: such come first in the order
-    freq = sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    freq = freq.select("s", F.when(F.col("lo") < F.col("hi"), F.col("df")).otherwise(0).alias("df"))
-    ranked = sets.join(freq, "s").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("df", "s")))
-    # an overlap of `percent` of the own set leaves so many places before it must show
-    prefix = ranked.where((100 * (F.col("r") - 1) <= (100 - percent) * F.col("n_shingles")) & (F.col("df") > 0))
-    prefix = staged(prefix.select("s", "id", "c", "r", F.col("n_shingles").alias("n")), "prefixes")
-    big = prefix.groupBy("s", "c").count().groupBy("s").agg(F.max(F.struct(F.col("count"), F.col("c"))).alias("m"), F.count("*").alias("cs")).where("cs > 1").select("s", F.col("m.c").alias("major"))
-    marked = prefix.join(big, "s")
-    side = lambda k: ["s", *(F.col(x).alias(f"{y}{k}") for x, y in (("id", ""), ("c", "c"), ("r", "r"), ("n", "n")))]
-    few, many = marked.where("c != major").select(side("a")), marked.select(side("b"))
-    # what the sets can still share from their first common shingle on
-    enough = (100 + percent) * (1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))) >= percent * (F.col("na") + F.col("nb"))
-    pairs = few.join(many, "s").where((F.col("ca") != F.col("cb")) & enough & _near_sizes(percent)).select("a", "b", "ca", "cb").distinct()
-    pairs = staged(pairs, "open-pairs")
-    return staged(pairs.join(verified(pairs.select("a", "b").distinct(), texts, percent, shingle), ["a", "b"]), "open-links")
+    named = staged(docs.select(F.monotonically_increasing_id().alias("k"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), "near-rows")
+    ids = named.where("id is not null").select("k", "id")
+    many = staged(ids.groupBy("id").agg(F.min("k").alias("b"), F.count("*").alias("n")).where("n > 1"), "repeated-ids")
+    ties = hot_lookup(ids, many, ["id"], "n").where("k != b").select(F.col("k").alias("a"), "b")
+    found = staged(near_groups(named, "id is not null", ties, (rows, bands), percent, shingle).join(named.select("k", "id"), "k"), "near-groups")
+    least = found.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
+    linked = hot_lookup(found.where("component is not null"), least, ["component"], "n")
+    out = linked.drop("component").unionByName(found.where("component is null").drop("component").withColumn("component_id", F.col("id")))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
