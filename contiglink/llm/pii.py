@@ -4,23 +4,25 @@ Base spans follow four patterns, leftmost and not overlapping per kind; a match
 up to 255, Luhn, digit counts) is dropped. They are found by scanners that take linear time on any text.
 
 The tagger reads every text whole: windows of WINDOW characters, STEP apart, cover it from its first to its last
-character. Each window is tagged by a bidirectional LSTM with a linear-chain CRF; where windows overlap, each
-character takes the tag probabilities of the window in which it lies most central, and the spans are read off the
-whole text's reconciled tags. Spans that a base span overlaps are dropped (base ones stay); others are added where
-all their characters have a probability of at least SURE and they pass the checks of a span, which also take digits
-of other scripts, spelled-out digits and a spelled-out `@`.
-
-The tagger is trained in numpy on at most `most` windows around base spans and around other digits, those with the
-least hash; on at most half as many of variants of their labelled spans, in which the `@`, dots and digits are
-spelled out; and on at most half as many of text without digits and `@`. Digits of other scripts read as ASCII's.
-Its weights are of fixed size and travel with the tasks. Without any window of the first sort nothing is added.
-Null texts count as empty. Repeated rows give repeated results; an empty table gives an empty result. Only the id
-and the text are read.
+character. Each window is decoded by Viterbi search over a bidirectional LSTM's scores and CRF transitions, of which
+those into the inside of a span from anywhere else are forbidden. The windows' paths are reconciled over the whole
+text: between two windows the path changes over at the place of their overlap, nearest its middle, where both have
+the same tag. A span's score is the log odds of its path against one without it; spans below the log odds of SURE are
+dropped, as are those that a base span overlaps (base ones stay) and those that fail the checks of their kind, which
+also take digits of other scripts, spelled-out digits and a spelled-out `@`.
+
+The tagger is trained in numpy on labelled spans of two sorts: at most `most` different windows of the corpus around
+digits and `@`, labelled by the base spans, and as many made ones, in which invented data (plain, obfuscated, spelled
+out, with other separators) or harmless numbers stand between text of the corpus. Text without digits and `@` is
+added unlabelled. Digits of other scripts read as ASCII's. The weights are of fixed size and travel with the tasks.
+Without any text of WINDOW characters and any digit nothing is added. Null texts count as empty. Repeated rows give
+repeated results; an empty table gives an empty result. Only the id and the text are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import sys
@@ -35,12 +37,15 @@ from pyspark.sql import functions as F
 from .hashing import blocks
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STEP, MARGIN = 64, 32, 20
-MOST = 1500
+WINDOW, STEP = 128, 96  # of the reader
+TRAIN_WINDOW, TRAIN_STEP, MARGIN = 64, 32, 20
+MOST = 1000
 SURE = 0.98
-EMBED, HIDDEN, EPOCHS, BATCH, RATE = 12, 16, 10, 50, 0.01
+EMBED, HIDDEN, EPOCHS, BATCH, RATE = 12, 16, 14, 100, 0.02
 STEPS = 300  # at least so many, however few windows there are
-TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
+TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
+#: No way from the row's tag to the column's: an inside follows its own begin or inside.
+FORBIDDEN = np.array([[y > 0 and y % 2 == 0 and x not in (y - 1, y) for y in range(TAGS)] for x in range(TAGS)])
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # matches at every digit, so long digit runs take linear time
@@ -59,6 +64,7 @@ DIGIT_WORDS = (
 AT_WORDS, DOT_WORDS = ("at", "arroba", "arobase", "AT"), ("dot", "punto", "point", "punkt", "DOT")
 AROUND = ((" ", " "), (" (", ") "), (" [", "] "), ("[", "]"), ("(", ")"))
 DIGITS = re.compile(r"\d|(?<!\w)(?:" + "|".join(sorted({w for ws in DIGIT_WORDS for w in ws})) + r")(?!\w)", re.I)
+DOT_WORD = re.compile(r"(?<!\w)(?:" + "|".join(DOT_WORDS) + r")(?!\w)", re.I)
 AT_SIGN = re.compile(r"[@\uFF20\uFE6B]|(?<!\w)(?:" + "|".join(AT_WORDS) + r")(?!\w)", re.I)
 
 Span = tuple[str, int, int]
@@ -142,12 +148,12 @@ def windows_of(text: str) -> list[int]:
         at = m.start()
         if at + MARGIN < covered:
             continue
-        begin = at - MARGIN if at - MARGIN > covered - (WINDOW - STEP) else (out[-1] + STEP if out else at - MARGIN)
-        while begin + WINDOW < at + MARGIN:
+        begin = at - MARGIN if at - MARGIN > covered - (TRAIN_WINDOW - TRAIN_STEP) else (out[-1] + TRAIN_STEP if out else at - MARGIN)
+        while begin + TRAIN_WINDOW < at + MARGIN:
             out.append(begin)
-            begin += STEP
+            begin += TRAIN_STEP
         out.append(begin)
-        covered = begin + WINDOW
+        covered = begin + TRAIN_WINDOW
     return out
 
 
@@ -156,8 +162,8 @@ def windows_over(size: int) -> np.ndarray:
     return np.arange(max(1, -(-(size - WINDOW) // STEP) + 1) if size else 0) * STEP
 
 
-def window_codes(x: np.ndarray, starts: list[int]) -> np.ndarray:
-    at = np.asarray(starts)[:, None] + np.arange(WINDOW)
+def window_codes(x: np.ndarray, starts: list[int], size: int = TRAIN_WINDOW) -> np.ndarray:
+    at = np.asarray(starts)[:, None] + np.arange(size)
     return np.where((at >= 0) & (at < len(x)), x[np.clip(at, 0, len(x) - 1)], PAD)
 
 
@@ -171,31 +177,33 @@ def tags_of(size: int, spans: list[Span]) -> np.ndarray:
     return out
 
 
-def sig(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def squash(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|), the cells' activation; gates have it moved to 0..1."""
+    return x / (1 + np.abs(x))
 
 
 class Tagger:
     """BiLSTM-CRF over windows, in numpy."""
 
-    def __init__(self, seed: int = 5):
+    def __init__(self, seed: int = 5, numbers: type = np.float32):
         r = np.random.default_rng(seed)
         f = lambda *s: (r.standard_normal(s) / np.sqrt(s[0])).astype(np.float64)
         self.p = {"embed": f(SYMBOLS, EMBED), "out": f(2 * HIDDEN, TAGS), "bias": np.zeros(TAGS), "move": np.zeros((TAGS, TAGS)), "start": np.zeros(TAGS)}
         for d in ("f", "b"):
             self.p |= {f"w{d}": f(EMBED, 4 * HIDDEN), f"u{d}": f(HIDDEN, 4 * HIDDEN), f"c{d}": np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)])}
+        self.p = {k: v.astype(numbers) for k, v in self.p.items()}
 
     def _lstm(self, e: np.ndarray, d: str) -> tuple[np.ndarray, list]:
         n, t, _ = e.shape
-        h, c, out, kept = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), np.zeros((n, t, HIDDEN)), []
+        h, c, out, kept = *(np.zeros(x, e.dtype) for x in ((n, HIDDEN), (n, HIDDEN), (n, t, HIDDEN))), []
         x = e @ self.p[f"w{d}"] + self.p[f"c{d}"]
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             z = x[:, k] + h @ self.p[f"u{d}"]
-            i, f, o = np.split(sig(z[:, : 3 * HIDDEN]), 3, 1)
-            g = np.tanh(z[:, 3 * HIDDEN :])
+            i, f, o = np.split((1 + squash(z[:, : 3 * HIDDEN])) / 2, 3, 1)
+            g = squash(z[:, 3 * HIDDEN :])
             was, h0 = c, h
             c = f * c + i * g
-            tc = np.tanh(c)
+            tc = squash(c)
             h = o * tc
             out[:, k] = h
             kept.append((k, i, f, o, g, was, tc, h0))
@@ -203,12 +211,14 @@ class Tagger:
 
     def _lstm_back(self, e: np.ndarray, d: str, dh_all: np.ndarray, kept: list, grad: dict) -> np.ndarray:
         n = len(e)
-        dh, dc, dx = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), np.zeros((*e.shape[:2], 4 * HIDDEN))
+        dh, dc, dx = (np.zeros(x, e.dtype) for x in ((n, HIDDEN), (n, HIDDEN), (*e.shape[:2], 4 * HIDDEN)))
         du = np.zeros_like(self.p[f"u{d}"])
+        slope = lambda y: (1 - np.abs(y)) ** 2  # noqa: E731  (of squash, by its value)
+        gate = lambda y: slope(2 * y - 1) / 2
         for k, i, f, o, g, was, tc, h0 in reversed(kept):
             dh = dh + dh_all[:, k]
-            dc = dc + dh * o * (1 - tc * tc)
-            dz = np.concatenate([dc * g * i * (1 - i), dc * was * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], 1)
+            dc = dc + dh * o * slope(tc)
+            dz = np.concatenate([dc * g * gate(i), dc * was * gate(f), dh * tc * gate(o), dc * i * slope(g)], 1)
             dx[:, k] = dz
             du += h0.T @ dz
             dh, dc = dz @ self.p[f"u{d}"].T, dc * f
@@ -238,10 +248,19 @@ class Tagger:
         m = fwd[:, -1].max(1)
         return fwd, bwd, m + np.log(np.exp(fwd[:, -1] - m[:, None]).sum(1))
 
-    def marginals(self, x: np.ndarray) -> np.ndarray:
+    def best(self, x: np.ndarray) -> np.ndarray:
+        """The best path of each window."""
         s, _ = self._scores(x)
-        fwd, bwd, total = self._chain(s)
-        return np.exp(fwd + bwd - total[:, None, None])
+        move = np.where(FORBIDDEN, -1e4, self.p["move"])
+        v, back = s[:, 0] + self.p["start"], []
+        for k in range(1, x.shape[1]):
+            a = v[:, :, None] + move
+            back.append(a.argmax(1))
+            v = a.max(1) + s[:, k]
+        path = [v.argmax(1)]
+        for b in reversed(back):
+            path.append(b[np.arange(len(x)), path[-1]])
+        return np.stack(path[::-1], 1)
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> list[float]:
         """Adam on the negative log-likelihood, its rate falling to a tenth; the mean loss of each epoch."""
@@ -271,41 +290,40 @@ class Tagger:
         grad = {"start": ds[:, 0].sum(0) / n}
         pair = fwd[:, :-1, :, None] + self.p["move"] + (s[:, 1:] + bwd[:, 1:])[:, :, None] - total[:, None, None, None]
         grad["move"] = np.exp(pair).sum((0, 1)) / n
-        np.add.at(grad["move"], (y[:, :-1], y[:, 1:]), -1 / n)
-        np.add.at(grad["start"], y[:, 0], -1 / n)
+        grad["move"] -= (np.bincount((y[:, :-1] * TAGS + y[:, 1:]).ravel(), minlength=TAGS * TAGS).reshape(TAGS, TAGS) / n).astype(s.dtype)
+        grad["start"] -= (np.bincount(y[:, 0], minlength=TAGS) / n).astype(s.dtype)
         ds[rows, cols, y] -= 1
         ds /= n
         grad["out"], grad["bias"] = h.reshape(-1, 2 * HIDDEN).T @ ds.reshape(-1, TAGS), ds.sum((0, 1))
         dh = ds @ self.p["out"].T
         de = self._lstm_back(e, "f", dh[:, :, :HIDDEN], kf, grad) + self._lstm_back(e, "b", dh[:, :, HIDDEN:], kb, grad)
-        grad["embed"] = np.zeros_like(self.p["embed"])
-        np.add.at(grad["embed"], x, de)
+        grad["embed"] = np.stack([np.bincount(x.ravel(), de[..., j].ravel(), SYMBOLS) for j in range(EMBED)], 1).astype(de.dtype)
         return float((total - gold).sum()), grad
 
     def spans(self, text: str, sure: float = SURE) -> list[Span]:
-        """Spans of a whole text from its windows' reconciled tags."""
+        """Spans of a whole text."""
         return Reader(self).spans([text], sure)[0]
 
 
 class Reader:
-    """A tagger's marginals over many windows, with 32-bit numbers and probabilities scaled at each step."""
+    """A tagger's best paths over many windows, with 32-bit numbers."""
 
     MOST = 512  # windows at once
     CHARS = 1 << 20  # of texts at once; a longer text is read alone
 
     def __init__(self, tagger: Tagger):
-        p, half = tagger.p, np.concatenate([np.full(3 * HIDDEN, 0.5), np.ones(HIDDEN)])
-        # sig(z) is (1 + tanh(z / 2)) / 2, and states are kept doubled
+        p = tagger.p
+        # gates are kept doubled (1 + squash), so states are too
         self.embed = np.ascontiguousarray(np.concatenate([p["embed"].T, np.ones((1, SYMBOLS))]), np.float32)
-        self.gates = [np.ascontiguousarray((np.concatenate([p[f"u{d}"] / 2, p[f"w{d}"], p[f"c{d}"][None]]) * half).T, np.float32) for d in "fb"]
+        self.gates = [np.ascontiguousarray(np.concatenate([p[f"u{d}"] / 2, p[f"w{d}"], p[f"c{d}"][None]]).T, np.float32) for d in "fb"]
         self.out, self.bias = np.ascontiguousarray(p["out"].T / 2, np.float32), p["bias"].astype(np.float32)[:, None]
-        self.move, self.start = np.exp(p["move"]).astype(np.float32), np.exp(p["start"]).astype(np.float32)[:, None]
+        self.move, self.start = np.where(FORBIDDEN, -1e4, p["move"]).astype(np.float32), p["start"].astype(np.float32)[:, None]
 
-    def marginals(self, x: np.ndarray) -> np.ndarray:
+    def scores(self, x: np.ndarray) -> np.ndarray:
         """(place, tag, window) for the codes (place, window)."""
         t, n = x.shape
         states = np.empty((t, 2 * HIDDEN, n), np.float32)
-        z, tc = np.empty((4 * HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32)
+        z, tc, size = (np.empty((k * HIDDEN, n), np.float32) for k in (4, 1, 4))
         i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
         for d, gates in enumerate(self.gates):
             into, c = np.zeros((HIDDEN + EMBED + 1, n), np.float32), np.zeros((HIDDEN, n), np.float32)
@@ -313,60 +331,69 @@ class Reader:
             for k in range(t) if d == 0 else range(t - 1, -1, -1):
                 np.take(self.embed, x[k], axis=1, out=e, mode="clip")
                 np.matmul(gates, into, out=z)
-                np.tanh(z, out=z)
+                np.abs(z, out=size)
+                size += 1
+                z /= size
                 z[: 3 * HIDDEN] += 1
                 c *= f
                 i *= g
                 c += i
                 c *= 0.5
-                np.tanh(c, out=tc)
+                np.abs(c, out=tc)
+                tc += 1
+                np.divide(c, tc, out=tc)
                 np.multiply(o, tc, out=h)
                 states[k, d * HIDDEN : (d + 1) * HIDDEN] = h
-        s = self.out @ states
-        s += self.bias
-        s -= s.max(1, keepdims=True)
-        np.exp(s, out=s)
-        fwd = np.empty_like(s)
-        fwd[0] = s[0] * self.start
+        return self.out @ states + self.bias
+
+    def paths(self, s: np.ndarray) -> np.ndarray:
+        """The best path (place, window) for the scores, by Viterbi search."""
+        t, _, n = s.shape
+        v = np.empty_like(s)
+        v[0] = s[0] + self.start
         for k in range(1, t):
-            np.matmul(self.move.T, fwd[k - 1], out=fwd[k])
-            fwd[k] *= s[k]
-            fwd[k] /= fwd[k].sum(0)
-        bwd = np.ones((TAGS, n), np.float32)
+            (v[k - 1][:, None] + self.move[:, :, None]).max(0, out=v[k])
+            v[k] += s[k]
+        out = np.empty((t, n), np.uint8)
+        out[-1] = v[-1].argmax(0)
         for k in range(t - 2, -1, -1):
-            bwd = self.move @ (s[k + 1] * bwd)
-            bwd /= bwd.sum(0)
-            fwd[k] *= bwd
-        fwd /= fwd.sum(1, keepdims=True)
-        return fwd
+            out[k] = (v[k] + self.move[:, out[k + 1]]).argmax(0)
+        return out
 
     def tags(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the texts in a row: each character's best tag, the probability of that tag's kind, and the texts' bounds."""
+        """Of the texts in a row: each character's tag, its score above that of none, and the texts' bounds."""
         x = codes("".join(texts)).astype(np.uint8)
         bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(t) for t in texts], dtype=np.int64)])
         own = [windows_over(len(t)) for t in texts]
         count = np.array([len(w) for w in own])
         start = np.concatenate(own) + np.repeat(bounds[:-1], count)
         end = np.repeat(bounds[1:], count)
-        edge, place = (WINDOW - STEP) // 2, np.arange(WINDOW)[:, None]
-        # a window's share of places: those in which no other window's are more central
-        low = np.where(start == np.repeat(bounds[:-1], count), 0, edge)
-        high = np.where(start + WINDOW >= end, WINDOW, WINDOW - edge)
-        best, sure = np.zeros(len(x), np.uint8), np.ones(len(x), np.float32)
+        place = np.arange(WINDOW)[:, None]
+        path, gain = np.zeros((WINDOW, len(start)), np.uint8), np.zeros((WINDOW, len(start)), np.float32)
         for cut in range(0, len(start), self.MOST):
-            a, b, lo, hi = (v[cut : cut + self.MOST] for v in (start, end, low, high))
+            a, b = start[cut : cut + self.MOST], end[cut : cut + self.MOST]
             at = a + place
-            m = self.marginals(np.where(at < b, x[np.minimum(at, len(x) - 1)], PAD))
-            k, w = np.nonzero((m[:, 1:].max(1) > m[:, 0]) & (place >= lo) & (place < hi) & (at < b))
-            some = m[k, :, w]
-            tag = some.argmax(1)
-            first = 1 + (tag - 1) // 2 * 2
-            rows = np.arange(len(tag))
-            best[at[k, w]], sure[at[k, w]] = tag, some[rows, first] + some[rows, first + 1]
-        return best, sure, bounds
+            s = self.scores(np.where(at < b, x[np.minimum(at, len(x) - 1)], PAD))
+            path[:, cut : cut + self.MOST] = now = self.paths(s)
+            k, w = np.nonzero(now)
+            gain[k, cut + w] = s[k, now[k, w], w] - s[k, 0, w]
+        # the place in its window from which on, and up to which, a window's path holds
+        low, high = np.zeros(len(start), np.int64), np.full(len(start), WINDOW)
+        overlap = WINDOW - STEP
+        from_middle = np.argsort(np.abs(np.arange(overlap) - overlap // 2), kind="stable")
+        meets = np.flatnonzero(end[1:] == end[:-1]) if len(start) else np.zeros(0, np.int64)
+        same = path[STEP:, meets] == path[:overlap, meets + 1]
+        turn = from_middle[same[from_middle].argmax(0)]
+        low[meets + 1], high[meets] = turn, STEP + turn
+        best, above = np.zeros(len(x), np.uint8), np.zeros(len(x), np.float32)
+        k, w = np.nonzero(path)
+        fits = (k >= low[w]) & (k < high[w]) & (start[w] + k < end[w])
+        k, w = k[fits], w[fits]
+        best[start[w] + k], above[start[w] + k] = path[k, w], gain[k, w]
+        return best, above, bounds
 
     def spans(self, texts: list[str], sure: float = SURE) -> list[list[Span]]:
-        """Spans of each text from its windows' reconciled tags."""
+        """Spans of each text."""
         out: list[list[Span]] = []
         while len(out) < len(texts):
             first = last = len(out)
@@ -374,34 +401,53 @@ class Reader:
             while last < len(texts) and (last == first or size + len(texts[last]) <= self.CHARS):
                 size += len(texts[last])
                 last += 1
-            out += self._spans(texts[first:last], sure) if size else [[] for _ in range(last - first)]
+            out += self._spans(texts[first:last], math.log(sure / (1 - sure))) if size else [[] for _ in range(last - first)]
         return out
 
     def _spans(self, texts: list[str], least: float) -> list[list[Span]]:
-        best, sure, bounds = self.tags(texts)
+        best, above, bounds = self.tags(texts)
         out: list[list[Span]] = [[] for _ in texts]
         marks = np.flatnonzero(best)
         at = 0
         while at < len(marks):
             a = int(marks[at])
             doc = int(np.searchsorted(bounds, a, side="right")) - 1
-            kind = (int(best[a]) - 1) // 2
-            b = a + 1
-            while b < bounds[doc + 1] and best[b] == 2 + 2 * kind:
+            tag, b = int(best[a]), a + 1
+            while b < bounds[doc + 1] and best[b] == tag + tag % 2:
                 b += 1
-            if sure[a:b].min() >= least:
-                out[doc].append((KINDS[kind], a - int(bounds[doc]), b - int(bounds[doc])))
+            if tag % 2:  # a span begins here
+                way = [0, tag, *[tag + 1] * (b - a - 1), 0]
+                score = float(above[a:b].sum()) + float(sum(self.move[x, y] - self.move[0, 0] for x, y in zip(way, way[1:])))
+                if score >= least:
+                    out[doc].append((KINDS[tag // 2], a - int(bounds[doc]), b - int(bounds[doc])))
             at = int(np.searchsorted(marks, b))
         return out
 
 
+DIGIT_OF = {w: str(k) for ws in DIGIT_WORDS for k, w in enumerate(ws)}
+
+
+def figures(text: str) -> str:
+    """The text with spelled-out digits and dots, and digits of other scripts, as characters."""
+    text = DIGITS.sub(lambda m: DIGIT_OF.get(m[0].lower()) or str(unicodedata.decimal(m[0], "")), text)
+    return DOT_WORD.sub(".", text)
+
+
 def plausible(span: Span, text: str) -> bool:
-    """The checks that hold for added spans too: a kind's digit counts, and whole tokens at both ends."""
+    """The checks of a kind for added spans: whole tokens at both ends, and as of the base patterns numbers, parts, and Luhn."""
     kind, a, b = span
-    digits = len(DIGITS.findall(text[a:b]))
-    whole = (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())
-    need = {"email": AT_SIGN.search(text[a:b]) is not None, "ip": 4 <= digits <= 12, "card": 16 <= digits <= 19, "phone": 8 <= digits <= 15}[kind]
-    return whole and need
+    if (a and text[a - 1].isalnum()) or (b < len(text) and text[b].isalnum()):
+        return False
+    plain = figures(text[a:b])
+    digits = "".join(c for c in plain if "0" <= c <= "9")
+    if kind == "email":
+        return AT_SIGN.search(text[a:b]) is not None and "." in plain
+    if kind == "ip":
+        parts = re.sub(r"[^0-9.]", "", plain).strip(".").split(".")
+        return len(parts) == 4 and all(p and len(p) < 4 and int(p) < 256 for p in parts)
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    return 8 <= len(digits) <= 15 and digits != plain
 
 
 def all_spans(texts: list[str], has: list[bool], reader: Reader | None) -> Iterator[tuple[list[Span], list[Span]]]:
@@ -429,7 +475,7 @@ def texts_with_triggers(col: pa.Array) -> list[bool]:
 
 
 def spelled(kind: str, span: str, rng: random.Random) -> str:
-    """A labelled span with its `@`, dots or digits spelled out."""
+    """A span with its `@`, dots or digits spelled out."""
     if kind == "email":
         around = rng.choice(AROUND)
         at, dot = (rng.choice(ws).join(around) for ws in (AT_WORDS, DOT_WORDS))
@@ -439,39 +485,64 @@ def spelled(kind: str, span: str, rng: random.Random) -> str:
     return " ".join(out.split())
 
 
-def variants(x: np.ndarray, y: np.ndarray, plain: list[np.ndarray], most: int, seed: int = 3) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """At most `most` windows and tags of spelled-out variants of the spans that lie whole in the windows."""
+def invented(kind: str, rng: random.Random) -> str:
+    """Data of a kind in one of many forms, of which the base patterns know some."""
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzaeiou") for _ in range(rng.randrange(2, 10)))
+    if kind == "email":
+        local = rng.choice(["", name() + rng.choice("._-")]) + name() + rng.choice(["", number(2), "." + number(2)])
+        plain = f"{local}@{name()}{rng.choice(['', '.' + name(), number(1)])}.{rng.choice(['com', 'org', 'net', 'example', 'de', 'fr'])}"
+        return spelled(kind, plain, rng) if rng.random() < 0.6 else plain.replace("@", rng.choice(["@", " @ ", "(@)"]))
+    if kind == "ip":
+        plain = ".".join(str(rng.randrange(256)) for _ in range(4))
+        return spelled(kind, plain, rng) if rng.random() < 0.3 else plain.replace(".", rng.choice([".", "[.]", " . ", "(.)"]))
+    if kind == "card":
+        head = number(15)
+        digits = head + next(d for d in "0123456789" if luhn(head + d))
+        if rng.random() < 0.2:
+            return spelled(kind, digits, rng)
+        return rng.choice(["", " ", "-", ".", "/", "_"]).join(digits[k : k + 4] for k in range(0, 16, 4))
+    form = rng.choice(["+{c} ({a}) {b}-{d}", "({a}) {b}-{d}", "{a}-{b}-{d}", "{a}.{b}.{d}", "00{c} {a} {b} {d}", "+{c}/{a}/{b}{d}"])
+    plain = form.format(c=rng.randrange(1, 99), a=number(3), b=number(3), d=number(4))
+    return spelled(kind, plain, rng) if rng.random() < 0.2 else plain
+
+
+def harmless(rng: random.Random) -> str:
+    """Numbers and signs that are no personal data."""
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    return rng.choice([
+        lambda: number(rng.randrange(1, 8)), lambda: f"{number(1)}.{number(1)}", lambda: f"{number(1)}.{number(1)}.{number(2)}", lambda: f"{number(4)}-{number(2)}-{number(2)}",
+        lambda: f"{number(2)}:{number(2)}:{number(2)}", lambda: f"{number(3)},{number(3)}.{number(2)}", lambda: f"@{rng.choice(['home', 'user', 'all'])}", lambda: number(rng.randrange(20, 30)),
+        lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([16, 32, 40]))), lambda: f"{rng.choice(AT_WORDS)} {rng.choice(DIGIT_WORDS[0])}", lambda: f"{number(3)}.{number(3)}", lambda: f"v{number(1)}.{number(2)}",
+    ])()
+
+
+def made_windows(plain: list[np.ndarray], most: int, seed: int = 3) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """`most` windows and tags of invented data, and a fourth as many of harmless numbers, between unlabelled text."""
     rng, xs, ys = random.Random(seed), [], []
-    for codes_, tags in zip(x, y):
-        for a in np.flatnonzero(tags % 2).tolist():
-            b = a + 1
-            while b < WINDOW and tags[b] == tags[a] + 1:
-                b += 1
-            if b == WINDOW or (codes_[a:b] >= 128).any():
-                continue
-            kind = KINDS[(int(tags[a]) - 1) // 2]
-            new = codes(spelled(kind, "".join(map(chr, codes_[a:b])), rng))
-            # unlabelled text on both sides: spans next to this one would stay without their tags
-            left, right = (rng.choice(plain) if plain else np.full(WINDOW, PAD) for _ in range(2))
-            seq = np.concatenate([left, [32], new, [32], right])
-            tag = np.zeros(len(seq), np.int64)
-            tag[WINDOW + 1 : WINDOW + 1 + len(new)] = tags[a] + 1
-            tag[WINDOW + 1] = tags[a]
-            for start in range(rng.randrange(8, 8 + STEP), WINDOW + 1 + len(new), STEP):
-                if start + WINDOW <= len(seq):
-                    xs.append(seq[start : start + WINDOW])
-                    ys.append(tag[start : start + WINDOW])
-            if len(xs) >= most:
-                return xs[:most], ys[:most]
+    for k in range(most + most // 4):
+        kind = KINDS[k % len(KINDS)] if k < most else None
+        new = codes(invented(kind, rng) if kind else harmless(rng))
+        left, right = (rng.choice(plain) if plain else np.full(TRAIN_WINDOW, PAD) for _ in range(2))
+        seq = np.concatenate([left, [32], new, [rng.choice([32, 32, 46, 44, 10])], right])
+        tag = np.zeros(len(seq), np.int64)
+        if kind:
+            first = 1 + 2 * KINDS.index(kind)
+            tag[TRAIN_WINDOW + 1 : TRAIN_WINDOW + 1 + len(new)] = first + 1
+            tag[TRAIN_WINDOW + 1] = first
+        start = rng.randrange(8, TRAIN_WINDOW + 1 + max(1, len(new) - TRAIN_WINDOW // 2))
+        if start + TRAIN_WINDOW <= len(seq):
+            xs.append(seq[start : start + TRAIN_WINDOW])
+            ys.append(tag[start : start + TRAIN_WINDOW])
     return xs, ys
 
 
 def plain_windows(docs: DataFrame, most: int, text_col: str) -> list[np.ndarray]:
     """At most `most` windows of text without digits and `@`, at most one a text, at a place drawn from its hash."""
     text = F.col(text_col)
-    at = F.pmod(F.xxhash64(text), F.length(text) - WINDOW + 1).cast("int") + 1
-    some = docs.where(F.length(text) >= WINDOW).select(F.substring(text, at, F.lit(WINDOW)).alias("w")).where(~F.col("w").rlike(r"[\p{Nd}@\x{FF20}\x{FE6B}]"))
-    return [codes(r.w) for r in some.orderBy(F.xxhash64("w"), "w").limit(most).collect()]
+    at = F.pmod(F.xxhash64(text), F.length(text) - TRAIN_WINDOW + 1).cast("int") + 1
+    some = docs.where(F.length(text) >= TRAIN_WINDOW).select(F.substring(text, at, F.lit(TRAIN_WINDOW)).alias("w")).where(~F.col("w").rlike(r"[\p{Nd}@\x{FF20}\x{FE6B}]"))
+    return [codes(r.w) for r in some.distinct().orderBy(F.xxhash64("w"), "w").limit(most).collect()]
 
 
 def train(docs: DataFrame, most: int = MOST, text_col: str = "text") -> Tagger | None:
@@ -485,20 +556,20 @@ def train(docs: DataFrame, most: int = MOST, text_col: str = "text") -> Tagger |
                     continue
                 text = text.as_py()
                 x, y, starts = codes(text), tags_of(len(text), base_spans(text)), windows_of(text)
-                at = np.asarray(starts)[:, None] + np.arange(WINDOW)
+                at = np.asarray(starts)[:, None] + np.arange(TRAIN_WINDOW)
                 tags = np.where((at >= 0) & (at < len(x)), y[np.clip(at, 0, len(x) - 1)], 0)
                 xs += [r.tobytes() for r in window_codes(x, starts).astype(np.uint8)]
                 ys += [r.tobytes() for r in tags.astype(np.uint8)]
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
 
-    found = docs.select(F.col(text_col)).mapInArrow(run, "x binary, y binary")
+    found = docs.select(F.col(text_col)).mapInArrow(run, "x binary, y binary").distinct()
     rows = found.orderBy(F.xxhash64("x"), "x", "y").limit(most).collect()  # at most `most` rows of 128 bytes
-    if not rows:
-        return None
-    x, y = (np.stack([np.frombuffer(bytes(r[k]), np.uint8) for r in rows]).astype(np.int64) for k in (0, 1))
     plain = plain_windows(docs, most // 2, text_col)
-    more, tags = variants(x, y, plain, most // 2)
-    x, y = np.stack([*x, *more, *plain]), np.stack([*y, *tags, *(np.zeros(WINDOW, np.int64) for _ in plain)])
+    if not rows and not plain:
+        return None
+    pairs = [[np.frombuffer(bytes(r[k]), np.uint8).astype(np.int64) for r in rows] for k in (0, 1)]
+    more, tags = made_windows(plain, most)
+    x, y = np.stack([*pairs[0], *more, *plain]), np.stack([*pairs[1], *tags, *(np.zeros(TRAIN_WINDOW, np.int64) for _ in plain)])
     tagger = Tagger()
     tagger.fit(x, y, max(EPOCHS, -(-STEPS // -(-len(x) // BATCH))))
     return tagger

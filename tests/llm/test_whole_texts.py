@@ -1,8 +1,9 @@
-"""The tagger reads whole texts, and finds personal data without ASCII digits and `@`."""
+"""The tagger reads whole texts, decodes by legal paths, and finds personal data that the base patterns miss."""
 
 import random
 
 import numpy as np
+import pytest
 from test_llm import docs, sample
 
 from contiglink.llm import pii
@@ -10,44 +11,79 @@ from contiglink.llm import pii
 
 def test_reader_equals_the_tagger():
     t = pii.Tagger()
-    t.p["embed"] *= 3
+    t.p = {k: v * (3 if k in ("embed", "out") else 1) for k, v in t.p.items()}
     text = "".join(random.Random(4).choice("ab .@1é٣") for _ in range(333))
     x, starts = pii.codes(text), pii.windows_over(len(text)).tolist()
-    want = t.marginals(pii.window_codes(x, starts))
-    got = pii.Reader(t).marginals(pii.window_codes(x, starts).T).transpose(2, 0, 1)
-    assert np.abs(want - got).max() < 1e-4
-    # reconciled: each character has the tags of the window in which it lies most central
-    best, sure, _ = pii.Reader(t).tags(["", text, text[:50]])
+    windows = pii.window_codes(x, starts, pii.WINDOW)
+    want, reader = t.best(windows), pii.Reader(t)
+    assert (reader.paths(reader.scores(windows.T)).T == want).mean() > 0.99  # but for ties in 32 bits
+    assert all(not pii.FORBIDDEN[a, b] for w in want for a, b in zip(w, w[1:]))
+    # reconciled: every character has the tag of one of its windows
+    best, _, bounds = reader.tags(["", text, text[:50]])
+    assert bounds.tolist() == [0, 0, 333, 383]
     for i in range(len(text)):
-        w = max((k for k, a in enumerate(starts) if a <= i < a + pii.WINDOW), key=lambda k: min(i - starts[k], starts[k] + pii.WINDOW - 1 - i))
-        m = want[w][i - starts[w]]
-        if np.diff(np.sort(m)[-2:])[0] > 1e-3:
-            assert best[i] == m.argmax()
+        assert best[i] in {want[k][i - a] for k, a in enumerate(starts) if a <= i < a + pii.WINDOW}
+
+
+def test_best_path_is_the_best():
+    import itertools
+
+    t = pii.Tagger(numbers=np.float64)
+    x = np.random.default_rng(1).integers(0, pii.SYMBOLS, (3, 3))
+    s, _ = t._scores(x)
+    for w, got in enumerate(t.best(x)):
+        legal = [p for p in itertools.product(range(pii.TAGS), repeat=3) if not any(pii.FORBIDDEN[a, b] for a, b in zip(p, p[1:]))]
+        score = lambda p: t.p["start"][p[0]] + sum(s[w, k, y] for k, y in enumerate(p)) + sum(t.p["move"][a, b] for a, b in zip(p, p[1:]))  # noqa: E731,B023
+        assert tuple(got) == max(legal, key=score)
 
 
 def test_windows_cover_whole_texts():
-    for n in (0, 1, 63, 64, 65, 96, 97, 1000):
+    for n in (0, 1, 127, 128, 129, 224, 225, 1000):
         got = {i for a in pii.windows_over(n) for i in range(a, a + pii.WINDOW) if i < n}
         assert got == set(range(n)), n
 
 
-def test_spelled_out_data_is_found(spark):
-    r = random.Random(8)
-    name = lambda n: "".join(r.choice("abcdefghilmnorstu") for _ in range(n))
-    mail = lambda: f"{name(5)}.{name(4)}@{name(6)}.com"
-    words = [w for w in sample(400, 3) if len(w) > 80]
-    train = [f"{r.choice(words)[:60]} {mail()} {r.choice(words)[:60]} +1 ({r.randrange(100, 999)}) 555-{r.randrange(1000, 9999)} end" for _ in range(750)]
-    tagger = pii.train(docs(spark, train + words))
-    hidden = [f"{r.choice(words)[:60]} {name(5)} dot {name(4)} at {name(6)} dot com {r.choice(words)[:60]}" for _ in range(40)]
-    arabic = [f"{r.choice(words)[:60]} +1 (555) 555-{k} {r.choice(words)[:60]}".translate({48 + d: 0x660 + d for d in range(10)}) for k in range(1000, 1040)]
-    df = docs(spark, hidden + arabic + words)
-    got = pii.find_personal_data(df, tagger).collect()
-    n = len(hidden)
-    added = {x.doc_id: x.n_added for x in got}
-    for group in (hidden, arabic):
-        assert sum(any(pii.plausible(s, t) for s in found) for t, found in zip(group, pii.Reader(tagger).spans(group, 0.5))) > n / 4
-    # few of them are as sure as SURE
-    assert any(added[i] for i in range(2 * n))
-    assert sum(added[i] > 0 for i in range(2 * n, 2 * n + len(words))) <= len(words) / 20
-    clean = {x.doc_id: x.text for x in pii.redact_column(df, tagger).collect()}
-    assert all((clean[i] != t) == (added[i] > 0) for i, t in enumerate(hidden + arabic))
+@pytest.fixture(scope="module")
+def tagger(spark):
+    return pii.train(docs(spark, plain_texts()))
+
+
+def plain_texts():
+    return [w for w in sample(500, 3) if len(w) > 80]
+
+
+def held_out(n=240, seed=99):
+    """Texts with one invented span each, and the spans."""
+    r, plain = random.Random(seed), plain_texts()
+    for k in range(n):
+        kind = pii.KINDS[k % len(pii.KINDS)]
+        left, new = r.choice(plain)[:90] + " ", pii.invented(kind, r)
+        yield left + new + " " + r.choice(plain)[:90], (kind, len(left), len(left) + len(new))
+
+
+def test_held_out_spans(spark, tagger):
+    cases = list(held_out())
+    missed = [(t, s) for t, s in cases if s not in pii.base_spans(t)]
+    got = {x.doc_id: x for x in pii.find_personal_data(docs(spark, [t for t, _ in missed]), tagger).collect()}
+    found = [f"{k}:{a}:{b}" in got[i].spans.split(",") for i, (_, (k, a, b)) in enumerate(missed)]
+    added = sum(x.n_added for x in got.values())
+    assert sum(found) > 0.25 * len(missed) and sum(found) >= 0.9 * added, (sum(found), added, len(missed))
+    clean = {x.doc_id: x.text for x in pii.redact_column(docs(spark, [t for t, _ in missed]), tagger).collect()}
+    assert all(not hit or f"[{s[0].upper()}]" in clean[i] for i, ((_, s), hit) in enumerate(zip(missed, found)))
+
+
+def test_clean_texts_stay(spark, tagger):
+    r, plain = random.Random(5), plain_texts()
+    texts = plain + [f"{p[:90]} {pii.harmless(r)} {p[:50]}" for p in plain]
+    got = pii.find_personal_data(docs(spark, texts), tagger)
+    assert got.where("n_added > 0").count() <= len(texts) / 100
+
+
+def test_long_texts(tagger):
+    r, plain = random.Random(6), plain_texts()
+    text = " ".join(r.choice(plain) for _ in range(12_000))
+    assert len(text) > 2_000_000
+    at = len(text) // 2
+    found = pii.Reader(tagger).spans([text[:at] + " mary.lee at example dot com " + text[at:]], 0.5)[0]
+    assert any(a <= at + 2 and b >= at + 26 for _, a, b in found) or len(found) < 50
+    assert pii.Reader(tagger).spans(["a" * 300_000])[0] == []
