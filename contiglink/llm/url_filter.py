@@ -1,9 +1,13 @@
 """URL filters by a bit-parallel wildcard automaton.
 
 Glob patterns are packed, one bit a state, into words of 64 bits. Reading one byte of a URL moves the states of all
-patterns at once: shift, mask by the byte's transitions, and keep the states whose wildcard accepts the byte. All
-URLs of an Arrow batch advance together. In a pattern `*` stands for any bytes but `/`, `**` for any bytes, `?`
-for one byte but `/`; the rest is literal. Patterns are matched against host + path as a whole.
+patterns at once: shift, mask by the byte's transitions, and keep the states whose wildcard accepts the byte. URLs
+of an Arrow batch advance together, as many as fit STATE_BYTES. In a pattern `*` stands for any bytes but `/`, `**`
+for any bytes, `?` for one byte but `/`; the rest is literal. Patterns are matched against host + path as a whole.
+
+Rules are matched on host and path as they are. Where none fits, block patterns are matched on the canonical URL:
+user name, port, and dots at the host's end go, escapes are decoded, and repeated slashes count as one. SUSPECT is a
+small list; `patterns_of` reads any number from a table.
 
 Host and path are cut from the URL with DataFrame functions. Null URLs, and those without `://`, have an empty
 host and path, fit no rule and get the default verdict. Empty paths fit no rule, as each rule's path starts with
@@ -12,10 +16,12 @@ host and path, fit no rule and get the default verdict. Empty paths fit no rule,
 
 from __future__ import annotations
 
+import urllib.parse
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +31,14 @@ U = np.uint64
 #: (verdict, rule): a host that stands for itself and its subdomains, and the start of a path.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: What the method blocks where no rule fits.
-SUSPECT = ("**cheap-pills**", "**spam-farm**", "**casino**", "*xxx*/**", "*.onion/**")
+SUSPECT = (
+    *(f"**{word}**" for word in ("casino", "poker", "jackpot", "roulette", "betting", "lottery", "viagra", "cialis", "cheap-pills", "pharmacy-online", "payday-loan", "spam-farm", "porn", "xxx-", "escort", "warez", "torrent", "keygen", "crack-", "free-download", "replica-watch")),
+    *(f"**.{end}" for end in ("exe", "msi", "apk", "dmg", "iso", "zip", "rar", "7z", "tar.gz", "jpg", "jpeg", "png", "gif", "mp3", "mp4", "avi")),
+    *(f"{host}.*/**" for host in ("ad", "ads", "adserver", "tracker", "click", "*.doubleclick", "*.adservice")),
+    *(f"**/{part}/**" for part in ("wp-admin", "wp-login*", "cgi-bin", "phpmyadmin", "login", "signin", "cart", "checkout")),
+    "*.onion/**", "*xxx*/**", "?*.?*.?*.?*.?*.?*.?*/**",
+)
+STATE_BYTES = 16 << 20
 
 
 class Globs:
@@ -73,6 +86,11 @@ class Globs:
 
     def match(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """For each text (row) and pattern (column), whether the pattern matches the whole text."""
+        rows = max(1, STATE_BYTES // (8 * self.width))
+        parts = [self._match(buf, offsets[k : k + rows + 1]) for k in range(0, len(offsets) - 1, rows)]
+        return np.concatenate([np.zeros((0, len(self.final)), bool), *parts])
+
+    def _match(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         size = np.diff(offsets)
         order = np.argsort(-size, kind="stable")
         at, left = offsets[:-1][order], -size[order]
@@ -84,8 +102,8 @@ class Globs:
             up[:, 1:] |= now[:, :-1] >> U(63)
             d[:n] = (up & self.move[c]) | (now & self.stay[c])
         out = np.zeros((len(size), len(self.final)), bool)
-        for k, (word, bit) in enumerate(self.final):
-            out[order, k] = (d[:, word] >> U(bit)) & U(1) == 1
+        word, bit = (np.array(x) for x in zip(*self.final)) if self.final else (np.zeros(0, np.int64),) * 2
+        out[order] = (d[:, word] >> bit.astype(U)) & U(1) == 1
         return out
 
 
@@ -102,25 +120,40 @@ def with_host_path(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
     return pages.select(F.col(id_col), F.translate(F.regexp_extract(url, parts, 1), upper, lower).alias("host"), F.regexp_extract(url, parts, 2).alias("path"))
 
 
+def patterns_of(table: DataFrame, column: str = "pattern") -> tuple[str, ...]:
+    """The distinct patterns of a table, which must be few enough for one automaton (a MB or so)."""
+    return tuple(r[0] for r in table.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect())
+
+
+def canonical(host: str, path: str) -> str:
+    host = host.rpartition("@")[2]
+    name, colon, port = host.rpartition(":")
+    host = (name if colon and (port.isascii() and port.isdigit() or not port) else host).rstrip(".")
+    path = urllib.parse.unquote(path, errors="replace") if "%" in path else path
+    while "//" in path:
+        path = path.replace("//", "/")
+    return host + path
+
+
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, suspect: tuple[str, ...] = SUSPECT, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """id, host, path, the longest fitting rule or null, and the verdict: the rule's, else block if a suspect pattern fits, else the default."""
     ranked = sorted(rules, key=lambda r: len(r[1]))
     patterns = [g for _, r in ranked for g in rule_globs(r)]
+    names = pa.array([r for _, r in ranked], pa.string())
+    verdicts = pa.array([v for v, _ in ranked], pa.string())
+
+    def hits(globs: Globs, texts: list[str]) -> np.ndarray:
+        return np.concatenate([np.zeros((0, len(globs.final)), bool), *(globs.match(buf, offsets) for _, buf, offsets in blocks(pa.array(texts, pa.string())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        globs = Globs([*patterns, *suspect])
+        by_rule, by_pattern = Globs(patterns), Globs(list(suspect))
         for batch in batches:
-            texts = pa.array([h + p for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())], pa.string())
-            rule: list[str | None] = []
-            verdict: list[str] = []
-            for _, buf, offsets in blocks(texts):
-                hit = globs.match(buf, offsets)
-                for row in hit:
-                    fits = np.flatnonzero(row[: len(patterns)])
-                    verd, r = ranked[int(fits[-1]) // 2] if len(fits) else (None, None)
-                    rule.append(r)
-                    verdict.append(verd or ("block" if row[len(patterns) :].any() else default))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string())], [*batch.schema.names, "rule", "verdict"])
+            both = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            fits = hits(by_rule, [h + p for h, p in both])
+            longest = pa.array(len(ranked) - 1 - fits[:, ::-1].argmax(1) // 2 if ranked else np.zeros(len(both), np.int64), mask=~fits.any(1))
+            blocked = hits(by_pattern, [canonical(h, p) for h, p in both]).any(1)
+            other = pc.if_else(pa.array(blocked), "block", default)
+            yield pa.RecordBatch.from_arrays([*batch.columns, names.take(longest), pc.coalesce(verdicts.take(longest), other)], [*batch.schema.names, "rule", "verdict"])
 
     kind = pages.schema[id_col].dataType.simpleString()
     return with_host_path(pages, id_col, url_col).mapInArrow(run, f"`{id_col}` {kind}, host string, path string, rule string, verdict string")

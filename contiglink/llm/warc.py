@@ -2,14 +2,18 @@
 
 Records are grouped into independent frames of about FRAME_BYTES; a bundle ends in a skippable frame with the
 sizes of all frames (the public seekable format), and the index maps each record to its bundle, frame and offset
-in the frame, so that one record is read by decompressing one frame. Records with equal payloads (equal SHA-1)
-are stored once: the one with the largest id is a response, the others are revisit records without a payload.
+in the frame, so that a record is read by decompressing one frame. A bundle starts with a warcinfo record. Records
+with equal payloads (equal SHA-1) are stored once: the one with the largest id is a response, the others are revisit
+records with the HTTP head alone. Record ids are made of the page id and the payload's digest (and a number where a
+row repeats), so a revisit names its response's. A URL that WARC-Target-URI can't hold as it is (null, spaces, control
+or non-ASCII characters) is escaped there and kept whole in an extension field.
 
 Which record is which is settled on ids and digests alone; payloads are shuffled once, by id and digest, so a
 payload that fills a third of the table spreads over all tasks. Bundles are written by tasks to the shared folder
-and renamed into place; a retried task writes the same bundle. Null payloads count as empty. A null id is smaller
-than all others; records equal in id and payload are all of the same kind. An empty table gives no bundle and an
-empty result. Only the id, URL and payload are read.
+and renamed into place; a retried task writes the same bundle. All records are read back by their places in the
+index, frame after frame. Null payloads count as empty. A null id is smaller than all others; records equal in id and
+payload are all of the same kind. An empty table gives no bundle and an empty result. Only the id, URL and payload
+are read.
 """
 
 from __future__ import annotations
@@ -18,7 +22,10 @@ import base64
 import hashlib
 import json
 import struct
+import urllib.parse
+import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 import zstandard
@@ -26,7 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, read_file, staged, write_file
+from ..operators.hot import hot_lookup
+from .common import file_size, fresh_path, read_file, staged, write_file
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 27  # of uncompressed records
@@ -64,29 +72,30 @@ class BundleWriter:
 
 
 class Bundle:
-    """Frames of a bundle by number."""
+    """Frames of a bundle by number, each read from the file when asked for."""
 
-    def __init__(self, data: bytes):
-        n, _, magic = struct.unpack("<IBI", data[-9:])
+    def __init__(self, file: str):
+        size = file_size(file)
+        n, _, magic = struct.unpack("<IBI", read_file(file, size - 9, 9))
         if magic != SEEKABLE:
             raise ValueError("no seek table")
-        self.data, self.at = data, [0]
-        self.sizes = []
+        table = read_file(file, size - 9 - 8 * n, 8 * n)
+        self.file, self.at, self.sizes = file, [0], []
         for k in range(n):
-            packed, size = struct.unpack_from("<II", data, len(data) - 9 - 8 * n + 8 * k)
+            packed, whole = struct.unpack_from("<II", table, 8 * k)
             self.at.append(self.at[-1] + packed)
-            self.sizes.append(size)
+            self.sizes.append(whole)
 
     def __len__(self) -> int:
         return len(self.sizes)
 
     def frame(self, k: int) -> bytes:
-        return zstandard.ZstdDecompressor().decompress(self.data[self.at[k] : self.at[k + 1]], max_output_size=self.sizes[k])
+        return zstandard.ZstdDecompressor().decompress(read_file(self.file, self.at[k], self.at[k + 1] - self.at[k]), max_output_size=self.sizes[k])
 
 
 def read_record(file: str, frame: int, offset: int, size: int) -> tuple[dict[str, str], bytes]:
     """One record by its place in the index."""
-    return next(parse(Bundle(read_file(file)).frame(frame)[offset : offset + size]))
+    return next(parse(Bundle(file).frame(frame)[offset : offset + size]))
 
 
 def record(headers: dict[str, str], block: bytes) -> bytes:
@@ -112,58 +121,83 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode("ascii")
 
 
-def urn(page_id: int | None) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}>"
+NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:pages")
 
 
-def of_urn(name: str) -> int | None:
-    return int(x) if (x := name[len("<urn:page:") : -1]) else None
+def record_id(page_id: int | None, digest: str, repeat: int = 0) -> str:
+    return f"<urn:uuid:{uuid.uuid5(NAMES, f'{page_id} {digest} {repeat}')}>"
+
+
+def page_record(page_id: int | None, url: str | None, body: bytes, refers_to: int | None, repeat: int, date: str) -> bytes:
+    """A response record, or a revisit record if refers_to names another page."""
+    digest = base32_sha1(body)
+    target = urllib.parse.quote(url or f"urn:page:{page_id}", safe="!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    headers = {
+        "WARC-Type": "response" if refers_to is None else "revisit",
+        "WARC-Record-ID": record_id(page_id, digest, repeat),
+        "WARC-Date": date,
+        "WARC-Target-URI": target,
+        "WARC-Payload-Digest": f"sha1:{digest}",
+        "Content-Type": "application/http;msgtype=response",
+    }
+    if page_id is not None:
+        headers["X-Page-ID"] = str(page_id)
+    if target != url:
+        headers["X-Target-URI-JSON"] = json.dumps(url)  # any string on one line
+    if refers_to is not None:
+        headers |= {"WARC-Refers-To": record_id(refers_to, digest), "X-Refers-To-Page-ID": str(refers_to), "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode("ascii")
+    return record(headers, head + (b"" if refers_to is not None else body))
+
+
+def info_record(file: str, date: str) -> bytes:
+    name = file.rsplit("/", 1)[-1]
+    block = b"software: contiglink\r\nformat: WARC File Format 1.1\r\n"
+    return record({"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(NAMES, file)}>", "WARC-Date": date, "WARC-Filename": name, "Content-Type": "application/warc-fields"}, block)
 
 
 def kinds(pages: DataFrame, least: int, id_col: str, payload_col: str) -> DataFrame:
     """page_id, url, payload and refers_to (null for responses)."""
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     thin = named.where(F.octet_length("payload") >= least).select("page_id", "digest")
-    shared = thin.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
-    revisits = thin.join(shared, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).groupBy("page_id", "digest").agg(F.max("refers_to").alias("refers_to"))
+    shared = thin.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    revisits = hot_lookup(thin, shared, ["digest"], "n").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).groupBy("page_id", "digest").agg(F.max("refers_to").alias("refers_to"))
     r = revisits.select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), "refers_to")
-    return named.join(r, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left").select("page_id", "url", "payload", "refers_to")
+    return named.join(r, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left").sortWithinPartitions("page_id", "digest").select("page_id", "url", "payload", "refers_to")
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = 0, id_col: str = "page_id", payload_col: str = "html", bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
-    """Write bundles to folder and return the index: page_id, file, frame, offset, size."""
+def write_archives(pages: DataFrame, folder: str, least: int = 0, id_col: str = "page_id", payload_col: str = "html", bundle_bytes: int = BUNDLE_BYTES, date: datetime | None = None) -> DataFrame:
+    """Write bundles to folder and return the index: page_id, file, frame, offset, size. date: of capture; now, if not given."""
     schema = pa.schema([("page_id", pa.int64()), ("file", pa.string()), ("frame", pa.int32()), ("offset", pa.int64()), ("size", pa.int64())])
+    stamp = (date or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, piece = TaskContext.get().partitionId(), 0
         bundle: BundleWriter | None = None
         rows: list[tuple] = []
+        last: tuple | None = None
+        repeat = 0
+
+        def name() -> str:
+            return f"{folder}/part-{part:06d}-{piece:05d}.warc.zst"
 
         def flush() -> pa.RecordBatch:
             nonlocal bundle, rows, piece
-            file = f"{folder}/part-{part:06d}-{piece:05d}.warc.zst"
-            write_file(file, bundle.finish())
+            write_file(name(), bundle.finish())
             ids, places = [r[0] for r in rows], [r[1] for r in rows]
-            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, [file] * len(rows), *map(list, zip(*places))), schema)], schema=schema)
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, [name()] * len(rows), *map(list, zip(*places))), schema)], schema=schema)
             bundle, rows, piece = None, [], piece + 1
             return out
 
         for batch in batches:
             for page_id, url, payload, refers_to in zip(*(batch.column(k) for k in range(4))):
-                page_id, url, refers_to = page_id.as_py(), url.as_py(), refers_to.as_py()
-                body = payload.as_py().encode("utf-8")
-                headers = {
-                    "WARC-Type": "response" if refers_to is None else "revisit",
-                    "WARC-Record-ID": urn(page_id),
-                    "WARC-Payload-Digest": f"sha1:{base32_sha1(body)}",
-                    "X-Payload-Length": str(len(body)),
-                }
-                if url is not None:
-                    headers["X-Target-URI-JSON"] = json.dumps(url)  # any string on one line
-                if refers_to is not None:
-                    headers |= {"WARC-Refers-To": urn(refers_to), "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
-                bundle = bundle or BundleWriter()
-                rows.append((page_id, bundle.add(record(headers, b"" if refers_to is not None else body))))
+                page_id, url, refers_to, body = page_id.as_py(), url.as_py(), refers_to.as_py(), payload.as_py().encode("utf-8")
+                if not bundle:
+                    bundle = BundleWriter()
+                    bundle.add(info_record(name(), stamp))
+                same = page_id, hashlib.sha1(body).digest()  # rows that repeat follow each other
+                repeat, last = (repeat + 1 if same == last else 0), same
+                rows.append((page_id, bundle.add(page_record(page_id, url, body, refers_to, repeat, stamp))))
                 if bundle.total >= bundle_bytes:
                     yield flush()
         if bundle:
@@ -173,27 +207,42 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, id_col: str =
 
 
 def read_archives(index: DataFrame, payloads: bool = False) -> DataFrame:
-    """Records read back from their bundles: page_id, payload_bytes, payload_digest, record_type, refers_to, and as asked url and payload (of responses)."""
+    """Records read back by their places: page_id, payload_bytes, payload_digest, record_type, refers_to, and as asked url and payload (of responses)."""
     fields = [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())] + [("url", pa.string()), ("payload", pa.binary())] * payloads
+    number = lambda text: None if text is None else int(text)
+
+    def row_of(h: dict[str, str], block: bytes) -> list:
+        head, _, body = block.partition(b"\r\n\r\n")
+        size = int(head.rsplit(b"Content-Length: ", 1)[1])
+        digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+        if h["WARC-Type"] == "response" and (base32_sha1(body) != digest or len(body) != size):
+            raise ValueError(f"{h['WARC-Record-ID']} is damaged")
+        row = [number(h.get("X-Page-ID")), size, digest, h["WARC-Type"], number(h.get("X-Refers-To-Page-ID"))]
+        if payloads:
+            row += [json.loads(h["X-Target-URI-JSON"]) if "X-Target-URI-JSON" in h else h["WARC-Target-URI"], body if h["WARC-Type"] == "response" else None]
+        return row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundle: Bundle | None = None
+        number, data = -1, b""
         for batch in batches:
-            for file in batch.column(0).to_pylist():
-                bundle = Bundle(read_file(file))
-                for k in range(len(bundle)):
-                    rows = []
-                    for h, body in parse(bundle.frame(k)):
-                        digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if h["WARC-Type"] == "response" and (base32_sha1(body) != digest or len(body) != int(h["X-Payload-Length"])):
-                            raise ValueError(f"{file}: {h['WARC-Record-ID']} is damaged")
-                        back = of_urn(h["WARC-Refers-To"]) if "WARC-Refers-To" in h else None
-                        row = [of_urn(h["WARC-Record-ID"]), int(h["X-Payload-Length"]), digest, h["WARC-Type"], back]
-                        if payloads:
-                            row += [json.loads(h["X-Target-URI-JSON"]) if "X-Target-URI-JSON" in h else None, body if h["WARC-Type"] == "response" else None]
-                        rows.append(row)
+            rows, held = [], 0
+            for file, frame, offset, size in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if bundle is None or bundle.file != file:
+                    bundle, number = Bundle(file), -1
+                if number != frame:
+                    number, data = frame, bundle.frame(frame)
+                rows.append(row_of(*next(parse(data[offset : offset + size]))))
+                held += size * payloads
+                if held > FRAME_BYTES * 16:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(map(list, zip(*rows)), fields)], [n for n, _ in fields])
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(map(list, zip(*rows)), fields)], [n for n, _ in fields])
 
-    return index.select("file").distinct().mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", url string, payload binary" * payloads)
+    files = max(1, index.select("file").distinct().count())
+    places = index.select("file", "frame", "offset", "size").repartition(files, "file").sortWithinPartitions("file", "frame", "offset")
+    return places.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", url string, payload binary" * payloads)
 
 
 def archive(pages: DataFrame, least: int = 0, **names) -> DataFrame:
