@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fm_index, minhash, nb_svm, pii, quality_rules, sharding, token_files, url_filter, warc
+from . import bpe, fm_index, minhash, nb_svm, oracle, pii, quality_rules, sharding, token_files, url_filter, warc
 from .common import table
 
 
@@ -37,7 +37,7 @@ def op6_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fm_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return fm_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,4 +57,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
