@@ -2,42 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..sources.staging import Scratch, staged
+from .hot import hot_lookup
+
 MAX_ROUNDS = 60
+LARGE = 2_000_000  # edges from which on hubs get a plan of their own
 
 
-def connected_components(edges: DataFrame, src: str, dst: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """node, component: the smallest node reachable, for every node that an edge names.
 
     Alternating large stars and small stars (Kiveris et al., 2014): each round links a node's larger neighbours, then
-    its smaller ones, to the least of them, until every node points at its component's least. `cut` writes a
-    round's edges so that the lineage ends there; by default they are checkpointed. Rows with a null end are left out.
+    its smaller ones, to the least of them, until every node points at its component's least. Each round's edges are
+    written, so the lineage ends there, and the round before is removed; the round's state (number of edges and sum
+    of their hashes) is observed while it is written. Rows with a null end are left out.
     """
-    cut = cut or (lambda df: df.checkpoint())
+    rounds = Scratch()
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    nodes = both.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    e = cut(both.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
+    both = staged(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    e, state = both.where("u != v"), None
+
+    def point(rows: DataFrame, least: DataFrame, total: int | None) -> DataFrame:
+        return rows.join(least.drop("n"), "u") if total is None or total < LARGE else hot_lookup(rows, least, ["u"], "n", 2 * total)
+
     for _ in range(MAX_ROUNDS):
+        total = state and state["n"]
         # large star: every larger neighbour of u points at the least of u and its neighbours
         near = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = near.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = near.groupBy("u").agg(F.min("v").alias("w"), F.count("*").alias("n")).select("u", F.least("w", "u").alias("m"), "n")
+        large = point(near.where("v > u"), least, total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and its smaller neighbours point at the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        e = cut(small)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = point(large, low, total).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        seen = Observation()
+        e = rounds.staged(small.observe(seen, F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("hash")), "star")
+        rounds.clear(keep_last=1)
+        if seen.get == state:
             break
-        state = now
+        state = seen.get
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    return nodes.join(e.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    roots = e.select(F.col("v").alias("u")).distinct().select("u", F.col("u").alias("v"))
+    alone = both.where("u = v").join(e.select(F.explode(F.array("u", "v")).alias("u")), "u", "left_anti")
+    return e.unionByName(roots).unionByName(alone).toDF("node", "component")
 
 
 def order_graph_edges(events: DataFrame) -> DataFrame:
@@ -51,26 +61,31 @@ def graph_degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("e.node").agg(F.sum("e.i").alias("indegree"), F.sum("e.o").alias("outdegree"))
 
 
-def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100) -> DataFrame:
     """node, page_rank over distinct directed edges; nodes without edges out spread their rank evenly.
 
     Rounds end when the ranks' total change is below the tolerance times the number of nodes; after the last
     round without that it raises.
     """
-    cut = cut or (lambda df: df.checkpoint())
-    e = cut(edges.select(F.col("donor_order").alias("src"), F.col("recipient_order").alias("dst")).distinct())
+    temp = Scratch()
+    e = staged(edges.select(F.col("donor_order").alias("src"), F.col("recipient_order").alias("dst")).distinct(), "order-edges")
     degree = e.groupBy("src").agg(F.count("*").alias("degree"))
-    nodes = e.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(degree.withColumnRenamed("src", "node"), "node", "left")
-    nodes = cut(nodes)
-    n = nodes.count()
+    nodes = staged(e.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(degree.withColumnRenamed("src", "node"), "node", "left"), "order-nodes")
+    n, loose = nodes.agg(F.count("*"), F.count(F.when(F.col("degree").isNull(), 1))).first()
+    loose = loose / max(n, 1)
     ranks = nodes.withColumn("page_rank", F.lit(1.0) / max(n, 1))
     for _ in range(rounds):
-        loose = ranks.where("degree is null").agg(F.sum("page_rank")).first()[0] or 0.0
         given = ranks.where("degree is not null").join(e, F.col("node") == F.col("src")).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("page_rank") / F.col("degree")).alias("got"))
-        new = ranks.withColumnRenamed("page_rank", "was").join(given, "node", "left")
-        new = cut(new.withColumn("page_rank", damping * (F.coalesce("got", F.lit(0.0)) + F.lit(loose) / n) + (1 - damping) / n).drop("got"))
-        change = new.agg(F.sum(F.abs(F.col("page_rank") - F.col("was")))).first()[0] or 0.0
-        ranks = new.drop("was")
-        if change < n * tolerance:
+        new = ranks.withColumnRenamed("page_rank", "was").join(given, "node", "left").withColumn("page_rank", damping * (F.coalesce("got", F.lit(0.0)) + F.lit(loose) / max(n, 1)) + (1 - damping) / max(n, 1)).drop("got")
+        seen = Observation()
+        new = temp.staged(new.observe(seen, F.coalesce(F.sum(F.abs(F.col("page_rank") - F.col("was"))), F.lit(0.0)).alias("change"), F.coalesce(F.sum(F.when(F.col("degree").isNull(), F.col("page_rank"))), F.lit(0.0)).alias("loose")), "ranks")
+        temp.clear(keep_last=1)
+        ranks, loose = new.drop("was"), seen.get["loose"]
+        if not n or seen.get["change"] < n * tolerance:
             return ranks.select("node", "page_rank")
     raise RuntimeError(f"page ranks did not settle in {rounds} rounds")
+
+
+def graph_stats(edges: DataFrame) -> DataFrame:
+    """node, page_rank, indegree and outdegree of every node."""
+    return pagerank(edges).join(graph_degrees(edges), "node")

@@ -12,6 +12,7 @@ from ..config import LEVELS, RANKS, Config
 from ..functions.names import clean_region_name, orf_id, ranks_of
 from ..operators import annotate, clustering, events, graph, overlaps, regions, reports
 from ..sources import tables
+from ..sources.staging import staged
 from .fixtures import with_fixtures
 from .oracle import oracle_sql  # noqa: F401  (part of this module's interface)
 
@@ -61,17 +62,7 @@ class Relations:
     donors = cached_property(lambda self: events.donor_recipient(self.levels1, self.criteria2).persist())
     all_hgt2 = cached_property(lambda self: events.all_levels(self.levels2))
 
-    def cut(self, df: DataFrame) -> DataFrame:
-        """A checkpoint in the cluster's folder; a local run without one gets a temporary folder."""
-        if self.spark.sparkContext.getCheckpointDir() is None:
-            if not self.spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            import tempfile
-
-            self.spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-        return df.checkpoint()
-
-    components = cached_property(lambda self: self.cut(reports.hgt_components(self.all_hgt2, self.cut)))
+    components = cached_property(lambda self: staged(reports.hgt_components(self.all_hgt2), "components"))
     groups = cached_property(lambda self: reports.hgt_groups(self.components, self.metadata, self.contig_taxonomy))
     order_edges = cached_property(lambda self: graph.order_graph_edges(self.levels1))
 
@@ -141,7 +132,7 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "group_report": lambda r: reports.group_report(r.groups),
     "order_graph_edges": lambda r: r.order_edges,
     "graph_degrees": lambda r: graph.graph_degrees(r.order_edges),
-    "order_graph_pagerank": lambda r: graph.pagerank(r.order_edges, cut=r.cut),
+    "order_graph_pagerank": lambda r: graph.pagerank(r.order_edges),
     "annot_ripdb": lambda r: _hits(r, "rip"),
     "annot_card": lambda r: _hits(r, "arg"),
     "annot_mobileog": lambda r: _hits(r, "mge"),
