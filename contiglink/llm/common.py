@@ -1,54 +1,27 @@
-"""Helpers shared by the training-data operators: tables, the shared folder, staged results, files."""
+"""Helpers shared by the training-data operators: tables and files in the shared folder."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.staging import Scratch, fresh_path, shared_dir, staged  # noqa: F401  (for the operators)
 
 #: Rows in an Arrow batch: texts are long, and a batch is held several times over on its way to Python and back.
 BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
+    """For the session of a job; the operators themselves leave its settings alone."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder; the session's Arrow batches are made small."""
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and every executor see, from spark.checkpoint.dir.
-
-    Only where the cluster names none (tests on one machine) is a temporary one set.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _filesystem(uri: str):
     from pyarrow import fs
 

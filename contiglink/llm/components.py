@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.graph import connected_components
-from .common import staged
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for every end of the links (a, b)."""
-    return connected_components(links, "a", "b", lambda df: staged(df, "star"))
+    return connected_components(links, "a", "b")

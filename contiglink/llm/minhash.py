@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.hot import LEAST, SHARE, hot_lookup
-from .common import staged
+from .common import Scratch, staged
 from .components import components
 from .hashing import LOWER, SPACE, U, blocks, codes_of, mix, runs_of, slices, string_hashes, word_column
 
@@ -188,57 +188,59 @@ def near_groups(rows: DataFrame, linked: str = "true", ties: DataFrame | None =
 
     rows: a written table with k (unique), text and what `linked` names. ties: rows (a, b) that belong together anyhow.
     """
+    temp = Scratch()
     prints = staged(fingerprints(rows, *bands_of, shingle), "sketches")
     filled = prints.where("n_shingles > 0")
     if linked != "true":
         filled = filled.join(rows.where(linked).select("k"), "k", "left_semi")
     classes = staged(filled.groupBy("f1", "f2").agg(F.min("k").alias("key"), F.count("*").alias("copies")), "classes")
     member = staged(hot_lookup(filled.select("k", "f1", "f2"), classes, ["f1", "f2"], "copies").select("k", "key"), "members")
-    heads = staged(prints.join(classes.select(F.col("key").alias("k")), "k", "left_semi").select("k", "n_shingles", "bands"), "heads")
+    heads = temp.staged(prints.join(classes.select(F.col("key").alias("k")), "k", "left_semi").select("k", "n_shingles", "bands"), "heads")
     at = heads.select("k", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     pivots = at.groupBy("band").agg(F.min("k").alias("pivot"), F.max("k").alias("last"), F.count("*").alias("size")).where("pivot < last").drop("last")
-    met = staged(hot_lookup(at, staged(pivots, "pivots"), ["band"], "size"), "buckets")  # buckets of more than one class
-    texts = staged(rows.select("k", "text").join(met.select("k").distinct(), "k", "left_semi"), "near-texts")
+    met = temp.staged(hot_lookup(at, temp.staged(pivots, "pivots"), ["band"], "size"), "buckets")  # buckets of more than one class
+    texts = temp.staged(rows.select("k", "text").join(met.select("k").distinct(), "k", "left_semi"), "near-texts")
 
-    stars = staged(met.where("k != pivot").select(F.col("pivot").alias("a"), F.col("k").alias("b")).distinct(), "stars")
+    stars = temp.staged(met.where("k != pivot").select(F.col("pivot").alias("a"), F.col("k").alias("b")).distinct(), "stars")
     links = verified(stars, texts, percent, shingle)
     if ties is not None:
         end = lambda x: member.select(F.col("k").alias(x), F.col("key").alias(f"{x}_key"))
         links = links.unionByName(ties.join(end("a"), "a").join(end("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
     first = components(links)
-    rest = _across(met, first, texts, percent, shingle)
+    rest = _across(met, first, texts, percent, shingle, temp)
     second = components(rest).select(F.col("node").alias("component"), F.col("component").alias("c2"))
     final = first.join(second, "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
     alone = second.select(F.col("component").alias("node"), F.col("c2").alias("component")).join(first.select("node"), "node", "left_anti")
     label = staged(final.unionByName(alone), "labels")
+    temp.clear()
     # a class that nothing is linked with is its own component
     whole = classes.select(F.col("key").alias("node"), "copies").join(label, "node", "left").select(F.col("node").alias("key"), F.coalesce("component", "node").alias("component"), "copies")
     out = hot_lookup(member, staged(whole, "wholes"), ["key"], "copies").select("k", "component")
     return prints.select("k", "n_shingles").join(out, "k", "left")
 
 
-def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int, temp: Scratch) -> DataFrame:
     """Links between the components (a, b) of classes that meet in a bucket."""
-    lab = staged(met.select("band", "k", "n").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
+    lab = temp.staged(met.select("band", "k", "n").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
     split = lab.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("band", "size")
-    opened = staged(hot_lookup(lab, split, ["band"], "size").select("k", "n", "c").distinct(), "open")
-    sets = staged(shingles_of(texts.join(opened.select("k"), "k", "left_semi"), shingle).join(opened, "k"), "open-shingles")
+    opened = temp.staged(hot_lookup(lab, split, ["band"], "size").select("k", "n", "c").distinct(), "open")
+    sets = temp.staged(shingles_of(texts.join(opened.select("k"), "k", "left_semi"), shingle).join(opened, "k"), "open-shingles")
     # a shingle of one component only can't be shared with another: such come first in the order and are not looked up
-    freq = staged(sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("s", "df", F.col("df").alias("rows")), "shared-shingles")
+    freq = temp.staged(sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("s", "df", F.col("df").alias("rows")), "shared-shingles")
     own = Window.partitionBy("k")
     ranked = hot_lookup(sets, freq, ["s"], "rows").withColumn("r", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "s")))
     rest = F.col("n") - F.col("r") + 1
-    prefix = staged(ranked.where(100 * rest >= percent * F.col("n")).select("s", "k", "c", "n", "r"), "prefixes")
+    prefix = temp.staged(ranked.where(100 * rest >= percent * F.col("n")).select("s", "k", "c", "n", "r"), "prefixes")
     # a partner of size n to n * 100 / percent lies in the same class of sizes or the next
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(101 / percent)).cast("int")
     probe = prefix.withColumn("g", size).withColumn("small", F.lit(False))
     small = prefix.where((100 + percent) * rest >= 2 * percent * F.col("n")).withColumn("g", F.explode(F.array(size, size + 1))).withColumn("small", F.lit(True))
-    sides = staged(probe.unionByName(small), "sides")
+    sides = temp.staged(probe.unionByName(small), "sides")
     count = lambda which: F.sum(F.when(which, 1).otherwise(0))
     by = sides.groupBy("s", "g", "c").agg(F.count("*").alias("all"), count(F.col("small")).alias("smalls"))
     major = by.groupBy("s", "g").agg(F.max(F.struct("all", "c", "smalls")).alias("m"), F.count("*").alias("cs"), F.sum("all").alias("rows"), F.sum("smalls").alias("i"))
     major = major.where("cs > 1").select("s", "g", F.col("m.c").alias("major"), (F.col("i") - F.col("m.smalls")).alias("i_few"), F.col("m.smalls").alias("i_major"), (F.col("rows") - F.col("i")).alias("p"), (F.col("rows") - F.col("i") - (F.col("m.all") - F.col("m.smalls"))).alias("p_few"), "rows")
-    marked = staged(hot_lookup(sides, staged(major, "majors"), ["s", "g"], "rows"), "marked")
+    marked = temp.staged(hot_lookup(sides, temp.staged(major, "majors"), ["s", "g"], "rows"), "marked")
     cells = lambda n: F.greatest(F.ceil(F.col(n) / CELL), F.lit(1)).cast("int")
     spread = lambda df, mine, n_mine, theirs, n_theirs: df.withColumn(mine, F.pmod(F.xxhash64("k"), cells(n_mine)).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), cells(n_theirs) - 1)))
     made = []
@@ -251,9 +253,9 @@ def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, s
         enough = (100 + percent) * (1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))) >= percent * (F.col("na") + F.col("nb"))
         pairs = side(a, "a").join(side(b, "b"), ["s", "g", "x", "y"]).where((F.col("ca") != F.col("cb")) & (F.col("na") <= F.col("nb")) & (100 * F.col("na") >= percent * F.col("nb")) & enough)
         made.append(pairs.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")))
-    pairs = staged(made[0].unionByName(made[1]).distinct(), "open-pairs")
+    pairs = temp.staged(made[0].unionByName(made[1]).distinct(), "open-pairs")
     of = lambda x: opened.select(F.col("k").alias(x), F.col("c").alias(f"c{x}"))
-    return staged(verified(pairs, texts, percent, shingle).join(of("a"), "a").join(of("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "open-links")
+    return temp.staged(verified(pairs, texts, percent, shingle).join(of("a"), "a").join(of("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "open-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, bands: int = BANDS, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -267,3 +269,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = hot_lookup(found.where("component is not null"), least, ["component"], "n")
     out = linked.drop("component").unionByName(found.where("component is null").drop("component").withColumn("component_id", F.col("id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, bands: int = BANDS, percent: int = PERCENT, shingle: int = 5) -> DataFrame:
+    """The rows of docs, with all their columns, of which each group of near duplicates keeps one: that of the least id.
+
+    Rows are told apart by themselves, so one of a group stays even where ids are null (these come last) or repeat.
+    """
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    named = staged(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    thin = named.select(F.col(row).alias("k"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = near_groups(thin, bands_of=(rows, bands), percent=percent, shingle=shingle).where("component is not null")
+    found = staged(found.join(thin.select("k", "id"), "k").select("k", "component", F.struct(F.col("id").isNull(), "id", "k").alias("order")), "near-groups")
+    first = found.groupBy("component").agg(F.min("order").alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = hot_lookup(found, first, ["component"], "n").where("order != first").select(F.col("k").alias(row))
+    return named.join(gone, row, "left_anti").select(docs.columns)

@@ -8,7 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, fm_index, minhash, nb_svm, oracle, pii, quality_rules, sharding, token_files, url_filter, warc
-from .common import table
+from .common import small_batches, table as read_table
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
+    return read_table(spark, sf_dir, name)
 
 
 def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
