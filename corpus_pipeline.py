@@ -4,7 +4,10 @@ quality (NB-SVM; rejected documents go) -> near_dedup (one document of each grou
 (documents with a benchmark passage go) -> pii (spans are replaced by their kind's name, n_chars follows) ->
 tokens (BPE ids of each text, with digests of the ids and of the decoded text).
 
-Rows with a null doc_id pass near_dedup. All stages but the last return the columns of documents.
+All stages but the last return the columns of documents, and the tables may be empty or hold rows that repeat or have
+nulls: a null doc_id is scored and deduplicated like any other (of a group the least id stays, nulls last; of rows
+that repeat one stays); null texts count as empty, which the classifier judges by its coarse features, nothing
+links or hits, and end as no ids. Long texts are read whole by every stage. Other columns are carried along.
 """
 
 from __future__ import annotations
@@ -22,16 +25,17 @@ SHINGLE = 5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return nb_svm.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    copies = minhash.near_duplicates(docs, shingle=SHINGLE).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    return minhash.drop_near_duplicates(docs, shingle=SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return fm_index.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
