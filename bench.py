@@ -31,7 +31,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()  # starts the executor threads
-    relations = Relations(spark, sf_dir)  # steps that queries share are kept, as in a run of the whole analysis
+    relations = Relations(spark, sf_dir)  # steps that queries share are written once, as in a run of the whole analysis
     took = {}
     for name in HEADLINE:
         began = time.time()

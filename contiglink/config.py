@@ -19,6 +19,7 @@ class Config:
     min_returned: int = 1
     min_agreed: int = 1
     min_region_len: int = 0  # 0: off
+    strict: bool = False  # all ranks above must agree, not the one above alone
     rip: tuple[float, float, float] = (20, 80, 80)  # identity, query cover, subject cover
     mge: tuple[float, float, float] = (20, 80, 80)
     arg: tuple[float, float, float] = (90, 50, 50)

@@ -52,6 +52,16 @@ def level_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("hgt_level", F.explode(levels)).drop(*LEVELS)
 
 
+def undirected(df: DataFrame) -> DataFrame:
+    """Criterion-2 rows in one direction: each pair of ORFs once."""
+    return df.where(F.struct("contig1", "region_idx_contig1", "orf_region1") <= F.struct("contig2", "region_idx_contig2", "orf_region2"))
+
+
+def level_table(df: DataFrame, level: str) -> DataFrame:
+    """The rows at one level, without the flags."""
+    return df.where(level).drop(*LEVELS)
+
+
 def level_counts(df: DataFrame) -> DataFrame:
     """Rows at each of the seven levels, in one pass."""
     one = df.agg(*(F.count(F.when(F.col(x), 1)).alias(x) for x in LEVELS))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: A key is hot from this share of all rows on, so there are at most so many hot keys.
 SHARE = 1000
 #: Below this many rows no key can overload a task.
-LEAST = 100_000
+LEAST = 20_000
 
 
 def hot_lookup(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int | None = None, least: int = LEAST) -> DataFrame:

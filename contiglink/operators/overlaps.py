@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.names import contig_of, orf_id, ordinal_of
 
+#: A gene cluster of more rows is paired in cells of so many by so many.
+CELL = 2000
+
 
 def parse_orfs(clusters: DataFrame) -> DataFrame:
     """cluster_rep, cluster_member, contig and ordinal of each member."""
@@ -30,14 +33,19 @@ def all_pairs(passing: DataFrame) -> DataFrame:
     return side(1).join(side(2), "cluster_rep")
 
 
-def pair_overlaps(passing: DataFrame) -> DataFrame:
+def pair_overlaps(passing: DataFrame, cell: int = CELL) -> DataFrame:
     """A row for each ORF pair between different contigs, with the contig pair's count and both totals.
 
     The join emits one direction and both are read off it, so the cluster join is half as wide; the count is a
-    window over the pair rather than an aggregate joined back.
+    window over the pair rather than an aggregate joined back. The pairs of a large cluster are dealt out in cells,
+    so that no task makes all of them.
     """
-    side = lambda k: passing.select("cluster_rep", F.col("contig").alias(f"c{k}"), F.col("orf_n").alias(f"n{k}"), F.col("total_orfs").alias(f"t{k}"))
-    half = side("a").join(side("b"), "cluster_rep").where("ca < cb")
+    parts = F.ceil(F.count("*").over(Window.partitionBy("cluster_rep")) / cell).cast("int")
+    rows = passing.select("cluster_rep", F.col("contig").alias("c"), F.col("orf_n").alias("n"), F.col("total_orfs").alias("t"), parts.alias("parts"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("c", "n"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    side = lambda k, x, y: rows.select("cluster_rep", F.col("own").alias(x), every.alias(y), *(F.col(v).alias(f"{v}{k}") for v in ("c", "n", "t")))
+    half = side("a", "x", "y").join(side("b", "y", "x"), ["cluster_rep", "x", "y"]).where("ca < cb")
     counted = half.withColumn("co", F.count("*").over(Window.partitionBy("ca", "cb")))
     turn = lambda a, b: F.struct(
         F.col(f"c{a}").alias("contig1"), F.col(f"c{b}").alias("contig2"), F.col("co").alias("co_occur_cts"), F.col(f"t{a}").alias("total_orfs_ctg1"), F.col(f"t{b}").alias("total_orfs_ctg2"),
@@ -83,13 +91,17 @@ def overlap_accounting(orfs: DataFrame, passing: DataFrame, status: DataFrame) -
     )
 
 
-def overlap_orf_coords(dedup: DataFrame, coords: DataFrame, fai: DataFrame) -> DataFrame:
-    """contig, length, orf, start, end, strand, metadata of shared ORFs, once for each side (overlaps are symmetric)."""
+def shared_orf_coords(dedup: DataFrame, coords: DataFrame, fai: DataFrame) -> DataFrame:
+    """contig, length, orf, start, end, strand, metadata of shared ORFs. Overlaps are symmetric, so one side names all."""
     one = dedup.select(F.col("contig1").alias("contig"), F.col("identical_orf_position_contig1").alias("n")).distinct()
-    two = dedup.select(F.col("contig2").alias("contig"), F.col("identical_orf_position_contig2").alias("n")).distinct()
-    orfs = one.unionByName(two).select("contig", orf_id(F.col("contig"), F.col("n")).alias("orf"))
+    orfs = one.select("contig", orf_id(F.col("contig"), F.col("n")).alias("orf"))
     return orfs.join(coords, "orf").join(fai.select("contig", "length"), "contig").select("contig", "length", "orf", "start", "end", "strand", "metadata")
 
 
-def potential_hgts_bed(orf_coords: DataFrame) -> DataFrame:
-    return orf_coords.select("contig", "start", "end", "strand", "orf").distinct()
+def overlap_orf_coords(shared: DataFrame) -> DataFrame:
+    """The shared ORFs' coordinates once for each side of the overlaps."""
+    return shared.withColumn("side", F.explode(F.array(F.lit(1), F.lit(2)))).drop("side")
+
+
+def potential_hgts_bed(shared: DataFrame) -> DataFrame:
+    return shared.select("contig", "start", "end", "strand", "orf").distinct()

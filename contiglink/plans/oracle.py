@@ -103,6 +103,21 @@ RELATIONS = {
     "oedge": f"select o_region donor_order, o_contig recipient_order, avg(region_len) mean_region_len from (select distinct o_region, o_contig, region_len from c1 where {_level(3, 'region', 'contig')}) group by all",
 }
 
+# PageRank with damping 0.85: all of 100 rounds, of which the first that changes less than 1e-6 a node counts
+RELATIONS |= {
+    "oe": "select distinct donor_order src, recipient_order dst from oedge",
+    "odeg": "select src, count(*) degree from oe group by src",
+    "onode": "select src node from oe union select dst from oe",
+    "ocount": "select count(*)::double n from onode",
+    "pr(it, node, r)": """select 0, node, 1 / n from onode cross join ocount
+        union all select i.it + 1, x.node, 0.85::double * (coalesce(g.got, 0) + l.loose / n) + (1 - 0.85::double) / n
+        from onode x cross join ocount cross join (select max(it) it from pr) i cross join (select coalesce(sum(r), 0) loose from pr where node not in (select src from oe)) l
+        left join (select e.dst node, sum(p.r / d.degree) got from pr p join odeg d on d.src = p.node join oe e on e.src = p.node group by e.dst) g on g.node = x.node where i.it < 100""",
+    "settled": "select min(a.it) it from (select a.it, sum(abs(a.r - b.r)) change from pr a join pr b on b.node = a.node and b.it = a.it - 1 group by a.it) a, ocount where change < n * 1e-6",
+    "rank": "select node, round(r, 6) page_rank from pr where it = (select it from settled)",
+    "degrees": "select node, cast(sum(i) as bigint) indegree, cast(sum(o) as bigint) outdegree from (select donor_order node, 0 i, 1 o from oedge union all select recipient_order, 1, 0 from oedge) group by node",
+}
+
 _pair = 'contig1, contig2, co_occur_cts, total_orfs_ctg1, total_orfs_ctg2, "smallest_contig_orfCts", identical_orf_position_contig1, identical_orf_position_contig2'
 SELECTS = {
     "scan_clusters": "select * from fx_clusters",
@@ -159,6 +174,11 @@ SELECTS = {
         from grp join types using (hgt_group_id) group by hgt_group_id""",
     "order_graph_edges": "select * from oedge",
     "graph_degrees": "select node, cast(sum(i) as bigint) indegree, cast(sum(o) as bigint) outdegree from (select donor_order node, 0 i, 1 o from oedge union all select recipient_order, 1, 0 from oedge) group by node",
+    "order_graph_pagerank": "select * from rank",
+    "order_graph_stats": "select * from rank join degrees using (node)",
+    "hgt2_undirected_level_counts": _counts("(select * from c2 where contig1 < contig2) c2", "contig1", "contig2"),
+    "event_counts": f"""select (select count(distinct hgt_group_id) from grp) "groups", (select count(*) from ({_any_level("c1", "region", "contig")})) criterion1_rows, (select count(*) from h2) criterion2_rows,
+        (select count(*) from (select distinct least(region_idx_contig1, region_idx_contig2), greatest(region_idx_contig1, region_idx_contig2) from h2)) region_pairs, (select count(*) from donors) donor_pairs""",
     "annot_ripdb": _hits(20, 80, 80),
     "annot_card": _hits(90, 50, 50),
     "annot_mobileog": _hits(20, 80, 80),

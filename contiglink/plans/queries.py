@@ -12,7 +12,8 @@ from ..config import LEVELS, RANKS, Config
 from ..functions.names import clean_region_name, orf_id, ranks_of
 from ..operators import annotate, clustering, events, graph, overlaps, regions, reports
 from ..sources import tables
-from ..sources.staging import staged
+from ..pipeline import Analysis
+from ..sources.staging import fresh_path
 from .fixtures import with_fixtures
 from .oracle import oracle_sql  # noqa: F401  (part of this module's interface)
 
@@ -20,33 +21,28 @@ from .oracle import oracle_sql  # noqa: F401  (part of this module's interface)
 CONFIG = Config(max_overlap=0.3)
 
 
-class Relations:
-    """The analysis step by step; a step that several queries share is persisted (memory, then disk)."""
+class Relations(Analysis):
+    """The analysis on relations derived from the test tables, which are written as files and read as such."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, config: Config = CONFIG):
-        self.spark, self.config, self.sf_dir = spark, config, sf_dir
+        super().__init__(config)
+        self.spark, self.sf_dir = spark, sf_dir
         self.fixtures = with_fixtures(lambda n: f"parquet.`{sf_dir}/{n}.parquet`")
 
     def fixture(self, name: str) -> DataFrame:
         return self.spark.sql(f"with {self.fixtures} select * from {name}")
 
-    clusters = cached_property(lambda self: self.fixture("fx_clusters").persist())
-    coords = cached_property(lambda self: self.fixture("fx_coords").select("orf", F.col("start_bp").alias("start"), F.col("end_bp").alias("end"), "strand", "metadata").persist())
-    fai = cached_property(lambda self: self.fixture("fx_fai").persist())
-    contig_taxonomy = cached_property(lambda self: tables.with_ranks(self.fixture("fx_contig_taxonomy")).persist())
+    def file(self, name: str, *columns) -> str:
+        """A fixture as a TSV file."""
+        tables.write_tsv(self.fixture(name).select(*columns or "*"), path := fresh_path(self.spark, name), header=False)
+        self.scratch.paths.append(path)
+        return path
+
+    clusters = cached_property(lambda self: tables.read_clusters(self.spark, self.file("fx_clusters")))
+    coords = cached_property(lambda self: tables.read_coords(self.spark, self.file("fx_coords", "orf", "start_bp", "end_bp", "strand", "metadata")))
+    fai = cached_property(lambda self: tables.read_fai(self.spark, self.file("fx_fai", "contig", "length", *(F.lit(0).alias(x) for x in ("offset", "linebases", "linewidth")))))
+    contig_taxonomy = cached_property(lambda self: self.keep(tables.read_contig_taxonomy(self.spark, self.file("fx_contig_taxonomy")), "taxonomy"))
     hits = cached_property(lambda self: self.fixture("fx_hits"))
-    orfs = cached_property(lambda self: overlaps.parse_orfs(self.clusters))
-    passing = cached_property(lambda self: overlaps.passing_orfs(self.orfs, self.config.minimum_orfs))
-    pairs = cached_property(lambda self: overlaps.pair_overlaps(self.passing).persist())
-    dedup = cached_property(lambda self: overlaps.dedup_overlaps(self.pairs, self.config.max_overlap))
-    redundant = cached_property(lambda self: overlaps.redundant_overlaps(self.pairs, self.config.max_overlap))
-    status = cached_property(lambda self: overlaps.overlap_status(self.pairs, self.config.max_overlap))
-    contig_clusters = cached_property(lambda self: clustering.contig_clusters(self.redundant).persist())
-    orf_coords = cached_property(lambda self: overlaps.overlap_orf_coords(self.dedup, self.coords, self.fai))
-    bed = cached_property(lambda self: overlaps.potential_hgts_bed(self.orf_coords).persist())
-    merged = cached_property(lambda self: regions.merge_intervals(self.bed, self.config.merge_distance))
-    metadata = cached_property(lambda self: regions.region_metadata(self.merged, self.fai, self.config.edge_padding).persist())
-    region_overlaps = cached_property(lambda self: regions.region_overlaps(self.metadata, self.dedup).persist())
 
     @cached_property
     def region_taxonomy(self) -> DataFrame:
@@ -55,17 +51,6 @@ class Relations:
         named = self.metadata.select("region_idx", F.concat("region_title", F.lit("::"), "contig", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("stop").cast("string")).alias("region"))
         return partner.join(self.contig_taxonomy, "contig").join(named, "region_idx").select(clean_region_name(F.col("region")).alias("region"), *events.TAXON_COLUMNS)
 
-    criteria1 = cached_property(lambda self: events.criteria1_input(self.metadata, self.region_taxonomy, self.contig_taxonomy, self.config).persist())
-    criteria2 = cached_property(lambda self: events.criteria2_input(self.region_overlaps, self.contig_taxonomy, self.config).persist())
-    levels1 = cached_property(lambda self: events.with_levels(self.criteria1, "region", "contig"))
-    levels2 = cached_property(lambda self: events.with_levels(self.criteria2, "contig1", "contig2"))
-    donors = cached_property(lambda self: events.donor_recipient(self.levels1, self.criteria2).persist())
-    all_hgt2 = cached_property(lambda self: events.all_levels(self.levels2))
-
-    components = cached_property(lambda self: staged(reports.hgt_components(self.all_hgt2), "components"))
-    groups = cached_property(lambda self: reports.hgt_groups(self.components, self.metadata, self.contig_taxonomy))
-    order_edges = cached_property(lambda self: graph.order_graph_edges(self.levels1))
-
 
 _relations: dict[tuple[str, str], Relations] = {}
 
@@ -96,7 +81,7 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "contig_orf_counts": lambda r: overlaps.contig_orf_counts(r.orfs, r.config.minimum_orfs),
     "allvall": lambda r: overlaps.all_pairs(r.passing).select("cluster_rep", "contig1", "contig2", "orf_n1", "orf_n2"),
     "pair_overlaps": lambda r: r.pairs,
-    "dedup_overlaps": lambda r: r.dedup,
+    "dedup_overlaps": lambda r: r.overlaps,
     "redundant_overlaps": lambda r: r.redundant,
     "overlap_status": lambda r: r.status,
     "overlap_accounting": lambda r: overlaps.overlap_accounting(r.orfs, r.passing, r.status),
@@ -122,7 +107,7 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "hgt2_levels": lambda r: _level_view(r.levels2, "contig1", "contig2", ["orf_region1", "orf_region2"]),
     "hgt1_level_counts": lambda r: events.level_counts(r.levels1),
     "hgt2_level_counts": lambda r: events.level_counts(r.levels2),
-    "all_hgt1": lambda r: events.all_levels(r.levels1),
+    "all_hgt1": lambda r: r.all_hgt1,
     "all_hgt2": lambda r: r.all_hgt2,
     "donor_recipient": lambda r: r.donors,
     "donor_level_counts": lambda r: events.donor_level_counts(r.donors),
@@ -132,7 +117,10 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "group_report": lambda r: reports.group_report(r.groups),
     "order_graph_edges": lambda r: r.order_edges,
     "graph_degrees": lambda r: graph.graph_degrees(r.order_edges),
-    "order_graph_pagerank": lambda r: graph.pagerank(r.order_edges),
+    "order_graph_pagerank": lambda r: graph.pagerank(r.order_edges).select("node", F.round("page_rank", 6).alias("page_rank")),
+    "order_graph_stats": lambda r: graph.graph_stats(r.order_edges).withColumn("page_rank", F.round("page_rank", 6)),
+    "hgt2_undirected_level_counts": lambda r: events.level_counts(events.undirected(r.levels2)),
+    "event_counts": lambda r: reports.event_counts(r.all_hgt1, r.all_hgt2, r.donors, r.groups),
     "annot_ripdb": lambda r: _hits(r, "rip"),
     "annot_card": lambda r: _hits(r, "arg"),
     "annot_mobileog": lambda r: _hits(r, "mge"),
