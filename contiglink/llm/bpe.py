@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from .hashing import blocks, codes_of, word_column
 
 SHORT = 48
-KEEP_BYTES = 64 << 20  # of a table, twice
+KEEP_BYTES = 64 << 20  # of a table and the old one each
 KEEP_WORD = 256  # longer entries are not kept
-ENTRY = 150  # bytes that an entry of a table takes besides its content
+ENTRY = 250  # bytes that an entry of a table takes besides its content
 BLOCK = 8 << 20
 WHITE = regex.compile(r"\p{White_Space}+")
 END = "</w>"
@@ -128,8 +128,8 @@ class WordBpe:
             self.tokens[i] = s
         self.split = regex.compile(splits[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.letters = byte_alphabet()
-        self.words = Known(self.encode_word)
-        self.pieces = Known(self.encode_and_decode)
+        self.words = Known(self.encode_word, KEEP_BYTES // 2)
+        self.pieces = Known(self.encode_and_decode, KEEP_BYTES // 2)
 
     def parts(self, word: str) -> list[int]:
         """Boundaries of the parts of word + `</w>` when no pair has a rank any more."""

@@ -21,17 +21,17 @@ def thue_morse(n):
 def test_words_that_collide_in_polynomial_hashes(spark):
     import corpus_pipeline
 
-    for n in (1024, 2048):
-        t, u = thue_morse(n)
-        texts = [f"one two three four {t}", f"one two three four {u}", f"{t} five", "six seven"]
-        df = docs(spark, texts)
-        assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()} == brute.near(list(enumerate(texts))) == {i: i for i in range(4)}
-        bench = spark.createDataFrame([(1, u), (2, f"{t} five")], "item_id long, text string")
-        want = brute.contamination(list(enumerate(texts)), [(1, u), (2, f"{t} five")])
-        got = {r.doc_id: r for r in fm_index.decontaminate(df, bench).collect()}
-        assert all((got[i].n_hit, got[i].n_items) == (want[i][1], len(want[i][2])) for i in want) and want[0][1] == 0 < want[1][1]
-        assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == set(range(4))
-        assert {r.doc_id for r in fm_index.drop_contaminated(df, bench).collect()} == {0, 3}
+    (t, u), (v, w) = thue_morse(1024), thue_morse(2048)
+    texts = [f"one two three four {t}", f"one two three four {u}", f"one two three four {v}", f"one two three four {w}", f"{t} five", "six seven"]
+    df = docs(spark, texts)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()} == brute.near(list(enumerate(texts))) == {i: i for i in range(6)}
+    items = [(1, u), (2, f"{t} five"), (3, w)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute.contamination(list(enumerate(texts)), items)
+    got = {r.doc_id: r for r in fm_index.decontaminate(df, bench).collect()}
+    assert all((got[i].n_hit, got[i].n_items) == (want[i][1], len(want[i][2])) for i in want) and want[0][1] == 0 < want[1][1]
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == set(range(6))
+    assert {r.doc_id for r in fm_index.drop_contaminated(df, bench).collect()} == {0, 2, 5}
 
 
 def test_pairs_are_verified_on_words():

@@ -21,28 +21,3 @@ def test_stage_equals_all_pairs(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     want = brute.near([(r.doc_id, r.text) for r in df.collect()], k=5)
     assert {r.doc_id for r in p.near_dedup(spark, df, sf).collect()} == {i for i in want if want[i] == i}
-
-
-def test_pipeline_stages_with_five_words(spark, sf):
-    """As test_pipeline_stages, whose near_dedup side counts 4 words and so stops there."""
-    import corpus_pipeline as p
-    from test_llm import spans_by_pattern
-
-    df = spark.read.parquet(f"{sf}/documents.parquet")
-    columns = df.columns
-    for name, stage in p.STAGES:
-        before = {r.doc_id: r.text for r in df.collect()}
-        out = stage(spark, df, sf)
-        after = {r.doc_id: r for r in out.collect()}
-        if name == "near_dedup":
-            want = brute.near(list(before.items()), k=5)
-            assert set(after) == {i for i in before if want[i] == i}
-        if name == "decontamination":
-            items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
-            want = brute.contamination(list(before.items()), items)
-            assert set(after) == {i for i in before if not want[i][1]}
-        if name == "pii":
-            assert set(after) == set(before) and all(not spans_by_pattern(r.text) and r.n_chars == len(r.text) for r in after.values())
-        if name != "tokens":
-            assert out.columns == columns
-        df = p.staged(out, "test-five")
