@@ -9,8 +9,10 @@ least value, and rounds end when all bins are full, which they are after 2t roun
 1. Rows with the same words (128 bits of BLAKE2 over the sequence) form a class, and classes are compared from here on.
 2. In every band bucket each class is paired with one pivot; pairs are verified on full sets, made of the words of
    both texts and not of hashes, and links are closed into components. Pairs grow with the members, not their square.
-3. Members of a bucket that still lie in different components may be linked without either being linked to the
-   pivot. For all classes of such buckets an exact prefix join follows: shingles are ordered by the number of
+3. In buckets that still hold several components each class is paired with another pivot, drawn by the bucket's key,
+   so that a group of which no member is close to all is joined by many; the pairs are verified likewise.
+4. Members of a bucket that still lie in different components may be linked without either being linked to a pivot.
+   For all classes of such buckets an exact prefix join follows: shingles are ordered by the number of
    classes that hold them, those of one component alone first, as they can't be shared with another. In a pair of
    similarity 0.8 the first common shingle lies in the first ninth of the smaller set and the first fifth of the
    larger, and what follows it must still suffice for their sizes. Shingles meet by classes of set size; none of the
@@ -206,22 +208,44 @@ def near_groups(rows: DataFrame, linked: str = "true", ties: DataFrame | None =
     if ties is not None:
         end = lambda x: member.select(F.col("k").alias(x), F.col("key").alias(f"{x}_key"))
         links = links.unionByName(ties.join(end("a"), "a").join(end("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
-    first = components(links)
-    rest = _across(met, first, texts, percent, shingle, temp)
-    second = components(rest).select(F.col("node").alias("component"), F.col("component").alias("c2"))
-    final = first.join(second, "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
-    alone = second.select(F.col("component").alias("node"), F.col("c2").alias("component")).join(first.select("node"), "node", "left_anti")
-    label = staged(final.unionByName(alone), "labels")
+    labels = components(links)
+    for more in (_drawn, _across):
+        labels = _joined(labels, more(met, labels, texts, percent, shingle, temp))
     temp.clear()
     # a class that nothing is linked with is its own component
-    whole = classes.select(F.col("key").alias("node"), "copies").join(label, "node", "left").select(F.col("node").alias("key"), F.coalesce("component", "node").alias("component"), "copies")
+    whole = classes.select(F.col("key").alias("node"), "copies").join(labels, "node", "left").select(F.col("node").alias("key"), F.coalesce("component", "node").alias("component"), "copies")
     out = hot_lookup(member, staged(whole, "wholes"), ["key"], "copies").select("k", "component")
     return prints.select("k", "n_shingles").join(out, "k", "left")
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after links (a, b) between components."""
+    more = components(links).select(F.col("node").alias("component"), F.col("component").alias("c2"))
+    moved = labels.join(more, "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
+    new = more.select(F.col("component").alias("node"), F.col("c2").alias("component")).join(labels.select("node"), "node", "left_anti")
+    return staged(moved.unionByName(new), "labels")
+
+
+def _labelled(met: DataFrame, labels: DataFrame, temp: Scratch) -> DataFrame:
+    """band, k, n and component c of the members of buckets."""
+    return temp.staged(met.select("band", "k", "n").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
+
+
+def _drawn(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int, temp: Scratch) -> DataFrame:
+    """Links between the components (a, b) of classes and the drawn pivots of their buckets."""
+    lab = _labelled(met, labels, temp)
+    # the band's key puts its members in an order of its own
+    drawn = F.min(F.col("k").bitwiseXOR(F.col("band"))).bitwiseXOR(F.col("band")).alias("p")
+    split = lab.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"), drawn).where("lo < hi").select("band", "p", "size")
+    split = temp.staged(split.join(lab.select("band", F.col("k").alias("p"), F.col("c").alias("cp")), ["band", "p"]), "drawn")
+    star = hot_lookup(lab, split, ["band"], "size").where("c != cp")
+    pairs = temp.staged(star.select(F.least("p", "k").alias("a"), F.greatest("p", "k").alias("b"), F.least("c", "cp").alias("ca"), F.greatest("c", "cp").alias("cb")).distinct(), "drawn-pairs")
+    return temp.staged(verified(pairs.select("a", "b"), texts, percent, shingle).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "drawn-links")
+
+
 def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int, temp: Scratch) -> DataFrame:
     """Links between the components (a, b) of classes that meet in a bucket."""
-    lab = temp.staged(met.select("band", "k", "n").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
+    lab = _labelled(met, labels, temp)
     split = lab.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("band", "size")
     opened = temp.staged(hot_lookup(lab, split, ["band"], "size").select("k", "n", "c").distinct(), "open")
     sets = temp.staged(shingles_of(texts.join(opened.select("k"), "k", "left_semi"), shingle).join(opened, "k"), "open-shingles")
