@@ -159,9 +159,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "d
             out = [x.astype(np.int32).tobytes() for bounds, buckets in features(batch.column(1)) for x in np.split(buckets, bounds[1:-1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], ["id", "q", "buckets"])
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = source.join(F.broadcast(chosen), F.col("id") == F.col("pick_id")).select("id", "text", F.col("q").cast("int").alias("q"))  # at most `most` ids
-    rows = sorted(sample.mapInArrow(grams, "id long, q int, buckets binary").collect(), key=lambda r: (r.id, bytes(r.buckets)))
+    source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    sample = source.join(F.broadcast(chosen), F.col("id") == F.col("pick_id"))  # at most `most` ids
+    # a repeated id counts once, by the text of least hash, so that the sample is bounded in rows too
+    once = sample.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"), F.first(F.col("q").cast("int")).alias("q"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = sorted(once.select("id", "least.text", "q").mapInArrow(grams, f"id {kind}, q int, buckets binary").collect(), key=lambda r: r.id)
     order = np.random.default_rng(3).permutation(len(rows))
     return fit([(np.frombuffer(rows[i].buckets, np.int32), rows[i].q) for i in order], share)
 
