@@ -7,8 +7,9 @@ from a sampled directory, so offsets come from near-minimal space without a tabl
 
 Rows are range-partitioned by id, so files follow each other in ascending order and a document's global start is
 the sum of the files before it plus its start in its file. Rows without an id come first. Null texts are empty
-documents: they hold the end id alone. Repeated ids stay as repeated entries, ordered by text. An empty table
-gives no file and an empty result.
+documents: they hold the end id alone. Repeated ids stay as repeated entries, ordered by text; their rows are dealt
+to tasks by the start of the text too, so only copies of one row stay together. Reading back takes documents in
+blocks, whose offsets are selected through the directory. An empty table gives no file and an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from .common import fresh_path, read_file, staged, write_file
 MAGIC = b"IDS1"
 STEP = 256  # a directory entry for so many set bits
 FILE_IDS = 1 << 24  # ids in a file at most, but for one longer document
+READ_DOCS = 4096  # documents whose offsets are selected at once
+RANGE_CHARS = 64  # characters of a text by which the rows of one id are dealt to tasks
 
 
 class EliasFano:
@@ -86,14 +89,20 @@ class EliasFano:
             value = value << 1 | int(self.low[(at + b) >> 3]) >> ((at + b) & 7) & 1
         return value
 
-    def all(self) -> np.ndarray:
-        marks = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        out = (marks - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
-        if self.low_bits:
-            low = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            for b in range(self.low_bits):
-                out |= low[:, b].astype(np.uint64) << np.uint64(b)
-        return out.astype(np.int64)
+    def slice(self, i: int, j: int) -> np.ndarray:
+        """Values i to j - 1: select finds the first one's directory entry, and no bits beyond the last one's are unpacked."""
+        j = min(j, self.n)
+        if i >= j:
+            return np.zeros(0, np.int64)
+        first, last = i // STEP, -(-j // STEP)
+        at, end = int(self.directory[first]), int(self.directory[last]) if last < len(self.directory) else 8 * len(self.high)
+        marks = np.flatnonzero(np.unpackbits(self.high[at >> 3 : (end + 7) >> 3], bitorder="little")) + (at & ~7)
+        out = marks[marks >= at][i - first * STEP :][: j - i] - np.arange(i, j) << self.low_bits
+        a, b = i * self.low_bits, j * self.low_bits
+        low = np.unpackbits(self.low[a >> 3 : (b + 7) >> 3], bitorder="little")[a & 7 :][: b - a].reshape(j - i, self.low_bits)
+        for k in range(self.low_bits):
+            out |= low[:, k].astype(np.int64) << k
+        return out
 
 
 def pack(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
@@ -106,7 +115,7 @@ def pack(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
 
 
 class TokenFile:
-    """A file's documents: doc_id(i), span(i) in ids, ids(i)."""
+    """A file's documents: doc_id(i), span(i) in ids, ids(i); of documents i to j - 1: doc_ids(i, j), bounds(i, j)."""
 
     def __init__(self, data: bytes):
         if data[:4] != MAGIC:
@@ -127,6 +136,14 @@ class TokenFile:
     def span(self, i: int) -> tuple[int, int]:
         return self.ends[i], self.ends[i + 1]
 
+    def doc_ids(self, i: int, j: int) -> list[int | None]:
+        known = self.names.slice(max(0, i - self.nulls), max(0, j - self.nulls)) + self.least
+        return [None] * (j - i - len(known)) + known.tolist()
+
+    def bounds(self, i: int, j: int) -> np.ndarray:
+        """Where the documents start, and where the last one ends."""
+        return self.ends.slice(i, j + 1)
+
     def ids(self, i: int) -> np.ndarray:
         a, b = self.span(i)
         return self.flat[a:b]
@@ -199,11 +216,12 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
         if names:
             yield flush()
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col)).repartitionByRange(F.col(id_col).asc_nulls_first()).sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
+    first = F.col(id_col).asc_nulls_first()
+    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col)).repartitionByRange(first, F.left(text_col, F.lit(RANGE_CHARS)).asc_nulls_first()).sortWithinPartitions(first, F.col(text_col).asc_nulls_first())
     return staged(rows.mapInArrow(run, "part int, piece int, file string, docs long, n_ids long"), "token-manifest")
 
 
-def read_token_files(manifest: DataFrame, ids: bool = False, id_col: str = "doc_id") -> DataFrame:
+def read_token_files(manifest: DataFrame, ids: bool = False, id_col: str = "doc_id", read_docs: int = READ_DOCS) -> DataFrame:
     """Documents of the files: id, start (ids of all documents before), n_tokens, ids_crc32 and as asked ids."""
     whole = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     based = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(whole), F.lit(0)).cast("long"))
@@ -213,10 +231,12 @@ def read_token_files(manifest: DataFrame, ids: bool = False, id_col: str = "doc_
         for batch in batches:
             for file, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 got = TokenFile(read_file(file))
-                ends = got.ends.all()
-                flat = [got.flat[a:b].astype("<u4") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-                cols = [[None] * got.nulls + (got.names.all() + got.least).tolist(), base + ends[:-1], np.diff(ends), [zlib.crc32(x) for x in flat]] + [[x.astype(np.int32) for x in flat]] * ids
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], [n for n, _ in fields])
+                for i in range(0, len(got), read_docs):
+                    j = min(i + read_docs, len(got))
+                    ends = got.bounds(i, j)
+                    flat = [got.flat[a:b].astype("<u4") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                    cols = [got.doc_ids(i, j), base + ends[:-1], np.diff(ends), [zlib.crc32(x) for x in flat]] + [[x.astype(np.int32) for x in flat]] * ids
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], [n for n, _ in fields])
 
     return based.select("file", "base").repartition(max(1, manifest.count()), "file").mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids)
 

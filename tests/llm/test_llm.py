@@ -76,7 +76,10 @@ def test_elias_fano():
     r = random.Random(2)
     for values in ([], [0], [7], [0] * 600, sorted(r.randrange(10**12) for _ in range(3000)), list(range(1000))):
         e, size = token_files.EliasFano.frombytes(memoryview(token_files.EliasFano.of(np.array(values)).tobytes()))
-        assert e.all().tolist() == values and [e[i] for i in range(len(values))] == values
+        assert e.slice(0, len(values)).tolist() == values and [e[i] for i in range(len(values))] == values
+        for _ in range(50):
+            i, j = sorted((r.randrange(len(values) + 1), r.randrange(len(values) + 2)))
+            assert e.slice(i, j).tolist() == values[i:j]
 
 
 def test_token_files(spark, lib):
@@ -95,6 +98,19 @@ def test_token_files(spark, lib):
     assert token_files.token_files(docs(spark, []), VOCAB).count() == 0
 
 
+def test_token_files_of_one_id_and_many_blocks(spark):
+    texts = [f"word{i} a b" for i in range(900)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    manifest = token_files.write_token_files(docs(spark, texts, [None] * 600 + [7] * 300), VOCAB, 1, token_files.fresh_path(spark, "t"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.select("part").distinct().count() > 3
+    f = token_files.TokenFile(token_files.read_file(manifest.orderBy("part").first().file))
+    assert [f.span(i) for i in range(len(f))] == list(zip(f.bounds(0, len(f))[:-1], f.bounds(0, len(f))[1:]))
+    got = token_files.read_token_files(manifest, read_docs=7).orderBy("start").collect()
+    assert [x.doc_id for x in got] == [None] * 600 + [7] * 300
+    assert [x.start for x in got] == np.cumsum([0, *(x.n_tokens for x in got)])[:-1].tolist()
+
+
 def jump_one(key, n):
     b, j = -1, 0
     while j < n:
