@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 from . import quality_rules as q
+from . import sharding
 from . import url_filter as u
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -98,5 +100,27 @@ def archives() -> str:
     select page_id, cast(strlen(body) as bigint) payload_bytes, {base32} payload_digest, case when page_id = top then 'response' else 'revisit' end record_type, case when page_id <> top then top end refers_to from b"""
 
 
+def jump_shards(shards: int) -> str:
+    """Scrambled keys follow their jumps until they leave one shard more; slots count blocks of a shard in turn."""
+    table = [functools.reduce(lambda c, _: c >> 1 ^ 0xEDB88320 * (c & 1), range(8), k) for k in range(256)]
+    octets = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint)"
+    crc = f"xor(list_reduce({octets}, lambda c, x: xor(c >> 8, ({table})[(xor(c, x) & 255) + 1]), 4294967295::bigint), 4294967295)"
+    times = lambda x, by: f"(({x})::uhugeint * {by}::uhugeint % 18446744073709551616::uhugeint)::ubigint"
+    shift = lambda x, k: f"xor({x}, {x} >> {k})"
+    return f"""with recursive d as (select row_number() over () rid, doc_id, strlen(coalesce(text, '')) + 8 size, {crc} text_crc32,
+        coalesce(doc_id, -1)::hugeint id from documents),
+    k0 as (select rid, (case when id < 0 then id + 18446744073709551616::hugeint else id end)::ubigint k from d),
+    k1 as (select rid, {times(shift('k', 30), 0xBF58476D1CE4E5B9)} k from k0),
+    k2 as (select rid, {times(shift('k', 27), 0x94D049BB133111EB)} k from k1),
+    jump as (select rid, {shift('k', 31)} k, 0::bigint b from k2
+        union all select rid, k, floor((b + 1) * (2147483648::double / ((k >> 33)::double + 1)))::bigint b
+        from (select rid, b, ((k::uhugeint * 2862933555777941757::uhugeint + 1::uhugeint) % 18446744073709551616::uhugeint)::ubigint k from jump) where (b + 1) * (2147483648::double / ((k >> 33)::double + 1)) < {shards + 1}),
+    s as (select rid, max(b) filter (b < {shards}) shard, max(b) grown_shard from jump group by rid),
+    n as (select (count(*) + {shards * sharding.BLOCK_ROWS - 1}) // {shards * sharding.BLOCK_ROWS} blocks from d),
+    dealt as (select *, ((id % blocks + blocks) % blocks + text_crc32 % blocks) % blocks block from d join s using (rid), n)
+    select doc_id, cast(size as bigint) size, cast(text_crc32 as bigint) text_crc32, 'key' law, cast(shard as integer) shard,
+        row_number() over (partition by shard order by block, doc_id nulls first, text_crc32, size) - 1 slot, cast(grown_shard as integer) grown_shard from dealt"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules(), "op6_url_automaton": url_verdicts(), "op7_fm_index": decontamination(), "op8_minhash": near_duplicates(), "op10_warc_bundles": archives()}
+    return {"op3_jump_shards": jump_shards(24), "op5_quality_rules": quality_rules(), "op6_url_automaton": url_verdicts(), "op7_fm_index": decontamination(), "op8_minhash": near_duplicates(), "op10_warc_bundles": archives()}

@@ -2,7 +2,7 @@
 
 A row's key is mixed to 64 bits, and the jump sequence of Lamping and Veach (2014) gives its shard without a ring
 table: going from n to n + 1 shards moves a row either nowhere or to the new shard. Slots number a shard's rows
-from 0: rows are dealt to blocks of a shard by a second hash, numbered in their block, and offset by the sizes of
+from 0: rows are dealt to blocks of a shard by key and checksum, numbered in their block, and offset by the sizes of
 the blocks before, so that no task holds a whole shard.
 
 A null key counts as one fixed key. Null texts have size 0 (plus the 8 bytes) and the checksum of nothing, 0.
@@ -52,7 +52,8 @@ def shards_of(docs: DataFrame, shards: int, key_col: str = "doc_id", text_col: s
     )
     dealt = staged(rows.mapInArrow(run, f"`{key_col}` long, size long, text_crc32 long, shard int, grown_shard int"), "dealt")
     blocks = max(1, -(-dealt.count() // (shards * block_rows)))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(key_col, "text_crc32"), F.lit(blocks)).cast("int"))
+    number = F.pmod(F.coalesce(key_col, F.lit(-1)), F.lit(blocks)) + F.pmod("text_crc32", F.lit(blocks))  # of one key, by text
+    dealt = dealt.withColumn("block", F.pmod(number, F.lit(blocks)).cast("int"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = dealt.groupBy("shard", "block").count().select("shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     place = F.row_number().over(Window.partitionBy("shard", "block").orderBy(key_col, "text_crc32", "size")) - 1
