@@ -100,11 +100,44 @@ def archives() -> str:
     select page_id, cast(strlen(body) as bigint) payload_bytes, {base32} payload_digest, case when page_id = top then 'response' else 'revisit' end record_type, case when page_id <> top then top end refers_to from b"""
 
 
+def _crc32(text: str) -> str:
+    table = [functools.reduce(lambda c, _: c >> 1 ^ 0xEDB88320 * (c & 1), range(8), k) for k in range(256)]
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
+    return f"xor(list_reduce({octets}, lambda c, x: xor(c >> 8, ({table})[(xor(c, x) & 255) + 1]), 4294967295::bigint), 4294967295)"
+
+
+def periodic_runs() -> str:
+    """Pairs of equal windows of six words, stretched over consecutive words of one distance; smaller periods rule larger ones out."""
+    return f"""with d as (select row_number() over () rid, doc_id, {_words("coalesce(text, '')")} ws, coalesce({_crc32("cast(doc_id as varchar)")}, 1) h from documents),
+    g as (select *, len(ws) n, h // 10 g from d),
+    a as (select *, case when n > 0 then g % n end a from g),
+    p as (select *, 1 + (n - a) // (3 + g % 8) p from a),
+    w as (select rid, doc_id, case when h % 10 = 0 and n > 0 then list_transform(range(0, n), lambda i: ws[1 + case when i >= a then a + (i - a) % p else i end]) else ws end ws from p),
+    win as (select rid, i, array_to_string(ws[i + 1:i + 6], ' ') x from w, unnest(range(0, len(ws) - 5)) r(i)),
+    pair as (select x.rid, x.i, y.i - x.i q from win x join win y on x.rid = y.rid and x.x = y.x and x.i < y.i),
+    alike as (select rid, q, min(i) s, max(i) - min(i) + 6 + q k from (select *, i - row_number() over (partition by rid, q order by i) island from pair) group by rid, q, island),
+    stretch as (select * from alike where k >= 2 * q and k >= 12),
+    run as (select * from stretch x where not exists (select 1 from stretch y where y.rid = x.rid and y.q < x.q and y.s <= x.s and y.s + y.k >= x.s + x.k)),
+    told as (select rid, count(*) n_runs, string_agg(concat(s, ',', k, ',', q, chr(10)), '' order by s, q) list, arg_min((s, k, q), (-k, s, q)) best from run group by rid),
+    gone as (select distinct rid, i from run, unnest(range(s + q, s + k)) r(i)),
+    kept as (select w.rid, string_agg(ws[r.i + 1], ' ' order by r.i) t from w cross join unnest(range(0, len(ws))) r(i) left join gone on gone.rid = w.rid and gone.i = r.i where gone.i is null group by w.rid)
+    select doc_id, coalesce(n_runs, 0) n_runs, best[1] "start", best[2] length, best[3] period, 1000 * best[2] // best[3] exponent_milli,
+        sha256(coalesce(list, '')) runs_sha256, sha256(coalesce(t, '')) collapsed_sha256 from w left join told using (rid) left join kept using (rid)"""
+
+
+def main_texts() -> str:
+    """The tables' pages have one article each, of a heading and paragraphs."""
+    bare = "regexp_replace(x, '<[^>]*>', '', 'g')"
+    for name, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        bare = f"regexp_replace({bare}, '&{name};?', '{char}', 'g')"
+    blocks = f"list_filter(list_transform(regexp_split_to_array(body, '</?(p|h1)>'), lambda x: trim(regexp_replace({bare}, '\\s+', ' ', 'g'))), lambda x: x <> '')"
+    return f"""with p as (select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) body from pages), t as (select page_id, url, array_to_string({blocks}, chr(10)) "text" from p)
+    select page_id, url, "text", cast(length("text") as bigint) n_chars from t"""
+
+
 def jump_shards(shards: int) -> str:
     """Scrambled keys follow their jumps until they leave one shard more; slots count blocks of a shard in turn."""
-    table = [functools.reduce(lambda c, _: c >> 1 ^ 0xEDB88320 * (c & 1), range(8), k) for k in range(256)]
-    octets = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint)"
-    crc = f"xor(list_reduce({octets}, lambda c, x: xor(c >> 8, ({table})[(xor(c, x) & 255) + 1]), 4294967295::bigint), 4294967295)"
+    crc = _crc32("coalesce(text, '')")
     times = lambda x, by: f"(({x})::uhugeint * {by}::uhugeint % 18446744073709551616::uhugeint)::ubigint"
     shift = lambda x, k: f"xor({x}, {x} >> {k})"
     return f"""with recursive d as (select row_number() over () rid, doc_id, strlen(coalesce(text, '')) + 8 size, {crc} text_crc32,
@@ -123,4 +156,7 @@ def jump_shards(shards: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jump_shards": jump_shards(24), "op5_quality_rules": quality_rules(), "op6_url_automaton": url_verdicts(), "op7_fm_index": decontamination(), "op8_minhash": near_duplicates(), "op10_warc_bundles": archives()}
+    return {
+        "op3_jump_shards": jump_shards(24), "op5_quality_rules": quality_rules(), "op6_url_automaton": url_verdicts(), "op7_fm_index": decontamination(), "op8_minhash": near_duplicates(), "op10_warc_bundles": archives(),
+        "op12_periodic_runs": periodic_runs(), "op13_wrapper_induction": main_texts(),
+    }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fm_index, minhash, nb_svm, oracle, pii, quality_rules, sharding, token_files, url_filter, warc
+from . import bpe, fm_index, main_text, minhash, nb_svm, oracle, pii, quality_rules, runs, sharding, token_files, url_filter, warc, whitening
 from .common import small_batches, table as read_table
 
 
@@ -57,6 +57,18 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op11_spectrum_slicing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), words=runs.with_planted_run)
+
+
+def op13_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
