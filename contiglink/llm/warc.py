@@ -8,8 +8,9 @@ records with the HTTP head alone. Record ids are made of the page id and the pay
 row repeats), so a revisit names its response's. A URL that WARC-Target-URI can't hold as it is (null, spaces, control
 or non-ASCII characters) is escaped there and kept whole in an extension field.
 
-Which record is which is settled on ids and digests alone; payloads are shuffled once, by id and digest, so a
-payload that fills a third of the table spreads over all tasks. Bundles are written by tasks to the shared folder
+Which record is which is settled on ids and digests alone, a row each; payloads meet these by id and digest, so a
+payload that fills a third of the table spreads over all tasks. Rows that repeat, id and payload, are numbered where
+they meet. Bundles are written by tasks to the shared folder
 and renamed into place; a retried task writes the same bundle. All records are read back by their places in the
 index, frame after frame. Null payloads count as empty. A null id is smaller than all others; records equal in id and
 payload are all of the same kind. An empty table gives no bundle and an empty result. Only the id, URL and payload
@@ -38,6 +39,7 @@ from .common import file_size, fresh_path, read_file, staged, write_file
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 27  # of uncompressed records
+REPEATS = 1000  # rows equal in id and payload that one task numbers
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
@@ -156,14 +158,25 @@ def info_record(file: str, date: str) -> bytes:
     return record({"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(NAMES, file)}>", "WARC-Date": date, "WARC-Filename": name, "Content-Type": "application/warc-fields"}, block)
 
 
-def kinds(pages: DataFrame, least: int, id_col: str, payload_col: str) -> DataFrame:
-    """page_id, url, payload and refers_to (null for responses)."""
-    named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    thin = named.where(F.octet_length("payload") >= least).select("page_id", "digest")
-    shared = thin.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    revisits = hot_lookup(thin, shared, ["digest"], "n").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).groupBy("page_id", "digest").agg(F.max("refers_to").alias("refers_to"))
+def kinds(pages: DataFrame, least: int, id_col: str, payload_col: str, share: int = REPEATS) -> DataFrame:
+    """page_id, url, payload, refers_to (null for responses) and share: rows equal in id, payload and share are in one task, next to each other.
+
+    Only where some rows repeat are the payloads dealt out once more for that; a row that repeats very often is
+    dealt in shares of about REPEATS rows.
+    """
+    named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
+    keys = staged(named.groupBy("page_id", "digest").agg(F.count("*").alias("copies"), F.max(F.octet_length("payload")).alias("size")), "warc-keys")
+    shared = keys.where(F.col("size") >= least).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    revisits = hot_lookup(keys.where(F.col("size") >= least), shared, ["digest"], "n").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
     r = revisits.select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), "refers_to")
-    return named.join(r, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left").sortWithinPartitions("page_id", "digest").select("page_id", "url", "payload", "refers_to")
+    both = named.join(r, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left").drop("r_id", "r_digest")
+    repeated = keys.where("copies > 1").select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), F.ceil(F.col("copies") / share).alias("shares"))
+    if repeated.isEmpty():
+        both = both.withColumn("share", F.lit(0).cast("long"))
+    else:
+        both = both.join(repeated, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left").drop("r_id", "r_digest")
+        both = both.withColumn("share", F.pmod("row", F.coalesce("shares", F.lit(1)))).repartition("page_id", "digest", "share")
+    return both.sortWithinPartitions("page_id", "digest", "share").select("page_id", "url", "payload", "refers_to", "share")
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0, id_col: str = "page_id", payload_col: str = "html", bundle_bytes: int = BUNDLE_BYTES, date: datetime | None = None) -> DataFrame:
@@ -190,13 +203,13 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, id_col: str =
             return out
 
         for batch in batches:
-            for page_id, url, payload, refers_to in zip(*(batch.column(k) for k in range(4))):
+            for page_id, url, payload, refers_to, share in zip(*(batch.column(k) for k in range(5))):
                 page_id, url, refers_to, body = page_id.as_py(), url.as_py(), refers_to.as_py(), payload.as_py().encode("utf-8")
                 if not bundle:
                     bundle = BundleWriter()
                     bundle.add(info_record(name(), stamp))
-                same = page_id, hashlib.sha1(body).digest()  # rows that repeat follow each other
-                repeat, last = (repeat + 1 if same == last else 0), same
+                same = page_id, share.as_py(), hashlib.sha1(body).digest()  # rows that repeat follow each other
+                repeat, last = (repeat + 1 if same == last else same[1] << 32), same
                 rows.append((page_id, bundle.add(page_record(page_id, url, body, refers_to, repeat, stamp))))
                 if bundle.total >= bundle_bytes:
                     yield flush()

@@ -383,6 +383,25 @@ def test_archives(spark):
     assert warc.archive(df.limit(0)).count() == 0
 
 
+def test_archives_of_rows_in_several_files(spark):
+    rows = [(k, f"http://x/{k}", "same" if k % 4 == 0 else f"page {k}") for k in range(200)] + [(7, "http://x/7", "page 7")] * 30
+    folder = warc.fresh_path(spark, "files")
+    for k in range(3):
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2).write.mode("append").parquet(folder)
+    df = spark.read.parquet(folder).repartition(7)
+    kinds = warc.kinds(df, 0, "page_id", "html", share=10)
+    assert kinds.withColumn("task", F.spark_partition_id()).groupBy("page_id", "share").agg(F.countDistinct("task").alias("n")).where("n > 1").count() == 0
+    assert kinds.where("page_id = 7").select("share").distinct().count() > 3
+    index = warc.write_archives(df, warc.fresh_path(spark, "w"))
+    ids, named = [], set()
+    for r in index.collect():
+        head = warc.read_record(r.file, r.frame, r.offset, r.size)[0]
+        ids.append(head["WARC-Record-ID"])
+        named |= {head.get("WARC-Refers-To")} - {None}
+    assert len(ids) == 690 == len(set(ids)) and len(named) == 1 and named <= set(ids)
+    assert warc.read_archives(index).where("record_type = 'revisit'").count() == 49 * 3
+
+
 def test_pipeline_stages(spark, sf):
     import corpus_pipeline as p
 
