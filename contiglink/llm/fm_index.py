@@ -180,37 +180,43 @@ class FmIndex:
         return out
 
 
-def write_phrases(benchmark: DataFrame, folder: str, window: int = WINDOW, slice_bytes: int = SLICE_BYTES, id_col: str = "item_id", text_col: str = "text") -> list[str]:
-    """Write the items' phrases in slices; the files' names, few for any benchmark."""
+def write_phrases(benchmark: DataFrame, folder: str, window: int = WINDOW, slice_bytes: int = SLICE_BYTES, id_col: str = "item_id", text_col: str = "text") -> tuple[list[str], int]:
+    """Write the items' phrases in slices of at most slice_bytes of text, or of one item; the files' names, few for any benchmark, and the longest phrase's words.
+
+    A slice has its items' words in a row, and of each distinct phrase where it first starts and which items have it.
+    """
     items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col))
     size = items.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, piece = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for cut in range(0, batch.num_rows, 4096):
-                rows = batch.slice(cut, 4096)
+            for rows in shards(batch, 1, slice_bytes):
                 ids, at, distinct = coded_words(rows.column(1))
-                phrases: dict[int, dict[tuple, set]] = {}
+                phrases: dict[int, dict[tuple, tuple[int, set]]] = {}
+                names: dict[str, int] = {}
                 for item, a, b in zip(rows.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                     n = min(window, b - a)
-                    for k in range(a, b - n + 1) if n else ():
-                        phrases.setdefault(n, {}).setdefault(tuple(ids[k : k + n].tolist()), set()).update(() if item is None else (item,))
+                    own = ids[a:b].tolist()
+                    for k in range(b - a - n + 1) if n else ():
+                        phrases.setdefault(n, {}).setdefault(tuple(own[k : k + n]), (a + k, set()))[1].update(() if item is None else (names.setdefault(item, len(names)),))
                 if not phrases:
                     continue
-                vocab = distinct.to_pylist()
-                out = {"vocab": np.frombuffer(b"".join(vocab), np.uint8), "bounds": np.cumsum([0, *map(len, vocab)]), "sizes": np.array(sorted(phrases))}
+                out = {"words": ids.astype(np.int32), "sizes": np.array(sorted(phrases))}
+                for label, texts in (("vocab", distinct.to_pylist()), ("names", [x.encode("utf-8") for x in names])):
+                    out[label], out[f"{label}_at"] = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
                 for n, found in phrases.items():
-                    out[f"p{n}"] = np.array(list(found), np.int64)
-                    out[f"n{n}"] = np.array([len(x) for x in found.values()])
-                    out[f"i{n}"] = np.array([y for x in found.values() for y in sorted(x)], str)
+                    out[f"p{n}"] = np.array([start for start, _ in found.values()], np.int64)
+                    out[f"n{n}"] = np.array([len(x) for _, x in found.values()])
+                    out[f"i{n}"] = np.array([y for _, x in found.values() for y in sorted(x)], np.int32)
                 data = io.BytesIO()
                 np.savez(data, **out)
                 write_file(file := f"{folder}/slice-{part:05d}-{piece:05d}.npz", data.getvalue())
                 piece += 1
-                yield pa.RecordBatch.from_pydict({"file": [file]})
+                yield pa.RecordBatch.from_pydict({"file": [file], "longest": pa.array([max(phrases)], pa.int32())})
 
-    return [r.file for r in items.repartition(max(1, -(-size // slice_bytes))).mapInArrow(run, "file string").collect()]
+    told = items.repartition(max(1, -(-size // slice_bytes))).mapInArrow(run, "file string, longest int").collect()
+    return [r.file for r in told], max((r.longest for r in told), default=1)
 
 
 class Shard:
@@ -226,11 +232,11 @@ class Shard:
 
     def find(self, part: dict[str, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Of a slice's phrases, by size: the size, and the phrase and the first word of each occurrence."""
-        bounds, data = part["bounds"].astype(np.int64), part["vocab"]
+        bounds, data = part["vocab_at"].astype(np.int64), part["vocab"]
         vocab = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
         symbol = pc.fill_null(pc.index_in(vocab, value_set=self.distinct), -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
         for n in part["sizes"].tolist():
-            phrases = symbol[part[f"p{n}"]]
+            phrases = symbol[part["words"]][part[f"p{n}"][:, None] + np.arange(n)]
             whole = np.flatnonzero((phrases > 0).all(1))  # all words stand in the shard
             low, high = self.index.search(phrases[whole])
             many = high - low
@@ -243,8 +249,8 @@ class Shard:
 class Slices:
     """The phrase slices, of which some are held in memory."""
 
-    def __init__(self, files: list[str], hold_bytes: int = HOLD_BYTES):
-        self.files, self.held, self.room = files, {}, hold_bytes
+    def __init__(self, files: list[str], longest: int, hold_bytes: int = HOLD_BYTES):
+        self.files, self.longest, self.held, self.room = files, longest, {}, hold_bytes
 
     def read(self, file: str) -> dict[str, np.ndarray]:
         if file in self.held:
@@ -263,29 +269,28 @@ class Slices:
         items: list[set[str]] = [set() for _ in range(len(texts))]
         edge = np.zeros(len(codes) + 1, np.int64)
         text_of = np.repeat(np.arange(len(texts)), np.diff(at))
-        longest = max((int(self.read(f)["sizes"][-1]) for f in self.files), default=1)
         for first in range(0, len(codes) if self.files else 0, shard_words):
-            last = first + shard_words + longest - 1
+            last = first + shard_words + self.longest - 1
             shard = Shard(codes[first:last], text_of[first:last], distinct)
             for file in self.files:
                 part = self.read(file)
                 for n, which, word in shard.find(part):
                     np.add.at(edge, first + word, 1)
                     np.add.at(edge, first + word + n, -1)
-                    names, ends = part[f"i{n}"], np.cumsum(part[f"n{n}"])
+                    own, ends = part[f"i{n}"], np.cumsum(part[f"n{n}"])
                     starts = ends - part[f"n{n}"]
                     for key in np.unique(text_of[first + word] * len(starts) + which).tolist():
                         d, p = divmod(key, len(starts))
-                        items[d].update(names[starts[p] : ends[p]].tolist())
+                        items[d].update(part["names"][k:m].tobytes().decode("utf-8") for k, m in zip(part["names_at"][own[starts[p] : ends[p]]], part["names_at"][own[starts[p] : ends[p]] + 1]))
         return at, np.cumsum(edge)[:-1] > 0, items
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The rows of docs, with all their columns, that hold no benchmark phrase."""
-    files = write_phrases(benchmark, fresh_path(docs.sparkSession, "phrases"), window, slice_bytes)
+    files, longest = write_phrases(benchmark, fresh_path(docs.sparkSession, "phrases"), window, slice_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices = Slices(files)
+        slices = Slices(files, longest)
         for batch in (s for b in batches for s in shards(b, b.schema.get_field_index(text_col), SHARD_BYTES)):
             at, hit, _ = slices.hits(batch.column(batch.schema.get_field_index(text_col)))
             total = np.concatenate([np.zeros(1, np.int64), np.cumsum(hit)])
@@ -296,12 +301,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Each document's id, n_words, n_hit, n_items, items_sha256, contaminated, and spans: removal spans of word numbers."""
-    files = write_phrases(benchmark, fresh_path(docs.sparkSession, "phrases"), window, slice_bytes)
+    files, longest = write_phrases(benchmark, fresh_path(docs.sparkSession, "phrases"), window, slice_bytes)
     kind = docs.schema[id_col].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices = Slices(files)
+        slices = Slices(files, longest)
         for batch in (s for b in batches for s in shards(b, 1, SHARD_BYTES)):
             n = batch.num_rows
             at, hit, items = slices.hits(batch.column(1))

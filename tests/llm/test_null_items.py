@@ -23,3 +23,19 @@ def test_null_items_hit_but_are_not_named(spark):
                 assert got[i].items_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
         assert want[len(more) - 2][1] == 3
         assert {r.doc_id for r in fm_index.drop_contaminated(df, some).collect()} == {i for i in want if not want[i][1]}
+
+
+def test_items_that_end_in_nul_and_long_ids(spark):
+    text = "a long enough phrase of benchmark words stands in here for all to see"
+    names = ["a\0", "b", "", "x" * 5000, "ä\0\0"]
+    bench = spark.createDataFrame([(x, text) for x in names], "item_id string, text string")
+    got = fm_index.decontaminate(docs(spark, [f"before {text} after", "clean"]), bench).orderBy("doc_id").collect()
+    assert got[0].n_items == 5 and got[0].items_sha256 == hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+    assert not got[1].contaminated
+
+
+def test_slices_are_bounded_in_bytes(spark):
+    items = spark.createDataFrame([(k, f"word{k} " * 50) for k in range(200)], "item_id long, text string").coalesce(1)
+    files, longest = fm_index.write_phrases(items, fm_index.fresh_path(spark, "phrases"), slice_bytes=4000)
+    assert len(files) >= 200 * 350 // 4000 and longest == 10
+    assert fm_index.write_phrases(items.limit(0), fm_index.fresh_path(spark, "phrases")) == ([], 1)
