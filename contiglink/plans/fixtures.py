@@ -12,7 +12,7 @@ select concat('ctg_', cast(l_orderkey as string)) contig,
     l_quantity, l_shipdate, l_discount, l_tax) as bigint) orf_n,
   concat(cast(l_partkey as string), ':', cast(l_suppkey % 10 as string)) cluster_key,
   cast(l_quantity as bigint) * 30 len, 20 + (l_partkey * 7919) % 2500 gap,
-  case when l_returnflag = 'R' then -1 else 1 end strand
+  case when l_returnflag = 'R' then -1 else 1 end strand, l_orderkey, l_partkey, l_suppkey, l_quantity
 from {lineitem}""",
     "fx_clusters": """
 select min(concat(contig, '_', cast(orf_n as string))) over (partition by cluster_key) cluster_rep,
@@ -36,6 +36,17 @@ select concat('ctg_', cast(o_orderkey as string)) contig,
       '-', cast(c_custkey % 2 as string), ';g_G', cast(c_custkey % 5 as string), ';s_S', cast(c_custkey as string)) end) end lineage
 from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey
   join {region} on n_regionkey = r_regionkey""",
+    "fx_lineages": """
+select c_custkey number, concat('d_', r_name, ';p_', n_name, ';c_', n_name, '-', c_mktsegment, ';o_', n_name, '-', c_mktsegment, '-', cast(c_custkey % 2 as string)) upper,
+  concat(';f_F', cast(c_custkey % 3 as string), '-', n_name, '-', c_mktsegment, '-', cast(c_custkey % 2 as string), ';g_G', cast(c_custkey % 5 as string), ';s_S', cast(c_custkey as string)) lower
+from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
+    # a gene has its contig's lineage or one that its cluster brought along; some stop at the order, some have none
+    "fx_gene_taxonomy": """
+select concat(g.contig, '_', cast(orf_n as string)) orf, g.contig, cast(l_quantity as double) weight, number,
+  case when (l_partkey + orf_n) % 13 = 0 then null when (l_partkey + l_suppkey) % 7 = 0 then upper else concat(upper, lower) end lineage
+from (select f.*, case when (l_partkey * 31 + l_suppkey) % 10 < 6 then o_custkey else lo + (l_partkey * 7919) % n end bearer
+  from fx_orf f join {orders} on l_orderkey = o_orderkey cross join (select min(c_custkey) lo, count(*) n from {customer}) m) g
+  join fx_lineages on bearer = number""",
     "fx_hits": """
 select concat('ctg_', cast(l_orderkey as string), '_', cast(l_linenumber as string)) qtitle, p_name stitle,
   cast(round(100 * (1 - l_discount), 2) as double) pident, cast(l_extendedprice as double) bitscore,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..config import LEVELS, RANKS
 from ..operators.reports import DIVERSITY
+from ..operators.taxonomy import RANK_NAMES
 from .fixtures import with_fixtures
 
 TAXON = ("taxid", "level", "taxa", "fragments", "returned", "agreed", "percent_agreed", *RANKS)
@@ -33,6 +34,20 @@ def _hits(identity: int, query: int, subject: int) -> str:
     order by bitscore desc, evalue, stitle, pident desc) k from fx_hits where pident >= {identity} and qcov >= {query} and scov >= {subject}) where k = 1"""
 
 
+def _vote(relation: str, name: str) -> dict[str, str]:
+    """Common table expressions of the vote over a relation of (name, lineage, weight); the last is its result."""
+    level = " ".join(f"when {k + 1} then '{x}'" for k, x in enumerate(RANK_NAMES))
+    return {
+        f"{name}_paths": f"select name, k, array_to_string(parts[1:k], ';') path, sum(weight) w, count(*) n from (select name, weight, string_split(lineage, ';') parts from {relation} where lineage <> ''), unnest(range(1, len(parts) + 1)) r(k) group by all",
+        f"{name}_totals": f"select name, count(*) fragments, count(*) filter (lineage <> '') returned, sum(weight) filter (lineage <> '') total from {relation} group by name",
+        f"{name}_labels": f"select name, k, path, w, n from {name}_paths join {name}_totals using (name) where w > 0.5 * total qualify row_number() over (partition by name order by k desc) = 1",
+        name: f"""select name, case when returned = 0 then 0 when path is null then 1 else taxid end taxid, case when path is null then 'no rank' else case k {level} end end "level",
+            case when returned = 0 then 'unclassified' when path is null then 'root' else regexp_replace(regexp_extract(path, '([^;]*)$', 1), '^[a-z]_', '') end taxa, fragments, returned,
+            case when returned = 0 then 0 else coalesce(n, returned) end agreed, case when returned = 0 then 0 else coalesce(w / total, 1.0::double) end percent_agreed, path lineage
+            from {name}_totals left join {name}_labels using (name) left join taxa using (path)""",
+    }
+
+
 _ranks = ", ".join(f"string_split(regexp_replace(lineage, '[a-z]_', '', 'g'), ';')[{k + 1}] {r}" for k, r in enumerate(RANKS))
 _as = lambda suffix, table: ", ".join(f"{table}.{c} {c}_{suffix}" for c in TAXON)
 _supported = "taxid > 1 and fragments >= 1 and returned >= 1 and agreed >= 1"
@@ -81,9 +96,14 @@ RELATIONS = {
     "rov": """select a.contig contig1, b.contig contig2, a.region_idx region_idx_contig1, b.region_idx region_idx_contig2, a.orf orf_region1, b.orf orf_region2
         from dedup d join rorf a on a.orf = concat(d.contig1, '_', d.identical_orf_position_contig1) join rorf b on b.orf = concat(d.contig2, '_', d.identical_orf_position_contig2)""",
     # lineages
-    "ct": f"select contig, taxid, level, taxa, fragments, returned, agreed, percent_agreed, {_ranks} from fx_contig_taxonomy",
-    "partner": "select region_idx_contig1 region_idx, min(contig2) contig from rov group by 1",
-    "rt": f"select m.region_title region, {', '.join(f't.{c}' for c in TAXON)} from partner p join ct t using (contig) join meta m on m.region_idx = p.region_idx",
+    "ct_file": f"select contig, taxid, level, taxa, fragments, returned, agreed, percent_agreed, {_ranks} from fx_contig_taxonomy",
+    "taxa": "select path, 8 * min(number) + k + 1 taxid from (select number, k, array_to_string(parts[1:k], ';') path from (select number, string_split(lineage, ';') parts from fx_gene_taxonomy where lineage is not null), unnest(range(1, len(parts) + 1)) r(k)) group by k, path",
+    "contig_genes": "select contig as name, lineage, weight from fx_gene_taxonomy",
+    **_vote("contig_genes", "cvote"),
+    "ct": f"select name contig, taxid, level, taxa, fragments, returned, agreed, percent_agreed, {_ranks} from cvote",
+    "region_genes": "select region_idx as name, lineage, weight from rorf join fx_gene_taxonomy using (orf)",
+    **_vote("region_genes", "rvote"),
+    "rt": f"select m.region_title region, taxid, level, taxa, fragments, returned, agreed, percent_agreed, {_ranks} from rvote join meta m on m.region_idx = name",
     "c1": f"""select m.*, r.region, {_as('region', 'r')}, {_as('contig', 'c')} from meta m join rt r on r.region = m.region_title join ct c on c.contig = m.contig
         where r.taxid > 1 and c.taxid > 1 and r.fragments >= 1 and r.returned >= 1 and r.agreed >= 1""",
     "known": f"select * from ct where {_supported}",
@@ -154,7 +174,10 @@ SELECTS = {
     "extract_regions_whole": "select concat(region_title, '::', contig, ':', \"start\", '-', stop) name, substr(sequence, cast(\"start\" + 1 as int), cast(stop - \"start\" as int)) sequence from fx_cuts_whole join fx_fasta on contig = name where stop <= length(sequence)",
     "fasta_index": "select name contig, length(sequence) length from fx_fasta",
     "orf_header_parse": 'select orf, start_bp "start", end_bp "end", strand, metadata from fx_coords',
-    "parse_lineage": f"select contig, {', '.join(RANKS)} from ct",
+    "parse_lineage": f"select contig, {', '.join(RANKS)} from ct_file",
+    "scan_taxonomy": "select * from ct_file",
+    "lineage_vote": "select name contig, * exclude (name) from cvote",
+    "region_lineage_vote": "select name region_idx, * exclude (name) from rvote",
     "region_name_clean": "select region_idx, region_title region from meta",
     "criteria1_input": "select * from c1",
     "criteria2_input": "select * from c2",

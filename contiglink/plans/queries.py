@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import LEVELS, RANKS, Config
 from ..functions.names import clean_region_name, orf_id, ranks_of
-from ..operators import annotate, clustering, events, graph, overlaps, regions, reports
+from ..operators import annotate, clustering, events, graph, overlaps, regions, reports, taxonomy
 from ..sources import tables
 from ..pipeline import Analysis
 from ..sources.staging import fresh_path
@@ -34,22 +34,34 @@ class Relations(Analysis):
 
     def file(self, name: str, *columns) -> str:
         """A fixture as a TSV file."""
-        tables.write_tsv(self.fixture(name).select(*columns or "*"), path := fresh_path(self.spark, name), header=False)
+        return self.written(self.fixture(name).select(*columns or "*"), name)
+
+    def written(self, df: DataFrame, label: str) -> str:
+        tables.write_tsv(df, path := fresh_path(self.spark, label), header=False)
         self.scratch.paths.append(path)
         return path
 
     clusters = cached_property(lambda self: tables.read_clusters(self.spark, self.file("fx_clusters")))
     coords = cached_property(lambda self: tables.read_coords(self.spark, self.file("fx_coords", "orf", "start_bp", "end_bp", "strand", "metadata")))
     fai = cached_property(lambda self: tables.read_fai(self.spark, self.file("fx_fai", "contig", "length", *(F.lit(0).alias(x) for x in ("offset", "linebases", "linewidth")))))
-    contig_taxonomy = cached_property(lambda self: self.keep(tables.read_contig_taxonomy(self.spark, self.file("fx_contig_taxonomy")), "taxonomy"))
+    gene_taxonomy = cached_property(lambda self: self.keep(self.fixture("fx_gene_taxonomy"), "gene-taxonomy"))
+    taxa = cached_property(lambda self: self.keep(taxonomy.taxon_numbers(self.gene_taxonomy), "taxa"))
+    contig_vote = cached_property(lambda self: self.keep(taxonomy.lineage_vote(self.gene_taxonomy, self.taxa, "contig"), "contig-vote"))
+    contig_taxonomy = cached_property(lambda self: self.keep(tables.read_contig_taxonomy(self.spark, self.written(self.contig_vote, "contig-taxonomy")), "taxonomy"))
     hits = cached_property(lambda self: self.fixture("fx_hits"))
 
+    @cached_property
+    def region_vote(self) -> DataFrame:
+        """The vote of a region's own genes."""
+        genes = self.gene_taxonomy.select("orf", "lineage", "weight")
+        return self.keep(taxonomy.lineage_vote(regions.region_orfs(self.metadata).join(genes, "orf"), self.taxa, "region_idx"), "region-vote")
+
     @cached_property
     def region_taxonomy(self) -> DataFrame:
-        """A region's lineage is that of the smallest contig among its partners."""
-        partner = self.region_overlaps.groupBy(F.col("region_idx_contig1").alias("region_idx")).agg(F.min("contig2").alias("contig"))
-        named = self.metadata.select("region_idx", F.concat("region_title", F.lit("::"), "contig", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("stop").cast("string")).alias("region"))
-        return partner.join(self.contig_taxonomy, "contig").join(named, "region_idx").select(clean_region_name(F.col("region")).alias("region"), *events.TAXON_COLUMNS)
+        """As extraction names regions and the aligner's table is read."""
+        title = F.concat("region_title", F.lit("::"), "contig", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("stop").cast("string"))
+        named = self.region_vote.join(self.metadata.select("region_idx", title.alias("region")), "region_idx").select("region", *self.region_vote.columns[1:])
+        return tables.read_region_taxonomy(self.spark, self.written(named, "region-taxonomy"))
 
 
 _relations: dict[tuple[str, str], Relations] = {}
@@ -100,6 +112,9 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "fasta_index": lambda r: tables.fasta_index(r.fixture("fx_fasta")),
     "orf_header_parse": lambda r: tables.parse_orf_headers(r.fixture("fx_headers")),
     "parse_lineage": lambda r: r.fixture("fx_contig_taxonomy").select("contig", *(c.alias(n) for n, c in ranks_of(F.col("lineage")).items())),
+    "scan_taxonomy": lambda r: tables.read_contig_taxonomy(r.spark, r.file("fx_contig_taxonomy")),
+    "lineage_vote": lambda r: r.contig_vote,
+    "region_lineage_vote": lambda r: r.region_vote,
     "region_name_clean": lambda r: r.metadata.select("region_idx", clean_region_name(F.concat("region_title", F.lit("::"), "contig", F.lit(":"), F.col("start").cast("string"))).alias("region")),
     "criteria1_input": lambda r: r.criteria1,
     "criteria2_input": lambda r: r.criteria2,
