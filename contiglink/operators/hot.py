@@ -25,3 +25,12 @@ def hot_lookup(left: DataFrame, right: DataFrame, keys: list[str], count: str, t
     few = F.broadcast(right.where(hot).drop(count))
     rest = left.join(few.select(*keys), keys, "left_anti").join(right.where(~hot).drop(count), keys)
     return left.join(few, keys).unionByName(rest)
+
+
+def dealt_join(left: DataFrame, right: DataFrame, key: str, spread: str, cell: int = 2000) -> DataFrame:
+    """Inner join of left with wide rows of right, one a key: a key of more than `cell` rows of left is dealt by `spread` to as many copies of its row as it needs."""
+    hot = left.groupBy(key).agg(F.ceil(F.count("*") / cell).cast("int").alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = left.join(hot, key, "left").withColumn("part", F.pmod(F.xxhash64(spread), parts).cast("int")).drop("parts")
+    copies = right.join(hot, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return dealt.join(copies, [key, "part"]).drop("part")
