@@ -22,9 +22,8 @@ def contig_orf_counts(orfs: DataFrame, minimum_orfs: int) -> DataFrame:
 
 
 def passing_orfs(orfs: DataFrame, minimum_orfs: int) -> DataFrame:
-    """ORFs of contigs with enough ORFs, with the contig's total. One window instead of a count and a join back."""
-    total = F.count("cluster_member").over(Window.partitionBy("contig"))
-    return orfs.withColumn("total_orfs", total).where(F.col("total_orfs") >= minimum_orfs)
+    """ORFs of contigs with enough ORFs, with the contig's total. The count is partial before its shuffle, and its join is split where a contig is skewed."""
+    return orfs.join(contig_orf_counts(orfs, minimum_orfs), "contig").select(*orfs.columns, "total_orfs")
 
 
 def all_pairs(passing: DataFrame) -> DataFrame:
@@ -33,20 +32,30 @@ def all_pairs(passing: DataFrame) -> DataFrame:
     return side(1).join(side(2), "cluster_rep")
 
 
+def _half_pairs(passing: DataFrame, cell: int) -> DataFrame:
+    """One direction of the ORF pairs of each cluster.
+
+    Clusters are counted first, partially before the shuffle; those of more than `cell` rows are paired in cells of so
+    many by so many, which are dealt out, so that neither their rows nor their pairs meet in one task.
+    """
+    rows = passing.select("cluster_rep", F.col("contig").alias("c"), F.col("orf_n").alias("n"), F.col("total_orfs").alias("t"))
+    large = passing.groupBy("cluster_rep").agg(F.ceil(F.count("*") / cell).cast("int").alias("parts")).where("parts > 1")
+    side = lambda df, k, *keys: df.select("cluster_rep", *keys, *(F.col(v).alias(f"{v}{k}") for v in ("c", "n", "t")))
+    small = rows.join(large, "cluster_rep", "left_anti")
+    plain = side(small, "a").join(side(small, "b"), "cluster_rep").where("ca < cb")
+    dealt = rows.join(large, "cluster_rep").withColumn("own", F.pmod(F.xxhash64("c", "n"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    cells = side(dealt, "a", F.col("own").alias("x"), every.alias("y")).join(side(dealt, "b", F.col("own").alias("y"), every.alias("x")), ["cluster_rep", "x", "y"]).where("ca < cb")
+    return plain.unionByName(cells.drop("x", "y"))
+
+
 def pair_overlaps(passing: DataFrame, cell: int = CELL) -> DataFrame:
     """A row for each ORF pair between different contigs, with the contig pair's count and both totals.
 
-    The join emits one direction and both are read off it, so the cluster join is half as wide; the count is a
-    window over the pair rather than an aggregate joined back. The pairs of a large cluster are dealt out in cells,
-    so that no task makes all of them.
+    One direction is joined and both are read off it, so the cluster join is half as wide; the count is a window over
+    the contig pair rather than an aggregate joined back.
     """
-    parts = F.ceil(F.count("*").over(Window.partitionBy("cluster_rep")) / cell).cast("int")
-    rows = passing.select("cluster_rep", F.col("contig").alias("c"), F.col("orf_n").alias("n"), F.col("total_orfs").alias("t"), parts.alias("parts"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("c", "n"), F.col("parts")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    side = lambda k, x, y: rows.select("cluster_rep", F.col("own").alias(x), every.alias(y), *(F.col(v).alias(f"{v}{k}") for v in ("c", "n", "t")))
-    half = side("a", "x", "y").join(side("b", "y", "x"), ["cluster_rep", "x", "y"]).where("ca < cb")
-    counted = half.withColumn("co", F.count("*").over(Window.partitionBy("ca", "cb")))
+    counted = _half_pairs(passing, cell).withColumn("co", F.count("*").over(Window.partitionBy("ca", "cb")))
     turn = lambda a, b: F.struct(
         F.col(f"c{a}").alias("contig1"), F.col(f"c{b}").alias("contig2"), F.col("co").alias("co_occur_cts"), F.col(f"t{a}").alias("total_orfs_ctg1"), F.col(f"t{b}").alias("total_orfs_ctg2"),
         F.least("ta", "tb").alias("smallest_contig_orfCts"), F.col(f"n{a}").alias("identical_orf_position_contig1"), F.col(f"n{b}").alias("identical_orf_position_contig2"),

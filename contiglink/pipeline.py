@@ -45,11 +45,11 @@ class Analysis:
     overlaps = cached_property(lambda self: overlaps.dedup_overlaps(self.pairs, self.config.max_overlap))
     redundant = cached_property(lambda self: overlaps.redundant_overlaps(self.pairs, self.config.max_overlap))
     status = cached_property(lambda self: overlaps.overlap_status(self.pairs, self.config.max_overlap))
-    contig_clusters = cached_property(lambda self: self.keep(clustering.contig_clusters(self.redundant), "contig-clusters"))
+    contig_clusters = cached_property(lambda self: clustering.contig_clusters(self.redundant))
     shared = cached_property(lambda self: self.keep(overlaps.shared_orf_coords(self.overlaps, self.coords, self.fai), "shared-orfs"))
     orf_coords = cached_property(lambda self: overlaps.overlap_orf_coords(self.shared))
     bed = cached_property(lambda self: overlaps.potential_hgts_bed(self.shared))
-    merged = cached_property(lambda self: regions.merge_intervals(self.bed, self.config.merge_distance))
+    merged = cached_property(lambda self: self.keep(regions.merge_intervals(self.bed, self.config.merge_distance), "merged"))
     metadata = cached_property(lambda self: self.keep(regions.region_metadata(self.merged, self.fai, self.config.edge_padding, self.config.min_region_len), "regions"))
     region_overlaps = cached_property(lambda self: self.keep(regions.region_overlaps(self.metadata, self.overlaps), "region-overlaps"))
     criteria1 = cached_property(lambda self: self.keep(events.criteria1_input(self.metadata, self.region_taxonomy, self.contig_taxonomy, self.config), "criterion1"))

@@ -70,7 +70,8 @@ where stop > start""",
 }
 
 
-def with_fixtures(place) -> str:
-    """All fixtures as the entries of a WITH clause. place: name of a test table -> how the engine names it."""
+def with_fixtures(place, made: dict[str, str] | None = None) -> str:
+    """All fixtures as the entries of a WITH clause. place: name of a test table -> how the engine names it; made: fixtures that are tables already."""
     names = {n: place(n) for n in ("lineitem", "orders", "customer", "nation", "region", "part", "documents")}
-    return ",\n".join(f"{n} as ({q.format(**names)})" for n, q in FIXTURES.items())
+    made = made or {}
+    return ",\n".join(f"{n} as (select * from {made[n]})" if n in made else f"{n} as ({q.format(**names)})" for n, q in FIXTURES.items())
