@@ -18,6 +18,8 @@ class Config:
     min_fragments: int = 1
     min_returned: int = 1
     min_agreed: int = 1
+    min_seq_id: float = 0.99  # of genes in a cluster
+    min_cover: float = 0.8
     min_region_len: int = 0  # 0: off
     strict: bool = False  # all ranks above must agree, not the one above alone
     rip: tuple[float, float, float] = (20, 80, 80)  # identity, query cover, subject cover

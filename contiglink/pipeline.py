@@ -3,7 +3,7 @@
     from contiglink.pipeline import run
     run(spark, {"clusters": ..., "coords": ..., "fai": ..., "fasta": ..., "contig_taxonomy": ..., "region_taxonomy": ...}, out)
 
-What is written depends on the inputs given. `clusters`, `coords` and `fai` give the overlap tables; these, or
+What is written depends on the inputs given. `clusters` (or `genes`, to be clustered), `coords` and `fai` give the overlap tables; these, or
 `overlaps` with `merged_bed` or `bed`, and `fai` the region tables; `fasta` adds the region sequences; the two
 taxonomies add the event tables, from computed regions or from `region_metadata` and `region_overlaps`. A table is a
 folder of parts under `out`.
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import LEVELS, RANKS, Config
-from .operators import clustering, events, graph, overlaps, regions, reports
-from .sources import tables
-from .sources.staging import Scratch
+from .operators import clustering, events, gene_clusters, graph, overlaps, regions, reports
+from .sources import fasta, inputs, single, tables
+from .sources.staging import Scratch, staged
 
 
 class Analysis:
@@ -87,7 +87,8 @@ def overlap_tables(a: Analysis) -> dict[str, Output]:
     }
 
 
-def region_tables(a: Analysis, fasta: DataFrame | None = None) -> dict[str, Output]:
+def region_tables(a: Analysis, index: DataFrame | None = None) -> dict[str, Output]:
+    """index: of the contigs' FASTA files, through which the regions' sequences are read."""
     bed = a.metadata.select("contig", "start", "stop", "region_title")
     out = {
         "merged_potential_hgts.bed": Output(a.merged, header=False, order=("contig", "start")),
@@ -96,8 +97,8 @@ def region_tables(a: Analysis, fasta: DataFrame | None = None) -> dict[str, Outp
         "filtered_overlaps.tsv": Output(regions.filter_reciprocals(a.region_overlaps)),
         "potential_hgt_regions.bed": Output(bed, header=False),
     }
-    if fasta is not None:
-        out["potential_hgt_regions.fasta"] = Output(regions.extract_regions(regions.region_slop(a.metadata, a.config.slop), fasta), kind="fasta")
+    if index is not None:
+        out["potential_hgt_regions.fasta"] = Output(fasta.fasta_ranges(regions.region_slop(a.metadata, a.config.slop), index), kind="fasta")
     return out
 
 
@@ -115,13 +116,17 @@ def event_tables(a: Analysis) -> dict[str, Output]:
     return out
 
 
-def write(outputs: dict[str, Output], folder: str) -> list[str]:
+def write(outputs: dict[str, Output], folder: str, one_file: bool = False) -> list[str]:
+    """one_file: tables that ask for an order become one file each instead of a folder of parts."""
     for name, o in outputs.items():
         path = f"{folder.rstrip('/')}/{name}"
+        o.kind = "single" if one_file and o.order and o.kind == "tsv" else o.kind
         if o.kind == "log":
             tables.write_log(o.rows, path)
         elif o.kind == "fasta":
-            tables.write_fasta(o.rows, path)
+            fasta.write_parts(o.rows, path)
+        elif o.kind == "single":
+            single.write_single(o.rows, path, o.header, list(o.order))
         else:
             tables.write_tsv(o.rows, path, o.header, list(o.order))
     return list(outputs)
@@ -134,7 +139,8 @@ READERS = {
     "overlaps": tables.read_overlaps,
     "bed": tables.read_bed,
     "merged_bed": tables.read_merged_bed,
-    "fasta": tables.read_fasta,
+    "fasta": fasta.index_fasta_file,
+    "genes": tables.read_fasta,
     "region_metadata": tables.read_region_metadata,
     "region_overlaps": tables.read_region_overlaps,
     "contig_taxonomy": tables.read_contig_taxonomy,
@@ -142,20 +148,27 @@ READERS = {
 }
 
 
-def run(spark: SparkSession, paths: dict[str, str], out: str, config: Config = Config()) -> list[str]:
-    """Read the files given, write every table they allow for to folders under out, and return these' names."""
+def run(spark: SparkSession, paths: dict[str, str], out: str, config: Config = Config(), one_file: bool = False) -> list[str]:
+    """Check and read the files given, write every table they allow for to folders under out, and return these' names.
+
+    Gene clusters are made of `genes`, the genes' FASTA files, where `clusters` are not given.
+    """
+    inputs.resolve(spark, paths)
     given = {name: READERS[name](spark, path) for name, path in paths.items()}
-    fasta = given.pop("fasta", None)
-    if fasta is not None and "fai" not in given:
-        given["fai"] = tables.fasta_index(fasta)
+    index, genes = given.pop("fasta", None), given.pop("genes", None)
+    if index is not None:
+        index = staged(index, "fasta-index")
+        given.setdefault("fai", index.select("contig", "length"))
+    if genes is not None and "clusters" not in given:
+        given["clusters"] = gene_clusters.cluster_genes(genes, config.min_seq_id, config.min_cover)
     given = {{"merged_bed": "merged", "region_metadata": "metadata"}.get(k, k): v for k, v in given.items()}
     a, done = Analysis(config, **given), []
     if {"clusters", "coords", "fai"} <= set(given):
-        done += write(overlap_tables(a), out)
+        done += write(overlap_tables(a), out, one_file)
     if "fai" in given and ({"clusters", "coords"} <= set(given) or "overlaps" in given and {"merged", "bed"} & set(given)):
-        done += write(region_tables(a, fasta), out)
+        done += write(region_tables(a, index), out, one_file)
     if {"contig_taxonomy", "region_taxonomy"} <= set(given) and (done or {"metadata", "region_overlaps"} <= set(given)):
-        done += write(event_tables(a), out)
+        done += write(event_tables(a), out, one_file)
     a.close()
     if not done:
         raise ValueError(f"nothing can be made of {sorted(paths)} alone")

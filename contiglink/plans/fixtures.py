@@ -56,9 +56,8 @@ from {lineitem} join {part} on l_partkey = p_partkey""",
 select concat('>', orf, ' # ', cast(start_bp as string), ' # ', cast(end_bp as string), ' # ', cast(strand as string), ' # ', metadata) value from fx_coords""",
     "fx_fasta": """
 select concat('ctg_', cast(doc_id as string)) name, text sequence from {documents} where text is not null""",
-    "fx_cuts": """
-select concat('ctg_', cast(doc_id as string)) contig, cast(doc_id % 50 as bigint) start,
-  cast(doc_id % 50 + 20 + doc_id % 200 as bigint) stop, concat('cut_', cast(doc_id as string)) region_title from {documents}""",
+    "fx_sequences": """
+select contig name, substr(repeat(md5(contig), cast(floor(length / 32) as int) + 1), 1, cast(length as int)) sequence from fx_fai""",
     # ten intervals a document, end to end over its whole text
     "fx_cuts_whole": """
 select contig, start, stop, title region_title

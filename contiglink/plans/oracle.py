@@ -170,7 +170,13 @@ SELECTS = {
     "region_overlaps": "select * from rov",
     "filter_reciprocals": "select * from rov where contig1 < contig2",
     "region_slop": 'select contig, greatest("start" - 1000, 0) "start", least(stop + 1000, contig_length) stop, region_title from meta',
-    "extract_regions": "select concat(region_title, '::', contig, ':', \"start\", '-', stop) name, substr(sequence, cast(\"start\" + 1 as int), cast(stop - \"start\" as int)) sequence from fx_cuts join fx_fasta on contig = name where stop <= length(sequence)",
+    "extract_regions": """select concat(region_title, '::', contig, ':', "start", '-', stop) name, cast(0 as integer) part, substr(sequence, "start" + 1, stop - "start") sequence
+        from (select contig, greatest("start" - 1000, 0) "start", least(stop + 1000, contig_length) stop, region_title from meta) join fx_sequences on contig = name where stop > "start\"""",
+    "fasta_index_file": "select contig, length, least(60, length) linebases, least(60, length) + 1 linewidth from fx_fai",
+    "scan_overlaps": "select * from dedup",
+    "scan_merged_bed": "select * from merged",
+    "scan_region_metadata": "select * from meta",
+    "scan_region_overlaps": "select * from rov",
     "extract_regions_whole": "select concat(region_title, '::', contig, ':', \"start\", '-', stop) name, substr(sequence, cast(\"start\" + 1 as int), cast(stop - \"start\" as int)) sequence from fx_cuts_whole join fx_fasta on contig = name where stop <= length(sequence)",
     "fasta_index": "select name contig, length(sequence) length from fx_fasta",
     "orf_header_parse": 'select orf, start_bp "start", end_bp "end", strand, metadata from fx_coords',

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..config import LEVELS, RANKS, Config
 from ..functions.names import clean_region_name, orf_id, ranks_of
 from ..operators import annotate, clustering, events, graph, overlaps, regions, reports, taxonomy
-from ..sources import tables
+from .. import schemas
+from ..sources import fasta, tables
 from ..pipeline import Analysis
 from ..sources.staging import fresh_path
 from .fixtures import with_fixtures
@@ -43,8 +44,8 @@ class Relations(Analysis):
         """A fixture as a TSV file."""
         return self.written(self.fixture(name).select(*columns or "*"), name)
 
-    def written(self, df: DataFrame, label: str) -> str:
-        tables.write_tsv(df, path := fresh_path(self.spark, label), header=False)
+    def written(self, df: DataFrame, label: str, header: bool = False) -> str:
+        tables.write_tsv(df, path := fresh_path(self.spark, label), header=header)
         self.scratch.paths.append(path)
         return path
 
@@ -57,6 +58,14 @@ class Relations(Analysis):
     contig_taxonomy = cached_property(lambda self: self.keep(tables.read_contig_taxonomy(self.spark, self.written(self.contig_vote, "contig-taxonomy")), "taxonomy"))
     hits = cached_property(lambda self: self.fixture("fx_hits"))
 
+    @cached_property
+    def sequence_index(self) -> DataFrame:
+        """Of FASTA files with 60 letters a line."""
+        lines = self.fixture("fx_sequences").withColumn("sequence", F.regexp_replace("sequence", "(.{60})", "$1\n"))
+        tables.write_fasta(lines, path := fresh_path(self.spark, "sequences"))
+        self.scratch.paths.append(path)
+        return self.keep(fasta.index_fasta_file(self.spark, path), "sequence-index")
+
     @cached_property
     def region_vote(self) -> DataFrame:
         """The vote of a region's own genes."""
@@ -114,7 +123,12 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "region_overlaps": lambda r: r.region_overlaps,
     "filter_reciprocals": lambda r: regions.filter_reciprocals(r.region_overlaps),
     "region_slop": lambda r: regions.region_slop(r.metadata, r.config.slop),
-    "extract_regions": lambda r: regions.extract_regions(r.fixture("fx_cuts"), r.fixture("fx_fasta")),
+    "extract_regions": lambda r: fasta.fasta_ranges(regions.region_slop(r.metadata, r.config.slop), r.sequence_index),
+    "fasta_index_file": lambda r: r.sequence_index.select("contig", "length", "linebases", "linewidth"),
+    "scan_overlaps": lambda r: tables.read_overlaps(r.spark, r.written(r.overlaps, "overlaps", header=True)),
+    "scan_merged_bed": lambda r: tables.read_merged_bed(r.spark, r.written(r.merged, "merged-bed")),
+    "scan_region_metadata": lambda r: tables.read_region_metadata(r.spark, r.written(r.metadata.select(*(x.split()[0] for x in schemas.REGION_METADATA.split(", "))), "metadata", header=True)),
+    "scan_region_overlaps": lambda r: tables.read_region_overlaps(r.spark, r.written(r.region_overlaps, "region-overlaps", header=True)),
     "extract_regions_whole": lambda r: regions.extract_regions(r.fixture("fx_cuts_whole"), r.fixture("fx_fasta")),
     "fasta_index": lambda r: tables.fasta_index(r.fixture("fx_fasta")),
     "orf_header_parse": lambda r: tables.parse_orf_headers(r.fixture("fx_headers")),

@@ -11,7 +11,7 @@ from contiglink import pipeline, schemas
 from contiglink.config import LEVELS, RANKS
 from contiglink.operators import annotate, clustering, events, overlaps, reports
 from contiglink.plans.queries import CONFIG, Relations
-from contiglink.sources import tables
+from contiglink.sources import fasta, tables
 
 
 def bag(df):
@@ -71,11 +71,9 @@ def test_fasta_index_places(spark, tmp_path):
         want[f"c{k}"] = (n, len(data), len(lines[0]), len(lines[0]) + 1)
         data += "".join(x + "\n" for x in lines).encode()
     (tmp_path / "x.fasta").write_bytes(data)
-    for block in ("128m", "3000"):
-        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
-        got = {x.contig: tuple(x)[1:] for x in tables.index_fasta_file(spark, str(tmp_path / "x.fasta")).collect()}
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        assert got == want, block
+    for piece in (fasta.PIECE, 3000, 97):
+        got = {x.contig: (x.length, x.offset, x.linebases, x.linewidth) for x in fasta.index_fasta_file(spark, str(tmp_path / "x.fasta"), piece).collect()}
+        assert got == want, piece
     assert tables.count_records(spark, str(tmp_path / "x.fasta")) == 60
 
 
