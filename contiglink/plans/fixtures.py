@@ -58,6 +58,12 @@ select concat('>', orf, ' # ', cast(start_bp as string), ' # ', cast(end_bp as s
 select concat('ctg_', cast(doc_id as string)) name, text sequence from {documents} where text is not null""",
     "fx_sequences": """
 select contig name, substr(repeat(md5(contig), cast(floor(length / 32) as int) + 1), 1, cast(length as int)) sequence from fx_fai""",
+    "fx_genome": """
+select concat('ctg_', cast(doc_id as string)) name, translate(hex(text), '0123456789ABCDEF', 'ACGTCATGGTACTGCA') sequence
+from {documents} where text <> ''""",
+    "fx_gene_sequences": """
+select concat(contig, '_', cast(orf_n as string)) name, substr(concat(md5(concat(cluster_key, 'a')), md5(concat(cluster_key, 'b')), md5(concat(cluster_key, 'c')),
+  md5(concat(cluster_key, 'd')), md5(concat(cluster_key, 'e'))), 1, 120 + cast(l_partkey % 40 as int)) sequence from fx_orf""",
     # ten intervals a document, end to end over its whole text
     "fx_cuts_whole": """
 select contig, start, stop, title region_title

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..config import LEVELS, RANKS
+from ..operators.orfs import COMPLEMENT, STARTS, STOPS
 from ..operators.reports import DIVERSITY
 from ..operators.taxonomy import RANK_NAMES
 from .fixtures import with_fixtures
@@ -48,6 +49,22 @@ def _vote(relation: str, name: str) -> dict[str, str]:
     }
 
 
+def _orfs() -> str:
+    """Codon by codon: stops so far number the reading frames of each of the six frames."""
+    quoted = lambda codons: ", ".join(f"'{c}'" for c in codons)
+    turned = lambda codons: quoted("".join(COMPLEMENT[x] for x in reversed(c)) for c in codons)
+    over = "over (partition by name, f, strand order by i rows between unbounded preceding and {})"
+    return f"""select concat(name, '_', k) orf, low + 1 "start", high "end", strand, concat('ID=', k, ';partial=', partial) metadata from (
+        select *, row_number() over (partition by name order by low, high, strand) k from (
+            select name, strand, case when g = 0 then f when strand = 1 then first else opens end low, case when strand = 1 then coalesce(closes + 3, edge) when g = total then edge else last + 3 end high,
+                concat(cast(g = 0 as int), cast(g = total as int)) partial from (
+                select name, f, strand, g, any_value(edge) edge, any_value(total) total, min(i) filter (s) first, max(i) filter (s) last, min(i) filter (e and strand = 1) closes, min(i) filter (e and strand = -1) opens from (
+                    select *, count(*) filter (e) {over.format('current row')} - case when e and strand = 1 then 1 else 0 end g, count(*) filter (e) over (partition by name, f, strand) total from (
+                        select name, i, i % 3 f, 1 strand, n - (n - i % 3) % 3 edge, c in ({quoted(STARTS)}) s, c in ({quoted(STOPS)}) e from codons
+                        union all select name, i, i % 3, -1, n - (n - i % 3) % 3, c in ({turned(STARTS)}), c in ({turned(STOPS)}) from codons))
+                group by name, f, strand, g)) where high - low >= 90)"""
+
+
 _ranks = ", ".join(f"string_split(regexp_replace(lineage, '[a-z]_', '', 'g'), ';')[{k + 1}] {r}" for k, r in enumerate(RANKS))
 _as = lambda suffix, table: ", ".join(f"{table}.{c} {c}_{suffix}" for c in TAXON)
 _supported = "taxid > 1 and fragments >= 1 and returned >= 1 and agreed >= 1"
@@ -120,6 +137,8 @@ RELATIONS = {
     "groups1": "select *, row_number() over (order by hgt_group_size desc, hgt_group_root) hgt_group_id from groups0",
     "grp": f"select cc.n region_idx, g.hgt_group_id, g.hgt_group_size, g.hgt_group_root, m.* exclude (region_idx), {', '.join(f't.{r}' for r in RANKS)} from cc join groups1 g on cc.root = g.hgt_group_root left join meta m on m.region_idx = cc.n left join ct t on t.contig = m.contig",
     "types": "select hgt_group_id, string_agg(concat(region_type, ':', n), ',' order by n desc, region_type) region_types from (select hgt_group_id, region_type, count(*) n from grp group by all) group by hgt_group_id",
+    "letters": "select name, length(sequence) n, string_split(sequence, '') l from fx_genome",
+    "codons": "select name, n, unnest(range(0, n - 2)) i, unnest(list_transform(range(1, n - 1), lambda i: l[i] || l[i + 1] || l[i + 2])) c from letters",
     "oedge": f"select o_region donor_order, o_contig recipient_order, avg(region_len) mean_region_len from (select distinct o_region, o_contig, region_len from c1 where {_level(3, 'region', 'contig')}) group by all",
 }
 
@@ -138,6 +157,8 @@ RELATIONS |= {
     "degrees": "select node, cast(sum(i) as bigint) indegree, cast(sum(o) as bigint) outdegree from (select donor_order node, 0 i, 1 o from oedge union all select recipient_order, 1, 0 from oedge) group by node",
 }
 
+#: genes of one sequence are alike, others share nothing
+_first = "min(name) over (partition by sequence)"
 _pair = 'contig1, contig2, co_occur_cts, total_orfs_ctg1, total_orfs_ctg2, "smallest_contig_orfCts", identical_orf_position_contig1, identical_orf_position_contig2'
 SELECTS = {
     "scan_clusters": "select * from fx_clusters",
@@ -173,6 +194,10 @@ SELECTS = {
     "extract_regions": """select concat(region_title, '::', contig, ':', "start", '-', stop) name, cast(0 as integer) part, substr(sequence, "start" + 1, stop - "start") sequence
         from (select contig, greatest("start" - 1000, 0) "start", least(stop + 1000, contig_length) stop, region_title from meta) join fx_sequences on contig = name where stop > "start\"""",
     "fasta_index_file": "select contig, length, least(60, length) linebases, least(60, length) + 1 linewidth from fx_fai",
+    "orf_scan": _orfs(),
+    "kmer_candidates": f"select {_first} query, name target, 1.0::double identity, 1.0::double query_cover, 1.0::double target_cover from fx_gene_sequences qualify name <> query",
+    # the centre of three or more has the most neighbours; of two the tie goes to the larger checksum
+    "gene_clusters": f"select case when count(*) over (partition by sequence) = 2 then arg_max(name, md5(name)) over (partition by sequence) else {_first} end cluster_rep, name cluster_member from fx_gene_sequences",
     "scan_overlaps": "select * from dedup",
     "scan_merged_bed": "select * from merged",
     "scan_region_metadata": "select * from meta",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import LEVELS, RANKS, Config
 from ..functions.names import clean_region_name, orf_id, ranks_of
-from ..operators import annotate, clustering, events, graph, overlaps, regions, reports, taxonomy
+from ..operators import annotate, clustering, events, gene_clusters, graph, orfs, overlaps, regions, reports, taxonomy
 from .. import schemas
 from ..sources import fasta, tables
 from ..pipeline import Analysis
@@ -19,6 +19,8 @@ from .fixtures import with_fixtures
 from .oracle import oracle_sql  # noqa: F401  (part of this module's interface)
 
 SHARED = ["fx_orf"]
+#: Letters of a chunk: the test tables' sequences are short, and most of them should run over several.
+CHUNK = 1000
 #: 0.3 puts rows on both sides of the duplicate threshold in the test tables.
 CONFIG = Config(max_overlap=0.3)
 
@@ -58,14 +60,18 @@ class Relations(Analysis):
     contig_taxonomy = cached_property(lambda self: self.keep(tables.read_contig_taxonomy(self.spark, self.written(self.contig_vote, "contig-taxonomy")), "taxonomy"))
     hits = cached_property(lambda self: self.fixture("fx_hits"))
 
-    @cached_property
-    def sequence_index(self) -> DataFrame:
-        """Of FASTA files with 60 letters a line."""
-        lines = self.fixture("fx_sequences").withColumn("sequence", F.regexp_replace("sequence", "(.{60})", "$1\n"))
-        tables.write_fasta(lines, path := fresh_path(self.spark, "sequences"))
+    def indexed(self, name: str) -> DataFrame:
+        """The index of a fixture's sequences, written as FASTA files with 60 letters a line."""
+        lines = self.fixture(name).withColumn("sequence", F.regexp_replace("sequence", "(.{60})", "$1\n"))
+        tables.write_fasta(lines, path := fresh_path(self.spark, name))
         self.scratch.paths.append(path)
         return self.keep(fasta.index_fasta_file(self.spark, path), "sequence-index")
 
+    sequence_index = cached_property(lambda self: self.indexed("fx_sequences"))
+    genome_index = cached_property(lambda self: self.indexed("fx_genome"))
+    genes = cached_property(lambda self: self.keep(self.fixture("fx_gene_sequences"), "genes"))
+    candidates = cached_property(lambda self: gene_clusters.kmer_candidates(self.genes, self.config.min_seq_id, self.config.min_cover))
+
     @cached_property
     def region_vote(self) -> DataFrame:
         """The vote of a region's own genes."""
@@ -125,6 +131,9 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "region_slop": lambda r: regions.region_slop(r.metadata, r.config.slop),
     "extract_regions": lambda r: fasta.fasta_ranges(regions.region_slop(r.metadata, r.config.slop), r.sequence_index),
     "fasta_index_file": lambda r: r.sequence_index.select("contig", "length", "linebases", "linewidth"),
+    "orf_scan": lambda r: orfs.orf_scan(fasta.fasta_ranges(orfs.chunks_of(r.genome_index, CHUNK), r.genome_index), r.genome_index, chunk=CHUNK),
+    "kmer_candidates": lambda r: r.candidates,
+    "gene_clusters": lambda r: gene_clusters.greedy_clusters(r.genes, r.candidates, r.config.min_seq_id, r.config.min_cover),
     "scan_overlaps": lambda r: tables.read_overlaps(r.spark, r.written(r.overlaps, "overlaps", header=True)),
     "scan_merged_bed": lambda r: tables.read_merged_bed(r.spark, r.written(r.merged, "merged-bed")),
     "scan_region_metadata": lambda r: tables.read_region_metadata(r.spark, r.written(r.metadata.select(*(x.split()[0] for x in schemas.REGION_METADATA.split(", "))), "metadata", header=True)),
