@@ -64,6 +64,9 @@ from {documents} where text <> ''""",
     "fx_gene_sequences": """
 select concat(contig, '_', cast(orf_n as string)) name, substr(concat(md5(concat(cluster_key, 'a')), md5(concat(cluster_key, 'b')), md5(concat(cluster_key, 'c')),
   md5(concat(cluster_key, 'd')), md5(concat(cluster_key, 'e'))), 1, 120 + cast(l_partkey % 40 as int)) sequence from fx_orf""",
+    "fx_subjects": """
+select distinct cluster_key name, concat(md5(concat(cluster_key, 'a')), md5(concat(cluster_key, 'b')), md5(concat(cluster_key, 'c')),
+  md5(concat(cluster_key, 'd')), md5(concat(cluster_key, 'e'))) sequence from fx_orf""",
     # ten intervals a document, end to end over its whole text
     "fx_cuts_whole": """
 select contig, start, stop, title region_title

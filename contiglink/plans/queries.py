@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import LEVELS, RANKS, Config
 from ..functions.names import clean_region_name, orf_id, ranks_of
-from ..operators import annotate, clustering, events, gene_clusters, graph, orfs, overlaps, regions, reports, taxonomy
+from ..operators import alignment, annotate, clustering, events, gene_clusters, graph, orfs, overlaps, regions, reports, taxonomy
 from .. import schemas
 from ..sources import fasta, tables
 from ..pipeline import Analysis
@@ -19,6 +19,7 @@ from .fixtures import with_fixtures
 from .oracle import oracle_sql  # noqa: F401  (part of this module's interface)
 
 SHARED = ["fx_orf"]
+SCORING = alignment.Scoring(alphabet=16)
 #: Letters of a chunk: the test tables' sequences are short, and most of them should run over several.
 CHUNK = 1000
 #: 0.3 puts rows on both sides of the duplicate threshold in the test tables.
@@ -134,6 +135,7 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "orf_scan": lambda r: orfs.orf_scan(fasta.fasta_ranges(orfs.chunks_of(r.genome_index, CHUNK), r.genome_index), r.genome_index, chunk=CHUNK),
     "kmer_candidates": lambda r: r.candidates,
     "gene_clusters": lambda r: gene_clusters.greedy_clusters(r.genes, r.candidates, r.config.min_seq_id, r.config.min_cover),
+    "aligned_hits": lambda r: annotate.best_hits(alignment.seeded_alignment(r.genes, r.fixture("fx_subjects"), SCORING, k=8), 90, 80, 50).withColumns({"bitscore": F.round("bitscore", 6), "evalue": F.round("evalue", 12)}),
     "scan_overlaps": lambda r: tables.read_overlaps(r.spark, r.written(r.overlaps, "overlaps", header=True)),
     "scan_merged_bed": lambda r: tables.read_merged_bed(r.spark, r.written(r.merged, "merged-bed")),
     "scan_region_metadata": lambda r: tables.read_region_metadata(r.spark, r.written(r.metadata.select(*(x.split()[0] for x in schemas.REGION_METADATA.split(", "))), "metadata", header=True)),
