@@ -7,7 +7,8 @@ classes and by the vector's length; a linear hinge-loss model is fitted by dual
 is mapped to a probability on rows left out of the fit, at the labels' own class shares.
 
 Only the text is an input. The fit takes at most `most` labelled rows, half a class, those with the least hash of
-their id; the model (one weight a bucket) is of fixed size and travels with the tasks. Scores cover whole texts.
+their id, and of these as many as have SAMPLE_BYTES of text together (the first is taken whatever its size up to
+that), so the driver's share is bounded in bytes as well; the model (one weight a bucket) is of fixed size and travels with the tasks. Scores cover whole texts.
 Null and empty texts have only the coarse features. Without both classes among the labels every score is the share
 of class 1, or 0.5 without labels. Repeated or null labels: a row counts by its least non-null label. Repeated
 documents give repeated rows; an empty table gives an empty result.
@@ -20,13 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .hashing import LOWER, SPACE, U, blocks, mix, runs_of, word_hashes
 
 BITS = 18
 MOST = 6000
+SAMPLE_BYTES = 48 << 20
 EPOCHS, COST, SMOOTH = 12, 1.0, 1.0
 THRESHOLD = 0.3
 CLASS = np.arange(256, dtype=np.uint8)
@@ -146,8 +148,8 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[Model, np.ndarray]:
-    """The model and the log-count ratios, from at most `most` labelled rows that are not held out."""
+def train(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_bytes: int = SAMPLE_BYTES) -> tuple[Model, np.ndarray]:
+    """The model and the log-count ratios, from at most `most` labelled rows that are not held out, of at most most_bytes of text."""
     known = labels.where(F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).alias("q")).where("q in (0, 1)")
     ones, total = known.agg(F.sum("q"), F.count("*")).first()
     share = ones / total if total else 0.5
@@ -163,8 +165,14 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "d
     sample = source.join(F.broadcast(chosen), F.col("id") == F.col("pick_id"))  # at most `most` ids
     # a repeated id counts once, by the text of least hash, so that the sample is bounded in rows too
     once = sample.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"), F.first(F.col("q").cast("int")).alias("q"))
+    # of both classes in turn, by hash, while their texts fit: a window over at most `most` rows of ids and sizes
+    size = F.octet_length("text").cast("long")
+    once = once.select("id", "least.text", "q", F.xxhash64("id").alias("hash"), size.alias("size"))
+    turn = once.select("id", "hash", "size", F.row_number().over(Window.partitionBy("q").orderBy("hash", "id")).alias("turn"))
+    fits = turn.withColumn("upto", F.sum("size").over(Window.orderBy("turn", "hash", "id"))).where(F.col("upto") <= most_bytes)
+    once = once.join(F.broadcast(fits.select("id")), "id")
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = sorted(once.select("id", "least.text", "q").mapInArrow(grams, f"id {kind}, q int, buckets binary").collect(), key=lambda r: r.id)
+    rows = sorted(once.select("id", "text", "q").mapInArrow(grams, f"id {kind}, q int, buckets binary").collect(), key=lambda r: r.id)
     order = np.random.default_rng(3).permutation(len(rows))
     return fit([(np.frombuffer(rows[i].buckets, np.int32), rows[i].q) for i in order], share)
 

@@ -78,3 +78,19 @@ def contamination(docs, items):
                     got |= wins[x]
         out[d] = len(w), len(hit), sorted(map(str, got))
     return out
+
+
+def log_ratios(samples, smooth, dim):
+    """{bucket: log ratio} of (buckets, label) samples, and that of buckets in none."""
+    import math
+
+    n = [collections.Counter(b for x, q in samples if q == k for b in x) for k in (0, 1)]
+    total = [sum(c.values()) + smooth * dim for c in n]
+    ratio = lambda b: math.log((n[1][b] + smooth) / total[1]) - math.log((n[0][b] + smooth) / total[0])
+    return {b: ratio(b) for b in {*n[0], *n[1]}}, ratio(-1)
+
+
+def hinge_objective(rows, y, w, bias, cost):
+    """Half the squared norm (bias included) plus cost times the hinge losses; rows: {feature: value}."""
+    slack = sum(max(0.0, 1 - t * (sum(v * w.get(f, 0.0) for f, v in x.items()) + bias)) for x, t in zip(rows, y))
+    return (sum(v * v for v in w.values()) + bias * bias) / 2 + cost * slack
