@@ -6,8 +6,10 @@ of an Arrow batch advance together, as many as fit STATE_BYTES. In a pattern `*`
 for any bytes, `?` for one byte but `/`; the rest is literal. Patterns are matched against host + path as a whole.
 
 Rules are matched on host and path as they are. Where none fits, block patterns are matched on the canonical URL:
-user name, port, and dots at the host's end go, escapes are decoded, and repeated slashes count as one. SUSPECT is a
-small list; `patterns_of` reads any number from a table.
+user name, port, and dots at the host's end go, escapes are decoded, and repeated slashes count as one. Only URLs
+that have any of these are rewritten one by one. SUSPECT is a small list; `patterns_of` reads thousands from a table,
+at most PATTERN_BYTES together. Patterns are dealt into automata of at most AUTOMATON_BITS states, which judge a batch
+one after the other, so a URL's state stays small however many there are.
 
 Host and path are cut from the URL with DataFrame functions. Null URLs, and those without `://`, have an empty
 host and path, fit no rule and get the default verdict. Empty paths fit no rule, as each rule's path starts with
@@ -39,6 +41,8 @@ SUSPECT = (
     "*.onion/**", "*xxx*/**", "?*.?*.?*.?*.?*.?*.?*/**",
 )
 STATE_BYTES = 16 << 20
+AUTOMATON_BITS = 8192
+PATTERN_BYTES = 8 << 20
 
 
 class Globs:
@@ -120,9 +124,30 @@ def with_host_path(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
     return pages.select(F.col(id_col), F.translate(F.regexp_extract(url, parts, 1), upper, lower).alias("host"), F.regexp_extract(url, parts, 2).alias("path"))
 
 
-def patterns_of(table: DataFrame, column: str = "pattern") -> tuple[str, ...]:
-    """The distinct patterns of a table, which must be few enough for one automaton (a MB or so)."""
-    return tuple(r[0] for r in table.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect())
+def patterns_of(table: DataFrame, column: str = "pattern", most_bytes: int = PATTERN_BYTES) -> tuple[str, ...]:
+    """The distinct patterns of a table; a table with more than most_bytes of them raises before any is fetched."""
+    found = table.select(F.col(column).alias("p")).where(F.col(column).isNotNull()).distinct()
+    size = found.agg(F.sum(F.octet_length("p"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"{size} bytes of patterns: at most {most_bytes} travel to every task")
+    return tuple(r[0] for r in found.orderBy("p").collect())
+
+
+def automata(patterns: tuple[str, ...] | list[str], bits: int = AUTOMATON_BITS) -> list[Globs]:
+    """The patterns in automata of at most so many states; a longer pattern has one of its own."""
+    out, some, used = [], [], 0
+    for p in patterns:
+        own = 1 + len(p.replace("*", "").encode("utf-8"))
+        if some and used + own > bits:
+            out.append(Globs(some))
+            some, used = [], 0
+        some.append(p)
+        used += own
+    return out + [Globs(some)] if some else out
+
+
+#: what canonical() may have to change
+_ODD = r"[@:%]|//|^[^/]*\.(/|$)"
 
 
 def canonical(host: str, path: str) -> str:
@@ -142,16 +167,22 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, sus
     names = pa.array([r for _, r in ranked], pa.string())
     verdicts = pa.array([v for v, _ in ranked], pa.string())
 
-    def hits(globs: Globs, texts: list[str]) -> np.ndarray:
-        return np.concatenate([np.zeros((0, len(globs.final)), bool), *(globs.match(buf, offsets) for _, buf, offsets in blocks(pa.array(texts, pa.string())))])
+    def hits(globs: Globs, texts: pa.Array) -> np.ndarray:
+        return np.concatenate([np.zeros((0, len(globs.final)), bool), *(globs.match(buf, offsets) for _, buf, offsets in blocks(texts))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_rule, by_pattern = Globs(patterns), Globs(list(suspect))
+        by_rule, by_pattern = Globs(patterns), automata(suspect)
         for batch in batches:
-            both = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
-            fits = hits(by_rule, [h + p for h, p in both])
-            longest = pa.array(len(ranked) - 1 - fits[:, ::-1].argmax(1) // 2 if ranked else np.zeros(len(both), np.int64), mask=~fits.any(1))
-            blocked = hits(by_pattern, [canonical(h, p) for h, p in both]).any(1)
+            whole = pc.binary_join_element_wise(batch.column(1), batch.column(2), "")
+            fits = hits(by_rule, whole)
+            longest = pa.array(len(ranked) - 1 - fits[:, ::-1].argmax(1) // 2 if ranked else np.zeros(batch.num_rows, np.int64), mask=~fits.any(1))
+            odd = pc.match_substring_regex(whole, _ODD)
+            at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+            fixed = [canonical(batch.column(1)[k].as_py(), batch.column(2)[k].as_py()) for k in at.tolist()]
+            plain = pc.replace_with_mask(whole, odd, pa.array(fixed, pa.string()))
+            blocked = np.zeros(batch.num_rows, bool)
+            for globs in by_pattern:
+                blocked |= hits(globs, plain).any(1)
             other = pc.if_else(pa.array(blocked), "block", default)
             yield pa.RecordBatch.from_arrays([*batch.columns, names.take(longest), pc.coalesce(verdicts.take(longest), other)], [*batch.schema.names, "rule", "verdict"])
 
