@@ -49,6 +49,7 @@ SHINGLE = 4
 ROWS, BANDS = 6, 40
 PERCENT = 80
 CELL = 2000
+FEW = 1 << 20  # row numbers that are broadcast, some 32 MB at most
 SEEDS = mix(np.arange(1, 4097, dtype=U) * U(0x9E3779B97F4A7C15))
 TO_SPACE = LOWER.copy()
 TO_SPACE[SPACE] = 32
@@ -185,23 +186,29 @@ def shingles_of(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return texts.select("k", "text").mapInArrow(run, "k long, s long")
 
 
-def near_groups(rows: DataFrame, linked: str = "true", ties: DataFrame | None = None, bands_of: tuple[int, int] = (ROWS, BANDS), percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def looked_up(df: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+    """Semi or anti join of wide rows with a written table of distinct numbers: few are broadcast, so the rows stay where they are."""
+    return df.join(F.broadcast(keys) if keys.count() <= FEW else keys, on, how)
+
+
+def near_groups(rows: DataFrame, scratch: Scratch, linked: str = "true", ties: DataFrame | None = None, bands_of: tuple[int, int] = (ROWS, BANDS), percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """k, n_shingles and component (a k) of each row; component is null for empty sets and where `linked` is false.
 
     rows: a written table with k (unique), text and what `linked` names. ties: rows (a, b) that belong together anyhow.
+    scratch: what the result reads, to be cleared when the result is written.
     """
     temp = Scratch()
-    prints = staged(fingerprints(rows, *bands_of, shingle), "sketches")
+    prints = scratch.staged(fingerprints(rows, *bands_of, shingle), "sketches")
     filled = prints.where("n_shingles > 0")
     if linked != "true":
         filled = filled.join(rows.where(linked).select("k"), "k", "left_semi")
-    classes = staged(filled.groupBy("f1", "f2").agg(F.min("k").alias("key"), F.count("*").alias("copies")), "classes")
-    member = staged(hot_lookup(filled.select("k", "f1", "f2"), classes, ["f1", "f2"], "copies").select("k", "key"), "members")
+    classes = scratch.staged(filled.groupBy("f1", "f2").agg(F.min("k").alias("key"), F.count("*").alias("copies")), "classes")
+    member = scratch.staged(hot_lookup(filled.select("k", "f1", "f2"), classes, ["f1", "f2"], "copies").select("k", "key"), "members")
     heads = temp.staged(prints.join(classes.select(F.col("key").alias("k")), "k", "left_semi").select("k", "n_shingles", "bands"), "heads")
     at = heads.select("k", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     pivots = at.groupBy("band").agg(F.min("k").alias("pivot"), F.max("k").alias("last"), F.count("*").alias("size")).where("pivot < last").drop("last")
     met = temp.staged(hot_lookup(at, temp.staged(pivots, "pivots"), ["band"], "size"), "buckets")  # buckets of more than one class
-    texts = temp.staged(rows.select("k", "text").join(met.select("k").distinct(), "k", "left_semi"), "near-texts")
+    texts = temp.staged(looked_up(rows.select("k", "text"), temp.staged(met.select("k").distinct(), "near-keys"), "k", "left_semi"), "near-texts")
 
     stars = temp.staged(met.where("k != pivot").select(F.col("pivot").alias("a"), F.col("k").alias("b")).distinct(), "stars")
     links = verified(stars, texts, percent, shingle)
@@ -210,20 +217,20 @@ def near_groups(rows: DataFrame, linked: str = "true", ties: DataFrame | None =
         links = links.unionByName(ties.join(end("a"), "a").join(end("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
     labels = components(links)
     for more in (_drawn, _across):
-        labels = _joined(labels, more(met, labels, texts, percent, shingle, temp))
+        labels = _joined(labels, more(met, labels, texts, percent, shingle, temp), scratch)
     temp.clear()
     # a class that nothing is linked with is its own component
     whole = classes.select(F.col("key").alias("node"), "copies").join(labels, "node", "left").select(F.col("node").alias("key"), F.coalesce("component", "node").alias("component"), "copies")
-    out = hot_lookup(member, staged(whole, "wholes"), ["key"], "copies").select("k", "component")
+    out = hot_lookup(member, scratch.staged(whole, "wholes"), ["key"], "copies").select("k", "component")
     return prints.select("k", "n_shingles").join(out, "k", "left")
 
 
-def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """The labels after links (a, b) between components."""
     more = components(links).select(F.col("node").alias("component"), F.col("component").alias("c2"))
     moved = labels.join(more, "component", "left").select("node", F.coalesce("c2", "component").alias("component"))
     new = more.select(F.col("component").alias("node"), F.col("c2").alias("component")).join(labels.select("node"), "node", "left_anti")
-    return staged(moved.unionByName(new), "labels")
+    return scratch.staged(moved.unionByName(new), "labels")
 
 
 def _labelled(met: DataFrame, labels: DataFrame, temp: Scratch) -> DataFrame:
@@ -286,9 +293,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, n_shingles, component_id (the smallest id reachable) and kept of each row."""
     named = staged(docs.select(F.monotonically_increasing_id().alias("k"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), "near-rows")
     ids = named.where("id is not null").select("k", "id")
-    many = staged(ids.groupBy("id").agg(F.min("k").alias("b"), F.count("*").alias("n")).where("n > 1"), "repeated-ids")
+    scratch = Scratch()
+    many = scratch.staged(ids.groupBy("id").agg(F.min("k").alias("b"), F.count("*").alias("n")).where("n > 1"), "repeated-ids")
     ties = hot_lookup(ids, many, ["id"], "n").where("k != b").select(F.col("k").alias("a"), "b")
-    found = staged(near_groups(named, "id is not null", ties, (rows, bands), percent, shingle).join(named.select("k", "id"), "k"), "near-groups")
+    found = staged(near_groups(named, scratch, "id is not null", ties, (rows, bands), percent, shingle).join(named.select("k", "id"), "k"), "near-groups")
+    scratch.clear()
     least = found.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
     linked = hot_lookup(found.where("component is not null"), least, ["component"], "n")
     out = linked.drop("component").unionByName(found.where("component is null").drop("component").withColumn("component_id", F.col("id")))
@@ -305,8 +314,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         row += "_"
     named = staged(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
     thin = named.select(F.col(row).alias("k"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = near_groups(thin, bands_of=(rows, bands), percent=percent, shingle=shingle).where("component is not null")
+    scratch = Scratch()
+    found = near_groups(thin, scratch, bands_of=(rows, bands), percent=percent, shingle=shingle).where("component is not null")
     found = staged(found.join(thin.select("k", "id"), "k").select("k", "component", F.struct(F.col("id").isNull(), "id", "k").alias("order")), "near-groups")
+    scratch.clear()
     first = found.groupBy("component").agg(F.min("order").alias("first"), F.count("*").alias("n")).where("n > 1")
-    gone = hot_lookup(found, first, ["component"], "n").where("order != first").select(F.col("k").alias(row))
-    return named.join(gone, row, "left_anti").select(docs.columns)
+    gone = staged(hot_lookup(found, first, ["component"], "n").where("order != first").select(F.col("k").alias(row)), "near-gone")
+    return looked_up(named, gone, row, "left_anti").select(docs.columns)
