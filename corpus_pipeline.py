@@ -7,7 +7,8 @@ tokens (BPE ids of each text, with digests of the ids and of the decoded text).
 All stages but the last return the columns of documents, and the tables may be empty or hold rows that repeat or have
 nulls: a null doc_id is scored and deduplicated like any other (of a group the least id stays, nulls last; of rows
 that repeat one stays); null texts count as empty, which the classifier judges by its coarse features, nothing
-links or hits, and end as no ids. Long texts are read whole by every stage. Other columns are carried along.
+links or hits, and end as no ids. Long texts are read whole by every stage. Other columns are carried along up to
+the last stage, which returns doc_id, n_tokens, ids and the two digests alone. A table without rows ends as one.
 """
 
 from __future__ import annotations
