@@ -68,9 +68,16 @@ def level_counts(df: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*(F.struct(F.lit(x).alias("hgt_level"), F.col(x).alias("instances")) for x in LEVELS))).alias("r")).select("r.*")
 
 
-def all_levels(df: DataFrame) -> DataFrame:
-    """Distinct rows at any level, without the flags."""
-    return df.where(reduce(lambda x, y: x | y, map(F.col, LEVELS))).drop(*LEVELS).distinct()
+def all_levels(df: DataFrame, unique: bool = False) -> DataFrame:
+    """Distinct rows at any level, without the flags. unique: rows are known to be distinct."""
+    rows = df.where(reduce(lambda x, y: x | y, map(F.col, LEVELS))).drop(*LEVELS)
+    return rows if unique else rows.distinct()
+
+
+def all_criterion2(overlaps: DataFrame, contig_taxonomy: DataFrame, config: Config) -> DataFrame:
+    """Distinct criterion-2 rows at any level: of distinct overlaps and taxonomies, whose columns the rows all have, so that the wide rows need no comparison."""
+    joined = criteria2_input(overlaps.distinct(), contig_taxonomy.distinct(), config)
+    return all_levels(with_levels(joined, "contig1", "contig2", config.strict), unique=True)
 
 
 def donor_recipient(events: DataFrame, overlaps: DataFrame) -> DataFrame:

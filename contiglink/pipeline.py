@@ -58,7 +58,7 @@ class Analysis:
     levels2 = cached_property(lambda self: events.with_levels(self.criteria2, "contig1", "contig2", self.config.strict))
     donors = cached_property(lambda self: self.keep(events.donor_recipient(self.levels1, self.criteria2), "donors"))
     all_hgt1 = cached_property(lambda self: events.all_levels(self.levels1))
-    all_hgt2 = cached_property(lambda self: self.keep(events.all_levels(self.levels2), "all-criterion2"))
+    all_hgt2 = cached_property(lambda self: self.keep(events.all_criterion2(self.region_overlaps, self.contig_taxonomy, self.config), "all-criterion2"))
     components = cached_property(lambda self: self.keep(reports.hgt_components(self.all_hgt2), "components"))
     groups = cached_property(lambda self: self.keep(reports.hgt_groups(self.components, self.metadata, self.contig_taxonomy, self.region_overlaps), "groups"))
     order_edges = cached_property(lambda self: self.keep(graph.order_graph_edges(self.levels1), "order-graph"))
