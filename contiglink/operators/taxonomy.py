@@ -34,12 +34,13 @@ def lineage_vote(votes: DataFrame, taxa: DataFrame, by: str = "name", majority:
     arise for majority >= 0.5; below it the heavier one, then the one with more genes, then the later in the alphabet wins. Names without any
     lineage are unclassified (taxid 0), those without a majority at any rank belong to the root (taxid 1).
 
-    Weights are summed by name and ancestor first, so a contig's genes never meet in one task as rows.
+    Weights are summed by name and lineage, then by name and ancestor, so a contig's genes never meet in one task as rows.
     """
     known = F.col("lineage").isNotNull() & (F.col("lineage") != "")
-    totals = votes.groupBy(by).agg(F.count("*").alias("fragments"), F.count(F.when(known, 1)).alias("returned"), F.sum(F.when(known, F.col("weight"))).alias("total"))
-    each = votes.where(known).select(by, F.col("weight").cast("double").alias("weight"), F.posexplode(_paths(F.col("lineage"))).alias("k", "path"))
-    sums = each.groupBy(by, "k", "path").agg(F.sum("weight").alias("w"), F.count("*").alias("n"))
+    lineages = votes.groupBy(by, "lineage").agg(F.sum(F.col("weight").cast("double")).alias("weight"), F.count("*").alias("genes"))
+    totals = lineages.groupBy(by).agg(F.sum("genes").alias("fragments"), F.coalesce(F.sum(F.when(known, F.col("genes"))), F.lit(0)).alias("returned"), F.sum(F.when(known, F.col("weight"))).alias("total"))
+    each = lineages.where(known).select(by, "weight", "genes", F.posexplode(_paths(F.col("lineage"))).alias("k", "path"))
+    sums = each.groupBy(by, "k", "path").agg(F.sum("weight").alias("w"), F.sum("genes").alias("n"))
     best = sums.groupBy(by).agg(*(F.max(F.when(F.col("k") == k, F.struct("w", "n", "path"))).alias(f"at{k}") for k in range(len(RANKS))))
     most = [F.when(F.col(f"at{k}.w") > majority * F.col("total"), F.struct(F.lit(k).alias("k"), f"at{k}.w", f"at{k}.n", f"at{k}.path")) for k in reversed(range(len(RANKS)))]
     named = totals.join(best, by, "left").withColumn("label", F.coalesce(*most)).select(by, "fragments", "returned", "total", "label.*")
