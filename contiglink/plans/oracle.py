@@ -193,7 +193,7 @@ SELECTS = {
     "region_overlaps": "select * from rov",
     "filter_reciprocals": "select * from rov where contig1 < contig2",
     "region_slop": 'select contig, greatest("start" - 1000, 0) "start", least(stop + 1000, contig_length) stop, region_title from meta',
-    "extract_regions": """select concat(region_title, '::', contig, ':', "start", '-', stop) name, cast(0 as integer) part, substr(sequence, "start" + 1, stop - "start") sequence
+    "extract_regions": """select concat(region_title, '::', contig, ':', "start", '-', stop) name, cast(0 as integer) part, cast(stop - "start" as integer) letters, md5(substr(sequence, "start" + 1, stop - "start")) sequence_md5
         from (select contig, greatest("start" - 1000, 0) "start", least(stop + 1000, contig_length) stop, region_title from meta) join fx_sequences on contig = name where stop > "start\"""",
     "fasta_index_file": "select contig, length, least(60, length) linebases, least(60, length) + 1 linewidth from fx_fai",
     "orf_scan": _orfs(),

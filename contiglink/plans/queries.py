@@ -130,7 +130,7 @@ VIEWS: dict[str, Callable[[Relations], DataFrame]] = {
     "region_overlaps": lambda r: r.region_overlaps,
     "filter_reciprocals": lambda r: regions.filter_reciprocals(r.region_overlaps),
     "region_slop": lambda r: regions.region_slop(r.metadata, r.config.slop),
-    "extract_regions": lambda r: fasta.fasta_ranges(regions.region_slop(r.metadata, r.config.slop), r.sequence_index),
+    "extract_regions": lambda r: fasta.fasta_ranges(regions.region_slop(r.metadata, r.config.slop), r.sequence_index).select("name", "part", F.length("sequence").alias("letters"), F.md5("sequence").alias("sequence_md5")),
     "fasta_index_file": lambda r: r.sequence_index.select("contig", "length", "linebases", "linewidth"),
     "orf_scan": lambda r: orfs.orf_scan(fasta.fasta_ranges(orfs.chunks_of(r.genome_index, CHUNK), r.genome_index), r.genome_index, chunk=CHUNK),
     "kmer_candidates": lambda r: r.candidates,
