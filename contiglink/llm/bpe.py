@@ -76,27 +76,44 @@ class Known(dict):
     def all(self, keys: list, make_all: Callable[[list], list]) -> list:
         """The entries of many different keys; those missing are worked out together."""
         out = list(map(self.get, keys))
-        missing = []
-        for i in [i for i, v in enumerate(out) if v is None]:
-            out[i] = self.old.get(keys[i])
-            if out[i] is None:
-                missing.append(i)
-            else:
-                self.put(keys[i], out[i])
-        for i, value in zip(missing, make_all([keys[i] for i in missing]) if missing else ()):
-            out[i] = value
-            self.put(keys[i], value)
+        missing = [i for i, v in enumerate(out) if v is None]
+        if self.old:
+            for i in missing:
+                out[i] = self.old.get(keys[i])
+            again = [i for i in missing if out[i] is not None]
+            missing = [i for i in missing if out[i] is None]
+            self.put_all([keys[i] for i in again], [out[i] for i in again])
+        if missing:
+            new = [keys[i] for i in missing]
+            values = make_all(new)
+            for i, value in zip(missing, values):
+                out[i] = value
+            self.put_all(new, values)
         return out
 
-
-def gather(texts: pa.Array, results: Callable[[list[bytes]], list[list[bytes]]], most: int = BLOCK) -> Iterator[tuple[int, list[tuple[memoryview, np.ndarray]]]]:
+    def put_all(self, keys: list, values: list[bytes], at_once: int = 4096) -> None:
+        """put for many entries, whose sizes are added up `at_once` at a time; the table is too large by no more than these."""
+        for first in range(0, len(keys), at_once):
+            some = {k: v for k, v in zip(keys[first : first + at_once], values[first : first + at_once]) if len(k) <= KEEP_WORD}
+            size = ENTRY * len(some) + 2 * sum(map(len, some)) + sum(map(len, some.values()))
+            if self.held + size > self.keep_bytes:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self.update(some)
+            self.held += size
+
+
+def gather(
+    texts: pa.Array, results: Callable[[list[bytes]], list[list[bytes]]], most: int = BLOCK, stretches: Callable = word_column
+) -> Iterator[tuple[int, list[tuple[memoryview, np.ndarray]]]]:
     """Results of each text's stretches without white space, in a row.
 
     results: distinct stretches -> lists of byte strings, one for each. Yields the first row of a block of texts and,
-    for each list, (bytes, bounds): text first + i has the bytes from bounds[i] to bounds[i + 1].
+    for each list, (bytes, bounds): text first + i has the bytes from bounds[i] to bounds[i + 1]. stretches: a block's
+    bytes and offsets -> the column of its stretches, and the first one of each text.
     """
     for first, buf, offsets in blocks(texts, most):
-        column, at = word_column(buf, offsets)
+        column, at = stretches(buf, offsets)
         code, distinct = codes_of(column)
         out = []
         for made in results(distinct.to_pylist()):
@@ -107,17 +124,24 @@ def gather(texts: pa.Array, results: Callable[[list[bytes]], list[list[bytes]]],
         yield first, out
 
 
+def word_spec(path: str) -> dict:
+    """A vocabulary file of the kind that WordBpe reads; of another kind: ValueError."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in splits] != ["Split", "ByteLevel"] or spec["model"]["end_of_word_suffix"] != END or spec["decoder"]:
+        raise ValueError(f"{path}: not a word-end BPE file with NFC, white space and lower case")
+    return spec
+
+
 class WordBpe:
     """Encoder and decoder for a vocabulary file of the tokenizers library whose words end in `</w>`."""
 
     def __init__(self, path: str):
         self.path, self.rules = path, None
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
-        if steps != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in splits] != ["Split", "ByteLevel"] or spec["model"]["end_of_word_suffix"] != END or spec["decoder"]:
-            raise ValueError(f"{path}: not a word-end BPE file with NFC, white space and lower case")
+        spec = word_spec(path)
+        splits = spec["pre_tokenizer"]["pretokenizers"]
         self.vocab: dict[str, int] = spec["model"]["vocab"]
         self.rank = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): k for k, m in enumerate(spec["model"]["merges"])}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}

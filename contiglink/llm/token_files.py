@@ -17,8 +17,9 @@ from __future__ import annotations
 import functools
 import os
 import struct
+import unicodedata
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import KEEP_WORD, Known, gather
+from .bpe import END, KEEP_WORD, UNSURE, Known, gather, word_spec
 from .common import fresh_path, read_file, staged, write_file
+from .hashing import WORD, word_column, words
 
 MAGIC = b"IDS1"
 STEP = 256  # a directory entry for so many set bits
@@ -149,48 +151,117 @@ class TokenFile:
         return self.flat[a:b]
 
 
-@functools.lru_cache(1)
-def library_encoder(vocabulary: str) -> tuple[Callable[[list[bytes]], list[list[bytes]]], int]:
-    """Stretches without white space -> their ids as little-endian 32-bit integers, by the tokenizers library; the number of ids.
+#: Bytes by kind: ASCII letters, and ASCII marks that are neither letters, digits, white space nor control characters.
+LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
+MARK = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(256)])
+
+
+def cut_words(buf: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """word_column of bytes whose A-Z are lower-cased, with further cuts between a letter and an ASCII mark after it.
+
+    A letter ends a word of the split pattern there wherever that word began, so the ids stay the same. Letters are
+    ASCII's and those from U+00C0 to U+00FF. A capital stays before a character that might combine with it, and a block
+    that holds the start of an added token's name is left as it is.
+    """
+    if not len(buf) or b"<|" in buf.tobytes():
+        return word_column(buf, offsets)
+    low = np.where((buf >= 65) & (buf <= 90) & (np.append(buf[1:], np.uint8(0)) < 0xCC), buf + np.uint8(32), buf)
+    letter = LETTER[buf]
+    letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+    starts, _, _ = words(low, offsets)
+    starts = np.union1d(starts, np.flatnonzero(letter[:-1] & MARK[buf[1:]]) + 1)
+    kept = WORD[low]
+    before = np.concatenate([np.zeros(1, np.int64), np.cumsum(kept)])
+    bounds = np.append(before[starts], before[-1])
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(low[kept])])
+    return column, np.searchsorted(starts, offsets)
+
+
+def one_word(s: str) -> bool:
+    """Whether a stretch is letters alone, for the split pattern too once it is normalized."""
+    return s.isalpha() and (s.isascii() or ((low := s.lower()).isalpha() and unicodedata.is_normalized("NFC", low) and not UNSURE.search(low)))
+
+
+class LibraryEncoder:
+    """Stretches without white space -> their ids as little-endian 32-bit integers, by the tokenizers library.
 
     The vocabulary's split pattern never crosses white space, so a text's ids are those of its stretches in a row.
-    A table bounded in bytes keeps the results for all tasks of the worker.
+    A table bounded in bytes keeps the results for all tasks of the worker. size is the number of ids; stretches cuts
+    a block as `gather` asks for.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(vocabulary)
-    t.no_truncation()
-    t.no_padding()
-    special = next(((x.content, i) for i, x in sorted(t.get_added_tokens_decoder().items())), None)
-
-    def one(s: bytes) -> bytes:
-        return np.array(t.encode(s.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def many(rows: list[bytes]) -> list[bytes]:
-        """All in one call, with an added token between them, at whose id the ids are cut."""
-        if special is None:
-            return list(map(one, rows))
-        mark = special[0].encode("utf-8")
-        plain = [x for x in rows if mark not in x and len(x) <= KEEP_WORD]
-        ids = np.array(t.encode_batch_fast([mark.join(plain).decode("utf-8")], add_special_tokens=False)[0].ids if plain else [], "<u4")
-        cuts = np.flatnonzero(ids == special[1])
-        if len(cuts) != max(0, len(plain) - 1):
-            return list(map(one, rows))
-        flat, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-        done = dict(zip(plain, (flat[a:b] for a, b in zip(starts, ends))))
-        return [done[x] if x in done else one(x) for x in rows]
-
-    known = Known(one)
-    return lambda distinct: [known.all(distinct, many)], t.get_vocab_size(with_added_tokens=True)
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = t = Tokenizer.from_file(vocabulary)
+        t.no_truncation()
+        t.no_padding()
+        self.size = t.get_vocab_size(with_added_tokens=True)
+        self.special = next(((x.content, i) for i, x in sorted(t.get_added_tokens_decoder().items())), None)
+        self.known = Known(self.one)
+        # whether words are lower-cased, letters or marks, and their last id is marked
+        self.by_words = word_ends(vocabulary)
+        self.ends = np.zeros(1 + max(t.get_vocab().values()), bool)
+        if self.by_words:
+            self.ends[[i for x, i in t.get_vocab().items() if x.endswith(END)]] = True
+        self.stretches = cut_words if self.by_words else word_column
+
+    def __call__(self, distinct: list[bytes]) -> list[list[bytes]]:
+        return [self.known.all(distinct, self.many)]
+
+    def one(self, s: bytes) -> bytes:
+        return self.ids(s.decode("utf-8")).tobytes()
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def many(self, rows: list[bytes]) -> list[bytes]:
+        """All in two calls: stretches of one word, line by line, whose ids are cut where words end, and the others."""
+        texts = [x.decode("utf-8") for x in rows]
+        done: dict[bytes, bytes] = {}
+        if self.by_words:
+            plain = [k for k, s in enumerate(texts) if one_word(s) and len(s) <= KEEP_WORD]
+            ids = self.ids("\n".join([texts[k] for k in plain]))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(plain):
+                done = dict(zip([rows[k] for k in plain], cut_bytes(ids, np.append(0, cuts[:-1]), cuts)))
+        if self.special is not None:
+            mark = self.special[0]
+            mixed = [k for k, s in enumerate(texts) if rows[k] not in done and mark not in s and len(s) <= KEEP_WORD]
+            ids = self.ids(mark.join([texts[k] for k in mixed]))
+            cuts = np.flatnonzero(ids == self.special[1])
+            if len(cuts) == max(0, len(mixed) - 1):
+                done |= zip([rows[k] for k in mixed], cut_bytes(ids, np.append(0, cuts + 1), np.append(cuts, len(ids))))
+        return [done[x] if x in done else self.one(x) for x in rows]
+
+
+def cut_bytes(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    flat = ids.tobytes()
+    return [flat[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+
+
+def word_ends(vocabulary: str) -> bool:
+    """Whether a file of the tokenizers library is one that WordBpe knows."""
+    try:
+        word_spec(vocabulary)
+    except ValueError:
+        return False
+    return True
+
+
+@functools.lru_cache(1)
+def library_encoder(vocabulary: str) -> LibraryEncoder:
+    """One for all tasks of a worker."""
+    return LibraryEncoder(vocabulary)
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
     """Encode the texts, write files to folder in ascending id order, and return the manifest: part, piece, file, docs, n_ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, size = library_encoder(vocabulary)
-        part, piece, width = TaskContext.get().partitionId(), 0, 2 if max(size, end_id) < 1 << 16 else 4
+        encode = library_encoder(vocabulary)
+        part, piece, width = TaskContext.get().partitionId(), 0, 2 if max(encode.size, end_id) < 1 << 16 else 4
         last = np.uint32(end_id).astype("<u4").tobytes()
         names: list[int | None] = []
         ids: list[bytes] = []
@@ -206,7 +277,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
 
         for batch in batches:
             rows = iter(batch.column(0).to_pylist())
-            for _, ((flat, at),) in gather(batch.column(1), encode):
+            for _, ((flat, at),) in gather(batch.column(1), encode, stretches=encode.stretches):
                 for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
                     if held and held + (b - a) // 4 + 1 > file_ids:
                         yield flush()

@@ -27,13 +27,26 @@ def lib():
 def test_ids_equal_the_library(lib):
     texts = odd_texts()
     want = [e.ids for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
-    own, by_library = bpe.WordBpe(VOCAB), token_files.library_encoder(VOCAB)[0]
+    own, by_library = bpe.WordBpe(VOCAB), token_files.library_encoder(VOCAB)
     own.pieces.keep_bytes = own.words.keep_bytes = 1 << 18  # tables that overflow
     for first, ((flat, at), (back, to)) in bpe.gather(pa.array(texts), own.results, 1 << 14):
         for i in range(len(at) - 1):
             assert np.frombuffer(flat[at[i] : at[i + 1]], "<u4").tolist() == want[first + i], texts[first + i]
             assert str(back[to[i] : max(to[i], to[i + 1] - 1)], "utf-8") == lib.decode(want[first + i], skip_special_tokens=False)
-    for first, ((flat, at),) in bpe.gather(pa.array(texts), by_library, 1 << 14):
+    for first, ((flat, at),) in bpe.gather(pa.array(texts), by_library, 1 << 14, by_library.stretches):
+        for i in range(len(at) - 1):
+            assert np.frombuffer(flat[at[i] : at[i + 1]], "<u4").tolist() == want[first + i], texts[first + i]
+
+
+def test_finer_cuts_keep_the_ids(lib):
+    """Capitals, marks, combining characters and contractions, in blocks without the names of added tokens."""
+    r = random.Random(12)
+    pool = [*"aZéÉßñ×÷'’.,-=<>|#%1٣²", "'S", "'ll", "\u0301", "\u0331", "\u0338", "H", "İ", "Σ", "ǅ", "क़", " ", "\n", "\t", "\u00a0", "\u2003", "don't", "中", "\x00", "\x01"]
+    texts = ["".join(r.choice(pool) for _ in range(r.randrange(0, 14))).replace("<|", "<") for _ in range(20_000)]
+    encode = token_files.library_encoder(VOCAB)
+    assert encode.by_words and encode.stretches is token_files.cut_words
+    want = [e.ids for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
+    for first, ((flat, at),) in bpe.gather(pa.array(texts), encode, 1 << 14, encode.stretches):
         for i in range(len(at) - 1):
             assert np.frombuffer(flat[at[i] : at[i + 1]], "<u4").tolist() == want[first + i], texts[first + i]
 
