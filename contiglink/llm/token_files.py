@@ -168,8 +168,10 @@ def cut_words(buf: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeBinaryArray
     low = np.where((buf >= 65) & (buf <= 90) & (np.append(buf[1:], np.uint8(0)) < 0xCC), buf + np.uint8(32), buf)
     letter = LETTER[buf]
     letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
-    starts, _, _ = words(low, offsets)
-    starts = np.union1d(starts, np.flatnonzero(letter[:-1] & MARK[buf[1:]]) + 1)
+    begins = np.zeros(len(buf), bool)
+    begins[words(low, offsets)[0]] = True
+    begins[1:] |= letter[:-1] & MARK[buf[1:]]
+    starts = np.flatnonzero(begins)
     kept = WORD[low]
     before = np.concatenate([np.zeros(1, np.int64), np.cumsum(kept)])
     bounds = np.append(before[starts], before[-1])
