@@ -12,7 +12,7 @@ dropped, as are those that a base span overlaps (base ones stay) and those that
 also take digits of other scripts, spelled-out digits and a spelled-out `@`.
 
 The tagger is trained in numpy on labelled spans of two sorts: at most `most` different windows of the corpus around
-digits and `@`, labelled by the base spans, and as many made ones, in which invented data (plain, obfuscated, spelled
+digits and `@`, labelled by the base spans, and MADE made ones, in which invented data (plain, obfuscated, spelled
 out, with other separators) or harmless numbers stand between text of the corpus. Text without digits and `@` is
 added unlabelled. Digits of other scripts read as ASCII's. The weights are of fixed size and travel with the tasks.
 Without any text of WINDOW characters and any digit nothing is added. Null texts count as empty. Repeated rows give
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hashing import blocks
@@ -39,9 +39,9 @@ from .hashing import blocks
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STEP = 128, 96  # of the reader
 TRAIN_WINDOW, TRAIN_STEP, MARGIN = 64, 32, 20
-MOST = 1000
-SURE = 0.98
-EMBED, HIDDEN, EPOCHS, BATCH, RATE = 12, 16, 14, 100, 0.02
+MOST, MADE = 1000, 4000
+SURE = 0.8
+EMBED, HIDDEN, EPOCHS, BATCH, RATE = 12, 16, 16, 100, 0.02
 STEPS = 300  # at least so many, however few windows there are
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 #: No way from the row's tag to the column's: an inside follows its own begin or inside.
@@ -63,6 +63,8 @@ DIGIT_WORDS = (
 )
 AT_WORDS, DOT_WORDS = ("at", "arroba", "arobase", "AT"), ("dot", "punto", "point", "punkt", "DOT")
 AROUND = ((" ", " "), (" (", ") "), (" [", "] "), ("[", "]"), ("(", ")"))
+#: marks between the parts of made data: each ASCII mark by itself, and one for all of other scripts
+JOINTS = ("-", ".", "/", "_", ":", ",", ";", "|", "*", "+", "~", "=", "#", "\u00b7")
 DIGITS = re.compile(r"\d|(?<!\w)(?:" + "|".join(sorted({w for ws in DIGIT_WORDS for w in ws})) + r")(?!\w)", re.I)
 DOT_WORD = re.compile(r"(?<!\w)(?:" + "|".join(DOT_WORDS) + r")(?!\w)", re.I)
 AT_SIGN = re.compile(r"[@\uFF20\uFE6B]|(?<!\w)(?:" + "|".join(AT_WORDS) + r")(?!\w)", re.I)
@@ -443,7 +445,9 @@ def plausible(span: Span, text: str) -> bool:
     if kind == "email":
         return AT_SIGN.search(text[a:b]) is not None and "." in plain
     if kind == "ip":
-        parts = re.sub(r"[^0-9.]", "", plain).strip(".").split(".")
+        between = re.findall(r"(?<=[0-9])[^0-9]+(?=[0-9])", plain)
+        alike = len(between) == 3 and len(set(between)) == 1  # one separator, whatever it is
+        parts = re.findall("[0-9]+", plain) if alike else re.sub(r"[^0-9.]", "", plain).strip(".").split(".")
         return len(parts) == 4 and all(p and len(p) < 4 and int(p) < 256 for p in parts)
     if kind == "card":
         return 16 <= len(digits) <= 19 and luhn(digits)
@@ -485,26 +489,54 @@ def spelled(kind: str, span: str, rng: random.Random) -> str:
     return " ".join(out.split())
 
 
+def joint(rng: random.Random) -> str:
+    """What stands between parts: a space, a mark, a mark between spaces or in brackets."""
+    if rng.random() < 0.15:
+        return " "
+    mark = rng.choice(JOINTS)
+    return rng.choice((mark, mark, mark, f" {mark} ", f" {mark}", f"{mark} ", f"[{mark}]", f"({mark})"))
+
+
+def grouped(digits: str, rng: random.Random) -> list[str]:
+    """Digits in groups of one size, or of sizes drawn for each."""
+    out, size = [], rng.choice((0, 2, 3, 4, 4, 4, 4, 5, 6, 8))
+    while digits:
+        n = size or rng.randrange(2, 8)
+        out.append(digits[:n])
+        digits = digits[n:]
+    return out
+
+
 def invented(kind: str, rng: random.Random) -> str:
-    """Data of a kind in one of many forms, of which the base patterns know some."""
+    """Data of a kind in a form composed of drawn parts, marks and brackets; the base patterns know some of these."""
     number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     name = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzaeiou") for _ in range(rng.randrange(2, 10)))
     if kind == "email":
         local = rng.choice(["", name() + rng.choice("._-")]) + name() + rng.choice(["", number(2), "." + number(2)])
         plain = f"{local}@{name()}{rng.choice(['', '.' + name(), number(1)])}.{rng.choice(['com', 'org', 'net', 'example', 'de', 'fr'])}"
-        return spelled(kind, plain, rng) if rng.random() < 0.6 else plain.replace("@", rng.choice(["@", " @ ", "(@)"]))
+        way = rng.random()
+        if way < 0.4:
+            return spelled(kind, plain, rng)
+        if way < 0.7:  # words or signs between marks of any sort
+            mark, end = rng.choice(JOINTS), rng.choice(("", " "))
+            at, dot = rng.choice((*AT_WORDS, "@")), rng.choice((*DOT_WORDS, "."))
+            return plain.replace("@", f"{end}{mark}{at}{mark}{end}").replace(".", rng.choice((".", f"{end}{mark}{dot}{mark}{end}")))
+        return plain.replace("@", rng.choice(["@", " @ ", "(@)", "[@]", " @", "@ "])).replace(".", rng.choice([".", ".", " . ", "[.]", "(.)"]))
     if kind == "ip":
         plain = ".".join(str(rng.randrange(256)) for _ in range(4))
-        return spelled(kind, plain, rng) if rng.random() < 0.3 else plain.replace(".", rng.choice([".", "[.]", " . ", "(.)"]))
+        return spelled(kind, plain, rng) if rng.random() < 0.2 else plain.replace(".", rng.choice([".", joint(rng)]))
     if kind == "card":
-        head = number(15)
+        head = number(rng.choice((15, 15, 15, 16, 17, 18)))
         digits = head + next(d for d in "0123456789" if luhn(head + d))
-        if rng.random() < 0.2:
+        if rng.random() < 0.15:
             return spelled(kind, digits, rng)
-        return rng.choice(["", " ", "-", ".", "/", "_"]).join(digits[k : k + 4] for k in range(0, 16, 4))
-    form = rng.choice(["+{c} ({a}) {b}-{d}", "({a}) {b}-{d}", "{a}-{b}-{d}", "{a}.{b}.{d}", "00{c} {a} {b} {d}", "+{c}/{a}/{b}{d}"])
-    plain = form.format(c=rng.randrange(1, 99), a=number(3), b=number(3), d=number(4))
-    return spelled(kind, plain, rng) if rng.random() < 0.2 else plain
+        return joint(rng).join(grouped(digits, rng))
+    a, b, d = number(rng.choice((2, 3, 3, 4))), number(3), number(rng.choice((3, 4, 4)))
+    before = rng.choice(("", "", "+{c}", "00{c}", "0", "(+{c})", "[{c}]")).format(c=rng.randrange(1, 99))
+    area = rng.choice(("{a}", "{a}", "({a})", "[{a}]", "(0){a}")).format(a=a)
+    mark = joint(rng)
+    plain = rng.choice((mark, " ", "")).join(x for x in (before, area) if x) + rng.choice((mark, " ")) + b + rng.choice((mark, mark, "")) + d
+    return spelled(kind, plain, rng) if rng.random() < 0.15 else plain
 
 
 def harmless(rng: random.Random) -> str:
@@ -514,6 +546,8 @@ def harmless(rng: random.Random) -> str:
         lambda: number(rng.randrange(1, 8)), lambda: f"{number(1)}.{number(1)}", lambda: f"{number(1)}.{number(1)}.{number(2)}", lambda: f"{number(4)}-{number(2)}-{number(2)}",
         lambda: f"{number(2)}:{number(2)}:{number(2)}", lambda: f"{number(3)},{number(3)}.{number(2)}", lambda: f"@{rng.choice(['home', 'user', 'all'])}", lambda: number(rng.randrange(20, 30)),
         lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([16, 32, 40]))), lambda: f"{rng.choice(AT_WORDS)} {rng.choice(DIGIT_WORDS[0])}", lambda: f"{number(3)}.{number(3)}", lambda: f"v{number(1)}.{number(2)}",
+        lambda: joint(rng).join((number(4), number(2), number(2))), lambda: joint(rng).join(number(rng.randrange(1, 4)) for _ in range(rng.choice((2, 3, 5, 6)))), lambda: f"{rng.randrange(24)}:{number(2)} {rng.choice(AT_WORDS)} {number(2)}",
+        lambda: joint(rng).join(str(rng.randrange(256, 1000)) for _ in range(4)),
     ])()
 
 
@@ -568,10 +602,25 @@ def train(docs: DataFrame, most: int = MOST, text_col: str = "text") -> Tagger |
     if not rows and not plain:
         return None
     pairs = [[np.frombuffer(bytes(r[k]), np.uint8).astype(np.int64) for r in rows] for k in (0, 1)]
-    more, tags = made_windows(plain, most)
+    more, tags = made_windows(plain, MADE)
     x, y = np.stack([*pairs[0], *more, *plain]), np.stack([*pairs[1], *tags, *(np.zeros(TRAIN_WINDOW, np.int64) for _ in plain)])
+    return fitted(docs.sparkSession, x, y, max(EPOCHS, -(-STEPS // -(-len(x) // BATCH))))
+
+
+def fitted(spark: SparkSession, x: np.ndarray, y: np.ndarray, epochs: int) -> Tagger:
+    """A tagger trained by one task on windows bounded in number, so that it runs again if its executor is lost, and with
+    the threads that the session gives a task."""
+    codes, tags = x.astype(np.uint8), y.astype(np.uint8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            tagger = Tagger()
+            tagger.fit(codes.astype(np.int64), tags.astype(np.int64), epochs)
+            yield pa.RecordBatch.from_arrays([pa.array(tagger.p), pa.array([v.astype(np.float32).tobytes() for v in tagger.p.values()])], ["name", "weights"])
+
     tagger = Tagger()
-    tagger.fit(x, y, max(EPOCHS, -(-STEPS // -(-len(x) // BATCH))))
+    for row in spark.range(0, 1, 1, 1).mapInArrow(run, "name string, weights binary").collect():
+        tagger.p[row.name] = np.frombuffer(bytes(row.weights), np.float32).reshape(tagger.p[row.name].shape)
     return tagger
 
 
