@@ -15,16 +15,23 @@ def hot_lookup(left: DataFrame, right: DataFrame, keys: list[str], count: str, t
     """Inner join of left with right, which has one row a key and in `count` how many rows of left have it.
 
     Rows of hot keys meet a broadcast of at most SHARE rows, so they stay where they are; all others are shuffled,
-    and no key among them holds more than a SHARE-th of the rows. `count` is dropped.
+    and no key among them holds more than a SHARE-th of the rows. Both sides are divided by the keys' hashes, of which
+    at most SHARE are hot: a row is filtered, not joined, to find its way. `count` is dropped.
     """
+    kinds = [[df.schema[k].dataType for k in keys] for df in (left, right)]
+    if kinds[0] != kinds[1]:
+        raise ValueError(f"keys {keys} of different types: {kinds}")
     if total is None:
         total = right.agg(F.sum(count)).first()[0] or 0
     if total < least:
         return left.join(right.drop(count), keys)
-    hot = F.col(count) * SHARE > total
-    few = F.broadcast(right.where(hot).drop(count))
-    rest = left.join(few.select(*keys), keys, "left_anti").join(right.where(~hot).drop(count), keys)
-    return left.join(few, keys).unionByName(rest)
+    way = F.xxhash64(*keys)
+    hot = [r[0] for r in right.where(F.col(count) * SHARE > total).select(way).distinct().collect()]
+    if not hot:
+        return left.join(right.drop(count), keys)
+    few = F.broadcast(right.where(way.isin(hot)).drop(count))
+    rest = left.where(~way.isin(hot)).join(right.where(~way.isin(hot)).drop(count), keys)
+    return left.where(way.isin(hot)).join(few, keys).unionByName(rest)
 
 
 def dealt_join(left: DataFrame, right: DataFrame, key: str, spread: str, cell: int = 2000) -> DataFrame:
