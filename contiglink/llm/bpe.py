@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -152,24 +153,34 @@ class WordBpe:
             self.tokens[i] = s
         self.split = regex.compile(splits[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.letters = byte_alphabet()
+        self.pair = {self.vocab[a] << 32 | self.vocab[b]: k for (a, b), k in self.rank.items()}
+        self.joined = [0] * (1 + max(self.rank.values(), default=-1))
+        for (a, b), k in self.rank.items():
+            self.joined[k] = self.vocab[a + b]
+        self.id_bytes = [np.uint32(i).astype("<u4").tobytes() for i in range(len(self.tokens))]
+        self.token_bytes = [f"{s} ".encode() for s in self.tokens]
         self.words = Known(self.encode_word, KEEP_BYTES // 2)
         self.pieces = Known(self.encode_and_decode, KEEP_BYTES // 2)
 
     def parts(self, word: str) -> list[int]:
         """Boundaries of the parts of word + `</w>` when no pair has a rank any more."""
-        s, rank, none = word + END, self.rank.get, len(self.rank)
-        bounds = [*range(len(word)), len(s)]
         if len(word) > SHORT:
-            return self._long_parts(s, bounds)
-        ranks = [rank((s[a:b], s[b:c]), none) for a, b, c in zip(bounds, bounds[1:], bounds[2:])]
+            return self._long_parts(word + END, [*range(len(word)), len(word) + len(END)])
+        return [0, *itertools.accumulate(len(self.tokens[i]) for i in self._short_ids([self.vocab[x] for x in [*word[:-1], word[-1:] + END]]))]
+
+    def _short_ids(self, ids: list[int]) -> list[int]:
+        """The parts' ids, from those of the letters, of which the last has `</w>`."""
+        pair, joined, none = self.pair.get, self.joined, len(self.joined)
+        ranks = [pair(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
         while ranks and (least := min(ranks)) < none:
             i = ranks.index(least)
-            del bounds[i + 1], ranks[i]
+            ids[i] = joined[least]
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank((s[bounds[i] : bounds[i + 1]], s[bounds[i + 1] : bounds[i + 2]]), none)
+                ranks[i] = pair(ids[i] << 32 | ids[i + 1], none)
             if i:
-                ranks[i - 1] = rank((s[bounds[i - 1] : bounds[i]], s[bounds[i] : bounds[i + 1]]), none)
-        return bounds
+                ranks[i - 1] = pair(ids[i - 1] << 32 | ids[i], none)
+        return ids
 
     def _long_parts(self, s: str, bounds: list[int]) -> list[int]:
         n, rank = len(bounds) - 1, self.rank.get
@@ -190,47 +201,65 @@ class WordBpe:
                 heapq.heappush(heap, (r, p))
         return [*(a for a in range(n) if ends[a] >= 0), bounds[-1]]
 
-    def encode_word(self, word: str) -> bytes:
-        """Ids, as little-endian 32-bit integers, of one word as the split pattern gives it."""
-        return self.encode_letters("".join(self.letters[b] for b in word.encode("utf-8")))
-
-    def encode_letters(self, s: str) -> bytes:
-        """Ids of a word in the byte alphabet."""
-        bounds = self.parts(s)
-        s += END
-        return np.array([self.vocab[s[a:b]] for a, b in zip(bounds, bounds[1:])], "<u4").tobytes()
-
-    def encode_piece(self, piece: str) -> bytes:
-        """Ids of a stretch of text without white space."""
-        if self.at_special and "<|" in piece:
-            return b"".join(self.special.get(x) or self._plain(x) for x in self.at_special.split(piece) if x)
-        return self._plain(piece)
+    def encode_word(self, word: bytes) -> tuple[bytes, bytes]:
+        """Of one word as the split pattern gives it, in UTF-8: ids as little-endian 32-bit integers, and their text with a space at the end."""
+        return self.encode_letters("".join(map(self.letters.__getitem__, word)))
+
+    def encode_letters(self, s: str) -> tuple[bytes, bytes]:
+        """encode_word for a word in the byte alphabet."""
+        if len(s) > SHORT:
+            bounds = self.parts(s)
+            s += END
+            ids = [self.vocab[s[a:b]] for a, b in zip(bounds, bounds[1:])]
+        else:
+            vocab = self.vocab
+            ids = [vocab[c] for c in s[:-1]]
+            ids.append(vocab[s[-1] + END])
+            ids = self._short_ids(ids)
+        return b"".join([self.id_bytes[i] for i in ids]), b"".join([self.token_bytes[i] for i in ids])
 
     def encode_and_decode(self, piece: bytes) -> tuple[bytes, bytes]:
-        """Ids of a stretch, and the text of these with a space at the end."""
-        ids = self.encode_piece(piece.decode("utf-8"))
-        return ids, (self.decode(ids) + " ").encode("utf-8") if ids else b""
+        """encode_word for a stretch of text without white space."""
+        text = piece.decode("utf-8")
+        if self.at_special and "<|" in text:
+            both = [self._special(x) if x in self.special else self._plain(x) for x in self.at_special.split(text) if x]
+            return b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
+        return self._plain(text)
+
+    def _special(self, token: str) -> tuple[bytes, bytes]:
+        return self.special[token], f"{token} ".encode()
 
     def results(self, distinct: list[bytes]) -> list[list[bytes]]:
-        both = [self.pieces[x] for x in distinct]
+        both = [self.result(x) for x in distinct]
         return [[x[0] for x in both], [x[1] for x in both]]
 
-    def _plain(self, piece: str) -> bytes:
-        low = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()  # no final sigma
-        if low.isascii() or not UNSURE.search(low):
-            return b"".join(map(self.words.__getitem__, self.split.findall(low)))
-        if all(unicodedata.category(c) != "Cn" for c in low):
-            return b"".join(map(self.words.__getitem__, self.split.findall(low)))
-        if self.rules is None:
-            from tokenizers import Tokenizer
+    def result(self, piece: bytes) -> tuple[bytes, bytes]:
+        """encode_and_decode, kept. ASCII letters are one word and need no splitting, nor do such with a mark or a digit after them."""
+        if piece.isalpha():
+            return self.words[piece.lower()]
+        if piece[:-1].isalpha() and piece[-1] < 128:
+            (a, b), (c, d) = self.words[piece[:-1].lower()], self.words[piece[-1:]]
+            return a + c, b + d
+        return self.pieces[piece]
 
-            self.rules = Tokenizer.from_file(self.path)
-        return b"".join(self.encode_letters(w) for w, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(piece)))
+    def _plain(self, piece: str) -> tuple[bytes, bytes]:
+        low = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()  # no final sigma
+        if low.isascii() or not UNSURE.search(low) or all(unicodedata.category(c) != "Cn" for c in low):
+            both = [self.words[w.encode()] for w in self.split.findall(low)]
+        else:
+            if self.rules is None:
+                from tokenizers import Tokenizer
+
+                self.rules = Tokenizer.from_file(self.path)
+            both = [self.encode_letters(w) for w, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(piece))]
+        if len(both) == 1:
+            return both[0]
+        return b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(self.pieces[x.encode("utf-8")][0] for x in WHITE.split(text) if x)
+        return b"".join(self.result(x.encode("utf-8"))[0] for x in WHITE.split(text) if x)
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
