@@ -319,19 +319,27 @@ class Reader:
         self.embed = np.ascontiguousarray(np.concatenate([p["embed"].T, np.ones((1, SYMBOLS))]), np.float32)
         self.gates = [np.ascontiguousarray(np.concatenate([p[f"u{d}"] / 2, p[f"w{d}"], p[f"c{d}"][None]]).T, np.float32) for d in "fb"]
         self.out, self.bias = np.ascontiguousarray(p["out"].T / 2, np.float32), p["bias"].astype(np.float32)[:, None]
+        self.kept: dict[str, np.ndarray] = {}
         self.move, self.start = np.where(FORBIDDEN, -1e4, p["move"]).astype(np.float32), p["start"].astype(np.float32)[:, None]
 
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array kept from call to call, which would otherwise be mapped and cleared anew for every call."""
+        if name not in self.kept or self.kept[name].shape != shape:
+            self.kept[name] = np.empty(shape, np.float32)
+        return self.kept[name]
+
     def scores(self, x: np.ndarray) -> np.ndarray:
-        """(place, tag, window) for the codes (place, window)."""
+        """(place, tag, window) for the codes (place, window); holds until the next call."""
         t, n = x.shape
-        states = np.empty((t, 2 * HIDDEN, n), np.float32)
+        states, scores = self.room("states", t, 2 * HIDDEN, n), self.room("scores", t, TAGS, n)
         z, tc, size = (np.empty((k * HIDDEN, n), np.float32) for k in (4, 1, 4))
+        embedded = np.take(self.embed, x, axis=1, mode="clip", out=self.room("embedded", EMBED + 1, t, n))  # once for both directions
         i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
         for d, gates in enumerate(self.gates):
             into, c = np.zeros((HIDDEN + EMBED + 1, n), np.float32), np.zeros((HIDDEN, n), np.float32)
             h, e = into[:HIDDEN], into[HIDDEN:]
             for k in range(t) if d == 0 else range(t - 1, -1, -1):
-                np.take(self.embed, x[k], axis=1, out=e, mode="clip")
+                np.copyto(e, embedded[:, k])
                 np.matmul(gates, into, out=z)
                 np.abs(z, out=size)
                 size += 1
@@ -346,20 +354,37 @@ class Reader:
                 np.divide(c, tc, out=tc)
                 np.multiply(o, tc, out=h)
                 states[k, d * HIDDEN : (d + 1) * HIDDEN] = h
-        return self.out @ states + self.bias
+        np.matmul(self.out, states, out=scores)
+        scores += self.bias
+        return scores
 
     def paths(self, s: np.ndarray) -> np.ndarray:
-        """The best path (place, window) for the scores, by Viterbi search."""
+        """The best path (place, window) for the scores, by Viterbi search. An inside follows its own begin or inside
+        only; the way back is not searched in windows where outside, which is also the end, is best reached from outside all along."""
         t, _, n = s.shape
-        v = np.empty_like(s)
+        v = self.room("ways", *s.shape)
         v[0] = s[0] + self.start
+        free = [0, *range(1, TAGS, 2)]  # outside and the begins, which follow any tag
+        into, begun, going = self.move[:, free][:, :, None], self.move[range(1, TAGS, 2), range(2, TAGS, 2)][:, None], self.move.diagonal()[2::2][:, None]
+        ways, top, other = np.empty((TAGS, len(free), n), np.float32), np.empty((len(free), n), np.float32), np.empty((len(KINDS), n), np.float32)
+        stays = np.ones(n, bool)
         for k in range(1, t):
-            (v[k - 1][:, None] + self.move[:, :, None]).max(0, out=v[k])
-            v[k] += s[k]
-        out = np.empty((t, n), np.uint8)
+            was, now = v[k - 1], v[k]
+            np.add(was[:, None], into, out=ways)
+            np.max(ways, 0, out=top)
+            stays &= ways[0, 0] >= top[0]
+            now[0], now[1::2] = top[0], top[1:]
+            np.add(was[1::2], begun, out=other)
+            np.add(was[2::2], going, out=now[2::2])
+            np.maximum(now[2::2], other, out=now[2::2])
+            now += s[k]
+        out = np.zeros((t, n), np.uint8)
         out[-1] = v[-1].argmax(0)
+        rest = np.flatnonzero(~stays | (out[-1] > 0))
+        v, back = v[:, :, rest], out[:, rest]
         for k in range(t - 2, -1, -1):
-            out[k] = (v[k] + self.move[:, out[k + 1]]).argmax(0)
+            back[k] = (v[k] + self.move[:, back[k + 1]]).argmax(0)
+        out[:, rest] = back
         return out
 
     def tags(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -589,7 +614,8 @@ def train(docs: DataFrame, most: int = MOST, text_col: str = "text") -> Tagger |
                 if not has:
                     continue
                 text = text.as_py()
-                x, y, starts = codes(text), tags_of(len(text), base_spans(text)), windows_of(text)
+                x, y = codes(text), tags_of(len(text), base_spans(text))
+                starts = sorted({max(0, at) for at in windows_of(text)})  # a text begins in its window as for the reader
                 at = np.asarray(starts)[:, None] + np.arange(TRAIN_WINDOW)
                 tags = np.where((at >= 0) & (at < len(x)), y[np.clip(at, 0, len(x) - 1)], 0)
                 xs += [r.tobytes() for r in window_codes(x, starts).astype(np.uint8)]
