@@ -4,12 +4,14 @@ Base spans follow four patterns, leftmost and not overlapping per kind; a match
 up to 255, Luhn, digit counts) is dropped. They are found by scanners that take linear time on any text.
 
 The tagger reads every text whole: windows of WINDOW characters, STEP apart, cover it from its first to its last
-character. Each window is decoded by Viterbi search over a bidirectional LSTM's scores and CRF transitions, of which
-those into the inside of a span from anywhere else are forbidden. The windows' paths are reconciled over the whole
-text: between two windows the path changes over at the place of their overlap, nearest its middle, where both have
-the same tag. A span's score is the log odds of its path against one without it; spans below the log odds of SURE are
-dropped, as are those that a base span overlaps (base ones stay) and those that fail the checks of their kind, which
-also take digits of other scripts, spelled-out digits and a spelled-out `@`.
+character; what a last window has behind the text's end is outside, but for AFTER places. Each window is decoded by
+Viterbi search over a bidirectional LSTM's scores and CRF transitions, of which those into the inside of a span from
+anywhere else are forbidden; a bound on all paths tells the windows that can only stay outside, which are not
+searched. The windows' paths are reconciled over the whole text: between two windows the path changes over at the
+place of their overlap, nearest its middle, where both have the same tag. A span's score is the log odds of its path
+against one without it; spans below the log odds of SURE are dropped, as are those that a base span overlaps (base ones
+stay) and those that fail the checks of their kind, which also take digits of other scripts, spelled-out digits and a
+spelled-out `@`.
 
 The tagger is trained in numpy on labelled spans of two sorts: at most `most` different windows of the corpus around
 digits and `@`, labelled by the base spans, and MADE made ones, in which invented data (plain, obfuscated, spelled
@@ -37,7 +39,8 @@ from pyspark.sql import functions as F
 from .hashing import blocks
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STEP = 128, 96  # of the reader
+WINDOW, STEP = 512, 480  # of the reader
+AFTER = 8  # places behind a text's end that are scored
 TRAIN_WINDOW, TRAIN_STEP, MARGIN = 64, 32, 20
 MOST, MADE = 1000, 4000
 SURE = 0.8
@@ -140,6 +143,7 @@ def codes(text: str) -> np.ndarray:
 
 
 PAD, SYMBOLS = 129, 130
+NEVER = -1e4  # the score of what can't be
 
 
 def windows_of(text: str) -> list[int]:
@@ -253,7 +257,7 @@ class Tagger:
     def best(self, x: np.ndarray) -> np.ndarray:
         """The best path of each window."""
         s, _ = self._scores(x)
-        move = np.where(FORBIDDEN, -1e4, self.p["move"])
+        move = np.where(FORBIDDEN, NEVER, self.p["move"])
         v, back = s[:, 0] + self.p["start"], []
         for k in range(1, x.shape[1]):
             a = v[:, :, None] + move
@@ -310,17 +314,20 @@ class Tagger:
 class Reader:
     """A tagger's best paths over many windows, with 32-bit numbers."""
 
-    MOST = 512  # windows at once
-    CHARS = 1 << 20  # of texts at once; a longer text is read alone
+    MOST = 1024  # windows at once
+    CHARS = 1 << 22  # of texts at once; a longer text is read alone
+    NEAR = 0.01  # windows whose bound is so near are searched, whatever is lost to rounding
 
     def __init__(self, tagger: Tagger):
         p = tagger.p
         # gates are kept doubled (1 + squash), so states are too
         self.embed = np.ascontiguousarray(np.concatenate([p["embed"].T, np.ones((1, SYMBOLS))]), np.float32)
         self.gates = [np.ascontiguousarray(np.concatenate([p[f"u{d}"] / 2, p[f"w{d}"], p[f"c{d}"][None]]).T, np.float32) for d in "fb"]
-        self.out, self.bias = np.ascontiguousarray(p["out"].T / 2, np.float32), p["bias"].astype(np.float32)[:, None]
+        self.out = np.ascontiguousarray((p["out"].T - p["out"].T[0]) / 2, np.float32)  # above the score of outside
+        self.bias = (p["bias"] - p["bias"][0]).astype(np.float32)[:, None]
         self.kept: dict[str, np.ndarray] = {}
-        self.move, self.start = np.where(FORBIDDEN, -1e4, p["move"]).astype(np.float32), p["start"].astype(np.float32)[:, None]
+        self.after = self.after_text()
+        self.move, self.start = np.where(FORBIDDEN, NEVER, p["move"]).astype(np.float32), p["start"].astype(np.float32)[:, None]
 
     def room(self, name: str, *shape: int) -> np.ndarray:
         """An array kept from call to call, which would otherwise be mapped and cleared anew for every call."""
@@ -328,63 +335,117 @@ class Reader:
             self.kept[name] = np.empty(shape, np.float32)
         return self.kept[name]
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        """(place, tag, window) for the codes (place, window); holds until the next call."""
+    def step(self, gates: np.ndarray, into: np.ndarray, c: np.ndarray, z: np.ndarray, size: np.ndarray, tc: np.ndarray) -> None:
+        """The cells' next states, in place; the last three are room."""
+        i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+        np.matmul(gates, into, out=z)
+        np.abs(z, out=size)
+        size += 1
+        z /= size
+        z[: 3 * HIDDEN] += 1
+        c *= f
+        i *= g
+        c += i
+        c *= 0.5
+        np.abs(c, out=tc)
+        tc += 1
+        np.divide(c, tc, out=tc)
+        np.multiply(o, tc, out=into[:HIDDEN])
+
+    def after_text(self) -> np.ndarray:
+        """The states (h, c) of the way back after 0 to WINDOW places behind a text's end."""
+        into, c, out = np.zeros((HIDDEN + EMBED + 1, 1), np.float32), np.zeros((HIDDEN, 1), np.float32), np.zeros((2, HIDDEN, WINDOW + 1), np.float32)
+        into[HIDDEN:, 0] = self.embed[:, PAD]
+        room = [np.empty((k * HIDDEN, 1), np.float32) for k in (4, 4, 1)]
+        for k in range(1, WINDOW + 1):
+            self.step(self.gates[1], into, c, *room)
+            out[0, :, k], out[1, :, k] = into[:HIDDEN, 0], c[:, 0]
+        return out
+
+    def scores(self, x: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+        """(place, tag, window) for the codes (place, window), above the score of outside; holds until the next call.
+        With falling sizes of the windows, the rest of a window is behind its text's end and outside; its way back
+        begins with the state after that rest."""
         t, n = x.shape
+        live = np.full(t, n) if sizes is None else np.searchsorted(-sizes, -np.arange(t))  # windows at each place
         states, scores = self.room("states", t, 2 * HIDDEN, n), self.room("scores", t, TAGS, n)
-        z, tc, size = (np.empty((k * HIDDEN, n), np.float32) for k in (4, 1, 4))
-        embedded = np.take(self.embed, x, axis=1, mode="clip", out=self.room("embedded", EMBED + 1, t, n))  # once for both directions
-        i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+        room = [np.empty((k * HIDDEN, n), np.float32) for k in (4, 4, 1)]
         for d, gates in enumerate(self.gates):
             into, c = np.zeros((HIDDEN + EMBED + 1, n), np.float32), np.zeros((HIDDEN, n), np.float32)
-            h, e = into[:HIDDEN], into[HIDDEN:]
+            if d and sizes is not None:
+                into[:HIDDEN], c[:] = self.after[:, :, WINDOW - sizes]
             for k in range(t) if d == 0 else range(t - 1, -1, -1):
-                np.copyto(e, embedded[:, k])
-                np.matmul(gates, into, out=z)
-                np.abs(z, out=size)
-                size += 1
-                z /= size
-                z[: 3 * HIDDEN] += 1
-                c *= f
-                i *= g
-                c += i
-                c *= 0.5
-                np.abs(c, out=tc)
-                tc += 1
-                np.divide(c, tc, out=tc)
-                np.multiply(o, tc, out=h)
-                states[k, d * HIDDEN : (d + 1) * HIDDEN] = h
+                m = int(live[k])
+                np.take(self.embed, x[k, :m], axis=1, mode="clip", out=into[HIDDEN:, :m])
+                self.step(gates, into[:, :m], c[:, :m], *(v[:, :m] for v in room))
+                states[k, d * HIDDEN : (d + 1) * HIDDEN, :m] = into[:HIDDEN, :m]
+        ends = np.flatnonzero(live < n)
+        for k in ends:
+            states[k, :, live[k] :] = 0
         np.matmul(self.out, states, out=scores)
         scores += self.bias
+        for k in ends:
+            scores[k, 1:, live[k] :] = NEVER
         return scores
 
+    def outside(self, s: np.ndarray) -> np.ndarray:
+        """Whether a window's best path is surely outside all along, for scores above that of outside: no bound on the
+        paths that end in a tag makes up for the way back outside. While that holds, the path outside is the best way to
+        outside; begins follow it or the greatest bound of all tags."""
+        move, begin, inside = self.move - self.move[0, 0], range(1, TAGS, 2), range(2, TAGS, 2)
+        back = move[1:, 0, None]  # bounds are kept with the way back
+        enter = move[0, begin][:, None] + back[0::2]
+        follow = (move[1:, begin] - back - move[0, begin]).max()  # from a tag rather than from outside
+        go_in, go_on = move[begin, inside][:, None] + back[1::2] - back[0::2], move.diagonal()[2::2][:, None]
+        n = s.shape[2]
+        begun, going, other = (np.empty((len(KINDS), n), np.float32) for _ in range(3))
+        was = s[0, 1:] + (self.start[1:] - self.start[0] + back)
+        begun[:], going[:] = was[0::2], was[1::2]
+        top = was.max(0)
+        most = top.copy()
+        for k in range(1, len(s)):
+            top += follow
+            np.maximum(top, 0, out=top)
+            going += go_on
+            np.add(begun, go_in, out=other)
+            np.maximum(going, other, out=going)
+            going += s[k, 2::2]
+            np.add(s[k, 1::2], enter, out=begun)
+            begun += top
+            np.maximum(begun, going, out=other)
+            np.max(other, 0, out=top)
+            np.maximum(most, top, out=most)
+        last = np.maximum(begun - back[0::2], going - back[1::2]).max(0)
+        return (most < -self.NEAR) & (last < -self.NEAR)
+
     def paths(self, s: np.ndarray) -> np.ndarray:
-        """The best path (place, window) for the scores, by Viterbi search. An inside follows its own begin or inside
-        only; the way back is not searched in windows where outside, which is also the end, is best reached from outside all along."""
+        """The best path (place, window) for any scores, by Viterbi search in the windows that aren't surely outside."""
+        out = np.zeros((len(s), s.shape[2]), np.uint8)
+        rest = np.flatnonzero(~self.outside(s - s[:, :1]))
+        out[:, rest] = self.search(s[:, :, rest])
+        return out
+
+    def search(self, s: np.ndarray) -> np.ndarray:
+        """Viterbi search. An inside follows its own begin or inside only."""
         t, _, n = s.shape
-        v = self.room("ways", *s.shape)
+        v = np.empty(s.shape, np.float32)
         v[0] = s[0] + self.start
         free = [0, *range(1, TAGS, 2)]  # outside and the begins, which follow any tag
         into, begun, going = self.move[:, free][:, :, None], self.move[range(1, TAGS, 2), range(2, TAGS, 2)][:, None], self.move.diagonal()[2::2][:, None]
         ways, top, other = np.empty((TAGS, len(free), n), np.float32), np.empty((len(free), n), np.float32), np.empty((len(KINDS), n), np.float32)
-        stays = np.ones(n, bool)
         for k in range(1, t):
             was, now = v[k - 1], v[k]
             np.add(was[:, None], into, out=ways)
             np.max(ways, 0, out=top)
-            stays &= ways[0, 0] >= top[0]
             now[0], now[1::2] = top[0], top[1:]
             np.add(was[1::2], begun, out=other)
             np.add(was[2::2], going, out=now[2::2])
             np.maximum(now[2::2], other, out=now[2::2])
             now += s[k]
-        out = np.zeros((t, n), np.uint8)
+        out = np.empty((t, n), np.uint8)
         out[-1] = v[-1].argmax(0)
-        rest = np.flatnonzero(~stays | (out[-1] > 0))
-        v, back = v[:, :, rest], out[:, rest]
         for k in range(t - 2, -1, -1):
-            back[k] = (v[k] + self.move[:, back[k + 1]]).argmax(0)
-        out[:, rest] = back
+            out[k] = (v[k] + self.move[:, out[k + 1]]).argmax(0)
         return out
 
     def tags(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -395,15 +456,26 @@ class Reader:
         count = np.array([len(w) for w in own])
         start = np.concatenate(own) + np.repeat(bounds[:-1], count)
         end = np.repeat(bounds[1:], count)
-        place = np.arange(WINDOW)[:, None]
         path, gain = np.zeros((WINDOW, len(start)), np.uint8), np.zeros((WINDOW, len(start)), np.float32)
+        size = np.minimum(end - start + AFTER, WINDOW)
+        order = np.argsort(-size, kind="stable")
+        padded = np.concatenate([x, np.full(WINDOW, PAD, np.uint8)])
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # windows to be searched, and their scores
         for cut in range(0, len(start), self.MOST):
-            a, b = start[cut : cut + self.MOST], end[cut : cut + self.MOST]
-            at = a + place
-            s = self.scores(np.where(at < b, x[np.minimum(at, len(x) - 1)], PAD))
-            path[:, cut : cut + self.MOST] = now = self.paths(s)
+            own = order[cut : cut + self.MOST]
+            at = start[own] + np.arange(size[own[0]])[:, None]
+            s = self.scores(np.where(at < end[own], padded[at], PAD), size[own])
+            rest = np.flatnonzero(~self.outside(s))
+            some = np.full((WINDOW, TAGS, len(rest)), NEVER, np.float32)
+            some[:, 0] = 0
+            some[: len(s)] = s[:, :, rest]
+            found.append((own[rest], some))
+            if sum(len(w) for w, _ in found) < self.MOST and cut + self.MOST < len(start):
+                continue
+            own, s = np.concatenate([w for w, _ in found]), np.concatenate([some for _, some in found], 2)
+            found, now = [], self.search(s)
             k, w = np.nonzero(now)
-            gain[k, cut + w] = s[k, now[k, w], w] - s[k, 0, w]
+            path[k, own[w]], gain[k, own[w]] = now[k, w], s[k, now[k, w], w]
         # the place in its window from which on, and up to which, a window's path holds
         low, high = np.zeros(len(start), np.int64), np.full(len(start), WINDOW)
         overlap = WINDOW - STEP
