@@ -66,7 +66,7 @@ def test_text_ends_read_as_whole_windows():
     """Texts of one window together: tags as by a window filled up behind each text's end."""
     t, r = pii.Tagger(), np.random.default_rng(4)
     t.p = {k: v * (3 if k in ("embed", "out") else 1) for k, v in t.p.items()}
-    texts = ["".join(r.choice(list("ab .@1é٣"), n)) for n in (1, 2, 7, 60, 200, 333, 500, pii.WINDOW - 9, pii.WINDOW - 1, pii.WINDOW)]
+    texts = ["".join(r.choice(list("ab .@1é٣"), n)) for n in (1, 2, 7, 33, 60, 100, pii.WINDOW - 9, pii.WINDOW - 1, pii.WINDOW)]
     best, _, bounds = pii.Reader(t).tags(texts)
     want = [t.best(pii.window_codes(pii.codes(x), [0], pii.WINDOW))[0, : len(x)] for x in texts]
     assert (best == np.concatenate(want)).mean() > 0.99  # but for ties in 32 bits
@@ -75,7 +75,7 @@ def test_text_ends_read_as_whole_windows():
 
 
 def test_every_place_is_read_about_once(monkeypatch):
-    """Both ways over all places of the texts, with an eighth more for overlaps and ends; clean windows aren't searched."""
+    """Both ways over all places of the texts, again where windows overlap, and little behind ends; clean windows aren't searched."""
     read, searched = [], []
     step, search = pii.Reader.step, pii.Reader.search
     monkeypatch.setattr(pii.Reader, "step", lambda self, gates, into, *room: read.append(into.shape[1]) or step(self, gates, into, *room))
@@ -85,4 +85,4 @@ def test_every_place_is_read_about_once(monkeypatch):
     texts = ["lorem ipsum " * (k + 1) for k in range(300)]
     places = sum(map(len, texts))
     assert pii.Reader(tagger).spans(texts) == [[]] * 300
-    assert 2 * places <= sum(read) <= 2 * 1.125 * places and sum(searched) == 0, (places, sum(read), searched)
+    assert 2 * places <= sum(read) <= 2 * (places * pii.WINDOW / pii.STEP + pii.AFTER * len(texts)) and sum(searched) == 0, (places, sum(read), searched)
