@@ -159,9 +159,8 @@ def with_texts(pairs: DataFrame, texts: DataFrame, end: str, other: str, name: s
     return left.join(right, [end, "part"]).drop("part")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity."""
-    total = pairs.count()
+def verified(pairs: DataFrame, total: int, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """The pairs (a, b), of which there are `total`, whose full sets have the similarity."""
     both = with_texts(with_texts(pairs, texts, "a", "b", "ta", total), texts, "b", "a", "tb", total).select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,9 +185,9 @@ def shingles_of(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return texts.select("k", "text").mapInArrow(run, "k long, s long")
 
 
-def looked_up(df: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
-    """Semi or anti join of wide rows with a written table of distinct numbers: few are broadcast, so the rows stay where they are."""
-    return df.join(F.broadcast(keys) if keys.count() <= FEW else keys, on, how)
+def looked_up(df: DataFrame, keys: DataFrame, total: int, on: str, how: str) -> DataFrame:
+    """Semi or anti join of wide rows with a written table of `total` distinct numbers: few are broadcast, so the rows stay where they are."""
+    return df.join(F.broadcast(keys) if total <= FEW else keys, on, how)
 
 
 def near_groups(rows: DataFrame, scratch: Scratch, linked: str = "true", ties: DataFrame | None = None, bands_of: tuple[int, int] = (ROWS, BANDS), percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -202,26 +201,33 @@ def near_groups(rows: DataFrame, scratch: Scratch, linked: str = "true", ties: D
     filled = prints.where("n_shingles > 0")
     if linked != "true":
         filled = filled.join(rows.where(linked).select("k"), "k", "left_semi")
-    classes = scratch.staged(filled.groupBy("f1", "f2").agg(F.min("k").alias("key"), F.count("*").alias("copies")), "classes")
-    member = scratch.staged(hot_lookup(filled.select("k", "f1", "f2"), classes, ["f1", "f2"], "copies").select("k", "key"), "members")
+    classes, members = scratch.measured(filled.groupBy("f1", "f2").agg(F.min("k").alias("key"), F.count("*").alias("copies")), "classes", F.sum("copies"))
+    member = scratch.staged(hot_lookup(filled.select("k", "f1", "f2"), classes, ["f1", "f2"], "copies", members).select("k", "key"), "members")
     heads = temp.staged(prints.join(classes.select(F.col("key").alias("k")), "k", "left_semi").select("k", "n_shingles", "bands"), "heads")
     at = heads.select("k", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     pivots = at.groupBy("band").agg(F.min("k").alias("pivot"), F.max("k").alias("last"), F.count("*").alias("size")).where("pivot < last").drop("last")
-    met = temp.staged(hot_lookup(at, temp.staged(pivots, "pivots"), ["band"], "size"), "buckets")  # buckets of more than one class
-    texts = temp.staged(looked_up(rows.select("k", "text"), temp.staged(met.select("k").distinct(), "near-keys"), "k", "left_semi"), "near-texts")
+    pivots, total = temp.measured(pivots, "pivots", F.sum("size"))
+    met = temp.staged(hot_lookup(at, pivots, ["band"], "size", total), "buckets")  # buckets of more than one class
+    texts = temp.staged(looked_up(rows.select("k", "text"), *temp.measured(met.select("k").distinct(), "near-keys", F.count("*")), "k", "left_semi"), "near-texts")
 
-    stars = temp.staged(met.where("k != pivot").select(F.col("pivot").alias("a"), F.col("k").alias("b")).distinct(), "stars")
-    links = verified(stars, texts, percent, shingle)
+    stars = temp.measured(met.where("k != pivot").select(F.col("pivot").alias("a"), F.col("k").alias("b")).distinct(), "stars", F.count("*"))
+    links = verified(*stars, texts, percent, shingle)
     if ties is not None:
         end = lambda x: member.select(F.col("k").alias(x), F.col("key").alias(f"{x}_key"))
         links = links.unionByName(ties.join(end("a"), "a").join(end("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
     labels = components(links)
+    split = _split(met, labels, temp)
     for more in (_drawn, _across):
-        labels = _joined(labels, more(met, labels, texts, percent, shingle, temp), scratch)
+        if not split[-1]:  # each bucket lies in one component
+            break
+        links, found = more(*split, texts, percent, shingle, temp)
+        if found:
+            labels = _joined(labels, links, scratch)
+            split = _split(met, labels, temp) if more is _drawn else split
     temp.clear()
     # a class that nothing is linked with is its own component
     whole = classes.select(F.col("key").alias("node"), "copies").join(labels, "node", "left").select(F.col("node").alias("key"), F.coalesce("component", "node").alias("component"), "copies")
-    out = hot_lookup(member, scratch.staged(whole, "wholes"), ["key"], "copies").select("k", "component")
+    out = hot_lookup(member, scratch.staged(whole, "wholes"), ["key"], "copies", members).select("k", "component")
     return prints.select("k", "n_shingles").join(out, "k", "left")
 
 
@@ -233,33 +239,36 @@ def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.staged(moved.unionByName(new), "labels")
 
 
-def _labelled(met: DataFrame, labels: DataFrame, temp: Scratch) -> DataFrame:
-    """band, k, n and component c of the members of buckets."""
-    return temp.staged(met.select("band", "k", "n").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
-
-
-def _drawn(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int, temp: Scratch) -> DataFrame:
-    """Links between the components (a, b) of classes and the drawn pivots of their buckets."""
-    lab = _labelled(met, labels, temp)
+def _split(met: DataFrame, labels: DataFrame, temp: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """band, k, n and component c of the members of buckets; band, size and a drawn pivot p of each bucket of several components; their members."""
+    lab = temp.staged(met.select("band", "k", "n").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
     # the band's key puts its members in an order of its own
     drawn = F.min(F.col("k").bitwiseXOR(F.col("band"))).bitwiseXOR(F.col("band")).alias("p")
     split = lab.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"), drawn).where("lo < hi").select("band", "p", "size")
+    return lab, *temp.measured(split, "split", F.sum("size"))
+
+
+def _drawn(lab: DataFrame, split: DataFrame, total: int, texts: DataFrame, percent: int, shingle: int, temp: Scratch) -> tuple[DataFrame, int]:
+    """Links between the components (a, b) of classes and the drawn pivots of their buckets, and how many."""
     split = temp.staged(split.join(lab.select("band", F.col("k").alias("p"), F.col("c").alias("cp")), ["band", "p"]), "drawn")
-    star = hot_lookup(lab, split, ["band"], "size").where("c != cp")
-    pairs = temp.staged(star.select(F.least("p", "k").alias("a"), F.greatest("p", "k").alias("b"), F.least("c", "cp").alias("ca"), F.greatest("c", "cp").alias("cb")).distinct(), "drawn-pairs")
-    return temp.staged(verified(pairs.select("a", "b"), texts, percent, shingle).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "drawn-links")
+    star = hot_lookup(lab, split, ["band"], "size", total).where("c != cp")
+    pairs, total = temp.measured(star.select(F.least("p", "k").alias("a"), F.greatest("p", "k").alias("b"), F.least("c", "cp").alias("ca"), F.greatest("c", "cp").alias("cb")).distinct(), "drawn-pairs", F.count("*"))
+    if not total:
+        return pairs, 0
+    links = verified(pairs.select("a", "b"), total, texts, percent, shingle).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    return temp.measured(links, "drawn-links", F.count("*"))
 
 
-def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int, temp: Scratch) -> DataFrame:
-    """Links between the components (a, b) of classes that meet in a bucket."""
-    lab = _labelled(met, labels, temp)
-    split = lab.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("band", "size")
-    opened = temp.staged(hot_lookup(lab, split, ["band"], "size").select("k", "n", "c").distinct(), "open")
+def _across(lab: DataFrame, split: DataFrame, total: int, texts: DataFrame, percent: int, shingle: int, temp: Scratch) -> tuple[DataFrame, int]:
+    """Links between the components (a, b) of classes that meet in a bucket, and how many."""
+    opened = temp.staged(hot_lookup(lab, split.drop("p"), ["band"], "size", total).select("k", "n", "c").distinct(), "open")
     sets = temp.staged(shingles_of(texts.join(opened.select("k"), "k", "left_semi"), shingle).join(opened, "k"), "open-shingles")
     # a shingle of one component only can't be shared with another: such come first in the order and are not looked up
-    freq = temp.staged(sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("s", "df", F.col("df").alias("rows")), "shared-shingles")
+    freq, total = temp.measured(sets.groupBy("s").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("s", "df", F.col("df").alias("rows")), "shared-shingles", F.sum("rows"))
+    if not total:  # no shingle lies in two components
+        return freq, 0
     own = Window.partitionBy("k")
-    ranked = hot_lookup(sets, freq, ["s"], "rows").withColumn("r", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "s")))
+    ranked = hot_lookup(sets, freq, ["s"], "rows", total).withColumn("r", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "s")))
     rest = F.col("n") - F.col("r") + 1
     prefix = temp.staged(ranked.where(100 * rest >= percent * F.col("n")).select("s", "k", "c", "n", "r"), "prefixes")
     # a partner of size n to n * 100 / percent lies in the same class of sizes or the next
@@ -271,7 +280,10 @@ def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, s
     by = sides.groupBy("s", "g", "c").agg(F.count("*").alias("all"), count(F.col("small")).alias("smalls"))
     major = by.groupBy("s", "g").agg(F.max(F.struct("all", "c", "smalls")).alias("m"), F.count("*").alias("cs"), F.sum("all").alias("rows"), F.sum("smalls").alias("i"))
     major = major.where("cs > 1").select("s", "g", F.col("m.c").alias("major"), (F.col("i") - F.col("m.smalls")).alias("i_few"), F.col("m.smalls").alias("i_major"), (F.col("rows") - F.col("i")).alias("p"), (F.col("rows") - F.col("i") - (F.col("m.all") - F.col("m.smalls"))).alias("p_few"), "rows")
-    marked = temp.staged(hot_lookup(sides, temp.staged(major, "majors"), ["s", "g"], "rows"), "marked")
+    major, total = temp.measured(major, "majors", F.sum("rows"))
+    if not total:
+        return major, 0
+    marked = temp.staged(hot_lookup(sides, major, ["s", "g"], "rows", total), "marked")
     cells = lambda n: F.greatest(F.ceil(F.col(n) / CELL), F.lit(1)).cast("int")
     spread = lambda df, mine, n_mine, theirs, n_theirs: df.withColumn(mine, F.pmod(F.xxhash64("k"), cells(n_mine)).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), cells(n_theirs) - 1)))
     made = []
@@ -284,9 +296,12 @@ def _across(met: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, s
         enough = (100 + percent) * (1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))) >= percent * (F.col("na") + F.col("nb"))
         pairs = side(a, "a").join(side(b, "b"), ["s", "g", "x", "y"]).where((F.col("ca") != F.col("cb")) & (F.col("na") <= F.col("nb")) & (100 * F.col("na") >= percent * F.col("nb")) & enough)
         made.append(pairs.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")))
-    pairs = temp.staged(made[0].unionByName(made[1]).distinct(), "open-pairs")
+    pairs, total = temp.measured(made[0].unionByName(made[1]).distinct(), "open-pairs", F.count("*"))
+    if not total:
+        return pairs, 0
     of = lambda x: opened.select(F.col("k").alias(x), F.col("c").alias(f"c{x}"))
-    return temp.staged(verified(pairs, texts, percent, shingle).join(of("a"), "a").join(of("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "open-links")
+    links = verified(pairs, total, texts, percent, shingle).join(of("a"), "a").join(of("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
+    return temp.measured(links, "open-links", F.count("*"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, bands: int = BANDS, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -294,12 +309,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = staged(docs.select(F.monotonically_increasing_id().alias("k"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), "near-rows")
     ids = named.where("id is not null").select("k", "id")
     scratch = Scratch()
-    many = scratch.staged(ids.groupBy("id").agg(F.min("k").alias("b"), F.count("*").alias("n")).where("n > 1"), "repeated-ids")
-    ties = hot_lookup(ids, many, ["id"], "n").where("k != b").select(F.col("k").alias("a"), "b")
-    found = staged(near_groups(named, scratch, "id is not null", ties, (rows, bands), percent, shingle).join(named.select("k", "id"), "k"), "near-groups")
+    many, total = scratch.measured(ids.groupBy("id").agg(F.min("k").alias("b"), F.count("*").alias("n")).where("n > 1"), "repeated-ids", F.sum("n"))
+    ties = hot_lookup(ids, many, ["id"], "n", total).where("k != b").select(F.col("k").alias("a"), "b")
+    kept = Scratch()  # what the result reads
+    found, total = kept.measured(near_groups(named, scratch, "id is not null", ties, (rows, bands), percent, shingle).join(named.select("k", "id"), "k"), "near-groups", F.count("component"))
     scratch.clear()
     least = found.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
-    linked = hot_lookup(found.where("component is not null"), least, ["component"], "n")
+    linked = hot_lookup(found.where("component is not null"), least, ["component"], "n", total)
     out = linked.drop("component").unionByName(found.where("component is null").drop("component").withColumn("component_id", F.col("id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
@@ -316,8 +332,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     thin = named.select(F.col(row).alias("k"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     scratch = Scratch()
     found = near_groups(thin, scratch, bands_of=(rows, bands), percent=percent, shingle=shingle).where("component is not null")
-    found = staged(found.join(thin.select("k", "id"), "k").select("k", "component", F.struct(F.col("id").isNull(), "id", "k").alias("order")), "near-groups")
+    kept = Scratch()  # what the result reads
+    found, total = kept.measured(found.join(thin.select("k", "id"), "k").select("k", "component", F.struct(F.col("id").isNull(), "id", "k").alias("order")), "near-groups", F.count("*"))
     scratch.clear()
     first = found.groupBy("component").agg(F.min("order").alias("first"), F.count("*").alias("n")).where("n > 1")
-    gone = staged(hot_lookup(found, first, ["component"], "n").where("order != first").select(F.col("k").alias(row)), "near-gone")
-    return looked_up(named, gone, row, "left_anti").select(docs.columns)
+    gone = kept.measured(hot_lookup(found, first, ["component"], "n", total).where("order != first").select(F.col("k").alias(row)), "near-gone", F.count("*"))
+    return looked_up(named, *gone, row, "left_anti").select(docs.columns)

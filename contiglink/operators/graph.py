@@ -17,19 +17,24 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
 
     Alternating large stars and small stars (Kiveris et al., 2014): each round links a node's larger neighbours, then
     its smaller ones, to the least of them, until every node points at its component's least. Each round's edges are
-    written, so the lineage ends there, and the round before is removed; the round's state (number of edges and sum
-    of their hashes) is observed while it is written. Rows with a null end are left out.
+    written, so the lineage ends there, and the round before is removed; the state (number of edges and sum of their
+    hashes) is observed while the edges and each round are written. Rows with a null end are left out.
     """
     rounds = Scratch()
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    both = staged(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    e, state = both.where("u != v"), None
+    both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    apart = F.col("u") != F.col("v")
+    measures = F.count(F.when(apart, 1)).alias("n"), F.coalesce(F.sum(F.when(apart, F.xxhash64("u", "v").cast("decimal(38,0)"))), F.lit(0)).alias("hash")
+    both = staged(both.observe(first := Observation(), *measures), "edges")
+    e, state = both.where(apart), first.get
+    if not state.get("n"):  # each node alone, or none
+        return both.toDF("node", "component")
 
-    def point(rows: DataFrame, least: DataFrame, total: int | None) -> DataFrame:
-        return rows.join(least.drop("n"), "u") if total is None or total < LARGE else hot_lookup(rows, least, ["u"], "n", 2 * total)
+    def point(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:
+        return rows.join(least.drop("n"), "u") if total < LARGE else hot_lookup(rows, least, ["u"], "n", 2 * total)
 
     for _ in range(MAX_ROUNDS):
-        total = state and state["n"]
+        total = state["n"]
         # large star: every larger neighbour of u points at the least of u and its neighbours
         near = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = near.groupBy("u").agg(F.min("v").alias("w"), F.count("*").alias("n")).select("u", F.least("w", "u").alias("m"), "n")
@@ -38,7 +43,7 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = point(large, low, total).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         seen = Observation()
-        e = rounds.staged(small.observe(seen, F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("hash")), "star")
+        e = rounds.staged(small.observe(seen, *measures), "star")
         rounds.clear(keep_last=1)
         if seen.get == state:
             break
