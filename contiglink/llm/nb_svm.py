@@ -149,7 +149,10 @@ def held_out(id_col: str):
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_bytes: int = SAMPLE_BYTES) -> tuple[Model, np.ndarray]:
-    """The model and the log-count ratios, from at most `most` labelled rows that are not held out, of at most most_bytes of text."""
+    """The model and the log-count ratios, from at most `most` labelled rows that are not held out, of at most most_bytes of text.
+
+    One task fits them, as they are bounded; the driver gets weights and ratios alone, which are of fixed size.
+    """
     known = labels.where(F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).alias("q")).where("q in (0, 1)")
     ones, total = known.agg(F.sum("q"), F.count("*")).first()
     share = ones / total if total else 0.5
@@ -172,9 +175,21 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str = "d
     fits = turn.withColumn("upto", F.sum("size").over(Window.orderBy("turn", "hash", "id"))).where(F.col("upto") <= most_bytes)
     once = once.join(F.broadcast(fits.select("id")), "id")
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = sorted(once.select("id", "text", "q").mapInArrow(grams, f"id {kind}, q int, buckets binary").collect(), key=lambda r: r.id)
-    order = np.random.default_rng(3).permutation(len(rows))
-    return fit([(np.frombuffer(rows[i].buckets, np.int32), rows[i].q) for i in order], share)
+    sample = once.select("id", "text", "q").mapInArrow(grams, f"id {kind}, q int, buckets binary")
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(((i, q, bytes(b)) for batch in batches for i, q, b in zip(*(c.to_pylist() for c in batch.columns))), key=lambda r: r[0])
+        order = np.random.default_rng(3).permutation(len(rows))
+        model, ratio = fit([(np.frombuffer(rows[i][2], np.int32), rows[i][1]) for i in order], share)
+        constant = np.nan if model.constant is None else model.constant
+        parts = [model.weights, np.array([model.bias, model.slope, model.offset, constant]), ratio]
+        yield pa.RecordBatch.from_arrays([pa.array(range(3)), pa.array([np.asarray(x, np.float64).tobytes() for x in parts], pa.binary())], ["part", "numbers"])
+
+    found = {r.part: np.frombuffer(bytes(r.numbers), np.float64) for r in sample.repartition(1).mapInArrow(fitted, "part long, numbers binary").collect()}
+    if not found:
+        return fit([], share)
+    bias, slope, offset, constant = map(float, found[1])
+    return Model(found[0], bias, slope, offset, None if np.isnan(constant) else constant), found[2]
 
 
 def scores_of(texts: pa.Array, model: Model, ratio: np.ndarray) -> np.ndarray:
