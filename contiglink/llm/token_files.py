@@ -10,6 +10,10 @@ the sum of the files before it plus its start in its file. Rows without an id co
 documents: they hold the end id alone. Repeated ids stay as repeated entries, ordered by text; their rows are dealt
 to tasks by the start of the text too, so only copies of one row stay together. Reading back takes documents in
 blocks, whose offsets are selected through the directory. An empty table gives no file and an empty result.
+
+Ids are held as wide as in the file, a block of texts in one array, and written without joining them. The manifest is
+one small file that one task writes, and a task reads as many files as make READ_IDS: where Spark's writers start a
+process for each file (a local folder's permissions), many tasks with tiny files would start as many.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ MAGIC = b"IDS1"
 STEP = 256  # a directory entry for so many set bits
 FILE_IDS = 1 << 24  # ids in a file at most, but for one longer document
 READ_DOCS = 4096  # documents whose offsets are selected at once
+READ_IDS = 1 << 22  # ids that a task reads at least, if there are so many
 RANGE_CHARS = 64  # characters of a text by which the rows of one id are dealt to tasks
 
 
@@ -107,13 +112,12 @@ class EliasFano:
         return out
 
 
-def pack(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
-    """A file's bytes. doc_ids ascend, those that are None first; ids as little-endian 32-bit integers."""
+def pack(doc_ids: list[int | None], sizes: list[int], ids: list[np.ndarray], width: int) -> list[bytes | memoryview]:
+    """A file's bytes in pieces. doc_ids ascend, those that are None first; sizes: each one's ids; ids: all of them in a row, as wide as in the file."""
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     least = int(known[0]) if len(known) else 0
-    ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
-    flat = np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes()
-    return b"".join((MAGIC, struct.pack("<BQq", width, len(doc_ids) - len(known), least), EliasFano.of(known - least).tobytes(), EliasFano.of(ends).tobytes(), flat))
+    head = MAGIC, struct.pack("<BQq", width, len(doc_ids) - len(known), least), EliasFano.of(known - least).tobytes(), EliasFano.of(np.cumsum([0, *sizes])).tobytes()
+    return [*head, *(x.data for x in ids)]
 
 
 class TokenFile:
@@ -264,34 +268,40 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = library_encoder(vocabulary)
         part, piece, width = TaskContext.get().partitionId(), 0, 2 if max(encode.size, end_id) < 1 << 16 else 4
-        last = np.uint32(end_id).astype("<u4").tobytes()
         names: list[int | None] = []
-        ids: list[bytes] = []
+        sizes: list[int] = []
+        ids: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal names, ids, held, piece
+            nonlocal names, sizes, ids, held, piece
             file = f"{folder}/part-{part:06d}-{piece:05d}.ids"
-            write_file(file, pack(names, ids, width))
+            write_file(file, *pack(names, sizes, ids, width))
             row = pa.RecordBatch.from_pydict({"part": [part], "piece": [piece], "file": [file], "docs": [len(names)], "n_ids": [held]}, pa.schema([("part", pa.int32()), ("piece", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("n_ids", pa.int64())]))
-            names, ids, held, piece = [], [], 0, piece + 1
+            names, sizes, ids, held, piece = [], [], [], 0, piece + 1
             return row
 
         for batch in batches:
             rows = iter(batch.column(0).to_pylist())
             for _, ((flat, at),) in gather(batch.column(1), encode, stretches=encode.stretches):
-                for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                    if held and held + (b - a) // 4 + 1 > file_ids:
+                block = np.insert(np.frombuffer(flat[at[0] : at[-1]], "<u4").astype(f"<u{width}"), (at[1:] - at[0]) // 4, end_id)
+                first = done = 0
+                for n in (np.diff(at) // 4 + 1).tolist():
+                    if held and held + n > file_ids:
+                        ids.append(block[first:done])
                         yield flush()
+                        first = done
                     names.append(next(rows))
-                    ids.append(bytes(flat[a:b]) + last)
-                    held += (b - a) // 4 + 1
+                    sizes.append(n)
+                    held += n
+                    done += n
+                ids.append(block[first:])
         if names:
             yield flush()
 
     first = F.col(id_col).asc_nulls_first()
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col)).repartitionByRange(first, F.left(text_col, F.lit(RANGE_CHARS)).asc_nulls_first()).sortWithinPartitions(first, F.col(text_col).asc_nulls_first())
-    return staged(rows.mapInArrow(run, "part int, piece int, file string, docs long, n_ids long"), "token-manifest")
+    return staged(rows.mapInArrow(run, "part int, piece int, file string, docs long, n_ids long").repartition(1), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, ids: bool = False, id_col: str = "doc_id", read_docs: int = READ_DOCS) -> DataFrame:
@@ -307,11 +317,13 @@ def read_token_files(manifest: DataFrame, ids: bool = False, id_col: str = "doc_
                 for i in range(0, len(got), read_docs):
                     j = min(i + read_docs, len(got))
                     ends = got.bounds(i, j)
-                    flat = [got.flat[a:b].astype("<u4") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-                    cols = [got.doc_ids(i, j), base + ends[:-1], np.diff(ends), [zlib.crc32(x) for x in flat]] + [[x.astype(np.int32) for x in flat]] * ids
+                    flat = [got.flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                    cols = [got.doc_ids(i, j), base + ends[:-1], np.diff(ends), [zlib.crc32(x.astype("<u4")) for x in flat]] + [[x.astype(np.int32) for x in flat]] * ids
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], [n for n, _ in fields])
 
-    return based.select("file", "base").repartition(max(1, manifest.count()), "file").mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids)
+    files, n_ids = manifest.agg(F.count("*"), F.coalesce(F.sum("n_ids"), F.lit(0))).first()
+    tasks = max(1, min(files, -(-n_ids // READ_IDS)))
+    return based.select("file", "base").repartition(tasks).mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids)
 
 
 def token_files(docs: DataFrame, vocabulary: str, end_id: int = 1, **names) -> DataFrame:

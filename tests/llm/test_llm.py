@@ -111,6 +111,27 @@ def test_token_files_of_one_id_and_many_blocks(spark):
     assert [x.start for x in got] == np.cumsum([0, *(x.n_tokens for x in got)])[:-1].tolist()
 
 
+def test_token_files_of_many_small_tasks(spark, lib):
+    """However many tiny files there are, one task writes the manifest and few read; a file's ids are not copied to write them."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    texts = [None, "", " "] * 50 + [f"Word{i}, a b" for i in range(300)]
+    manifest = token_files.write_token_files(docs(spark, texts), VOCAB, 1, token_files.fresh_path(spark, "t"))
+    table = token_files.read_token_files(manifest, ids=True)
+    assert manifest.count() > 20 and len(manifest.inputFiles()) == 1 and table.rdd.getNumPartitions() == 1
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = sorted(table.collect(), key=lambda x: x.doc_id)
+    assert [x.ids for x in got] == [lib.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert [x.start for x in got] == np.cumsum([0, *(x.n_tokens for x in got)])[:-1].tolist()
+    ids = [np.arange(5, dtype="<u2"), np.zeros(0, "<u2"), np.arange(3, dtype="<u2")]
+    parts = token_files.pack([None, 4, 9], [2, 5, 1], ids, 2)
+    assert all(np.shares_memory(np.frombuffer(x, "<u2"), y) for x, y in zip(parts[-3:], ids) if len(y))
+    f = token_files.TokenFile(b"".join(parts))
+    assert f.doc_ids(0, 3) == [None, 4, 9] and [f.ids(i).tolist() for i in range(3)] == [[0, 1], [2, 3, 4, 0, 1], [2]]
+
+
 def jump_one(key, n):
     b, j = -1, 0
     while j < n:
