@@ -54,3 +54,23 @@ def test_eight_ranks_raise(spark):
     votes = spark.createDataFrame([("c", ";".join("abcdefgh"), 1.0, 1, "x")], VOTES)
     with pytest.raises(Exception, match="more than seven"):
         taxonomy.lineage_vote(votes, spark.createDataFrame([], "lineage string, taxid long")).collect()
+
+
+def test_genes_brought_together_or_dealt(spark):
+    """Names with few genes are counted in one place, those with many are dealt out: the same table."""
+    r = random.Random(11)
+    tree = [";".join(f"{x}_{x.upper()}{r.randrange(3)}" for x in "dpcofgs"[: r.randrange(1, 8)]) for _ in range(40)]
+    rows = [(f"c{min(r.randrange(40), r.randrange(40))}", r.choice([None, "", *tree]), float(r.randrange(1, 9)), 1, "x") for _ in range(900)]
+    votes = spark.createDataFrame(rows, VOTES).repartition(5)
+    taxa = taxonomy.taxon_numbers(spark.createDataFrame([(x, k) for k, x in enumerate(tree)] * 3, "lineage string, number long"))
+    tables = [{tuple(x) for x in taxonomy.lineage_vote(votes, taxa, majority=m, cell=c).collect()} for m in (0.2, 0.5) for c in (0, 20, 10**6)]
+    assert tables[0] == tables[1] == tables[2] and tables[3] == tables[4] == tables[5] != tables[0]
+    sizes = votes.groupBy("name").count()
+    assert {tuple(x) for x in taxonomy.lineage_vote(votes, taxa, sizes=sizes, cell=20).collect()} == tables[3]
+
+
+def test_one_shuffle_of_rows(spark):
+    """Ancestors of a name's genes are counted where its genes are: no exchange by ancestor."""
+    votes = spark.createDataFrame([(f"c{k % 9}", "d_A;p_B", 1.0, 1, "x") for k in range(50)], VOTES)
+    plan = taxonomy._counted(votes, "name", 0.5, False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and taxonomy._counted(votes, "name", 0.5, True)._jdf.queryExecution().executedPlan().toString().count("Exchange") > 2
