@@ -1,10 +1,13 @@
 """What steps leave on disk, and which steps are written at all."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from contiglink.config import Config
 from contiglink.operators import events
+from contiglink.plans import queries
 from contiglink.plans.queries import Relations
 from contiglink.sources import staging
 
@@ -48,3 +51,16 @@ def test_repeated_rows_of_criterion_one(relations):
     once = events.all_criterion1(r.metadata, r.region_taxonomy, r.contig_taxonomy, Config())
     twice = events.all_criterion1(r.metadata.union(r.metadata), r.region_taxonomy, r.contig_taxonomy.union(r.contig_taxonomy), Config())
     assert twice.count() == once.count() > 0
+
+
+def test_sequences_in_slices(spark, relations, monkeypatch):
+    """Slices give the rows of one pass, and no slice's files stay."""
+    r = relations
+    views = [queries.VIEWS[x] for x in ("fasta_index_file", "extract_regions")]
+    whole = [sorted(map(tuple, v(r).collect())) for v in views]
+    written = []
+    write = queries.tables.write_fasta
+    monkeypatch.setattr(queries.tables, "write_fasta", lambda df, path: (write(df, path), written.append(path)))
+    monkeypatch.setattr(queries, "SLICE", r.fixture("fx_fai").agg(F.sum("length")).first()[0] // 3 + 1)
+    assert [sorted(map(tuple, v(r).collect())) for v in views] == whole and whole[0] and whole[1]
+    assert len(written) == 6 and not any(os.path.exists(p.removeprefix("file://")) for p in written)
